@@ -1,0 +1 @@
+"""No streaming operator is in scope: every job of this engine is a batch rebuild."""
