@@ -15,7 +15,7 @@ SAID = "(?:و)?قال"
 
 
 def statements(c, words=lx.STATEMENT_WORDS, excluded=lx.EXCLUDED_ATTRIBUTIONS, said: str = SAID, opens: str | None = "وقال",
-               via: str = "عن", max_critic: int = 80, sentence_end: str = ".؛", folded: bool = True) -> Column:
+               via: str = "عن", max_critic: int = 80, sentence_end: str = ".؛", colon: str = ":：", folded: bool = True) -> Column:
     """Array of (critic, attribution, statement) for "X said: statement" sentences.
 
     Kept only when the statement holds a grade word; the critic is the last link of the
@@ -23,7 +23,7 @@ def statements(c, words=lx.STATEMENT_WORDS, excluded=lx.EXCLUDED_ATTRIBUTIONS, s
     """
     # a new "and X said" opens a sentence of its own
     text = F.regexp_replace(_col(c), rf"(?<!^)({opens}\s+)", ".$1") if opens else _col(c)
-    pattern = rf"(?:^|[{sentence_end}])\s*{said}\s+([^:：]{{2,120}})[:：]\s*([^.;؛]{{1,500}})"
+    pattern = rf"(?:^|[{sentence_end}])\s*{said}\s+([^{colon}]{{2,120}})[{colon}]\s*([^.;؛]{{1,500}})"
     who = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
     what = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
     rows = F.transform(F.arrays_zip(who.alias("a"), what.alias("s")), lambda r: F.struct(F.trim(r["a"]).alias("attribution"), F.trim(r["s"]).alias("statement")))
@@ -51,31 +51,32 @@ def critic_rows(cards: DataFrame, card: str, text: str, judge, keep: tuple[str,
 def word_dates(c, birth=lx.BIRTH_VERBS, death=lx.DEATH_VERBS_WORDS, year: str = "سنة", tails=lx.DATE_TAILS,
                stops: str = "،؛.", number=R.number_words) -> Column:
     """Array of (event, year, text, confidence) for dates written in words."""
-    parts = []
-    for event, verbs in (("birth", birth), ("death", death)):
+    cut = rf"\s+{lx.any_of(tails, vocal=False)}{lx.WORD_END}"
+
+    def dated(event, verbs):
         pattern = rf"({lx.any_of(verbs, vocal=False)}[^{stops}]{{0,120}}?\s{year}\s+([^{stops}\]\[]+))"
         whole = F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(1))
         phrase = F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(2))
-        cut = rf"\s+{lx.any_of(tails, vocal=False)}{lx.WORD_END}"
         found = F.transform(F.arrays_zip(whole.alias("w"), phrase.alias("p")), lambda r: F.struct(
             number(F.split(F.trim(r["p"]), cut, 2)[0]).alias("year"), F.substring(r["w"], 1, 240).alias("text")))
-        parts.append(F.transform(found, lambda r, event=event: F.struct(
+        return F.transform(found, lambda r: F.struct(
             F.lit(event).alias("event"), r["year"].alias("year"), r["text"].alias("text"),
-            F.when(r["year"].isNotNull(), 0.92).otherwise(0.55).alias("confidence"))))
-    return F.concat(*parts)
+            F.when(r["year"].isNotNull(), 0.92).otherwise(0.55).alias("confidence")))
+
+    return F.concat(dated("birth", birth), dated("death", death))
 
 
 def digit_dates(c, verbs=(("death", lx.DEATH_VERBS), ("birth", ("ولد", "مولده"))), year_words=lx.YEAR_WORDS,
                 stops: str = ".;؛") -> Column:
     """Array of (event, year, text, confidence) for dates written in digits."""
-    parts = []
-    for event, words in verbs:
+    def dated(event, words):
         pattern = rf"({lx.any_of(words, vocal=False)}[^{stops}]{{0,100}}?{lx.any_of(year_words, vocal=False)}\s*\(?\s*(\d{{2,4}}))"
         whole = F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(1))
         digits = F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(2))
-        parts.append(F.transform(F.arrays_zip(whole.alias("w"), digits.alias("d")), lambda r, event=event: F.struct(
-            F.lit(event).alias("event"), r["d"].cast("int").alias("year"), F.substring(r["w"], 1, 220).alias("text"), F.lit(0.94).alias("confidence"))))
-    return F.concat(*parts)
+        return F.transform(F.arrays_zip(whole.alias("w"), digits.alias("d")), lambda r: F.struct(
+            F.lit(event).alias("event"), r["d"].cast("int").alias("year"), F.substring(r["w"], 1, 220).alias("text"), F.lit(0.94).alias("confidence")))
+
+    return F.concat(*[dated(event, words) for event, words in verbs])
 
 
 def best_years(evidence: DataFrame, entity: str = "entity", event: str = "event", year: str = "year", order: str = "pos") -> DataFrame:

@@ -83,14 +83,14 @@ def _reporter_pattern(g: ChainGrammar) -> str:
     """Text up to the first boundary mark that ends a chain: two transmission words before it,
     more than 30 characters in, a narration verb within 220 characters, no continuation after."""
     stem = any_of(g.transmission_stems)
-    verb = any_of(g.near_verbs, bounded=True)
+    verbs = "|".join(rf"{lx.spelled(v, bounded=True)}[\s\S]{{0,{220 - len(v)}}}" for v in g.near_verbs)
     skip = rf"[\s{lx.ZERO_WIDTH}.,،؛;:\-]*"
     folded = "|".join(
         "".join(f"[{lx.ALEF_FORMS}ا][{lx.MARKS}]*" if ch == "ا" else r"\s+" if ch == " " else lx.quote(ch) + f"[{lx.MARKS}]*" for ch in w)
         for w in sorted(g.continuations, key=lambda w: (-len(w), w)))
     return (
         rf"^(?>[\s\S]*?{stem}[\s\S]*?{stem})[\s\S]*?[{g.boundary_chars}](?<=[\s\S]{{32}})"
-        rf"(?<={verb}[\s\S]{{0,220}}.)(?!{skip}(?:{folded}))"
+        rf"(?<=(?:{verbs}).)(?!{skip}(?:{folded}))"
     )
 
 

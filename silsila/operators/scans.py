@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 
 def scan_before(df: DataFrame, part: list[str], order: str, value: str, out: str,
-                how: str = "last", block: int = 4096, levels: int = 3) -> DataFrame:
+                how: str = "last", block: int = 4096, levels: int = 2) -> DataFrame:
     """Add ``out``: the last non-null ``value`` (or the sum of ``value``) strictly before the row.
 
-    ``order`` is a non-negative integer column, unique within ``part``. Three levels of 4096
-    keep every window task at 4096 rows for orders up to 2.8e14.
+    ``order`` is a non-negative integer column, unique within ``part``. Two levels of 4096
+    keep every window task within 4096 rows for orders up to 6.8e10; add levels beyond that.
     """
     pick = (lambda c: F.last(c, ignorenulls=True)) if how == "last" else F.sum
     if levels == 0:

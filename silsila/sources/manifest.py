@@ -36,12 +36,12 @@ def classify_name(book, stem, ext, volume_word: str = "المجلد", intro_word
 
     def named(suffix, kind, number=None):
         return F.struct(F.concat(book, suffix, ext).alias("canonical_name"), F.lit(kind).alias("kind"),
-                        (F.lit(None) if number is None else number).cast("int").alias("volume"))
+                        (F.lit(None) if number is None else number).try_cast("int").alias("volume"))
 
     return (
-        F.when(volume != "", named(F.format_string(f" - {volume_word} %02d", volume.cast("int")), "volume", volume))
+        F.when(volume != "", named(F.format_string(f" - {volume_word} %02d", volume.try_cast("int")), "volume", volume))
         .when(stem.isin(*intro_words), named(F.lit(f" - {intro_label}"), "intro"))
-        .when(extra != "", named(F.format_string(f" - {supplement_word} %d", extra.cast("int")), "supplement"))
+        .when(extra != "", named(F.format_string(f" - {supplement_word} %d", extra.try_cast("int")), "supplement"))
         .when(stem == book, named(F.lit(""), "standalone"))
         .otherwise(named(F.concat(F.lit(" - "), clean_title(stem)), "named"))
     )
@@ -54,7 +54,7 @@ def parse_name(stem, volume_word: str = "المجلد", intro_label: str = "ال
     vol, sup, intro = rf"\s*-\s*{volume_word}\s+(\d+)$", rf"\s*-\s*{supplement_word}\s+(\d+)$", f" - {intro_label}"
 
     def parsed(book, kind, volume=None):
-        return F.struct(F.trim(book).alias("book"), (F.lit(None) if volume is None else volume).cast("int").alias("volume"),
+        return F.struct(F.trim(book).alias("book"), (F.lit(None) if volume is None else volume).try_cast("int").alias("volume"),
                         F.lit(kind).alias("kind"))
 
     return (

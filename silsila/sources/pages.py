@@ -77,11 +77,12 @@ def side_layers(pages: DataFrame, keys: list[str], html: str = "page_html",
     base = F.col(html)
     for pattern in layout.noise[:3]:
         base = F.regexp_replace(base, pattern, " ")
-    found = F.concat(*[
-        F.transform(F.regexp_extract_all(base, F.lit(pattern), F.lit(1)),
-                    lambda t, name=name: F.struct(F.lit(name).alias("layer"), plain_text(t).alias("text")))
-        for name, pattern in layout.layers
-    ])
+
+    def layer(name, pattern):
+        return F.transform(F.regexp_extract_all(base, F.lit(pattern), F.lit(1)),
+                           lambda t: F.struct(F.lit(name).alias("layer"), plain_text(t).alias("text")))
+
+    found = F.concat(*[layer(name, pattern) for name, pattern in layout.layers])
     rows = pages.select(*keys, F.posexplode(F.filter(found, lambda r: r["text"] != "")).alias("pos", "r"))
     return rows.select(*keys, (F.col("pos") + 1).alias("layer_no"), "r.layer", "r.text",
                        F.sha2("r.text", 256).alias("text_sha256"))
@@ -147,14 +148,14 @@ def page_records(pages: DataFrame, keys: list[str], html: str = "page_html",
 
 
 def entry_parts(pages: DataFrame, source: str, order: str, html: str = "page_html",
-                layout: PageLayout = SHELF_PAGES, keep: Column | None = None,
+                layout: PageLayout = SHELF_PAGES, keep: str | None = None,
                 block: int = 4096) -> DataFrame:
     """Parts of numbered or titled entries that run on across pages and files.
 
     One row per (entry, page): the opening page (``entry_order``, ``entry_segment``) names the
     entry, (``part_order``, ``part_segment``) orders its parts. Text on a page before its first
-    marker goes to the entry still open from earlier pages of the source. ``keep`` is a filter
-    on the markers that may open an entry.
+    marker goes to the entry still open from earlier pages of the source. ``keep`` is a pattern
+    that markers which open an entry match.
     """
     segs = pages.select(source, F.col(order).cast("long").alias("part_order"),
                         marked_segments(marked_text(html, layout), layout).alias("segs"))
@@ -162,7 +163,7 @@ def entry_parts(pages: DataFrame, source: str, order: str, html: str = "page_htm
 
 
 def carry_parts(segs: DataFrame, source: str, order: str, segments: str,
-                keep: Column | None = None, block: int = 4096) -> DataFrame:
+                keep: str | None = None, block: int = 4096) -> DataFrame:
     """Give every segment of every page its entry; see ``entry_parts``.
 
     Only page-level facts (does the page open an entry, and which is its last one) are scanned
@@ -180,16 +181,18 @@ def carry_parts(segs: DataFrame, source: str, order: str, segments: str,
                                   last["number"].alias("number"))))
     facts = scan_before(pages.select(source, "part_order", "__last"), [source], "part_order", "__last", "__open", block=block)
     pages = pages.drop("__last").join(facts.select(source, "part_order", "__open"), [source, "part_order"])
-    rows = pages.select(source, "part_order", "__open", "segs", F.explode("segs").alias("s"))
     # the entry of a segment: the last opening segment up to it on this page, else the carried one
-    own = F.element_at(F.filter("segs", lambda x: x["opens"] & (x["i"] <= F.col("s.i"))), -1)
-    has_own = F.exists("segs", lambda x: x["opens"] & (x["i"] <= F.col("s.i")))
+    owners = F.aggregate("segs", F.array().cast("array<int>"), lambda acc, s: F.array_append(
+        acc, F.when(s["opens"], s["i"]).otherwise(F.get(acc, F.size(acc) - 1))))
+    rows = pages.select(source, "part_order", "__open", "segs", owners.alias("owners"))
+    rows = rows.select(source, "part_order", "__open", "segs", F.explode(F.arrays_zip(F.col("segs").alias("s"), F.col("owners").alias("o"))).alias("z"))
+    own = F.col("z.o").isNotNull()
     return rows.select(
         source,
-        F.when(has_own, F.col("part_order")).otherwise(F.col("__open.entry_order")).alias("entry_order"),
-        F.when(has_own, own["i"]).otherwise(F.col("__open.entry_segment")).alias("entry_segment"),
-        F.when(has_own, own["number"]).otherwise(F.col("__open.number")).alias("number"),
-        "part_order", F.col("s.i").alias("part_segment"), F.col("s.text").alias("text"),
+        F.when(own, F.col("part_order")).otherwise(F.col("__open.entry_order")).alias("entry_order"),
+        F.when(own, F.col("z.o")).otherwise(F.col("__open.entry_segment")).alias("entry_segment"),
+        F.when(own, F.get("segs", F.col("z.o"))["number"]).otherwise(F.col("__open.number")).alias("number"),
+        "part_order", F.col("z.s.i").alias("part_segment"), F.col("z.s.text").alias("text"),
     ).filter(F.col("entry_order").isNotNull() & (F.col("text") != ""))
 
 
@@ -207,10 +210,10 @@ def title_entry(title, grammar: str) -> tuple[Column, Column]:
     t = trim_chars(collapse(title), " " + lx.ZERO_WIDTH + "،؛;:.")
     if grammar == "bracketed":
         pattern = r"^\[(\d+)\]\s*(.+)$"
-        return F.nullif(F.regexp_extract(t, pattern, 1), F.lit("")).cast("int"), F.nullif(F.trim(F.regexp_extract(t, pattern, 2)), F.lit(""))
+        return F.nullif(F.regexp_extract(t, pattern, 1), F.lit("")).try_cast("int"), F.nullif(F.trim(F.regexp_extract(t, pattern, 2)), F.lit(""))
     if grammar == "numbered":
         pattern = r"^(\d+)\s*(?:ز\s*)?-?\s*(.+)$"
-        return F.nullif(F.regexp_extract(t, pattern, 1), F.lit("")).cast("int"), F.nullif(F.trim(F.regexp_extract(t, pattern, 2)), F.lit(""))
+        return F.nullif(F.regexp_extract(t, pattern, 1), F.lit("")).try_cast("int"), F.nullif(F.trim(F.regexp_extract(t, pattern, 2)), F.lit(""))
     return F.lit(None).cast("int"), F.when(heading_allowed(t, 5, 220), t)
 
 
@@ -235,7 +238,7 @@ def secondary_entries(bodies: DataFrame, source: str, grammar: str | None = None
         rows = bodies.withColumn("entry_no", no).withColumn("heading", name).filter(F.col("heading").isNotNull())
         rows = rows.withColumn("body", F.concat_ws(" ", "heading", "body"))
     else:
-        rows = bodies.withColumn("entry_no", F.col("number").cast("int"))
+        rows = bodies.withColumn("entry_no", F.col("number").try_cast("int"))
         rows = rows.withColumn("heading", F.trim(F.split("body", r"[،,:؛;.]", 2)[0]))
         rows = rows.filter(heading_allowed("heading", 4, 220))
     return rows.select(
