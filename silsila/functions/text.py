@@ -141,6 +141,29 @@ SAID_LABEL = "(?:" + lx.spelled("وقال") + "|" + lx.spelled("قال") + r")\s
 MENTIONED_LABEL = lx.any_of(("ذكره", "وذكره", "روى له", "وروى له"))
 
 
+@dataclass(frozen=True)
+class Labels:
+    """Section labels of a biography: teachers, students, and where the lists end."""
+
+    teachers: str = FROM_LABEL
+    students: str = FROM_HIM_LABEL
+    said: str = SAID_LABEL
+    mentioned: str = MENTIONED_LABEL
+
+    def heading_end(self) -> str:
+        return f"(?:{self.teachers}|{self.students})"
+
+    def teacher_list(self, c) -> Column:
+        return section(c, self.teachers, [self.students, self.said])
+
+    def student_list(self, c) -> Column:
+        return section(c, self.students, [self.said, self.mentioned])
+
+
+STRICT_LABELS = Labels()
+LOOSE_LABELS = Labels(FROM_LABEL_LOOSE, FROM_HIM_LABEL_LOOSE)
+
+
 def entry_heading(c, labels: str = HEADING_LABELS, max_chars: int = 900) -> Column:
     return before(c, labels, max_chars)
 

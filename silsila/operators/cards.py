@@ -5,32 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silsila import lexicon as lx
 from silsila.functions import keys as K
 from silsila.functions import rules as R
 from silsila.functions.text import (
-    CARDS, FROM_HIM_LABEL, FROM_HIM_LABEL_LOOSE, FROM_LABEL, FROM_LABEL_LOOSE, HEADINGS, LINEAGE, MENTIONED_LABEL, PLAIN,
-    SAID_LABEL, canonical_name, death_phrases, entry_heading, identity_text, normalize, section, staged, stable_id,
+    CARDS, HEADINGS, LINEAGE, LOOSE_LABELS, PLAIN, STRICT_LABELS, Labels, canonical_name, death_phrases, entry_heading,
+    identity_text, normalize, staged, stable_id,
 )
 from silsila.operators.blocking import longest_prefix_match, prefix_index, unique_number_link
 
 
-def entry_index(entries: DataFrame, body: str = "body", loose_labels: bool = False) -> DataFrame:
+def entry_index(entries: DataFrame, body: str = "body", labels: Labels = STRICT_LABELS, **name_rules) -> DataFrame:
     """Heading, canonical name, teacher and student lists and confidence of each entry.
 
-    ``loose_labels`` is the later reading: the colon may be missing and "from" is never taken
-    for "from him".
+    ``LOOSE_LABELS`` is the later reading: the colon may be missing and "from" is never taken
+    for "from him". ``name_rules`` go to :func:`canonical_name`.
     """
-    frm, him = (FROM_LABEL_LOOSE, FROM_HIM_LABEL_LOOSE) if loose_labels else (FROM_LABEL, FROM_HIM_LABEL)
-    heading = entry_heading(body, f"(?:{frm}|{him})")
-    rows = staged(entries, heading=heading, teachers_raw=section(body, frm, [him, SAID_LABEL]),
-                  students_raw=section(body, him, [SAID_LABEL, MENTIONED_LABEL]))
-    rows = staged(rows, canonical_name=canonical_name("heading"))
+    rows = staged(entries, heading=entry_heading(body, labels.heading_end()), teachers_raw=labels.teacher_list(body),
+                  students_raw=labels.student_list(body))
+    rows = staged(rows, canonical_name=canonical_name("heading", **name_rules))
     t, s = F.col("teachers_raw") != "", F.col("students_raw") != ""
     return rows.withColumn("canonical_norm", normalize("canonical_name", PLAIN)).withColumn(
         "confidence", F.when(t & s, 0.95).when(t | s, 0.80).otherwise(0.35))
 
 
-def summary_cards(anchors: DataFrame, entries: DataFrame, summaries: DataFrame) -> DataFrame:
+def summary_cards(anchors: DataFrame, entries: DataFrame, summaries: DataFrame, death_verbs=lx.DEATH_VERBS) -> DataFrame:
     """Anchor + its entry + the summary whose text starts with the anchor's name, if unique.
 
     ``anchors``: anchor, entry_id, canonical_name. ``entries``: entry_id, locator, body,
@@ -41,7 +40,7 @@ def summary_cards(anchors: DataFrame, entries: DataFrame, summaries: DataFrame)
     index = prefix_index(texts.withColumn("__n", normalize("summary_text", LINEAGE)), "__id", "__n", 2, 7)
     match = longest_prefix_match(named, "anchor", "__n", index, 2, 6).select("anchor", F.col("entity").alias("__id"))
     cards = named.drop("__n").join(entries, "entry_id").join(match, "anchor", "left").join(texts, "__id", "left").drop("__id")
-    return cards.withColumn("death_text", death_phrases(F.coalesce("summary_text", F.lit("")))).withColumn(
+    return cards.withColumn("death_text", death_phrases(F.coalesce("summary_text", F.lit("")), death_verbs)).withColumn(
         "card_status", F.when(F.col("summary_text").isNotNull(), "entry+summary").otherwise("entry_only"))
 
 
@@ -58,16 +57,17 @@ def alias_table(anchors: DataFrame, headings: DataFrame) -> DataFrame:
     return rows.withColumn("alias_id", stable_id("AL_", "anchor", "alias_type", "source", "entry_id", "alias_norm")).dropDuplicates(["alias_id"])
 
 
-def source_cards(entries: DataFrame, no: str = "entry_no", page: str = "page", text: str = "text") -> DataFrame:
+def source_cards(entries: DataFrame, no: str = "entry_no", page: str = "page", text: str = "text",
+                 cuts=lx.IDENTITY_CUTS) -> DataFrame:
     """Source cards: identity text, its norm, full text."""
-    rows = staged(entries, identity_text=identity_text(text))
+    rows = staged(entries, identity_text=identity_text(text, cuts))
     return rows.select(
         stable_id("TQ_", no, page, text).alias("card_id"), F.col(no).alias("entry_no"), F.col(page).alias("page"),
         "identity_text", normalize("identity_text", CARDS).alias("identity_norm"), F.col(text).alias("full_text"))
 
 
-def source_card_aliases(cards: DataFrame) -> DataFrame:
-    rows = cards.select("card_id", F.explode(K.card_aliases("identity_norm")).alias("a"))
+def source_card_aliases(cards: DataFrame, **words) -> DataFrame:
+    rows = cards.select("card_id", F.explode(K.card_aliases("identity_norm", **words)).alias("a"))
     return rows.select("card_id", "a.alias", "a.alias_type")
 
 
@@ -84,15 +84,14 @@ def secondary_links(cards: DataFrame, entries: DataFrame) -> DataFrame:
     return found.select("card_id", F.col("entity").alias("entry_id"))
 
 
-def relationship_text(links: DataFrame, entries: DataFrame, body: str = "body") -> DataFrame:
+def relationship_text(links: DataFrame, entries: DataFrame, body: str = "body", labels: Labels = LOOSE_LABELS) -> DataFrame:
     """Teacher and student text of each linked card, with the "from him/her" spellings."""
     rows = links.join(entries.select("entry_id", body), "entry_id")
-    return rows.select(
-        "card_id", "entry_id", section(body, FROM_LABEL_LOOSE, [FROM_HIM_LABEL_LOOSE, SAID_LABEL]).alias("teachers_raw"),
-        section(body, FROM_HIM_LABEL_LOOSE, [SAID_LABEL, MENTIONED_LABEL]).alias("students_raw"))
+    return rows.select("card_id", "entry_id", labels.teacher_list(body).alias("teachers_raw"), labels.student_list(body).alias("students_raw"))
 
 
-def provisional_cards(resolutions: DataFrame, cards: DataFrame, links: DataFrame, texts: DataFrame, bodies: DataFrame) -> DataFrame:
+def provisional_cards(resolutions: DataFrame, cards: DataFrame, links: DataFrame, texts: DataFrame, bodies: DataFrame,
+                      grade=R.source_card_grade) -> DataFrame:
     """One card per source card that got occurrences and has no anchor.
 
     ``resolutions``: occurrence_id, card_id. ``links``: card_id, anchor. ``texts``: card_id,
@@ -103,11 +102,11 @@ def provisional_cards(resolutions: DataFrame, cards: DataFrame, links: DataFrame
     rows = free.join(texts, "card_id", "left").join(bodies, "entry_id", "left")
     return rows.select(
         stable_id("P_", "card_id").alias("provisional_id"), "card_id", "identity_text", "entry_no", "page", "full_text",
-        R.source_card_grade("full_text").alias("grade"), R.class_ordinal("full_text").alias("tabaqa"), "entry_id",
+        grade("full_text").alias("grade"), R.class_ordinal("full_text").alias("tabaqa"), "entry_id",
         F.coalesce("body", F.lit("")).alias("biography"), "teachers_raw", "students_raw", "occurrences")
 
 
-def card_map(resolved: DataFrame, links: DataFrame, anchors: DataFrame, cards: DataFrame) -> DataFrame:
+def card_map(resolved: DataFrame, links: DataFrame, anchors: DataFrame, cards: DataFrame, grade=R.source_card_grade) -> DataFrame:
     """Occurrence to card: the linked anchor when there is one, else the provisional card.
 
     ``resolved``: occurrence_id, card_id, method. ``anchors``: anchor, canonical_name, grade.
@@ -117,6 +116,6 @@ def card_map(resolved: DataFrame, links: DataFrame, anchors: DataFrame, cards: D
     known = F.col("anchor").isNotNull()
     return rows.select(
         "occurrence_id", F.when(known, "existing_anchor").otherwise("provisional_source_card").alias("card_type"),
-        F.when(known, F.col("anchor")).otherwise(stable_id("P_", "card_id")).alias("card_ref_id"),
+        F.when(known, F.col("anchor").cast("string")).otherwise(stable_id("P_", "card_id")).alias("card_ref_id"),
         F.when(known, F.col("canonical_name")).otherwise(F.col("identity_text")).alias("display_name"),
-        F.when(known, F.col("grade")).otherwise(R.source_card_grade("full_text")).alias("grade"), F.col("method").alias("status"))
+        F.when(known, F.col("grade")).otherwise(grade("full_text")).alias("grade"), F.col("method").alias("status"))

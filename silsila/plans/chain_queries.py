@@ -176,33 +176,39 @@ def unique_prefix_join(spark, d):
     return RS.resolve_unique_names(occ, index.select("key", "entity")).select("doc_id", "entity", "name", "score")
 
 
-_LPM = rf"""
-e AS (SELECT doc_id, list_filter(string_split({_SEG.format(c="text")}, ' '), lambda x: x <> '') AS t FROM documents),
-k AS (SELECT DISTINCT doc_id, l, len(t) AS size, array_to_string(t[1:l], ' ') AS key FROM (SELECT doc_id, t, unnest(range(2, least(7, len(t)) + 1)) AS l FROM e)),
-p AS (SELECT conv_id * 100 + turn AS probe, list_filter(string_split({_SEG.format(c="text")}, ' '), lambda x: x <> '') AS t FROM conversations),
+_LPM = """
+e AS (SELECT p_partkey AS ent, string_split(CASE WHEN p_size % 5 = 0 THEN p_name ELSE p_name || ' ' || p_brand || ' ' || p_type END, ' ') AS t FROM part),
+k AS (SELECT DISTINCT ent, l, len(t) AS size, array_to_string(t[1:l], ' ') AS key FROM (SELECT ent, t, unnest(range(2, least(7, len(t)) + 1)) AS l FROM e)),
+p AS (SELECT p_partkey AS probe, string_split(p_name || ' ' || CASE WHEN p_size % 2 = 0 THEN 'Brand#1 ' || p_type ELSE p_brand || ' NONE' END, ' ') AS t FROM part),
 pk AS (SELECT probe, l, len(t) AS psize, array_to_string(t[1:l], ' ') AS key FROM (SELECT probe, t, unnest(range(2, least(6, len(t)) + 1)) AS l FROM p)),
-h AS (SELECT probe, pk.l, psize, size, doc_id FROM pk JOIN k USING (key) WHERE pk.l = k.l)"""
+h AS (SELECT probe, pk.l, psize, size, ent FROM pk JOIN k USING (key))"""
+
+
+def part_names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(entities, probes): names of two or four tokens, and names to look up."""
+    part = table(spark, d, "part")
+    full = F.when(F.col("p_size") % 5 == 0, F.col("p_name")).otherwise(F.concat_ws(" ", "p_name", "p_brand", "p_type"))
+    asked = F.concat_ws(" ", "p_name", F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("Brand#1 "), "p_type")).otherwise(F.concat("p_brand", F.lit(" NONE"))))
+    return part.select(F.col("p_partkey").alias("entity"), full.alias("n")), part.select(F.col("p_partkey").alias("probe"), asked.alias("n"))
 
 
 @query("longest_prefix_join", f"""
-WITH {_LPM}, b AS (SELECT probe, l, count(DISTINCT doc_id) AS n, min(doc_id) AS ent FROM h GROUP BY 1, 2
+WITH {_LPM}, b AS (SELECT probe, l, count(DISTINCT ent) AS n, min(ent) AS ent FROM h GROUP BY 1, 2
       QUALIFY row_number() OVER (PARTITION BY probe ORDER BY l DESC) = 1)
 SELECT probe, ent AS entity, l::INT AS matched_len FROM b WHERE n = 1""")
 def longest_prefix_join(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", T.normalize("text").alias("n"))
-    probes = table(spark, d, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("probe"), T.normalize("text").alias("n"))
-    return B.longest_prefix_match(probes, "probe", "n", B.prefix_index(docs, "doc_id", "n", 2, 7), 2, 6)
+    entities, probes = part_names(spark, d)
+    return B.longest_prefix_match(probes, "probe", "n", B.prefix_index(entities, "entity", "n", 2, 7), 2, 6)
 
 
 @query("compatible_prefix_join", f"""
-WITH {_LPM}, b AS (SELECT probe, l, count(DISTINCT doc_id) AS n, min(doc_id) AS ent FROM h
+WITH {_LPM}, b AS (SELECT probe, l, count(DISTINCT ent) AS n, min(ent) AS ent FROM h
       WHERE l >= 3 OR psize = l OR size = l GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY probe ORDER BY l DESC) = 1)
 SELECT probe, ent AS entity, l::INT AS matched_len FROM b WHERE n = 1""")
 def compatible_prefix_join(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", T.normalize("text").alias("n"))
-    sizes = docs.select(F.col("doc_id").alias("entity"), F.size(K.tokens("n")).alias("size"))
-    index = B.prefix_index(docs, "doc_id", "n", 2, 7).join(sizes, "entity")
-    probes = table(spark, d, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("probe"), T.normalize("text").alias("n"))
+    entities, probes = part_names(spark, d)
+    sizes = entities.select("entity", F.size(K.tokens("n")).alias("size"))
+    index = B.prefix_index(entities, "entity", "n", 2, 7).join(sizes, "entity")
     return B.longest_prefix_match(probes, "probe", "n", index, 2, 6, exact_short=True)
 
 
@@ -491,16 +497,23 @@ def prefix_resolve(spark, d):
 
 
 def signature_rows(spark: SparkSession, d: str) -> DataFrame:
-    met = C.guarded_neighbours(named_line_nodes(spark, d), ["occurrence_id", "name", "entity"])
+    """Nations as entities, regions as names: signatures then really repeat."""
+    sup = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    sup = sup.select(F.col("s_suppkey").alias("supplier"), F.col("n_regionkey").alias("name"), F.col("n_nationkey").alias("nation"))
+    occ = line_nodes(spark, d).join(sup, "supplier").withColumn("entity", F.when(F.col("resolved") == 1, F.col("nation")))
+    met = C.guarded_neighbours(occ, ["occurrence_id", "name", "entity"])
     return met.withColumnRenamed("prev_entity", "prev").withColumnRenamed("next_entity", "next")
 
 
-@query("signature_propagate", f"""
-WITH {LINES}, k AS (SELECT prev, nm, nxt, min(ent) AS e, count(*) AS support FROM hood WHERE ent IS NOT NULL AND prev IS NOT NULL AND nxt IS NOT NULL
-      GROUP BY 1, 2, 3 HAVING min(ent) = max(ent) AND count(*) >= 1)
-SELECT c AS chain_id, q AS sequence_index, e AS entity, support FROM hidden JOIN k USING (prev, nm, nxt)""")
+@query("signature_propagate", """
+WITH pos AS (SELECT l_orderkey AS c, l_linenumber AS q, min(l_suppkey) AS s, min(l_linestatus) AS ls FROM lineitem GROUP BY 1, 2 HAVING count(*) = 1),
+sg AS (SELECT c, q, n_regionkey AS nm, CASE WHEN ls = 'F' THEN n_nationkey END AS ent FROM pos JOIN supplier ON s_suppkey = s JOIN nation ON n_nationkey = s_nationkey),
+hd AS (SELECT x.*, p.ent AS prev, f.ent AS nxt FROM sg x JOIN sg p ON p.c = x.c AND p.q = x.q - 1 JOIN sg f ON f.c = x.c AND f.q = x.q + 1
+       WHERE p.ent IS NOT NULL AND f.ent IS NOT NULL),
+k AS (SELECT prev, nm, nxt, min(ent) AS e, count(*) AS support FROM hd WHERE ent IS NOT NULL GROUP BY 1, 2, 3 HAVING min(ent) = max(ent) AND count(*) >= 2)
+SELECT c AS chain_id, q AS sequence_index, e AS entity, support FROM hd JOIN k USING (prev, nm, nxt) WHERE ent IS NULL""")
 def signature_propagate(spark, d):
-    return RS.propagate_signatures(signature_rows(spark, d), min_support=1).select("chain_id", "sequence_index", "entity", "support")
+    return RS.propagate_signatures(signature_rows(spark, d)).select("chain_id", "sequence_index", "entity", "support")
 
 
 def layers(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:

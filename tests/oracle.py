@@ -36,10 +36,21 @@ def _rows(columns, rows):
     return sorted((tuple(_cell(r[i]) for i in order) for r in rows), key=repr)
 
 
+def _family(kind: str) -> str:
+    kind = kind.lower()
+    if kind in ("tinyint", "smallint", "int", "integer", "bigint"):
+        return "int"
+    return {"varchar": "string"}.get(kind, kind)
+
+
 def compare(df, con, sql: str) -> tuple[bool, str]:
     got = df.collect()
     cur = con.execute(sql)
     want_cols = [c[0] for c in cur.description]
+    duck_types = {c[0]: _family(str(c[1])) for c in cur.description}
+    spark_types = {c: _family(t) for c, t in df.dtypes}
+    if duck_types != spark_types:
+        return False, f"types {spark_types} != {duck_types}"
     want = cur.fetchall()
     if sorted(df.columns) != sorted(want_cols):
         return False, f"columns {sorted(df.columns)} != {sorted(want_cols)}"
