@@ -85,6 +85,7 @@ def resolve_kinship(occ: DataFrame, entries: DataFrame, explicit: DataFrame | No
     grands = ancestor_matches(entries, index, "name_norm", lineage, skip=()).select(
         F.col("name_norm").alias("gov_name"), F.col("first").alias("g1"), F.col("last").alias("g2"))
     kin = entries.select(F.col("entry").alias("gov"), F.col("name_norm").alias("gov_name")).join(fathers, "gov_name", "left").join(grands, "gov_name", "left")
+    kin = checkpointed(kin.drop("gov_name"))
     met = guarded_neighbours(occ, ["occurrence_id", "entity", "token", "label"], sides=("prev",))
     state = met.filter(F.col("token").isNotNull() & F.col("has_prev") & F.col("entity").isNull()).select(
         *POSITION, "occurrence_id", "token", "label", F.col("prev_entity").alias("gov"),

@@ -120,8 +120,10 @@ def resolve_list_context(open_pos: DataFrame, index: DataFrame, prev_edges: Data
 def judge_graph(index: DataFrame, relations: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """R-03: both neighbours resolved and exactly one candidate fits both relations; score 7."""
     used = index.join(relations.select(F.col("teacher").alias("candidate")).distinct(), "candidate", "left_semi")
-    by_prev = relations.select(F.col("student").alias("prev"), F.col("teacher").alias("candidate")).distinct().join(used.select("name", "candidate"), "candidate")
-    by_next = relations.select(F.col("student").alias("candidate"), F.col("teacher").alias("next")).distinct()
+    # the evidence is the same in every pass, so it is computed once
+    by_prev = checkpointed(relations.select(F.col("student").alias("prev"), F.col("teacher").alias("candidate")).distinct().join(
+        used.select("name", "candidate"), "candidate"))
+    by_next = checkpointed(relations.select(F.col("student").alias("candidate"), F.col("teacher").alias("next")).distinct())
 
     def judge(contexts: DataFrame) -> DataFrame:
         both = contexts.filter(F.col("prev").isNotNull() & F.col("next").isNotNull())
@@ -144,6 +146,9 @@ def judge_specific(index: DataFrame, prev_edges: DataFrame, next_edges: DataFram
     sizes = sizes.select(F.col("key").alias("name"), "block_size")
     if limit is not None:
         sizes = sizes.filter(F.col("block_size") <= limit)
+    # the evidence is the same in every pass, so it is computed once
+    index, sizes = checkpointed(index), checkpointed(sizes)
+    prev_edges, next_edges = checkpointed(prev_edges), checkpointed(next_edges)
 
     def judge(contexts: DataFrame) -> DataFrame:
         some = contexts.filter(F.col("prev").isNotNull() | F.col("next").isNotNull())

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silsila.functions.text import PLAIN
 from silsila.lexicon import ChainGrammar
 from silsila.operators.chains import adjacent_pairs
 
@@ -25,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that yields fewer partitions than there are cores (one small file).
+
+    Text work costs far more than moving such a file. A scan of many splits stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def line_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as chains: line number = sequence, supplier = true entity, ``F`` = resolved,
     nation = the ambiguous name. All columns are numbers, so aggregations stay hash based."""
@@ -60,10 +68,7 @@ def supplier_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
-
-
-DOC_PROFILE = PLAIN
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
 
 #: Oracle prelude: positions, singletons, adjacent singleton pairs, flagged relations.
 LINES = """

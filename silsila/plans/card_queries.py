@@ -18,11 +18,11 @@ from silsila.operators import extract as E
 from silsila.operators import resolve as RS
 from silsila.operators.relations import reconcile
 from silsila.plans import mart as M
-from silsila.plans.bindings import LINES, PROSE, flagged_pairs, line_nodes, named_line_nodes, supplier_index, table
+from silsila.plans.bindings import LINES, PROSE, documents, flagged_pairs, line_nodes, named_line_nodes, supplier_index, table
 from silsila.plans.chain_queries import (
     _BILATERAL, _CARD, _LAYERS, _SPAN, card_edges, layers, open_lines, pair_evidence, supplier_spans,
 )
-from silsila.plans.registry import query
+from silsila.plans.registry import ORACLES, query
 from silsila.plans.text_queries import plain
 from silsila.sources.manifest import run_audit
 from silsila.sources.tables import insert_absent
@@ -44,7 +44,7 @@ n AS (SELECT *, substr(trim(regexp_extract(regexp_replace(heading, '^\s*(?:[A-Z]
 SELECT doc_id, {plain("name")} AS canonical_norm, sha256(teachers) AS teachers_sha, sha256(students) AS students_sha,
        CASE WHEN teachers <> '' AND students <> '' THEN 0.95 WHEN teachers <> '' OR students <> '' THEN 0.80 ELSE 0.35 END::DOUBLE AS confidence FROM n""")
 def entry_index(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("body"))
+    docs = documents(spark, d).select("doc_id", F.col("text").alias("body"))
     rows = CD.entry_index(docs, "body", PROSE_LABELS, sigla=r"^\s*(?:[A-Z]\s)?", ends="[.,]")
     return rows.select("doc_id", "canonical_norm", F.sha2("teachers_raw", 256).alias("teachers_sha"), F.sha2("students_raw", 256).alias("students_sha"), "confidence")
 
@@ -62,7 +62,7 @@ x AS (SELECT anchor, s, list_filter(list_transform(regexp_extract_all(coalesce(t
 u AS (SELECT anchor, s, list_filter(ph, lambda m, i: list_position(ph, m) = i) AS ph FROM x)
 SELECT anchor, s AS summary_no, array_to_string(ph[1:3], ' | ') AS death_text, CASE WHEN s IS NULL THEN 'entry_only' ELSE 'entry+summary' END AS card_status FROM u""")
 def summary_cards(spark, d):
-    docs = table(spark, d, "documents").filter("lang <> 'en'")
+    docs = documents(spark, d).filter("lang <> 'en'")
     anchors = docs.select(F.col("doc_id").alias("anchor"), F.col("doc_id").alias("entry_id"), F.substring_index("text", ".", 1).alias("canonical_name"))
     entries = docs.select(F.col("doc_id").alias("entry_id"), "source")
     summaries = docs.select(F.col("doc_id").alias("summary_no"), F.lit("").alias("summary_page"), F.col("text").alias("summary_text"))
@@ -88,7 +88,7 @@ _IDENT = r"trim(substr(regexp_extract(regexp_replace(text, '^\s*\d+\s*-\s*', '')
 
 def prose_cards(spark: SparkSession, d: str) -> DataFrame:
     """Documents as source cards; the identity ends before the first cut word."""
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("entry_no"), F.col("source").alias("page"), "text")
+    docs = documents(spark, d).select(F.col("doc_id").alias("entry_no"), F.col("source").alias("page"), "text")
     return CD.source_cards(docs, cuts=("the", "de", "of"))
 
 
@@ -237,7 +237,7 @@ SELECT doc_id, event, year, text, CASE WHEN year IS NULL THEN 0.55 ELSE 0.92 END
 def word_dates(spark, d):
     dates = EV.word_dates("text", ("with",), ("for",), "the", ("and",), ",.",
                           lambda c: R.number_words(c, {"of": 1, "is": 20, "that": 300}, conjunction="", drop=()))
-    rows = table(spark, d, "documents").select("doc_id", F.explode(dates).alias("e"))
+    rows = documents(spark, d).select("doc_id", F.explode(dates).alias("e"))
     return rows.groupBy("doc_id", "e.event", "e.year", "e.text", "e.confidence").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -266,7 +266,7 @@ SELECT doc_id, CASE WHEN contains(text, 'tionth') OR contains(text, 'spam') THEN
   CASE WHEN regexp_matches(text, '(^|[^\p{L}\p{M}\p{N}_])(or|ou)([^\p{L}\p{M}\p{N}_]|$)') THEN 'weak' WHEN regexp_matches(text, '(^|[^\p{L}\p{M}\p{N}_])(is|es)([^\p{L}\p{M}\p{N}_]|$)') THEN 'thiqa' END AS word_grade,
   (contains(text, 'hed') OR contains(text, 'eau'))::INT AS has_first, contains(text, 'tion')::INT AS has_second FROM documents""")
 def grade_rules(spark, d):
-    return table(spark, d, "documents").select(
+    return documents(spark, d).select(
         "doc_id", R.first_rule("text", _GRADES, "other", folded=False).alias("grade"),
         R.first_rule("text", (("weak", ("or", "ou")), ("thiqa", ("is", "es"))), whole=True, folded=False).alias("word_grade"),
         *R.trait_flags("text", (("first", ("hed", "eau")), ("second", ("tion",)))))
@@ -298,7 +298,7 @@ g AS (SELECT doc_id, source, CASE WHEN starts_with(source, 'src1') AND (contains
    CASE WHEN starts_with(source, 'src1') AND (contains(nt, 'hed') OR contains(nt, 'eau')) THEN substr(text, 1, 800) ELSE substr(text, 1, 1000) END AS exact FROM n)
 SELECT doc_id, source, critic, CASE critic WHEN 'one' THEN 0.86 ELSE 0.90 END::DOUBLE AS confidence, sha256(exact) AS exact_sha, 'other' AS judgment FROM g WHERE critic IS NOT NULL""")
 def secondary_evidence(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "source", F.col("text").alias("body"))
+    docs = documents(spark, d).select("doc_id", "source", F.col("text").alias("body"))
     rows = EV.source_grades(docs, "source", "body", {"src1": (("hed", "eau"), 800, "one", 0.86), "src2": (("tion",), 1000, "two", 0.90)})
     return rows.select("doc_id", "source", "critic", "confidence", F.sha2("exact_text", 256).alias("exact_sha"), "judgment")
 
@@ -316,7 +316,7 @@ def terminal_repair(spark, d):
 
 
 def prose_repairs(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", r"\.")).alias("i", "raw"))
+    rows = documents(spark, d).select("doc_id", F.posexplode(F.split("text", r"\.")).alias("i", "raw"))
     rows = rows.select("doc_id", (F.col("i") + 1).alias("sentence_no"), "raw").filter(F.col("raw").contains("that"))
     return E.repair_terminals(rows, "raw", ("that",), (r"\s+(?:of|the)\s+SUBJECT",))
 
@@ -445,15 +445,16 @@ def source_coverage(spark, d):
     return EV.coverage(EV.match_secondary(*_secondary(spark, d)), "source", "anchor")
 
 
-@query("extraction_report", r"""
-WITH t AS (SELECT source, regexp_replace(text, '^ +', '') AS t FROM documents),
-k AS (SELECT source, CASE WHEN regexp_matches(t, '^(Is|Des)') THEN 'title' WHEN regexp_matches(substr(t, 1, 300), '(with|avec|mit|con)') THEN 'hadith'
-  WHEN regexp_matches(t, '^(The|La)\s+') AND length(t) > 80 THEN 'report' WHEN regexp_matches(substr(t, 1, 500), '(that|pour)') AND length(t) > 80 THEN 'report' ELSE 'other' END AS kind,
-  regexp_matches(substr(t, 1, 350), '(with|avec|mit|con)') OR regexp_matches(t, '^(The|La)\s+') AS opened FROM t)
+@query("extraction_report", rf"""
+WITH t AS (SELECT doc_id, source, regexp_replace(text, '^ +', '') AS t FROM documents),
+k AS (SELECT doc_id, source, CASE WHEN regexp_matches(t, '^(Is|Des)') THEN 'title' WHEN regexp_matches(substr(t, 1, 300), '(with|avec|mit|con)') THEN 'hadith'
+  WHEN regexp_matches(t, '^(The|La)\s+') AND length(t) > 80 THEN 'report' WHEN regexp_matches(substr(t, 1, 500), '(that|pour)') AND length(t) > 80 THEN 'report' ELSE 'other' END AS kind FROM t),
+found AS (SELECT doc_id FROM ({ORACLES["boundary_extract"]}))
 SELECT source AS book, count(*) AS records, count(*) FILTER (WHERE kind = 'hadith') AS hadith, count(*) FILTER (WHERE kind = 'report') AS report,
-       count(*) FILTER (WHERE kind = 'other') AS other, count(*) FILTER (WHERE kind IN ('hadith', 'report') AND opened) AS chains FROM k WHERE kind <> 'title' GROUP BY 1""")
+       count(*) FILTER (WHERE kind = 'other') AS other, count(*) FILTER (WHERE kind IN ('hadith', 'report') AND doc_id IN (SELECT doc_id FROM found)) AS chains
+FROM k WHERE kind <> 'title' GROUP BY 1""")
 def extraction_report(spark, d):
-    records = E.typed_records(table(spark, d, "documents").select(F.col("source").alias("book"), "text"), "text", PROSE)
+    records = E.typed_records(documents(spark, d).select(F.col("source").alias("book"), "text"), "text", PROSE)
     chains = E.extract_chains(records.filter(F.col("record_type").isin("hadith", "report")), "text", PROSE)
     return AU.extraction_report(records, chains, "book", "record_type", ["hadith", "report", "other"])
 
@@ -471,7 +472,7 @@ WITH s AS (SELECT unnest(string_split(text, ',')) AS raw FROM documents),
 n AS (SELECT trim(regexp_replace(raw, '\s+', ' ', 'g'), ' ،؛;:.()-') AS name FROM s)
 SELECT count(*) AS mentions, count(DISTINCT name) AS distinct_names FROM n WHERE name <> ''""")
 def layer_distincts(spark, d):
-    names = table(spark, d, "documents").select(F.explode(F.split("text", ",")).alias("raw")).select(T.normalize("raw").alias("name")).filter("name <> ''")
+    names = documents(spark, d).select(F.explode(F.split("text", ",")).alias("raw")).select(T.normalize("raw").alias("name")).filter("name <> ''")
     return names.groupBy("name").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("mentions"), F.count(F.lit(1)).alias("distinct_names"))
 
 

@@ -13,7 +13,7 @@ from silsila.operators import chains as C
 from silsila.operators import kinship as KIN
 from silsila.operators import relations as RL
 from silsila.operators import resolve as RS
-from silsila.plans.bindings import LINES, flagged_pairs, line_nodes, named_line_nodes, supplier_index, supplier_years, table
+from silsila.plans.bindings import LINES, documents, flagged_pairs, line_nodes, named_line_nodes, supplier_index, supplier_years, table
 from silsila.plans.registry import query
 from silsila.sources.tables import upgrade_status, upsert
 
@@ -151,7 +151,7 @@ m AS (SELECT doc_id, direction, segment, ent, l FROM s JOIN uk ON starts_with(se
 SELECT CASE direction WHEN 'teacher_list' THEN doc_id ELSE ent END AS student, CASE direction WHEN 'teacher_list' THEN ent ELSE doc_id END AS teacher,
        direction, segment FROM m WHERE ent <> doc_id""")
 def reported_lists(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = documents(spark, d).select("doc_id", "text")
     anchors = table(spark, d, "benchmark").select("item_id", T.normalize("text").alias("n"))
 
     def segments(marks):
@@ -170,7 +170,7 @@ k AS (SELECT DISTINCT doc_id, array_to_string(t[1:l], ' ') AS key FROM (SELECT d
 u AS (SELECT key, min(doc_id) AS ent FROM k GROUP BY key HAVING count(DISTINCT doc_id) = 1)
 SELECT doc_id, ent AS entity, array_to_string(t[1:4], ' ') AS name, 1.0::DOUBLE AS score FROM t JOIN u ON key = array_to_string(t[1:4], ' ')""")
 def unique_prefix_join(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", T.normalize("text").alias("n"))
+    docs = documents(spark, d).select("doc_id", T.normalize("text").alias("n"))
     index = B.prefix_index(docs, "doc_id", "n", 3, 8)
     occ = docs.select("doc_id", F.substring_index("n", " ", 4).alias("name"))
     return RS.resolve_unique_names(occ, index.select("key", "entity")).select("doc_id", "entity", "name", "score")
@@ -497,17 +497,17 @@ def prefix_resolve(spark, d):
 
 
 def signature_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Nations as entities, regions as names: signatures then really repeat."""
+    """Regions as entities, nations as names: signatures then really repeat."""
     sup = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    sup = sup.select(F.col("s_suppkey").alias("supplier"), F.col("n_regionkey").alias("name"), F.col("n_nationkey").alias("nation"))
-    occ = line_nodes(spark, d).join(sup, "supplier").withColumn("entity", F.when(F.col("resolved") == 1, F.col("nation")))
+    sup = sup.select(F.col("s_suppkey").alias("supplier"), F.col("n_nationkey").alias("name"), F.col("n_regionkey").alias("region"))
+    occ = line_nodes(spark, d).join(sup, "supplier").withColumn("entity", F.when(F.col("resolved") == 1, F.col("region")))
     met = C.guarded_neighbours(occ, ["occurrence_id", "name", "entity"])
     return met.withColumnRenamed("prev_entity", "prev").withColumnRenamed("next_entity", "next")
 
 
 @query("signature_propagate", """
 WITH pos AS (SELECT l_orderkey AS c, l_linenumber AS q, min(l_suppkey) AS s, min(l_linestatus) AS ls FROM lineitem GROUP BY 1, 2 HAVING count(*) = 1),
-sg AS (SELECT c, q, n_regionkey AS nm, CASE WHEN ls = 'F' THEN n_nationkey END AS ent FROM pos JOIN supplier ON s_suppkey = s JOIN nation ON n_nationkey = s_nationkey),
+sg AS (SELECT c, q, n_nationkey AS nm, CASE WHEN ls = 'F' THEN n_regionkey END AS ent FROM pos JOIN supplier ON s_suppkey = s JOIN nation ON n_nationkey = s_nationkey),
 hd AS (SELECT x.*, p.ent AS prev, f.ent AS nxt FROM sg x JOIN sg p ON p.c = x.c AND p.q = x.q - 1 JOIN sg f ON f.c = x.c AND f.q = x.q + 1
        WHERE p.ent IS NOT NULL AND f.ent IS NOT NULL),
 k AS (SELECT prev, nm, nxt, min(ent) AS e, count(*) AS support FROM hd WHERE ent IS NOT NULL GROUP BY 1, 2, 3 HAVING min(ent) = max(ent) AND count(*) >= 2)

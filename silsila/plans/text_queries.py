@@ -28,7 +28,7 @@ def plain(c: str) -> str:
 
 @query("manifest_inventory", "SELECT doc_id AS path, strlen(text)::BIGINT AS size_bytes, sha256(text) AS sha256 FROM documents")
 def manifest_inventory(spark: SparkSession, d: str) -> DataFrame:
-    return MF.inventory(documents(spark, d), "doc_id", "text").drop("content")
+    return MF.inventory(table(spark, d, "documents"), "doc_id", "text").drop("content")
 
 
 @query("content_dedup_canonical", """
@@ -37,7 +37,7 @@ SELECT doc_id, name, first_value(name) OVER w AS canonical_name, count(*) OVER (
        CASE WHEN row_number() OVER w = 1 THEN '' ELSE first_value(name) OVER w END AS duplicate_of
 FROM f WINDOW w AS (PARTITION BY sha ORDER BY pref DESC, doc_id)""")
 def content_dedup_canonical(spark, d):
-    files = documents(spark, d).select(
+    files = table(spark, d, "documents").select(
         "doc_id", F.sha2("text", 256).alias("sha256"), (F.col("lang") == "en").cast("int").alias("pref"),
         F.concat_ws("/", "source", "doc_id").alias("name"))
     out = MF.dedup_content(files, "sha256", "name", "doc_id", "pref")
@@ -50,7 +50,7 @@ WITH u AS (SELECT doc_id, source || '-' || lang AS name FROM documents
 r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id) AS k FROM u)
 SELECT doc_id, name, CASE WHEN k > 1 THEN name || ' (' || k || ')' ELSE name END AS unique_name FROM r""")
 def name_collisions(spark, d):
-    files = documents(spark, d).select("doc_id", F.sha2("text", 256).alias("sha256"), F.concat_ws("-", "source", "lang").alias("name"))
+    files = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), F.concat_ws("-", "source", "lang").alias("name"))
     first = files.groupBy("sha256").agg(F.min("doc_id").alias("doc_id"))
     unique = files.join(first, ["sha256", "doc_id"], "left_semi").drop("sha256")
     return MF.suffix_collisions(unique, "name", "doc_id")
