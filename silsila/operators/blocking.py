@@ -99,7 +99,8 @@ def unique_number_link(left: DataFrame, right: DataFrame, left_id: str, right_id
 
 
 def name_index(cards: DataFrame, names: DataFrame, entity: str = "entity", texts=("identity_norm",),
-               name: str = "name", lineage: str = "بن", kunya: str = "ابو", max_tokens: int = 12) -> DataFrame:
+               name: str = "name", lineage: str = "بن", kunya: str = "ابو", max_tokens: int = 12,
+               aliases: DataFrame | None = None) -> DataFrame:
     """(name, entity, name_score) for the names that occur as a token run in an entity text.
 
     Score: 10 whole text, 9 prefix, 8 second place after a leading lineage word, 7 within the
@@ -107,7 +108,7 @@ def name_index(cards: DataFrame, names: DataFrame, entity: str = "entity", texts
     the text opens with the same token, or the name is a single token, or it opens with the
     lineage or kunya word. Built by an equi join of the runs with the wanted names, so no block
     of a common first token is ever enumerated per name. ``max_tokens`` bounds the run length
-    and has to cover the longest name.
+    and has to cover the longest name. ``aliases`` (name, entity) score 9.
     """
     wanted = names.select(F.col(name).alias("name")).distinct()
     parts = []
@@ -129,4 +130,7 @@ def name_index(cards: DataFrame, names: DataFrame, entity: str = "entity", texts
              .when((first == lineage) & (F.col("pos") == 1), 8).when(F.col("pos") <= 1, 7).when(F.col("pos") <= 3, 5).otherwise(2))
     # the first place of the run decides, like a search from the left
     hits = hits.filter(pooled).groupBy("name", "entity", "n", "head", "len").agg(F.min("pos").alias("pos"))
-    return hits.withColumn("s", score).groupBy("name", "entity").agg(F.max("s").alias("name_score"))
+    scored = hits.withColumn("s", score).select("name", "entity", "s")
+    if aliases is not None:
+        scored = scored.unionByName(aliases.join(wanted, "name", "left_semi").select("name", "entity", F.lit(9).alias("s")))
+    return scored.groupBy("name", "entity").agg(F.max("s").alias("name_score"))

@@ -44,15 +44,17 @@ def summary_cards(anchors: DataFrame, entries: DataFrame, summaries: DataFrame,
         "card_status", F.when(F.col("summary_text").isNotNull(), "entry+summary").otherwise("entry_only"))
 
 
-def alias_table(anchors: DataFrame, headings: DataFrame) -> DataFrame:
+def alias_table(anchors: DataFrame, headings: DataFrame | None = None) -> DataFrame:
     """Canonical names and matched source headings (two tokens and more) as aliases.
 
     ``anchors``: anchor, canonical_name. ``headings``: anchor, source, entry_id, heading.
     """
     own = anchors.select("anchor", F.col("canonical_name").alias("alias_text"), F.lit("canonical").alias("alias_type"),
                          F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("entry_id"))
-    told = headings.select("anchor", F.col("heading").alias("alias_text"), F.lit("source_heading").alias("alias_type"), "source", "entry_id")
-    rows = own.unionByName(told).withColumn("alias_norm", normalize("alias_text", HEADINGS))
+    if headings is not None:
+        own = own.unionByName(headings.select(
+            "anchor", F.col("heading").alias("alias_text"), F.lit("source_heading").alias("alias_type"), "source", "entry_id"))
+    rows = own.withColumn("alias_norm", normalize("alias_text", HEADINGS))
     rows = rows.filter((F.col("alias_type") == "canonical") | (F.size(K.tokens("alias_norm")) >= 2))
     return rows.withColumn("alias_id", stable_id("AL_", "anchor", "alias_type", "source", "entry_id", "alias_norm")).dropDuplicates(["alias_id"])
 

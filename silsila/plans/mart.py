@@ -18,11 +18,13 @@ def mart_cards(anchors: DataFrame, provisional: DataFrame) -> DataFrame:
     return both.withColumn("card_ref", card_ref("card_type", "card_id"))
 
 
-def mart_statements(first: DataFrame, second: DataFrame) -> DataFrame:
+def mart_statements(first: DataFrame, second: DataFrame | None = None) -> DataFrame:
     """Critic statements of two stages under tagged ids; one row per id."""
     tag = lambda df, t: df.withColumn("statement_ref", F.concat(F.lit(t), F.col("statement_id"))).withColumn(
         "card_ref", F.concat(F.lit("A:"), F.col("anchor"))).drop("statement_id", "anchor")
-    both = tag(first, "S2:").unionByName(tag(second, "S4:"), allowMissingColumns=True)
+    both = tag(first, "S2:")
+    if second is not None:
+        both = both.unionByName(tag(second, "S4:"), allowMissingColumns=True)
     return one_per_key(both, ["statement_ref"], [F.col("card_ref")])
 
 
