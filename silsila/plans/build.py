@@ -83,7 +83,7 @@ def build_corpus(files: DataFrame, g: lx.ChainGrammar = lx.ARABIC) -> dict[str,
 
 def build_entries(files: DataFrame) -> DataFrame:
     """Numbered biographical entries over all pages and files, with anchor ids and lists."""
-    parts = PG.entry_parts(ordered_pages(files), "source", "page_order")
+    parts = PG.entry_parts(ordered_pages(files), "source", "page_order", layout=PG.ENTRY_PAGES)
     bodies = PG.entry_bodies(parts, "source")
     rows = CD.entry_index(bodies, "body")
     rows = rows.withColumn("entry_id", T.stable_id("TK_", "source", "entry_order", "entry_segment", "heading"))
@@ -93,7 +93,7 @@ def build_entries(files: DataFrame) -> DataFrame:
 
 def build_summaries(files: DataFrame) -> DataFrame:
     """Numbered short entries: summary_no, summary_page, summary_text."""
-    bodies = PG.entry_bodies(PG.entry_parts(ordered_pages(files), "source", "page_order"), "source")
+    bodies = PG.entry_bodies(PG.entry_parts(ordered_pages(files), "source", "page_order", layout=PG.ENTRY_PAGES), "source")
     return checkpointed(bodies.select(F.col("number").try_cast("int").alias("summary_no"), F.col("entry_order").cast("string").alias("summary_page"),
                                       F.col("body").alias("summary_text")))
 

@@ -30,7 +30,8 @@ class PageLayout:
     """Which elements of a page are noise, side layers or markers.
 
     ``markers`` are elements whose text, when it matches ``marker_text``, opens a record;
-    ``marker_tags`` are bare opening tags that open a record with a running number.
+    ``marker_tags`` are bare opening tags that open a record with a running number. The text of
+    a marker element that does not match is dropped unless ``keep_unmarked``.
     """
 
     page: str | None = r'(?i)(?=<div\b[^>]*class\s*=\s*["\'][^"\']*\bPageText\b)'
@@ -44,9 +45,12 @@ class PageLayout:
     markers: tuple = (element("span", "punct"),)
     marker_text: str = r"^\s*[\u200c\u200d\u200e\u200f]*\(?(\d{1,6})\)?\s*[-–—]\s*$"
     marker_tags: str | None = None
+    keep_unmarked: bool = False
 
 
 SHELF_PAGES = PageLayout()
+#: Biographical entries keep the text of marker elements that are no marker (their colons).
+ENTRY_PAGES = PageLayout(keep_unmarked=True)
 #: Titled entries: a title element opens the entry, its text is the marker.
 TITLED_PAGES = PageLayout(
     markers=(element("span", attr=r'data-type\s*=\s*["\']title["\']'), element("span", "title")),
@@ -66,8 +70,10 @@ def split_pages(files: DataFrame, html: str = "html", layout: PageLayout = SHELF
     """One row per page of a file: ``page_no`` from 1, ``page_label``, ``page_html``."""
     if layout.page is None:
         return files.withColumn("page_no", F.lit(1)).withColumn("page_label", F.lit("")).withColumnRenamed(html, "page_html")
-    parts = files.select("*", F.posexplode(F.split(html, layout.page)).alias("page_no", "page_html")).drop(html)
-    pages = parts.filter(F.col("page_html").rlike(layout.page.replace("(?=", "^(?:")))
+    opens = layout.page.replace("(?=", "^(?:")
+    found = F.filter(F.split(html, layout.page), lambda p: p.rlike(opens))
+    pages = files.select("*", F.posexplode(found).alias("page_no", "page_html")).drop(html)
+    pages = pages.withColumn("page_no", F.col("page_no") + 1)
     return pages.withColumn("page_label", plain_text(F.regexp_extract("page_html", layout.label, 1)))
 
 
@@ -104,8 +110,7 @@ def marked_text(html, layout: PageLayout = SHELF_PAGES) -> Column:
 def marked_segments(marked, layout: PageLayout = SHELF_PAGES) -> Column:
     """Array of (number, text): text from one marker to the next.
 
-    Element 0 has a NULL number and holds the text before the first marker. Marker elements
-    whose text is no marker are dropped from the text.
+    Element 0 has a NULL number and holds the text before the first marker.
     """
     pieces = F.split(_col(marked), OPEN)
     head = F.array(F.struct(F.lit(None).cast("string").alias("number"), F.trim(pieces[0]).alias("text")))
@@ -117,7 +122,9 @@ def marked_segments(marked, layout: PageLayout = SHELF_PAGES) -> Column:
         found = F.transform(rest, lambda r, i: F.struct((i + 1).cast("string").alias("number"), F.trim(r["text"]).alias("text")))
         return F.concat(head, found)
     number = lambda r: F.nullif(F.regexp_extract(r["m"], layout.marker_text, 1), F.lit(""))
-    found = F.transform(rest, lambda r: F.struct(number(r).alias("number"), F.trim(r["text"]).alias("text")))
+    kept = (lambda r: F.concat_ws(" ", r["m"], r["text"])) if layout.keep_unmarked else (lambda r: r["text"])
+    found = F.transform(rest, lambda r: F.struct(
+        number(r).alias("number"), F.trim(F.when(number(r).isNull(), kept(r)).otherwise(r["text"])).alias("text")))
     # text after a non-marker belongs to the segment before it: glue runs without a number
     glued = F.split(
         F.array_join(
