@@ -122,10 +122,11 @@ def card_aliases(c, lineage: str = "بن", kunya=("ابو", "ام")) -> Column:
     return F.array_distinct(F.filter(parts, lambda p: F.length(p["alias"]) >= 2))
 
 
-def own_kunya(name, intro, letters: str = "ء-ي", word: str = "ابو", said: str = "ويقال") -> Column:
+def own_kunya(name, intro, letters: str = "ء-ي", word: str = "ابو", said: str = "ويقال",
+              comma: str = "،") -> Column:
     """Kunya prefixes (two tokens and more) a person carries in the own name or introduction."""
     body = rf"{word}\s+[{letters}]+(?:\s+[{letters}]+){{0,2}}"
     own = F.slice(F.regexp_extract_all(_col(name), F.lit(rf"{lx.WORD_START}({body})"), F.lit(1)), 1, 1)
-    told = F.regexp_extract_all(_col(intro), F.lit(rf"(?:^|،)\s*(?:{said}:?\s*)?({body})"), F.lit(1))
+    told = F.regexp_extract_all(_col(intro), F.lit(rf"(?:^|{comma})\s*(?:{said}:?\s*)?({body})"), F.lit(1))
     each = F.transform(F.concat(own, told), lambda k: prefixes(tokens(k), 2, 8))
     return F.array_distinct(F.transform(F.flatten(each), lambda p: p["key"]))

@@ -87,11 +87,11 @@ def number_words(c, values: dict[str, int] | None = None, conjunction: str = "و
     return F.when((F.size(known) > 0) & (F.size(known) >= F.greatest(F.lit(1), F.size(toks) - 1)), total)
 
 
-def class_ordinal(c, ordinals: dict[str, int] | None = None) -> Column:
+def class_ordinal(c, ordinals: dict[str, int] | None = None,
+                  lead: str = r"(?:من\s+(?:رؤوس\s+)?(?:الطبقة\s+)?|الطبقة\s+)") -> Column:
     """Generation class named after "from [the class]"."""
     ordinals = {_plain(k, True): v for k, v in (ordinals or lx.CLASS_ORDINALS).items()}
     table = F.create_map(*[F.lit(x) for kv in ordinals.items() for x in kv])
-    lead = r"(?:من\s+(?:رؤوس\s+)?(?:الطبقة\s+)?|الطبقة\s+)"
     words = lx.any_of(ordinals, vocal=False)
     hit = F.regexp_extract(normalize(c, LIGHT), lead + f"({words})", 1)
     return table[F.nullif(hit, F.lit(""))]

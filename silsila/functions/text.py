@@ -84,9 +84,9 @@ def normalize(c, profile: Profile = PLAIN) -> Column:
     return out
 
 
-def kunya_normalize(c) -> Column:
+def kunya_normalize(c, genitive: str = "ابي", base: str = "ابو") -> Column:
     """Kinship profile with the genitive kunya word turned into its base form."""
-    return swap_token(normalize(c, KINSHIP), "ابي", "ابو")
+    return swap_token(normalize(c, KINSHIP), genitive, base)
 
 
 def apply_rules(c, rules) -> Column:

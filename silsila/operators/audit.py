@@ -43,6 +43,17 @@ def extraction_report(records: DataFrame, chains: DataFrame, book: str, kind: st
     return by_type.join(found, book, "left").withColumn("chains", F.coalesce("chains", F.lit(0)))
 
 
+def boundary_report(chains: DataFrame) -> DataFrame:
+    """Chains per boundary method with their flagged counts."""
+    return chains.groupBy("boundary_method").agg(
+        F.count(F.lit(1)).alias("chains"), F.sum("needs_extension_review").alias("extension_review"), F.sum("needs_review").alias("flagged"))
+
+
+def flag_report(cards: DataFrame, by: str, flags: list[str]) -> DataFrame:
+    """Cards per class with the number that carry each 0/1 flag."""
+    return cards.groupBy(by).agg(F.count(F.lit(1)).alias("cards"), *[F.sum(f).alias(f) for f in flags])
+
+
 def support_thresholds(edges: DataFrame, count: str = "distinct_chain_count", levels=(2, 5), named: str = "named_candidate") -> DataFrame:
     """Edge patterns in all and with at least so many distinct chains (named to named only)."""
     both = (F.col("from_type") == named) & (F.col("to_type") == named)

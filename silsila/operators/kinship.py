@@ -14,14 +14,15 @@ from silsila.operators.resolve import best_two
 from silsila.plans.session import checkpointed
 
 
-def kin_tokens(c, kind, tokens=lx.KIN_TOKENS, relational: str = "relational_or_unknown"):
+def kin_tokens(c, kind, tokens=lx.KIN_TOKENS, relational: str = "relational_or_unknown",
+               cuts=lx.RELATIVE_CUTS):
     """(token, explicit relative text): the bare token of a relational mention, or the token
     that opens a longer expression together with what follows it."""
     c = F.col(c) if isinstance(c, str) else c
     kind = F.col(kind) if isinstance(kind, str) else kind
     lead = "^(" + "|".join(lx.quote(t) for t in tokens) + ") (.+)$"
     token = F.when((kind == relational) & c.isin(*tokens), c).otherwise(F.nullif(F.regexp_extract(c, lead, 1), F.lit("")))
-    return token, cut_at_words(F.regexp_extract(c, lead, 2), lx.RELATIVE_CUTS)
+    return token, cut_at_words(F.regexp_extract(c, lead, 2), cuts)
 
 
 def label_matches(labels: DataFrame, entries: DataFrame, kunya_index: DataFrame, kunya=("ابي", "ابو")) -> DataFrame:

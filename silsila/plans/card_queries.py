@@ -358,6 +358,9 @@ links AS (SELECT *, CASE WHEN chron LIKE 'conflict%' THEN 'chronology_conflict'
    coalesce(nullif(concat_ws(';', CASE WHEN sg <> 'thiqa' THEN 'student:' || sg END, CASE WHEN tg <> 'thiqa' THEN 'teacher:' || tg END), ''), 'none') AS weak FROM lk)"""
 
 
+_ALL_CARDS = "ac AS (SELECT * FROM cd)"
+
+
 @query("edge_analysis", f"""
 WITH {LINES}, {_LINKS} SELECT c AS chain_id, q1 AS from_sequence, student, teacher, rep AS reported_status, observed AS observed_count, chron AS chronology_status,
        tad AS tadlis_warning, weak AS weakness, status AS continuity_status FROM links""")
@@ -459,6 +462,29 @@ def extraction_report(spark, d):
     return AU.extraction_report(records, chains, "book", "record_type", ["hadith", "report", "other"])
 
 
+@query("boundary_report", f"""
+SELECT boundary_method, count(*) AS chains, sum(needs_extension_review)::BIGINT AS extension_review, sum(needs_review)::BIGINT AS flagged
+FROM ({ORACLES["boundary_extract"]}) GROUP BY 1""")
+def boundary_report(spark, d):
+    return AU.boundary_report(E.extract_chains(documents(spark, d).select("doc_id", "text"), "text", PROSE))
+
+
+@query("grade_report", f"""
+WITH g AS ({ORACLES["grade_rules"]})
+SELECT grade, count(*) AS cards, sum(has_first)::BIGINT AS has_first, sum(has_second)::BIGINT AS has_second FROM g GROUP BY 1""")
+def grade_report(spark, d):
+    return AU.flag_report(grade_rules(spark, d), "grade", ["has_first", "has_second"])
+
+
+@query("evidence_documents", f"""
+WITH {LINES}, {_LINKS}, {_ALL_CARDS} SELECT DISTINCT student, teacher, '{{' || CASE WHEN rep IS NOT NULL THEN '"reported_status":"' || rep || '",' ELSE '' END || '"observed_count":' || observed
+  || ',"student_grade":"' || sg || '","teacher_grade":"' || tg || '","student_tabaqa":' || a.tab || ',"teacher_tabaqa":' || b.tab || ',"student_birth_year":' || a.b || ',"teacher_birth_year":' || b.b
+  || ',"student_death_year":' || a.d || ',"teacher_death_year":' || b.d || '}}' AS evidence_json
+FROM links JOIN ac a ON a.e = student JOIN ac b ON b.e = teacher""")
+def evidence_documents(spark, d):
+    return line_links(spark, d).select("student", "teacher", AN.evidence_json().alias("evidence_json")).distinct()
+
+
 @query("status_report", f"""
 WITH {LINES}, {_LINKS}
 SELECT 'links' AS layer, status, count(*) AS n FROM links GROUP BY 2

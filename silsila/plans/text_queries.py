@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from silsila.functions import text as T
 from silsila.operators import blocking as B
 from silsila.operators import evidence as EV
 from silsila.operators import extract as E
+from silsila.operators import kinship as KIN
 from silsila.plans.bindings import PROSE, documents, table
 from silsila.plans.registry import query
 from silsila.sources import manifest as MF
@@ -314,7 +317,7 @@ def prefix_index(spark, d):
 @query("phrase_clean", r"""
 WITH t AS (SELECT doc_id, trim(text, ' ،؛;:.()-') AS t FROM documents),
 c AS (SELECT doc_id, trim(regexp_replace(t, '(?s)[.!,].*$', ''), ' ،؛;:.()-') AS phrase,
-      regexp_extract(t, '(?s)^(.*?)(?:[^\p{L}\p{M}\p{N}_](?:the|and|et)(?:[^\p{L}\p{M}\p{N}_]|$)|$)', 1) AS head FROM t)
+      regexp_extract(t, '(?s)^(.*?)(?:(?:^|[^\p{L}\p{M}\p{N}_])(?:the|and|et)(?:[^\p{L}\p{M}\p{N}_]|$)|$)', 1) AS head FROM t)
 SELECT doc_id, phrase, sha256(trim(regexp_replace(head, '(?s)[.;].*$', ''), ' ،؛;:.()-')) AS head_sha256 FROM c""")
 def phrase_clean(spark, d):
     return documents(spark, d).select(
@@ -401,3 +404,106 @@ def number_words(spark, d):
     segs = documents(spark, d).select("doc_id", F.posexplode(F.split("text", ",")).alias("i", "raw"))
     total = R.number_words("raw", {"the": 1, "of": 20, "de": 20, "and": 300}, conjunction="", drop=())
     return segs.select("doc_id", (F.col("i") + 1).alias("segment_no"), total.alias("total")).filter(F.col("total").isNotNull())
+
+
+# -- single rules over sentences -----------------------------------------------------------------
+
+_SENTENCES = "s AS (SELECT doc_id, unnest(string_split(text, '.')) AS raw, generate_subscripts(string_split(text, '.'), 1) AS k FROM documents)"
+
+
+def sentences(spark: SparkSession, d: str) -> DataFrame:
+    rows = documents(spark, d).select("doc_id", F.posexplode(F.split("text", r"\.")).alias("i", "raw"))
+    return rows.select("doc_id", (F.col("i") + 1).alias("sentence_no"), "raw")
+
+
+@query("continuations", rf"""
+WITH {_SENTENCES} SELECT doc_id, k::INT AS sentence_no, regexp_matches(trim(raw, ' .,،؛;:-'), '^(in|is)')::INT AS continues FROM s WHERE raw <> ''""")
+def continuations(spark, d):
+    return sentences(spark, d).filter("raw <> ''").select("doc_id", "sentence_no", E.is_continuation("raw", PROSE).cast("int").alias("continues"))
+
+
+@query("class_ordinals", rf"""
+WITH {_SENTENCES}, n AS (SELECT doc_id, k, regexp_extract(trim(regexp_replace(raw, '\s+', ' ', 'g')), '(?:in|of)\s+(the|that|is)', 1) AS w FROM s)
+SELECT doc_id, k::INT AS sentence_no, CASE w WHEN 'the' THEN 1 WHEN 'that' THEN 2 ELSE 3 END AS ordinal FROM n WHERE w <> ''""")
+def class_ordinals(spark, d):
+    found = R.class_ordinal("raw", {"the": 1, "that": 2, "is": 3}, r"(?:in|of)\s+")
+    return sentences(spark, d).select("doc_id", "sentence_no", found.alias("ordinal")).filter("ordinal IS NOT NULL")
+
+
+@query("name_eligibility", rf"""
+WITH {_SENTENCES}, t AS (SELECT doc_id, k, list_filter(string_split({plain("raw")}, ' '), lambda x: x <> '') AS t FROM s)
+SELECT doc_id, k::INT AS sentence_no, t[1] || ' ' || t[2] AS head,
+       CASE WHEN len(list_filter(t, lambda x: x NOT IN ('a', 'un'))) >= 3 THEN array_to_string(list_filter(t, lambda x: x NOT IN ('a', 'un'))[1:5], ' ') END AS source_key
+FROM t WHERE len(t) >= 3 AND t[1] NOT IN ('The', 'La') AND t[2] IN ('of', 'de', 'the')""")
+def name_eligibility(spark, d):
+    rows = sentences(spark, d).withColumn("n", T.normalize("raw"))
+    keep = K.lineage_eligible("n", "of", ("The", "La")) | K.lineage_eligible("n", "de", ("The", "La")) | K.lineage_eligible("n", "the", ("The", "La"))
+    return rows.filter(keep).select("doc_id", "sentence_no", F.substring_index("n", " ", 2).alias("head"), K.source_key("n", ("a", "un")).alias("source_key"))
+
+
+@query("kin_tokens", rf"""
+WITH {_SENTENCES}, n AS (SELECT doc_id, k, {plain("raw")} AS n FROM s),
+t AS (SELECT doc_id, k, regexp_extract(n, '^(The|Of|La) (.+)$', 1) AS token, regexp_extract(n, '^(The|Of|La) (.+)$', 2) AS rest FROM n),
+c AS (SELECT *, regexp_extract(trim(rest, ' ،؛;:.()-'), '(?s)^(.*?)(?:(?:^|[^\p{{L}}\p{{M}}\p{{N}}_])(?:and|et)(?:[^\p{{L}}\p{{M}}\p{{N}}_]|$)|$)', 1) AS head FROM t)
+SELECT doc_id, k::INT AS sentence_no, token, trim(regexp_replace(head, '(?s)[.؛;:\[].*$', ''), ' ،؛;:.()-') AS label FROM c WHERE token <> ''""")
+def kin_tokens(spark, d):
+    token, label = KIN.kin_tokens("n", F.lit("named_candidate"), ("The", "Of", "La"), cuts=("and", "et"))
+    rows = sentences(spark, d).withColumn("n", T.normalize("raw"))
+    return rows.select("doc_id", "sentence_no", token.alias("token"), label.alias("label")).filter("token IS NOT NULL")
+
+
+@query("embedded_mentions", r"""
+WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?:^|[^\p{L}\p{N}_])for\s+(.{2,120}?)\s+(the|and)(?:,|$)', 1)) AS raw,
+           unnest(regexp_extract_all(text, '(?:^|[^\p{L}\p{N}_])for\s+(.{2,120}?)\s+(the|and)(?:,|$)', 2)) AS verb FROM documents),
+n AS (SELECT doc_id, 'embedded_' || verb AS transmission_term, trim(regexp_replace(trim(regexp_replace(raw, '(?s)[.!,].*$', ''), ' ،؛;:.()-'), '\s+', ' ', 'g'), ' ،؛;:.()-') AS normalized_name FROM m)
+SELECT doc_id, transmission_term, normalized_name, count(*) AS mentions FROM n WHERE normalized_name <> '' GROUP BY 1, 2, 3""")
+def embedded_mentions(spark, d):
+    g = replace(PROSE, embedded_leads=("for",), embedded_verbs=("the", "and"))
+    found = E.extract_mentions(documents(spark, d), "doc_id", "text", g, route=None).filter(F.col("transmission_term").startswith("embedded_"))
+    return found.groupBy("doc_id", "transmission_term", "normalized_name").agg(F.count(F.lit(1)).alias("mentions"))
+
+
+@query("own_kunyas", """
+WITH p AS (SELECT p_partkey, string_split(p_name, ' ') AS t, p_name, p_brand FROM part),
+a AS (SELECT p_partkey, array_to_string(t[1:2], ' ') AS key FROM p WHERE t[1] IN ('red', 'blue') UNION SELECT p_partkey, 'red ' || t[2] FROM p UNION SELECT p_partkey, 'red ' || t[2] || ' ' || t[1] FROM p)
+SELECT DISTINCT p_partkey, key FROM (SELECT p_partkey, key FROM a WHERE starts_with(key, 'red '))""")
+def own_kunyas(spark, d):
+    """The first kunya of the name and every kunya introduced after a comma."""
+    intro = F.concat(F.lit("of brand, red "), F.substring_index("p_name", " ", -1), F.lit(" "), F.substring_index("p_name", " ", 1))
+    rows = table(spark, d, "part").select("p_partkey", F.explode(K.own_kunya("p_name", intro, "a-z", "red", "called", ",")).alias("key"))
+    return rows.distinct()
+
+
+@query("heading_filter", rf"""
+WITH {_SENTENCES}, n AS (SELECT doc_id, k, {SQL_HEAD.format(c="raw")} AS h FROM s)
+SELECT doc_id, k::INT AS sentence_no, h AS heading FROM n WHERE length(h) BETWEEN 5 AND 60 AND NOT regexp_matches(h, '^(The|La)')
+  AND (contains(' ' || h || ' ', ' of ') OR starts_with(h, 'In ') OR starts_with(h, 'On '))""")
+def heading_filter(spark, d):
+    rows = sentences(spark, d).withColumn("heading", T.normalize("raw", T.HEADINGS))
+    return rows.filter(PG.heading_allowed("raw", 5, 60, ("The", "La"), "of", ("In ", "On "))).select("doc_id", "sentence_no", "heading")
+
+
+@query("note_strip", rf"""
+WITH {_SENTENCES}, a AS (SELECT doc_id, k, regexp_replace(trim(raw, ' '), '(?s)\s+(and|et)\s+.*$', '') AS a FROM s),
+b AS (SELECT doc_id, k, trim(regexp_replace(a, '\s+(the|is|of)\s*$', ''), ' ،؛;:.()-') AS name FROM a)
+SELECT doc_id, k::INT AS sentence_no, name, {SQL_PLAIN.format(c=r"regexp_replace(name, '\([^)]{0,40}\)', ' ', 'g')")} AS kunya_norm FROM b WHERE name <> ''""")
+def note_strip(spark, d):
+    g = replace(PROSE, note_rules=((r"(?s)\s+(?:and|et)\s+.*$", ""), (r"\s+(?:the|is|of)\s*$", "")))
+    rows = T.staged(sentences(spark, d), name=T.strip_notes("raw", g)).filter("name <> ''")
+    return rows.select("doc_id", "sentence_no", "name", T.kunya_normalize("name").alias("kunya_norm"))
+
+
+#: Pages whose h1 opens an entry; what precedes the h1 belongs to the entry still open.
+TITLE_PAGES = PG.PageLayout(page=None, noise=WEB_PAGES.noise, layers=WEB_PAGES.layers, markers=(PG.element("h1"),), marker_text=r"(?s)^\s*(.+?)\s*$")
+
+
+@query("titled_entries", f"""
+WITH m AS (SELECT page_id, split_part(split_part(url, '://', 2), '/', 1) AS host,
+   {_sql_plain("regexp_replace(" + _sql_strip("html", _NOISE + _BLOCKS) + r", '(?is)<h1\b(?:\s[^>]*)?>(.*?)</h1\s*>', chr(1) || '\1' || chr(2), 'g')")} AS t FROM pages),
+p AS (SELECT page_id, host, trim(split_part(t, chr(1), 1)) AS lead, trim(split_part(split_part(t, chr(1), 2), chr(2), 1)) AS title, trim(split_part(t, chr(2), 2)) AS body FROM m),
+w AS (SELECT *, lead(lead) OVER (PARTITION BY host ORDER BY page_id) AS tail FROM p)
+SELECT host, page_id AS entry_order, title, sha256(CASE WHEN coalesce(tail, '') <> '' THEN concat_ws(' ', nullif(body, ''), tail) ELSE body END) AS body_sha256 FROM w WHERE title <> ''""")
+def titled_entries(spark, d):
+    pages = PG.split_pages(table(spark, d, "pages").withColumn("host", F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1))), "html", TITLE_PAGES)
+    bodies = PG.entry_bodies(PG.entry_parts(pages, "host", "page_id", layout=TITLE_PAGES), "host")
+    return bodies.select("host", "entry_order", F.col("number").alias("title"), F.sha2("body", 256).alias("body_sha256"))

@@ -57,8 +57,9 @@ def compare(df, con, sql: str) -> tuple[bool, str]:
     a, b = _rows(df.columns, got), _rows(want_cols, want)
     if a == b:
         return True, f"{len(a)} rows"
-    only_a = [r for r in a if r not in set(b)][:3]
-    only_b = [r for r in b if r not in set(a)][:3]
+    set_a, set_b = set(a), set(b)
+    only_a = [r for r in a if r not in set_b][:3]
+    only_b = [r for r in b if r not in set_a][:3]
     return False, f"{len(a)} vs {len(b)} rows\n   spark: {str(only_a)[:1500]}\n   duck:  {str(only_b)[:1500]}"
 
 
