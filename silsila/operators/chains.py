@@ -31,13 +31,14 @@ def guarded_neighbours(occ: DataFrame, payload: list[str], sides=("prev", "next"
     A neighbour counts only when its sequence number differs by exactly one and it is a
     singleton itself; else its columns are NULL (``has_prev`` / ``has_next`` tell).
     """
-    shifts = {"self": 0, "prev": 1, "next": -1}
-    offers = F.array(*[
-        F.struct((F.col("sequence_index") + shifts[s]).alias("seq"), F.lit(s).alias("side")) for s in ("self", *sides)])
-    offered = occ.select(*CHAIN, *payload, F.explode(offers).alias("o")).select(
-        *CHAIN, F.col("o.seq").alias("sequence_index"), F.col("o.side").alias("__side"), *payload)
-    counts = [F.count(F.when(F.col("__side") == s, 1)).alias(f"__n_{s}") for s in ("self", *sides)]
-    values = [F.min(F.when(F.col("__side") == s, F.col(c))).alias(f"__{s}_{c}") for s in ("self", *sides) for c in payload]
+    # an occurrence is its own, the previous of the position after it, the next of the one before
+    shift = {"self": 0, "prev": 1, "next": -1}
+    places = ("self", *sides)
+    offered = occ.select(*CHAIN, "sequence_index", *payload, F.explode(F.array(*[F.lit(shift[p]) for p in places])).alias("__shift"))
+    offered = offered.withColumn("sequence_index", F.col("sequence_index") + F.col("__shift"))
+    from_ = {p: F.col("__shift") == shift[p] for p in places}
+    counts = [F.count(F.when(from_[p], 1)).alias(f"__n_{p}") for p in places]
+    values = [F.min(F.when(from_[p], F.col(c))).alias(f"__{p}_{c}") for p in places for c in payload]
     met = offered.groupBy(*POSITION).agg(*counts, *values).filter(F.col("__n_self") == 1)
     out = [F.col(f"__self_{c}").alias(c) for c in payload]
     for s in sides:

@@ -15,6 +15,7 @@ from silsila.operators import relations as RL
 from silsila.operators import resolve as RS
 from silsila.plans.bindings import LINES, documents, flagged_pairs, line_nodes, named_line_nodes, supplier_index, supplier_years, table
 from silsila.plans.registry import query
+from silsila.plans.session import checkpointed
 from silsila.sources.tables import upgrade_status, upsert
 
 # -- positions and neighbours -------------------------------------------------------------
@@ -251,7 +252,8 @@ def unresolved_anti(spark, d):
 
 
 def open_lines(spark: SparkSession, d: str) -> DataFrame:
-    return RS.open_positions(named_line_nodes(spark, d))
+    """Unresolved positions. The rules read them several times, so they are written once."""
+    return checkpointed(RS.open_positions(named_line_nodes(spark, d)))
 
 
 def supplier_relations(spark: SparkSession, d: str) -> DataFrame:
@@ -260,7 +262,7 @@ def supplier_relations(spark: SparkSession, d: str) -> DataFrame:
 
 def _graph(spark, d, passes):
     judge = RS.judge_graph(RS.plain_index(supplier_index(spark, d)), supplier_relations(spark, d))
-    found = RS.neighbour_passes(open_lines(spark, d), judge, passes)
+    found = RS.neighbour_passes(RS.open_positions(named_line_nodes(spark, d)), judge, passes)
     return found.select("chain_id", "sequence_index", "entity", "score", "pass_no")
 
 
@@ -330,7 +332,7 @@ SELECT c AS chain_id, q AS sequence_index, n AS candidate_count, candidate AS to
 FROM rk WHERE rn = 1""")
 def queue_recommendation(spark, d):
     opened, index, years = open_lines(spark, d), supplier_index(spark, d), supplier_spans(spark, d)
-    rows = RS.queue_candidates(opened, index, supplier_relations(spark, d), years)
+    rows = checkpointed(RS.queue_candidates(opened, index, supplier_relations(spark, d), years))
     out = RS.queue_summary(opened, rows, index, years)
     return out.select("chain_id", "sequence_index", "candidate_count", "top_entity", "top_score", "runner_up_score", "top_is_unique", "recommendation")
 
@@ -339,7 +341,7 @@ def supplier_lists(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """(students, teachers): list texts per supplier card from the A lines, one row per entry."""
     names = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     names = names.select(F.col("s_suppkey").alias("node"), F.concat_ws(" ", "s_name", "n_name").alias("text"))
-    pairs = flagged_pairs(spark, d, 1)
+    pairs = checkpointed(flagged_pairs(spark, d, 1))   # feeds two to four lookups
     students = pairs.select(F.col("teacher").alias("card"), F.col("student").alias("node")).join(names, "node")
     teachers = pairs.select(F.col("student").alias("card"), F.col("teacher").alias("node")).join(names, "node")
     return students.select("card", "text"), teachers.select("card", "text")
@@ -451,7 +453,7 @@ def specific_context(spark, d):
     names = cards.select("entity", "name")
     index = B.name_index(cards, names, lineage="of", kunya="abu", max_tokens=2).withColumnRenamed("entity", "candidate")
     nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("name"), F.col("n_name"))
-    opened = open_lines(spark, d).join(nation, "name").drop("name").withColumnRenamed("n_name", "name")
+    opened = RS.open_positions(named_line_nodes(spark, d)).join(nation, "name").drop("name").withColumnRenamed("n_name", "name")
     prev, nxt = card_edges(spark, d)
     found = RS.neighbour_passes(opened, RS.judge_specific(index, prev, nxt), 6)
     return found.select("chain_id", "sequence_index", "entity", "method", "score", "pass_no")
