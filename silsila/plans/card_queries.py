@@ -50,9 +50,9 @@ def entry_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("summary_cards", rf"""
-WITH a AS (SELECT doc_id AS anchor, split_part(text, '.', 1) AS nm FROM documents WHERE lang <> 'en'),
+WITH a AS (SELECT doc_id AS anchor, split_part(text, '.', 1) AS nm FROM documents),
 ant AS (SELECT anchor, list_filter(string_split(trim(regexp_replace(nm, '\s+', ' ', 'g'), ' ،؛;:.-'), ' '), lambda x: x <> '') AS t FROM a),
-st AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(text, '\s+', ' ', 'g'), ' ،؛;:.-'), ' '), lambda x: x <> '') AS t FROM documents WHERE lang <> 'en'),
+st AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(text, '\s+', ' ', 'g'), ' ،؛;:.-'), ' '), lambda x: x <> '') AS t FROM documents),
 k AS (SELECT DISTINCT doc_id, l, array_to_string(t[1:l], ' ') AS key FROM (SELECT doc_id, t, unnest(range(2, least(7, len(t)) + 1)) AS l FROM st)),
 p AS (SELECT anchor, l, array_to_string(t[1:l], ' ') AS key FROM (SELECT anchor, t, unnest(range(2, least(6, len(t)) + 1)) AS l FROM ant)),
 b AS (SELECT anchor, p.l, min(doc_id) AS s, count(DISTINCT doc_id) AS n FROM p JOIN k USING (key) GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY p.l DESC) = 1),
@@ -62,7 +62,7 @@ x AS (SELECT anchor, s, list_filter(list_transform(regexp_extract_all(coalesce(t
 u AS (SELECT anchor, s, list_filter(ph, lambda m, i: list_position(ph, m) = i) AS ph FROM x)
 SELECT anchor, s AS summary_no, array_to_string(ph[1:3], ' | ') AS death_text, CASE WHEN s IS NULL THEN 'entry_only' ELSE 'entry+summary' END AS card_status FROM u""")
 def summary_cards(spark, d):
-    docs = documents(spark, d).filter("lang <> 'en'")
+    docs = documents(spark, d)
     anchors = docs.select(F.col("doc_id").alias("anchor"), F.col("doc_id").alias("entry_id"), F.substring_index("text", ".", 1).alias("canonical_name"))
     entries = docs.select(F.col("doc_id").alias("entry_id"), "source")
     summaries = docs.select(F.col("doc_id").alias("summary_no"), F.lit("").alias("summary_page"), F.col("text").alias("summary_text"))
@@ -71,15 +71,14 @@ def summary_cards(spark, d):
 
 @query("alias_table", rf"""
 WITH a AS (SELECT p_partkey AS anchor, p_name AS alias_norm, 'canonical' AS alias_type FROM part
-  UNION ALL SELECT p_partkey, p_brand || ' ' || p_name, 'source_heading' FROM part WHERE p_size > 25
-  UNION ALL SELECT p_partkey, p_brand, 'source_heading' FROM part WHERE p_size > 25 AND contains(p_brand, ' '))
+  UNION ALL SELECT p_partkey, p_brand || ' ' || p_name, 'source_heading' FROM part
+  UNION ALL SELECT p_partkey, p_brand, 'source_heading' FROM part WHERE contains(p_brand, ' '))
 SELECT DISTINCT anchor, alias_type, alias_norm FROM a""")
 def alias_table(spark, d):
     part = table(spark, d, "part")
     anchors = part.select(F.col("p_partkey").alias("anchor"), F.col("p_name").alias("canonical_name"))
-    big = part.filter("p_size > 25")
-    heads = big.select(F.col("p_partkey").alias("anchor"), F.lit("a").alias("source"), F.col("p_partkey").cast("string").alias("entry_id"), F.concat_ws(" ", "p_brand", "p_name").alias("heading")).unionByName(
-        big.select(F.col("p_partkey").alias("anchor"), F.lit("b").alias("source"), F.col("p_partkey").cast("string").alias("entry_id"), F.col("p_brand").alias("heading")))
+    heads = part.select(F.col("p_partkey").alias("anchor"), F.lit("a").alias("source"), F.col("p_partkey").cast("string").alias("entry_id"), F.concat_ws(" ", "p_brand", "p_name").alias("heading")).unionByName(
+        part.select(F.col("p_partkey").alias("anchor"), F.lit("b").alias("source"), F.col("p_partkey").cast("string").alias("entry_id"), F.col("p_brand").alias("heading")))
     return CD.alias_table(anchors, heads).select("anchor", "alias_type", "alias_norm")
 
 
@@ -135,11 +134,11 @@ def card_relationship_text(spark, d):
 
 @query("card_anchor_links", """
 WITH one AS (SELECT p_size * 100000 + floor(p_retailprice)::BIGINT AS entry_no, min(p_partkey) AS card_id FROM part GROUP BY 1 HAVING count(*) = 1)
-SELECT card_id, min(l) AS anchor FROM (SELECT p_partkey AS l, p_size * 100000 + floor(p_retailprice)::BIGINT AS entry_no FROM part WHERE p_size > 10) JOIN one USING (entry_no) GROUP BY 1""")
+SELECT card_id, min(l) AS anchor FROM (SELECT p_partkey AS l, p_size * 100000 + floor(p_retailprice)::BIGINT AS entry_no FROM part) JOIN one USING (entry_no) GROUP BY 1""")
 def card_anchor_links(spark, d):
     no = (F.col("p_size") * 100000 + F.floor("p_retailprice")).cast("long").alias("entry_no")
     part = table(spark, d, "part")
-    return CD.anchor_links(part.filter("p_size > 10").select(F.col("p_partkey").alias("anchor"), no), part.select(F.col("p_partkey").alias("card_id"), no))
+    return CD.anchor_links(part.select(F.col("p_partkey").alias("anchor"), no), part.select(F.col("p_partkey").alias("card_id"), no))
 
 
 def _sup_cards(spark: SparkSession, d: str) -> DataFrame:
@@ -275,7 +274,7 @@ def grade_rules(spark, d):
 @query("secondary_match", """
 WITH e AS (SELECT p_type AS source, p_partkey AS entry_id, string_split(CASE WHEN p_size % 3 = 0 THEN p_name ELSE p_name || ' ' || p_brand || ' ' || p_size END, ' ') AS t FROM part),
 k AS (SELECT source, entry_id, l, len(t) AS size, array_to_string(t[1:l], ' ') AS key FROM (SELECT source, entry_id, t, unnest(range(2, least(7, len(t)) + 1)) AS l FROM e)),
-a AS (SELECT p_partkey AS anchor, string_split(CASE WHEN p_size % 4 = 0 THEN p_name ELSE p_name || ' ' || p_brand END, ' ') AS t FROM part WHERE p_size > 20),
+a AS (SELECT p_partkey AS anchor, string_split(CASE WHEN p_size % 4 = 0 THEN p_name ELSE p_name || ' ' || p_brand END, ' ') AS t FROM part),
 p AS (SELECT anchor, l, len(t) AS psize, array_to_string(t[1:l], ' ') AS key FROM (SELECT anchor, t, unnest(range(2, least(6, len(t)) + 1)) AS l FROM a)),
 b AS (SELECT anchor, source, p.l, min(entry_id) AS entry_id, count(DISTINCT entry_id) AS n FROM p JOIN k USING (key) WHERE p.l >= 3 OR psize = p.l OR size = p.l
       GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY anchor, source ORDER BY p.l DESC) = 1)
@@ -289,7 +288,7 @@ def _secondary(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     heading = F.when(F.col("p_size") % 3 == 0, F.col("p_name")).otherwise(F.concat_ws(" ", "p_name", "p_brand", "p_size"))
     entries = part.select(F.col("p_type").alias("source"), F.col("p_partkey").alias("entry_id"), heading.alias("heading_norm"))
     name = F.when(F.col("p_size") % 4 == 0, F.col("p_name")).otherwise(F.concat_ws(" ", "p_name", "p_brand"))
-    return part.filter("p_size > 20").select(F.col("p_partkey").alias("anchor"), name.alias("name_norm")), entries
+    return part.select(F.col("p_partkey").alias("anchor"), name.alias("name_norm")), entries
 
 
 @query("secondary_evidence", r"""
@@ -429,17 +428,22 @@ def relation_coverage(spark, d):
     return AU.relation_coverage(C.resolved_pairs(line_nodes(spark, d)), reported_pairs(spark, d))
 
 
-@query("label_coverage", """
-SELECT count(*) AS occurrences, count(*) FILTER (WHERE p_name IN (SELECT p_name FROM part WHERE p_size > 48))::BIGINT AS covered FROM part""")
+@query("label_coverage", rf"""
+WITH o AS (SELECT {plain("raw")} AS name FROM (SELECT unnest(string_split(text, ',')) AS raw FROM documents)),
+l AS (SELECT DISTINCT {plain("raw")} AS name FROM (SELECT unnest(string_split(text, ',')) AS raw FROM benchmark))
+SELECT count(*) AS occurrences, count(*) FILTER (WHERE name IN (SELECT name FROM l)) AS covered FROM o""")
 def label_coverage(spark, d):
-    part = table(spark, d, "part")
-    return AU.label_coverage(part.select("p_name"), "p_name", part.filter("p_size > 48"), "p_name")
+    """Clauses of the documents that are also clauses of the benchmark passages."""
+    clauses = F.explode(F.split("text", ",")).alias("raw")
+    occ = documents(spark, d).select(clauses).select(T.normalize("raw").alias("name"))
+    known = table(spark, d, "benchmark").select(clauses).select(T.normalize("raw").alias("name"))
+    return AU.label_coverage(occ, "name", known, "name")
 
 
 @query("source_coverage", """
 WITH e AS (SELECT p_type AS source, p_partkey AS entry_id, string_split(CASE WHEN p_size % 3 = 0 THEN p_name ELSE p_name || ' ' || p_brand || ' ' || p_size END, ' ') AS t FROM part),
 k AS (SELECT source, entry_id, l, len(t) AS size, array_to_string(t[1:l], ' ') AS key FROM (SELECT source, entry_id, t, unnest(range(2, least(7, len(t)) + 1)) AS l FROM e)),
-a AS (SELECT p_partkey AS anchor, string_split(CASE WHEN p_size % 4 = 0 THEN p_name ELSE p_name || ' ' || p_brand END, ' ') AS t FROM part WHERE p_size > 20),
+a AS (SELECT p_partkey AS anchor, string_split(CASE WHEN p_size % 4 = 0 THEN p_name ELSE p_name || ' ' || p_brand END, ' ') AS t FROM part),
 p AS (SELECT anchor, l, len(t) AS psize, array_to_string(t[1:l], ' ') AS key FROM (SELECT anchor, t, unnest(range(2, least(6, len(t)) + 1)) AS l FROM a)),
 b AS (SELECT anchor, source, p.l, count(DISTINCT entry_id) AS n FROM p JOIN k USING (key) WHERE p.l >= 3 OR psize = p.l OR size = p.l
       GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY anchor, source ORDER BY p.l DESC) = 1)

@@ -166,15 +166,19 @@ def reported_lists(spark, d):
 
 
 @query("unique_prefix_join", rf"""
-WITH t AS (SELECT doc_id, list_filter(string_split({_SEG.format(c="text")}, ' '), lambda x: x <> '') AS t FROM documents),
-k AS (SELECT DISTINCT doc_id, array_to_string(t[1:l], ' ') AS key FROM (SELECT doc_id, t, unnest(range(3, least(8, len(t)) + 1)) AS l FROM t)),
+WITH t AS (SELECT doc_id, list_filter(string_split({_SEG.format(c="split_part(text, '.', 1)")}, ' '), lambda x: x <> '') AS t,
+      {_SEG.format(c="split_part(split_part(text, '.', 1), ',', 1)")} AS name FROM documents),
+k AS (SELECT DISTINCT doc_id, array_to_string(t[1:l], ' ') AS key FROM (SELECT doc_id, t, unnest(range(3, len(t) + 1)) AS l FROM t)),
 u AS (SELECT key, min(doc_id) AS ent FROM k GROUP BY key HAVING count(DISTINCT doc_id) = 1)
-SELECT doc_id, ent AS entity, array_to_string(t[1:4], ' ') AS name, 1.0::DOUBLE AS score FROM t JOIN u ON key = array_to_string(t[1:4], ' ')""")
+SELECT doc_id, ent AS entity, name, 1.0::DOUBLE AS score FROM t JOIN u ON key = name WHERE len(string_split(name, ' ')) >= 3""")
 def unique_prefix_join(spark, d):
-    docs = documents(spark, d).select("doc_id", T.normalize("text").alias("n"))
-    index = B.prefix_index(docs, "doc_id", "n", 3, 8)
-    occ = docs.select("doc_id", F.substring_index("n", " ", 4).alias("name"))
-    return RS.resolve_unique_names(occ, index.select("key", "entity")).select("doc_id", "entity", "name", "score")
+    """First sentences as entry names, first clauses as the names to resolve."""
+    docs = documents(spark, d)
+    entries = docs.select("doc_id", T.normalize(F.substring_index("text", ".", 1)).alias("n"))
+    index = B.prefix_index(entries, "doc_id", "n", 3, None)
+    occ = docs.select("doc_id", T.normalize(F.substring_index(F.substring_index("text", ".", 1), ",", 1)).alias("name"))
+    named = occ.filter(F.size(K.tokens("name")) >= 3)
+    return RS.resolve_unique_names(named, index.select("key", "entity")).select("doc_id", "entity", "name", "score")
 
 
 _LPM = """
@@ -215,21 +219,20 @@ def compatible_prefix_join(spark, d):
 
 @query("name_match_or", """
 WITH e AS (SELECT p_partkey AS entity, p_brand AS s, p_name AS l FROM part),
-n AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT DISTINCT p_brand FROM part WHERE p_size > 45),
+n AS (SELECT DISTINCT p_name AS name FROM part UNION SELECT DISTINCT p_brand FROM part),
 h AS (SELECT name, entity, CASE WHEN s = name THEN 'exact_short' ELSE 'exact_long' END AS match_method FROM n JOIN e ON s = name OR l = name)
 SELECT name, entity, match_method, CASE WHEN count(*) OVER (PARTITION BY name) = 1 THEN 'unique_exact' ELSE 'ambiguous_exact' END AS match_status FROM h""")
 def name_match_or(spark, d):
     part = table(spark, d, "part")
-    names = part.select(F.col("p_name").alias("normalized_name")).unionByName(part.filter("p_size > 45").select(F.col("p_brand").alias("normalized_name")))
+    names = part.select(F.col("p_name").alias("normalized_name")).unionByName(part.select(F.col("p_brand").alias("normalized_name")))
     return B.match_either(names, part, entity="p_partkey", short="p_brand", long="p_name")
 
 
 @query("legacy_counts", """
-SELECT p_name AS name, p_partkey AS entry, count(*) OVER (PARTITION BY p_name) AS candidate_count FROM part
-WHERE p_name IN (SELECT p_name FROM part WHERE p_size > 45)""")
+SELECT p_name AS name, p_partkey AS entry, count(*) OVER (PARTITION BY p_name) AS candidate_count FROM part""")
 def legacy_counts(spark, d):
     part = table(spark, d, "part")
-    return B.label_candidates(part.filter("p_size > 45"), part, "p_name", "p_name", "p_partkey")
+    return B.label_candidates(part, part, "p_name", "p_name", "p_partkey")
 
 
 @query("unique_number_link", """
@@ -600,13 +603,13 @@ en AS (SELECT n_nationkey + 1000000000 AS entry, n_name || ' of ' || r_name AS k
 SELECT label, entry, 9 AS score FROM lab JOIN en ON k = label
 UNION ALL SELECT DISTINCT 'abu ' || a.p_name || ' ' || a.p_type, b.p_partkey, 9 FROM (SELECT DISTINCT p_name, p_type FROM part) a JOIN part b
   ON split_part(b.p_name, ' ', 1) = split_part(a.p_name, ' ', 1) AND contains(b.p_brand || ' ' || b.p_name || ' ' || b.p_type, split_part(a.p_name, ' ', 2))
-  AND contains(b.p_brand || ' ' || b.p_name || ' ' || b.p_type, a.p_type) AND b.p_size > 40""")
+  AND contains(b.p_brand || ' ' || b.p_name || ' ' || b.p_type, a.p_type)""")
 def explicit_relatives(spark, d):
     """Explicit relatives: lineage labels find nations, kunya labels find parts by their first word."""
     labels = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat_ws(" of ", "n_name", "r_name").alias("label"))
     part = table(spark, d, "part")
     labels = labels.unionByName(part.select(F.concat_ws(" ", F.lit("abu"), "p_name", "p_type").alias("label")))
-    called = part.filter("p_size > 40").select(F.col("p_partkey").alias("entry"), F.lit("").alias("name_norm"), F.concat_ws(" ", "p_brand", "p_name", "p_type").alias("intro"),
+    called = part.select(F.col("p_partkey").alias("entry"), F.lit("").alias("name_norm"), F.concat_ws(" ", "p_brand", "p_name", "p_type").alias("intro"),
                                                F.concat(F.lit("abu "), F.substring_index("p_name", " ", 1)).alias("key"))
     people = kin_entries(spark, d).withColumn("intro", F.lit(""))
     entries = people.unionByName(called.drop("key"))
