@@ -10,7 +10,10 @@ from silsila.functions import keys as K
 
 
 def prefix_index(entities: DataFrame, entity: str, name: str, lo: int, hi: int | None) -> DataFrame:
-    """(key, len, entity): every token prefix of every entity name (normalised, single spaces)."""
+    """(key, len, entity): every token prefix of every entity name (normalised, single spaces).
+
+    ``hi=None`` takes all prefixes, for names of bounded length such as canonical names.
+    """
     head = F.col(name) if hi is None else F.substring_index(name, " ", hi)
     rows = entities.select(F.col(entity).alias("entity"), F.explode(K.prefixes(K.tokens(head), lo, hi)).alias("p"))
     return rows.select("p.key", "p.len", "entity").distinct()

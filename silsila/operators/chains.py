@@ -1,14 +1,15 @@
 """Ordered chains: positions, guarded neighbours, adjacent pairs, observed edges.
 
 A chain can be huge (think of one chain holding a third of all rows), so nothing here sorts
-or windows a chain. Neighbours differ by exactly one in sequence, hence every occurrence is
-offered to its own position and to the two next to it, and one aggregation per position
-brings them together.
+or windows a whole chain. Atoms are first combined per position on the map side; neighbours
+differ by exactly one in sequence, hence a chain can be cut into blocks of sequence numbers
+that share only their border positions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from silsila.functions.text import stable_id
@@ -25,26 +26,32 @@ def positions(occ: DataFrame, payload: list[str], flag: str | None = None) -> Da
         n.alias("atoms"), *extra, *[F.when(n == 1, F.min(c)).alias(c) for c in payload])
 
 
-def guarded_neighbours(occ: DataFrame, payload: list[str], sides=("prev", "next")) -> DataFrame:
+def guarded_neighbours(occ: DataFrame, payload: list[str], sides=("prev", "next"), block: int = 64) -> DataFrame:
     """Singleton positions with the payload of their neighbours as ``prev_*`` / ``next_*``.
 
     A neighbour counts only when its sequence number differs by exactly one and it is a
-    singleton itself; else its columns are NULL (``has_prev`` / ``has_next`` tell).
+    singleton itself; else its columns are NULL (``has_prev`` / ``has_next`` tell). Windows run
+    over blocks of 64 sequence numbers; the first and last number of a block are also sent to
+    the block next to it, so no window ever sees more than 66 rows of a chain.
     """
-    # an occurrence is its own, the previous of the position after it, the next of the one before
-    shift = {"self": 0, "prev": 1, "next": -1}
-    places = ("self", *sides)
-    offered = occ.select(*CHAIN, "sequence_index", *payload, F.explode(F.array(*[F.lit(shift[p]) for p in places])).alias("__shift"))
-    offered = offered.withColumn("sequence_index", F.col("sequence_index") + F.col("__shift"))
-    from_ = {p: F.col("__shift") == shift[p] for p in places}
-    counts = [F.count(F.when(from_[p], 1)).alias(f"__n_{p}") for p in places]
-    values = [F.min(F.when(from_[p], F.col(c))).alias(f"__{p}_{c}") for p in places for c in payload]
-    met = offered.groupBy(*POSITION).agg(*counts, *values).filter(F.col("__n_self") == 1)
-    out = [F.col(f"__self_{c}").alias(c) for c in payload]
+    n = F.count(F.lit(1))
+    single = occ.groupBy(*POSITION).agg(n.alias("__n"), *[F.min(c).alias(c) for c in payload]).filter("__n = 1").drop("__n")
+    if not sides:
+        return single
+    at = F.col("sequence_index")
+    own, place = F.floor(at / block), F.pmod(at, F.lit(block))
+    seen_in = F.when(place == 0, F.array(own, own - 1)).when(place == block - 1, F.array(own, own + 1)).otherwise(F.array(own))
+    rows = single.select("*", own.alias("__own"), F.explode(seen_in).alias("__block"))
+    w = W.partitionBy(*CHAIN, "__block").orderBy("sequence_index")
+    look = {"prev": (F.lag, -1), "next": (F.lead, 1)}
+    seen = [look[s][0](c).over(w).alias(f"__{s}_{c}") for s in sides for c in ["sequence_index", *payload]]
+    rows = rows.select("*", *seen)
+    out = [F.col(c) for c in payload]
     for s in sides:
-        out.append((F.col(f"__n_{s}") == 1).alias(f"has_{s}"))
-        out += [F.when(F.col(f"__n_{s}") == 1, F.col(f"__{s}_{c}")).alias(f"{s}_{c}") for c in payload]
-    return met.select(*POSITION, *out)
+        beside = F.coalesce(F.col(f"__{s}_sequence_index") == at + look[s][1], F.lit(False))
+        out.append(beside.alias(f"has_{s}"))
+        out += [F.when(beside, F.col(f"__{s}_{c}")).alias(f"{s}_{c}") for c in payload]
+    return rows.filter(F.col("__block") == F.col("__own")).select(*POSITION, *out)
 
 
 def adjacent_pairs(occ: DataFrame, payload: list[str]) -> DataFrame:

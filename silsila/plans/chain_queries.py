@@ -166,15 +166,15 @@ def reported_lists(spark, d):
 
 
 @query("unique_prefix_join", rf"""
-WITH t AS (SELECT doc_id, list_filter(string_split({_SEG.format(c="split_part(text, '.', 1)")}, ' '), lambda x: x <> '') AS t,
+WITH t AS (SELECT doc_id, list_filter(string_split({_SEG.format(c="substr(trim(split_part(text, '.', 1), ' ،؛;:.()-'), 1, 400)")}, ' '), lambda x: x <> '') AS t,
       {_SEG.format(c="split_part(split_part(text, '.', 1), ',', 1)")} AS name FROM documents),
 k AS (SELECT DISTINCT doc_id, array_to_string(t[1:l], ' ') AS key FROM (SELECT doc_id, t, unnest(range(3, len(t) + 1)) AS l FROM t)),
 u AS (SELECT key, min(doc_id) AS ent FROM k GROUP BY key HAVING count(DISTINCT doc_id) = 1)
 SELECT doc_id, ent AS entity, name, 1.0::DOUBLE AS score FROM t JOIN u ON key = name WHERE len(string_split(name, ' ')) >= 3""")
 def unique_prefix_join(spark, d):
-    """First sentences as entry names, first clauses as the names to resolve."""
+    """Canonical names of the first sentences as entries, first clauses as the names to resolve."""
     docs = documents(spark, d)
-    entries = docs.select("doc_id", T.normalize(F.substring_index("text", ".", 1)).alias("n"))
+    entries = docs.select("doc_id", T.normalize(T.canonical_name("text", sigla="^$", ends="[.]")).alias("n"))
     index = B.prefix_index(entries, "doc_id", "n", 3, None)
     occ = docs.select("doc_id", T.normalize(F.substring_index(F.substring_index("text", ".", 1), ",", 1)).alias("name"))
     named = occ.filter(F.size(K.tokens("name")) >= 3)

@@ -14,7 +14,7 @@ from silsila.operators import blocking as B
 from silsila.operators import evidence as EV
 from silsila.operators import extract as E
 from silsila.operators import kinship as KIN
-from silsila.plans.bindings import PROSE, documents, table
+from silsila.plans.bindings import PROSE, documents, spread, table
 from silsila.plans.registry import query
 from silsila.sources import manifest as MF
 from silsila.sources import pages as PG
@@ -133,7 +133,7 @@ WITH m AS (SELECT page_id, {_sql_plain("regexp_replace(" + _sql_strip("html", _N
 s AS (SELECT page_id, unnest(string_split(t, chr(1))) AS text, generate_subscripts(string_split(t, chr(1)), 1) - 1 AS segment_no FROM m)
 SELECT page_id, segment_no::INT AS segment_no, segment_no::VARCHAR AS marker, trim(text) AS text FROM s WHERE segment_no > 0""")
 def page_segments(spark, d):
-    pages = PG.split_pages(table(spark, d, "pages"), "html", WEB_PAGES)
+    pages = PG.split_pages(spread(table(spark, d, "pages"), "page_id"), "html", WEB_PAGES)
     return PG.page_records(pages, ["page_id"], layout=WEB_PAGES)
 
 
@@ -144,7 +144,7 @@ l AS (SELECT page_id, 'ad' AS layer, 0 AS k, unnest(regexp_extract_all(h, '(?is)
 p AS (SELECT page_id, layer, k, {_sql_plain("raw")} AS text FROM l)
 SELECT page_id, layer, text, sha256(text) AS text_sha256 FROM p WHERE text <> ''""")
 def page_blocks_layer(spark, d):
-    pages = PG.split_pages(table(spark, d, "pages"), "html", WEB_PAGES)
+    pages = PG.split_pages(spread(table(spark, d, "pages"), "page_id"), "html", WEB_PAGES)
     return PG.side_layers(pages, ["page_id"], layout=WEB_PAGES).drop("layer_no")
 
 
@@ -479,8 +479,8 @@ WITH {_SENTENCES}, n AS (SELECT doc_id, k, {SQL_HEAD.format(c="raw")} AS h FROM
 SELECT doc_id, k::INT AS sentence_no, h AS heading FROM n WHERE length(h) BETWEEN 5 AND 60 AND NOT regexp_matches(h, '^(The|La)')
   AND (contains(' ' || h || ' ', ' of ') OR starts_with(h, 'In ') OR starts_with(h, 'On '))""")
 def heading_filter(spark, d):
-    rows = sentences(spark, d).withColumn("heading", T.normalize("raw", T.HEADINGS))
-    return rows.filter(PG.heading_allowed("raw", 5, 60, ("The", "La"), "of", ("In ", "On "))).select("doc_id", "sentence_no", "heading")
+    rows = T.staged(sentences(spark, d), heading=T.normalize("raw", T.HEADINGS))
+    return rows.filter(PG.heading_allowed("heading", 5, 60, ("The", "La"), "of", ("In ", "On "))).select("doc_id", "sentence_no", "heading")
 
 
 @query("note_strip", rf"""
@@ -504,6 +504,6 @@ p AS (SELECT page_id, host, trim(split_part(t, chr(1), 1)) AS lead, trim(split_p
 w AS (SELECT *, lead(lead) OVER (PARTITION BY host ORDER BY page_id) AS tail FROM p)
 SELECT host, page_id AS entry_order, title, sha256(CASE WHEN coalesce(tail, '') <> '' THEN concat_ws(' ', nullif(body, ''), tail) ELSE body END) AS body_sha256 FROM w WHERE title <> ''""")
 def titled_entries(spark, d):
-    pages = PG.split_pages(table(spark, d, "pages").withColumn("host", F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1))), "html", TITLE_PAGES)
+    pages = PG.split_pages(spread(table(spark, d, "pages"), "page_id").withColumn("host", F.split_part(F.split_part("url", F.lit("://"), F.lit(2)), F.lit("/"), F.lit(1))), "html", TITLE_PAGES)
     bodies = PG.entry_bodies(PG.entry_parts(pages, "host", "page_id", layout=TITLE_PAGES), "host")
     return bodies.select("host", "entry_order", F.col("number").alias("title"), F.sha2("body", 256).alias("body_sha256"))
