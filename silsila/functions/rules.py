@@ -88,7 +88,7 @@ def number_words(c, values: dict[str, int] | None = None, conjunction: str = "و
 
 
 def class_ordinal(c, ordinals: dict[str, int] | None = None,
-                  lead: str = r"(?:من\s+(?:رؤوس\s+)?(?:الطبقة\s+)?|الطبقة\s+)") -> Column:
+                  lead: str = lx.CLASS_LEAD) -> Column:
     """Generation class named after "from [the class]"."""
     ordinals = {_plain(k, True): v for k, v in (ordinals or lx.CLASS_ORDINALS).items()}
     table = F.create_map(*[F.lit(x) for kv in ordinals.items() for x in kv])

@@ -194,6 +194,16 @@ SOURCE_GRADE_TRIGGERS = {
 WEAK_GRADES = ("weak", "very_weak", "rejected", "unknown")
 #: One shared grade vocabulary: spellings of the same class in the four rule lists.
 GRADE_SYNONYMS = {"matruk_kadhdhab": "rejected"}
+#: Patterns of a narrator joined to a terminal; SUBJECT stands for the terminal words.
+TERMINAL_REPAIR_PATTERNS = (
+    r"\s+(?:قالت|قال|يقول|يقولون)\s*:?\s*(?:قال\s+)?SUBJECT",
+    r"\s+(?:سمعت|سمع)\s+SUBJECT",
+    r"\s+(?:ان|انه|انها)\s+SUBJECT",
+    r"\s+(?:يبلغ به|رفعه الي|رفعه إلى)\s+SUBJECT",
+)
+#: Words before a generation class, and the marker that opens a numbered record.
+CLASS_LEAD = r"(?:من\s+(?:رؤوس\s+)?(?:الطبقة\s+)?|الطبقة\s+)"
+RECORD_MARKER = r"^\s*[\u200c\u200d\u200e\u200f]*\(?(\d{1,6})\)?\s*[-–—]\s*$"
 RESOLVED_STATUSES = (
     "provisional_anchor", "strong_context", "strong_graph", "strong_relational",
     "strong_relational_named", "strong_secondary_alias", "strong_unique_prefix", "strong_source_card",

@@ -279,16 +279,8 @@ def _fold_words(words) -> list[str]:
     return folded + ["بن" if w == "ابن" else w for w in folded if w == "ابن"]
 
 
-TERMINAL_REPAIR_PATTERNS = (
-    r"\s+(?:قالت|قال|يقول|يقولون)\s*:?\s*(?:قال\s+)?SUBJECT",
-    r"\s+(?:سمعت|سمع)\s+SUBJECT",
-    r"\s+(?:ان|انه|انها)\s+SUBJECT",
-    r"\s+(?:يبلغ به|رفعه الي|رفعه إلى)\s+SUBJECT",
-)
-
-
 def repair_terminals(occ: DataFrame, raw: str = "raw_atomic_name", subjects=lx.TERMINAL_SUBJECTS,
-                     patterns=TERMINAL_REPAIR_PATTERNS, profile: Profile = LINEAGE) -> DataFrame:
+                     patterns=lx.TERMINAL_REPAIR_PATTERNS, profile: Profile = LINEAGE) -> DataFrame:
     """Separate real terminals, narrators joined to a terminal, and mere descriptions."""
     subject = any_of(subjects, vocal=False)
     joined = "(?:" + "|".join(p.replace("SUBJECT", subject + lx.WORD_END) for p in patterns) + ")"

@@ -43,7 +43,7 @@ class PageLayout:
     layers: tuple = (("footnote", element("div", "footnote")), ("footnote", element("p", "footnote")),
                      ("footnote", element("span", "footnote")))
     markers: tuple = (element("span", "punct"),)
-    marker_text: str = r"^\s*[\u200c\u200d\u200e\u200f]*\(?(\d{1,6})\)?\s*[-–—]\s*$"
+    marker_text: str = lx.RECORD_MARKER
     marker_tags: str | None = None
     keep_unmarked: bool = False
 
