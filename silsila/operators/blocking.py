@@ -110,10 +110,10 @@ def name_index(cards: DataFrame, names: DataFrame, entity: str = "entity", texts
     first two places, 5 within the first four, 2 further in. A run inside the text counts when
     the text opens with the same token, or the name is a single token, or it opens with the
     lineage or kunya word. Built by an equi join of the runs with the wanted names, so no block
-    of a common first token is ever enumerated per name. ``max_tokens`` bounds the run length
-    and has to cover the longest name. ``aliases`` (name, entity) score 9.
+    of a common first token is ever enumerated per name. Names longer than ``max_tokens`` meet by
+    their first tokens and are then compared in full. ``aliases`` (name, entity) score 9.
     """
-    wanted = names.select(F.col(name).alias("name")).distinct()
+    wanted = names.select(F.col(name).alias("name")).distinct().withColumn("size", F.size(F.split("name", " ")))
     parts = []
     for text in texts:
         t = K.tokens(text)
@@ -124,7 +124,13 @@ def name_index(cards: DataFrame, names: DataFrame, entity: str = "entity", texts
     runs = rows.select("entity", F.size("t").alias("n"), F.get("t", F.lit(0)).alias("head"),
                        F.explode(K.ngrams("t", 1, max_tokens)).alias("g"))
     runs = runs.select("entity", "n", "head", F.col("g.key").alias("name"), F.col("g.pos").alias("pos"), F.col("g.len").alias("len"))
-    hits = runs.join(wanted, "name")
+    hits = runs.join(wanted.filter(F.col("size") <= max_tokens).select("name"), "name")
+    starts = rows.select("entity", "t", F.explode(K.ngrams("t", max_tokens, max_tokens)).alias("g"))
+    starts = starts.select("entity", "t", F.col("g.key").alias("start"), F.col("g.pos").alias("pos"))
+    long = wanted.filter(F.col("size") > max_tokens).withColumn("start", F.substring_index("name", " ", max_tokens))
+    longer = starts.join(long, "start").filter(F.array_join(F.slice("t", F.col("pos") + 1, F.col("size")), " ") == F.col("name"))
+    hits = hits.select("entity", "n", "head", "name", "pos", "len").unionByName(longer.select(
+        "entity", F.size("t").alias("n"), F.get("t", F.lit(0)).alias("head"), "name", "pos", F.col("size").alias("len")))
     first = F.substring_index("name", " ", 1)
     second = F.get(F.split("name", " "), F.lit(1))
     pooled = ((F.col("head") == first) | ((F.col("len") == 1) & (F.length("name") >= 3))
@@ -135,5 +141,5 @@ def name_index(cards: DataFrame, names: DataFrame, entity: str = "entity", texts
     hits = hits.filter(pooled).groupBy("name", "entity", "n", "head", "len").agg(F.min("pos").alias("pos"))
     scored = hits.withColumn("s", score).select("name", "entity", "s")
     if aliases is not None:
-        scored = scored.unionByName(aliases.join(wanted, "name", "left_semi").select("name", "entity", F.lit(9).alias("s")))
+        scored = scored.unionByName(aliases.join(wanted.select("name"), "name", "left_semi").select("name", "entity", F.lit(9).alias("s")))
     return scored.groupBy("name", "entity").agg(F.max("s").alias("name_score"))

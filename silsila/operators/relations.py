@@ -52,11 +52,19 @@ def listed_nodes(lists: DataFrame, card: str, text: str, node_keys: DataFrame, m
     """(card, node): a key of the node occurs, on token edges, in the card's list text.
 
     ``node_keys``: node, key. The list is cut into token runs that are equi joined with the
-    keys, linear in the text. A key inside a longer word is no evidence.
+    keys, linear in the text. Keys longer than ``max_tokens`` meet by their first tokens and are
+    then compared in full. A key inside a longer word is no evidence.
     """
-    grams = lists.select(F.col(card).alias("card"), F.explode(
-        F.array_distinct(F.transform(K.ngrams(K.tokens(text), 1, max_tokens), lambda g: g["key"]))).alias("key"))
-    return grams.join(node_keys.select("node", "key").distinct(), "key").select("card", "node").distinct()
+    keys = node_keys.select("node", "key").distinct().withColumn("__size", F.size(F.split("key", " ")))
+    base = lists.select(F.col(card).alias("card"), F.col(text).alias("text"))
+    t = K.tokens("text")
+    grams = base.select("card", F.explode(F.array_distinct(F.transform(K.ngrams(t, 1, max_tokens), lambda g: g["key"]))).alias("key"))
+    short = grams.join(keys.filter(F.col("__size") <= max_tokens).select("node", "key"), "key").select("card", "node")
+    heads = base.select("card", "text", F.explode(F.array_distinct(F.transform(K.ngrams(t, max_tokens, max_tokens), lambda g: g["key"]))).alias("head"))
+    long = keys.filter(F.col("__size") > max_tokens).withColumn("head", F.substring_index("key", " ", max_tokens))
+    padded = F.concat(F.lit(" "), "text", F.lit(" "))
+    longer = heads.join(long, "head").filter(padded.contains(F.concat(F.lit(" "), "key", F.lit(" ")))).select("card", "node")
+    return short.unionByName(longer).distinct()
 
 
 def contains_key(text: str, keys: str) -> Column:

@@ -137,6 +137,8 @@ def test_name_index_scores(spark):
     names = spark.createDataFrame([("مالك بن انس",), ("بن شهاب",), ("الزهري",), ("مالك",), ("زيد مالك",)], "name string")
     got = {(r["name"], r["entity"]): r["name_score"] for r in B.name_index(cards, names).collect()}
     assert got == {("مالك بن انس", "c1"): 10, ("مالك بن انس", "c2"): 9, ("بن شهاب", "c3"): 8, ("الزهري", "c3"): 5, ("مالك", "c1"): 9, ("مالك", "c2"): 9, ("مالك", "c4"): 5}
+    short = {(r["name"], r["entity"]): r["name_score"] for r in B.name_index(cards, names, max_tokens=2).collect()}
+    assert short == got                                                          # long names are compared in full
     more = B.name_index(cards, names, aliases=spark.createDataFrame([("الزهري", "c4")], "name string, entity string"))
     assert more.filter("entity = 'c4' AND name_score = 9").count() == 1
 
@@ -144,7 +146,8 @@ def test_name_index_scores(spark):
 def test_listed_nodes_need_whole_tokens(spark):
     lists = spark.createDataFrame([("c1", "نافع بن سالم ومالك"), ("c2", "نافعة بن سالمة")], "card string, text string")
     keys = spark.createDataFrame([("n1", "نافع بن سالم"), ("n2", "نافع بن")], "node string, key string")
-    assert rows(RL.listed_nodes(lists, "card", "text", keys)) == [("c1", "n1"), ("c1", "n2")]
+    for size in (8, 2, 1):
+        assert rows(RL.listed_nodes(lists, "card", "text", keys, size)) == [("c1", "n1"), ("c1", "n2")]
 
 
 def test_reconcile(spark):
