@@ -370,13 +370,16 @@ def list_context(spark, d):
     students, teachers = supplier_lists(spark, d)
     sup = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     names = sup.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("raw"), F.col("n_name").alias("canon"))
-    raw = names.select(F.col("raw").alias("node"), F.col("raw").alias("key"))
-    canon = names.select(F.col("canon").alias("node"), F.col("canon").alias("key"))
+    # raw and canonical keys are looked up together; the first letter of the node tells them apart
+    keys = names.select(F.explode(F.array(*[
+        F.struct(F.concat(F.lit(letter), c).alias("node"), F.col(c).alias("key")) for letter, c in (("r", "raw"), ("c", "canon"))])).alias("k")).select("k.*")
 
     def edges(lists, prefix):
-        a = RL.listed_nodes(lists, "card", "text", raw, 2).select(F.lit(prefix + "_raw").alias("node_kind"), "node", F.col("card").alias("candidate"), F.lit(3).alias("weight"))
-        b = RL.listed_nodes(lists, "card", "text", canon, 2).select(F.lit(prefix + "_canon").alias("node_kind"), "node", F.col("card").alias("candidate"), F.lit(2).alias("weight"))
-        return a.unionByName(b)
+        found = RL.listed_nodes(lists, "card", "text", keys, 2)
+        is_raw = F.col("node").startswith("r")
+        return found.select(
+            F.when(is_raw, prefix + "_raw").otherwise(prefix + "_canon").alias("node_kind"), F.expr("substring(node, 2)").alias("node"),
+            F.col("card").alias("candidate"), F.when(is_raw, 3).otherwise(2).alias("weight"))
 
     opened = open_lines(spark, d)
     for side in ("prev", "next"):
