@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silsila.llm import exact_dedup, langid
+from silsila.llm import exact_dedup, langid, pii, simhash
 from silsila.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string"))
 
 
+@query("op5_personal_data")
+def op5_personal_data(spark, sf_dir):
+    return pii.find_personal_data(documents(spark, sf_dir), pii.train(spark))
+
+
 @query("op6_exact_dedup", f"""
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
        sha256(t) AS text_sha256
@@ -39,6 +44,11 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+@query("op9_simhash")
+def op9_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op10_language_id")
 def op10_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir)
