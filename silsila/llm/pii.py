@@ -366,9 +366,6 @@ def _valid(text: str, kind: int, parts: list[tuple[int, int]]):
             yield a, kind, b
 
 
-    return found
-
-
 def spans_of(texts: list[str], field: Field) -> list[tuple[list, list]]:
     """(base spans, all spans) per text. Base spans stay; what the field finds is added where it overlaps none of them."""
     out = []
