@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -96,20 +97,33 @@ def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, share
         rows.filter(~is_hot).join(classes.filter(~is_hot), key, "left"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the session names in ``spark.checkpoint.dir``; in local mode without
-    that setting (tests) a folder of our own. Rows survive the loss of any executor."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir``; only in local mode without that setting (tests) a
+    folder of our own."""
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not sc.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="silsila-llm-")
         sc.setCheckpointDir(folder)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder. Rows survive the loss of any executor."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write rows as Parquet into a new folder below the shared one and read them again."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Texts of a step, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silsila.llm import exact_dedup, langid, pii, simhash
+from silsila.llm import exact_dedup, langid, packing, pii, simhash
 from silsila.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +45,11 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+@query("op7_best_fit_packing")
+def op7_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op9_simhash")
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
