@@ -41,13 +41,14 @@ def steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES)
         low = high
 
 
-def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, column: str = "text") -> DataFrame:
-    """``mapInArrow`` in steps of bounded size; ``fn`` gives the output columns of one step."""
+def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, column: str | None = "text") -> DataFrame:
+    """``mapInArrow`` in steps of bounded size (whole batches where no text column is named); ``fn`` gives the output
+    columns of one step."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
         for batch in batches:
-            for part in steps(batch, column):
+            for part in steps(batch, column) if column else [batch]:
                 yield pa.RecordBatch.from_pydict(fn(part), schema=arrow)
 
     return df.mapInArrow(run, schema)

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silsila.llm import exact_dedup, langid, packing, pii, simhash
-from silsila.llm.common import documents
+from silsila.llm import exact_dedup, langid, packing, pieces, pii, quality_rules, simhash
+from silsila.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,16 @@ def fold(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string"))
 
 
+@query("op1_quality_rules")
+def op1_quality_rules(spark, sf_dir):
+    return quality_rules.quality_verdicts(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark, sf_dir):
+    return pieces.encode_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op5_personal_data")
 def op5_personal_data(spark, sf_dir):
     return pii.find_personal_data(documents(spark, sf_dir), pii.train(spark))
