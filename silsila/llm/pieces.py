@@ -253,12 +253,12 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
     Null text counts as empty and has no ids; repeated rows repeat; empty input gives no rows; a very long text is one
     step of its own; columns besides doc_id and text are not read.
     """
-    model = docs.sparkSession.sparkContext.broadcast(load_model(model_path))     # tables of one vocabulary, 20 MB
+    model = docs.sparkSession.sparkContext.broadcast(vars(load_model(model_path)))   # one vocabulary, 20 MB
     held = []
 
     def one(batch):
         if not held:
-            held.append(PieceEncoder(model.value))
+            held.append(PieceEncoder(PieceModel(**model.value)))
         found = held[0].encode(texts_of(batch))
         return {"doc_id": batch.column("doc_id"), "n_tokens": [n for n, _, _ in found],
                 "ids_sha256": [hashlib.sha256(ids.encode()).hexdigest() for _, ids, _ in found],

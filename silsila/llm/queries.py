@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silsila.llm import exact_dedup, langid, packing, pieces, pii, quality_rules, simhash
+from silsila.llm import exact_dedup, langid, neighbours, packing, pieces, pii, quality_rules, simhash
 from silsila.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,13 @@ def op7_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op8_quality_neighbours")
+def op8_quality_neighbours(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = neighbours.classify(docs, neighbours.train(docs, labels(spark, sf_dir)))
+    return found.select("doc_id", F.coalesce(fold() % 5 == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query("op9_simhash")
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
