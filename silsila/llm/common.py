@@ -81,8 +81,8 @@ def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.join(gone, docs[key].eqNullSafe(gone["__gone_key"]), "left_anti")
 
 
-def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, share: int = 1000) -> DataFrame:
-    """Left join of rows with one class row per key where one class may own any share of the rows.
+def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, how: str = "left", share: int = 1000) -> DataFrame:
+    """Join of rows with one class row per key where one class may own any share of the rows.
 
     ``size`` counts the rows of a class. Classes with more than one ``share``-th of all rows number fewer than
     ``share`` by arithmetic, so exactly these are broadcast; every other class meets its rows in a shuffle join.
@@ -92,10 +92,10 @@ def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, share
     heavy = classes.filter(F.col(size) * share > total)
     hot = [r[0] for r in heavy.select(key).collect()]       # fewer than ``share`` rows
     if not hot:
-        return rows.join(classes, key, "left")
+        return rows.join(classes, key, how)
     is_hot = F.col(key).isin(hot)
-    return rows.filter(is_hot).join(F.broadcast(classes.filter(is_hot)), key, "left").unionByName(
-        rows.filter(~is_hot).join(classes.filter(~is_hot), key, "left"))
+    return rows.filter(is_hot).join(F.broadcast(classes.filter(is_hot)), key, how).unionByName(
+        rows.filter(~is_hot).join(classes.filter(~is_hot), key, how))
 
 
 def shared_folder(spark: SparkSession) -> str:

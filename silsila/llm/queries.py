@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silsila.llm import exact_dedup, langid, licenses, neighbours, packing, pieces, pii, quality_rules, simhash
+from silsila.llm import exact_dedup, langid, licenses, neighbours, packing, paragraphs, pieces, pii, quality_rules, simhash
 from silsila.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,11 @@ def op2_sentencepiece(spark, sf_dir):
     return pieces.encode_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op3_repeated_passages")
+def op3_repeated_passages(spark, sf_dir):
+    return paragraphs.repeated_passages(documents(spark, sf_dir))
+
+
 @query("op4_licenses", licenses.oracle())
 def op4_licenses(spark, sf_dir):
     return licenses.scan_licenses(documents(spark, sf_dir))
