@@ -1,10 +1,4 @@
-"""SentencePiece byte-pair encoding and decoding by vectorised merge rounds.
-
-All distinct words of a step lie in one flat array of symbols. A round finds the best pair rank of each word, merges
-its leftmost occurrences in all words at once and compacts the array; words without a pair leave. Where a merge would
-create a pair that comes before the next occurrence, only the leftmost is merged in that round, so the result is that
-of the one-by-one procedure.
-"""
+"""SentencePiece byte-pair encoding and decoding by vectorised merge rounds over all distinct words of a step."""
 
 from __future__ import annotations
 
@@ -16,10 +10,10 @@ import numpy as np
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from silsila.llm.bpe import MergeTable, merge_table, merge_words
 from silsila.llm.common import map_rows, texts_of
 
 SPACE = "▁"
-_NO_PAIR = np.int32(2**31 - 1)
 _SEGMENT = re.compile(r" +[^ ]*")
 
 
@@ -28,9 +22,7 @@ class PieceModel:
     """What encoding and decoding need of a model file, as plain arrays."""
     char_id: np.ndarray            # code point -> symbol: a piece, or size + code point where there is none
     size: int                      # number of pieces
-    slots: np.ndarray              # open-addressing table of pair keys
-    merged: np.ndarray             # the piece a slot's pair becomes
-    rank: np.ndarray               # place of that piece in the order of merges (equal scores share one)
+    table: dict                    # fields of the table of pairs that make pieces (equal scores share a rank)
     byte_id: list[int]
     raw: list[bytes]               # bytes a piece decodes to
     widest: int                    # longest piece of blanks only
@@ -45,22 +37,10 @@ def load_model(path: str) -> PieceModel:
     scores = np.array([sp.get_score(i) for i in range(n)])
     place = {p: i for i, p in enumerate(names) if not special[i]}
     order = np.unique(-scores[[i for i in range(n) if not special[i]]])
-    keys, out = [], []
-    for p, i in place.items():
-        for cut in range(1, len(p)):
-            left, right = place.get(p[:cut]), place.get(p[cut:])
-            if left is not None and right is not None:
-                keys.append(left << 21 | right)
-                out.append(i)
-    table = 1 << max(4, int(len(keys) * 6).bit_length())
-    slots, merged = np.full(table, -1, dtype=np.int64), np.zeros(table, dtype=np.int32)
-    for key, i in zip(keys, out):
-        at = _home(np.array([key]), table)[0]
-        while slots[at] >= 0:
-            at = (at + 1) % table
-        slots[at], merged[at] = key, i
-    rank = np.full(table, _NO_PAIR, dtype=np.int32)
-    rank[slots >= 0] = np.searchsorted(order, -scores[merged[slots >= 0]])
+    pairs = [(place[p[:cut]], place[p[cut:]], i) for p, i in place.items() for cut in range(1, len(p))
+             if p[:cut] in place and p[cut:] in place]
+    left, right, out = map(list, zip(*pairs))
+    table = merge_table(left, right, out, np.searchsorted(order, -scores[out]))
     char_id = np.arange(n, n + 0x110000, dtype=np.int32)
     for p, i in place.items():
         if len(p) == 1:
@@ -74,104 +54,7 @@ def load_model(path: str) -> PieceModel:
         if sp.is_control(i):
             raw[i] = b""
     blanks = [len(p) for p in place if set(p) == {SPACE}]
-    return PieceModel(char_id, n, slots, merged, rank, byte_id, raw, max(blanks))
-
-
-def _home(keys: np.ndarray, table: int) -> np.ndarray:
-    return ((keys * np.int64(-7046029254386353131)).view(np.uint64) >> np.uint64(40)).astype(np.int64) & (table - 1)
-
-
-def _find(model: PieceModel, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Slot of each pair, -1 where the pair makes no piece."""
-    keys = left.astype(np.int64) << 21 | right
-    at = _home(keys, len(model.slots))
-    seen = model.slots[at]
-    out = np.where(seen == keys, at, -1)
-    open_ = np.flatnonzero((seen != keys) & (seen >= 0))
-    while len(open_):
-        at[open_] = (at[open_] + 1) & (len(model.slots) - 1)
-        seen = model.slots[at[open_]]
-        out[open_[seen == keys[open_]]] = at[open_[seen == keys[open_]]]
-        open_ = open_[(seen != keys[open_]) & (seen >= 0)]
-    return out
-
-
-def _ranks(model: PieceModel, slots: np.ndarray) -> np.ndarray:
-    return np.where(slots >= 0, model.rank[slots], _NO_PAIR)
-
-
-def merge_words(model: PieceModel, symbols: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Merge the words that lie one after another in ``symbols``; returns the symbols left and their number per word."""
-    word = np.arange(len(size))
-    done_word, done_size, done_symbols = [], [], []
-    slot = np.full(len(symbols), -1, dtype=np.int64)
-    if len(symbols):
-        last = np.zeros(len(symbols), dtype=bool)
-        last[np.cumsum(size) - 1] = True
-        inner = np.flatnonzero(~last)
-        slot[inner] = _find(model, symbols[inner], symbols[inner + 1])
-    rank = _ranks(model, slot)
-    while len(word):
-        start = np.cumsum(size) - size
-        best = np.minimum.reduceat(rank, start)
-        live = best < _NO_PAIR
-        if not live.all():                                            # finished words leave
-            stay = np.repeat(live, size)
-            done_word.append(word[~live])
-            done_size.append(size[~live])
-            done_symbols.append(symbols[~stay])
-            word, size, best = word[live], size[live], best[live]
-            symbols, slot, rank = symbols[stay], slot[stay], rank[stay]
-            if not len(word):
-                break
-            start = np.cumsum(size) - size
-        of = np.repeat(np.arange(len(word)), size)
-        hit = np.flatnonzero(rank == best[of])                        # a word's last symbol never has a pair
-        head = np.concatenate([[True], hit[1:] != hit[:-1] + 1])
-        run = np.flatnonzero(head)
-        hit = hit[((np.arange(len(hit)) - run[np.cumsum(head) - 1]) & 1) == 0]     # every other one of a chain
-        new = model.merged[slot[hit]]
-        ends = start + size - 1                                       # last symbol of each word
-        # the pairs a merge creates at its time: with what stands left (maybe just merged) and, unmerged, right
-        has_left, has_right = hit > start[of[hit]], hit + 1 < ends[of[hit]]
-        left = symbols[np.maximum(hit - 1, 0)].copy()
-        beside = np.concatenate([[False], hit[1:] == hit[:-1] + 2]) & has_left
-        left[beside] = new[np.flatnonzero(beside) - 1]
-        left_slot, right_slot = np.full(len(hit), -1, dtype=np.int64), np.full(len(hit), -1, dtype=np.int64)
-        left_slot[has_left] = _find(model, left[has_left], new[has_left])
-        right_slot[has_right] = _find(model, new[has_right], symbols[hit[has_right] + 2])
-        early = np.minimum(_ranks(model, left_slot), _ranks(model, right_slot)) <= best[of[hit]]
-        if early.any():                                               # such words merge their leftmost pair only
-            alone = np.zeros(len(word), dtype=bool)
-            alone[of[hit[early]]] = True
-            first = np.concatenate([[True], of[hit[1:]] != of[hit[:-1]]])
-            keep = first | ~alone[of[hit]]
-            hit, new, left_slot, right_slot = hit[keep], new[keep], left_slot[keep], right_slot[keep]
-            has_left, has_right = has_left[keep], has_right[keep]
-        symbols = symbols.copy()
-        symbols[hit] = new
-        slot[hit] = right_slot
-        back = hit[has_left] - 1
-        slot[back] = left_slot[has_left]
-        gone = np.zeros(len(symbols), dtype=bool)
-        gone[hit + 1] = True
-        # right of a merge may stand another merge of this round: its left slot is the pair that lasts
-        behind = np.flatnonzero(np.concatenate([[False], hit[1:] == hit[:-1] + 2]) & has_left)
-        slot[hit[behind] - 2] = left_slot[behind]
-        rank[hit] = _ranks(model, slot[hit])
-        rank[back] = _ranks(model, slot[back])
-        rank[hit[behind] - 2] = _ranks(model, slot[hit[behind] - 2])
-        size = size - np.bincount(of[hit], minlength=len(word))
-        symbols, slot, rank = symbols[~gone], slot[~gone], rank[~gone]
-    if not done_word:
-        return symbols, size
-    word, sizes, flat = np.concatenate(done_word), np.concatenate(done_size), np.concatenate(done_symbols)
-    order = np.argsort(word, kind="stable")
-    before = np.cumsum(sizes) - sizes
-    sizes_in_order = sizes[order]
-    stops = np.cumsum(sizes_in_order)
-    at = np.repeat(before[order] - (stops - sizes_in_order), sizes_in_order) + np.arange(len(flat))
-    return flat[at], sizes_in_order
+    return PieceModel(char_id, n, vars(table), byte_id, raw, max(blanks))
 
 
 def segments(text: str, widest: int) -> list[str]:
@@ -200,7 +83,7 @@ class PieceEncoder:
     """Encodes and decodes texts; each distinct word is merged once while it is remembered."""
 
     def __init__(self, model: PieceModel, remember: int = 250_000):
-        self.model, self.remember = model, remember
+        self.model, self.remember, self.table = model, remember, MergeTable(**model.table)
         self.code: dict[str, int] = {}
         self.ids: list[str] = []
         self.size: list[int] = []
@@ -210,7 +93,7 @@ class PieceEncoder:
         m = self.model
         chars = np.frombuffer((SPACE + SPACE.join(words)).encode("utf-32-le", "surrogatepass"), dtype="<u4")
         size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
-        symbols, size = merge_words(m, m.char_id[chars], size)
+        symbols, size = merge_words(self.table, m.char_id[chars], size)
         stops = np.cumsum(size).tolist()
         flat = symbols.tolist()
         low = 0
