@@ -240,10 +240,10 @@ def near_links(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
-    """One row per repeated passage: doc_id, first_word, end_word, n_words, cluster, keep_doc_id, removed.
+    """One row per repeated passage: doc_id, first_word, end_word, n_words, cluster, keep_doc_ids, removed.
 
     Words are numbered from 0 over the white-space-separated words of the text, ends are exclusive. Rows with ``removed``
-    go, their text stays in ``keep_doc_id``; rows without are the kept passages. Documents without a repeated passage of
+    go, their text stays in the documents ``keep_doc_ids``; rows without are the kept passages. Documents without a repeated passage of
     ``PASSAGE_WORDS`` words have no row. Null and empty texts have no units; null ids take part and rank before others;
     rows that repeat a doc_id repeat its passages; empty input gives no rows; other columns are not read.
     """
@@ -263,5 +263,5 @@ def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     rows = rows.withColumn("__run", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy("doc_id", "removed", "__run").agg(
         F.min("first").alias("first_word"), F.max("last").alias("end_word"), F.min("cluster").alias("cluster"),
-        F.min("keep_doc_id").alias("keep_doc_id")).withColumn("n_words", F.col("end_word") - F.col("first_word")).filter(
-        F.col("n_words") >= PASSAGE_WORDS).select("doc_id", "first_word", "end_word", "n_words", "cluster", "keep_doc_id", "removed")
+        F.array_sort(F.collect_set("keep_doc_id")).alias("keep_doc_ids")).withColumn("n_words", F.col("end_word") - F.col("first_word")).filter(
+        F.col("n_words") >= PASSAGE_WORDS).select("doc_id", "first_word", "end_word", "n_words", "cluster", "keep_doc_ids", "removed")
