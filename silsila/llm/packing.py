@@ -7,7 +7,9 @@ length which ranks go where, so bins are counted in runs and never listed; piece
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -17,52 +19,110 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from silsila.llm.bpe import merge_table, merge_words
 from silsila.llm.common import cut, map_rows, texts_of
 
 CAPACITY = 4096
 #: Ranks per join block of the plan, and pieces per block when ranks are given out.
 RANKS, BLOCK_ROWS = 256, 20_000
-_END = "\n"                     # never occurs inside a word, so it can stand for the end of a document
+#: Bytes by class for texts of plain letters: 0 white space, 1 letters, 2 digits, 3 other signs, 9 not plain.
+_CLASS = np.full(256, 9, dtype=np.int8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = 0
+_CLASS[33:127] = 3
+_CLASS[48:58] = 2
+_CLASS[97:123] = 1
+_CLASS[128:192] = 1                                  # continuation bytes, judged with their lead byte
+_CLASS[[0xC3, 0xC4, 0xC5]] = 1                       # Latin letters with accents
 
 
 class WordEncoder:
-    """Encodes texts word by word; each distinct word goes through the tokenizer once while it is remembered.
+    """Byte-level BPE with word ends, as the tokenizer file says, for many texts at once.
 
-    Exact for tokenizers whose words never span a blank or a line feed and whose normaliser does not look across them.
+    Texts of ASCII and accented Latin letters are cut into words by byte classes, and each distinct word is merged once.
+    Other texts (also those with a special token) go through the library, each distinct blank-separated part once.
     """
 
-    def __init__(self, tokenizer: Tokenizer, end_id: int, remember: int = 300_000):
-        self.tokenizer, self.end_id, self.remember = tokenizer, end_id, remember
-        self._forget()
-
-    def _forget(self):
-        self.code = {"": 0, _END: 1}
-        self.flat, self.size = np.array([self.end_id], dtype="<u4"), np.array([0, 1], dtype=np.int64)
+    def __init__(self, spec: str, end_id: int):
+        self.tokenizer, self.end_id = Tokenizer.from_str(spec), end_id
+        model = json.loads(spec)["model"]
+        vocabulary, suffix = model["vocab"], model["end_of_word_suffix"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.table = merge_table([vocabulary[a] for a, _ in merges], [vocabulary[b] for _, b in merges],
+                                 [vocabulary[a + b] for a, b in merges], range(len(merges)))
+        signs = byte_signs()
+        self.inner = np.array([vocabulary[c] for c in signs], dtype=np.int32)
+        self.last = np.array([vocabulary[c + suffix] for c in signs], dtype=np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text followed by the end id."""
-        words, stops = [], []
-        for text in texts:
-            words += text.replace("\n", " ").split(" ")
-            words.append(_END)
-            stops.append(len(words))
-        if len(self.code) > self.remember:
-            self._forget()
-        new = [w for w in dict.fromkeys(words) if w not in self.code]
-        if new:
-            encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-            ids = [e.ids for low in range(0, len(new), 5000) for e in encode(new[low:low + 5000], add_special_tokens=False)]
-            self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
-            size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            flat = np.fromiter((i for x in ids for i in x), dtype="<u4", count=int(size.sum()))
-            self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
-        at = np.fromiter(map(self.code.__getitem__, words), dtype=np.int64, count=len(words))
-        size = self.size[at]
-        before = np.cumsum(self.size) - self.size
-        done = np.cumsum(size)
-        out = self.flat[np.repeat(before[at] - (done - size), size) + np.arange(int(done[-1]) if len(done) else 0)]
-        ends = done[np.array(stops, dtype=np.int64) - 1] if stops else []
-        return [out[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        plain = [_is_plain(t) for t in texts]
+        out: list = [None] * len(texts)
+        for kind, encode in ((True, self._encode_plain), (False, self._encode_parts)):
+            at = [i for i, p in enumerate(plain) if p == kind]
+            for i, ids in zip(at, encode([texts[i] for i in at]) if at else ()):
+                out[i] = ids
+        return out
+
+    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
+        raw = [t.lower().encode() for t in texts]
+        data = b" ".join(raw) + b" "
+        signs = np.frombuffer(data, np.uint8)
+        cls = _CLASS[signs]
+        begins = np.ones(len(signs), dtype=bool)
+        begins[1:] = (cls[1:] != cls[:-1]) | (cls[1:] == 2)
+        quotes = np.flatnonzero((signs[:-1] == 39) & begins[:-1] & (cls[1:] == 1))
+        for one, two in ((b"stmd", None), (b"r", b"e"), (b"v", b"e"), (b"l", b"l")):      # 's 't 'm 'd 're 've 'll
+            at = quotes[np.isin(signs[quotes + 1], np.frombuffer(one, np.uint8))]
+            if two:
+                at = at[signs[np.minimum(at + 2, len(signs) - 1)] == two[0]]
+            begins[at + 1] = False
+            begins[at + (3 if two else 2)] = True
+        start = np.flatnonzero(begins)
+        words = pa.StringArray.from_buffers(len(start), pa.py_buffer(np.append(start, len(signs)).astype(np.int32)), pa.py_buffer(data))
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary
+        size = np.diff(np.frombuffer(distinct.buffers()[1], np.int32)[:len(distinct) + 1]).astype(np.int64)
+        flat = np.frombuffer(distinct.buffers()[2], np.uint8)[:int(size.sum())]
+        blank = np.flatnonzero(_CLASS[flat[np.cumsum(size) - size]] == 0)               # white space is no word
+        symbols = self.inner[flat]
+        symbols[np.cumsum(size) - 1] = self.last[flat[np.cumsum(size) - 1]]
+        symbols, size = merge_words(self.table, symbols, size)
+        size_of = size.copy()
+        size_of[blank] = 0
+        before = np.cumsum(size) - size
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        many = size_of[at]
+        done = np.cumsum(many)
+        ids = symbols[np.repeat(before[at] - (done - many), many) + np.arange(int(done[-1]))].astype("<u4")
+        stops = np.cumsum([len(r) + 1 for r in raw])
+        ends = done[np.searchsorted(start, stops, "left") - 1].tolist()
+        end = np.array([self.end_id], dtype="<u4")
+        return [np.concatenate([ids[a:b], end]) for a, b in zip([0, *ends[:-1]], ends)]
+
+    def _encode_parts(self, texts: list[str]) -> list[np.ndarray]:
+        parts = [t.replace("\n", " ").split(" ") for t in texts]
+        distinct = list(dict.fromkeys(p for some in parts for p in some))
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        ids = {}
+        for low in range(0, len(distinct), 5000):
+            some = distinct[low:low + 5000]
+            ids.update((p, e.ids) for p, e in zip(some, encode(some, add_special_tokens=False)))
+        return [np.array([i for p in some for i in ids[p]] + [self.end_id], dtype="<u4") for some in parts]
+
+
+def byte_signs() -> list[str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    other = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(other)) for b in range(256)]
+
+
+_PLAIN = re.compile("[\\t-\\r -~À-ÖØ-öø-įı-ſ]*")
+
+
+def _is_plain(text: str) -> bool:
+    """White space, printable ASCII and accented Latin letters only (no dotted capital I), and no special token."""
+    return "<|" not in text and _PLAIN.fullmatch(text) is not None
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1) -> DataFrame:
@@ -77,7 +137,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     def one(batch):
         if not held:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            held.append(WordEncoder(Tokenizer.from_str(spec.value), end_id))
+            held.append(WordEncoder(spec.value, end_id))
         out = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
         for doc_id, ids in zip(batch.column("doc_id").to_pylist(), held[0].encode(texts_of(batch))):
             for p, start in enumerate(range(0, len(ids), capacity)):
