@@ -8,12 +8,18 @@ from pyspark.sql import functions as F
 from silsila.llm.common import cut
 
 
-def _shorten(parent: DataFrame, times: int = 2) -> DataFrame:
-    """parent(node) := parent(parent(node)), ``times`` times; (node, up) with unique nodes."""
-    for _ in range(times):
-        above = parent.select(F.col("node").alias("up"), F.col("up").alias("further"))
-        parent = parent.join(above, "up", "left").select("node", F.coalesce("further", "up").alias("up"))
-    return parent
+def _above(parent: DataFrame) -> DataFrame:
+    return parent.select(F.col("node").alias("up"), F.col("up").alias("further"))
+
+
+def _roots(parent: DataFrame) -> DataFrame:
+    """parent(node) := the end of its chain of parents; (node, up) with unique nodes. Each turn quarters the chains."""
+    while True:
+        for _ in range(2):
+            parent = parent.join(_above(parent), "up", "left").select("node", F.coalesce("further", "up").alias("up"))
+        parent = cut(parent)
+        if parent.join(_above(parent), "up").filter("further <> up").isEmpty():
+            return parent
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -29,8 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
     while not live.isEmpty():
         both = live.union(live.select("b", "a"))
         parent = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up"))
-        parent = parent.select("node", F.least("node", "up").alias("up"))
-        parent = cut(_shorten(parent))
+        parent = _roots(parent.select("node", F.least("node", "up").alias("up")))
         if whole is None:
             whole = parent.select("node", F.col("up").alias("root"))
         else:
