@@ -79,7 +79,7 @@ def number_words(c, values: dict[str, int] | None = None, conjunction: str = "و
         toks = F.transform(
             toks,
             lambda t: F.when(
-                t.startswith(conjunction) & table[F.substring(t, 2, 1000)].isNotNull(), F.substring(t, 2, 1000)
+                t.startswith(conjunction) & table[F.substring(t, F.lit(2), F.length(t))].isNotNull(), F.substring(t, F.lit(2), F.length(t))
             ).otherwise(t),
         )
     known = F.filter(F.transform(toks, lambda t: table[t]), lambda v: v.isNotNull())

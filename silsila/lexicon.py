@@ -204,13 +204,6 @@ TERMINAL_REPAIR_PATTERNS = (
 #: Words before a generation class, and the marker that opens a numbered record.
 CLASS_LEAD = r"(?:من\s+(?:رؤوس\s+)?(?:الطبقة\s+)?|الطبقة\s+)"
 RECORD_MARKER = r"^\s*[\u200c\u200d\u200e\u200f]*\(?(\d{1,6})\)?\s*[-–—]\s*$"
-RESOLVED_STATUSES = (
-    "provisional_anchor", "strong_context", "strong_graph", "strong_relational",
-    "strong_relational_named", "strong_secondary_alias", "strong_unique_prefix", "strong_source_card",
-)
-#: Names held by more cards than this were left alone by the respective rule. Nothing here
-#: needs such a limit to run, so rules apply it only where the caller asks for it.
-BLOCK_LIMITS = {"context": 80, "graph": 100, "queue": 120, "source_card": 80, "specific": 300}
 
 # ---------------------------------------------------------------------------
 # Pattern building (Java regex).

@@ -30,18 +30,9 @@ def unique_keys(index: DataFrame, key: str = "key", entity: str = "entity", keep
     return one.select(key, *keep, F.col("first_entity").alias(entity))
 
 
-def block_sizes(index: DataFrame, key: str = "key", entity: str = "entity", limit: int | None = None) -> DataFrame:
-    """Distinct entities per key; with ``limit``, a flag for the keys a rule leaves alone."""
-    sizes = index.select(key, entity).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("block_size"))
-    return sizes if limit is None else sizes.withColumn("over_limit", (F.col("block_size") > limit).cast("int"))
-
-
-def within_limit(names: DataFrame, index: DataFrame, limit: int | None, name: str = "name") -> DataFrame:
-    """Keep the names whose block a rule judges; without a limit all of them."""
-    if limit is None:
-        return names
-    big = block_sizes(index, limit=limit).filter("over_limit = 1").select(F.col("key").alias(name))
-    return names.join(big, name, "left_anti")
+def block_sizes(index: DataFrame, key: str = "key", entity: str = "entity") -> DataFrame:
+    """Distinct entities per key."""
+    return index.select(key, entity).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("block_size"))
 
 
 def longest_prefix_match(probes: DataFrame, probe: str, name: str, index: DataFrame, lo: int = 2, hi: int = 6,

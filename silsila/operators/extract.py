@@ -169,7 +169,7 @@ def extract_mentions(chains: DataFrame, chain_id: str = "chain_id", text: str =
     connector = any_of(g.connectors)
     pattern = flags + lx.WORD_START + g.conj() + connector + r"\s+"
     df = staged(chains.select(chain_id, F.col(text).alias("__x")), __p=_marked_pieces(F.col("__x"), pattern))
-    rest = F.slice("__p", 2, 100_000_000)
+    rest = F.slice("__p", F.lit(2), F.size("__p"))
     routes = F.transform("__p", lambda p: F.regexp_count(p, F.lit(route)) if route else F.lit(0))
     df = staged(df, __s=_starts(F.col("__p")), __r=routes)
     said = r"\s+" + any_of(lx.SAID_BEFORE_COLON if g is ARABIC else g.said) + r"\s*:"
@@ -195,7 +195,7 @@ def extract_mentions(chains: DataFrame, chain_id: str = "chain_id", text: str =
         def told(p, group):
             return F.regexp_extract(F.split(p, "\x04", 2)[0], core + "$", group)
 
-        embedded = F.transform(F.slice("__ep", 2, 100_000_000), lambda p, i: shaped(
+        embedded = F.transform(F.slice("__ep", F.lit(2), F.size("__ep")), lambda p, i: shaped(
             F.get("__es", i), F.concat(F.lit("embedded_"), strip_marks(told(p, 2))), clean_phrase(told(p, 1), g), F.lit(0)))
         df = staged(df, __emb=embedded)
         embedded = F.filter("__emb", lambda m: (m["raw_name"] != "") & ~F.exists(

@@ -44,7 +44,7 @@ def label_matches(labels: DataFrame, entries: DataFrame, kunya_index: DataFrame,
     named = probes.join(longest, ["label", "len"]).join(index.select("key", "entity"), "key").select(
         "label", F.col("entity").alias("entry"), F.when(F.col("len") >= 3, 9).otherwise(6).alias("score"))
     head = F.concat(F.lit(kunya[1] + " "), F.get("t", F.lit(1)))
-    wanted = rows.filter(is_kunya).select("label", head.alias("key"), F.filter(F.slice("t", 3, 100), lambda x: F.length(x) > 2).alias("extras"))
+    wanted = rows.filter(is_kunya).select("label", head.alias("key"), F.filter(F.slice("t", F.lit(3), F.size("t")), lambda x: F.length(x) > 2).alias("extras"))
     called = wanted.join(kunya_index, "key").join(entries.select("entry", "intro"), "entry")
     called = called.filter(F.forall("extras", lambda x: F.col("intro").contains(x)))
     called = called.select("label", "entry", F.when(F.size("extras") > 0, 9).otherwise(6).alias("score"))
@@ -67,8 +67,9 @@ def ancestor_matches(names: DataFrame, index: DataFrame, name: str, lineage: str
 
 
 def resolve_kinship(occ: DataFrame, entries: DataFrame, explicit: DataFrame | None = None, lineage: str = "بن",
-                    father=lx.FATHER_TOKENS, grandfather=lx.GRANDFATHER_TOKENS, max_passes: int = 6) -> DataFrame:
-    """Resolve kinship nodes from their governing node (the singleton right before them).
+                    father=lx.FATHER_TOKENS, grandfather=lx.GRANDFATHER_TOKENS) -> DataFrame:
+    """Resolve kinship nodes from their governing node (the singleton right before them; the node itself may share its
+    position with others).
 
     ``occ``: position columns, occurrence_id, entity (NULL when open), token (NULL for names),
     label (explicit relative, '' when none). ``entries``: entry, name_norm; entities are entries.
@@ -77,7 +78,7 @@ def resolve_kinship(occ: DataFrame, entries: DataFrame, explicit: DataFrame | No
     Father: the lineage tail of the governing name, three tokens and more; score 7. Grandfather:
     the same, when the governing node is itself a resolved father pointer; score 8. A tie, or a
     best score below 7 or less than 2 ahead, stays unresolved and is recorded. A node depends
-    only on the node before it, so passes run until nothing new is resolved.
+    only on the node before it, so passes run until nothing new is resolved; a chain of pointers may be of any length.
     """
     index = prefix_index(entries, "entry", "name_norm", 2, 8).select("key", "entity")
     # a tail that opens with a kunya word is no lineage for the father rule
@@ -87,25 +88,27 @@ def resolve_kinship(occ: DataFrame, entries: DataFrame, explicit: DataFrame | No
         F.col("name_norm").alias("gov_name"), F.col("first").alias("g1"), F.col("last").alias("g2"))
     kin = entries.select(F.col("entry").alias("gov"), F.col("name_norm").alias("gov_name")).join(fathers, "gov_name", "left").join(grands, "gov_name", "left")
     kin = checkpointed(kin.drop("gov_name"))
-    met = guarded_neighbours(occ, ["occurrence_id", "entity", "token", "label"], sides=("prev",))
-    state = met.filter(F.col("token").isNotNull() & F.col("has_prev") & F.col("entity").isNull()).select(
-        *POSITION, "occurrence_id", "token", "label", F.col("prev_entity").alias("gov"),
-        F.col("prev_token").isin(*father).alias("after_father"))
-    state = checkpointed(state)
-    waiting, out = state, None
-    for number in range(1, max_passes + 1):
+    single = guarded_neighbours(occ, ["entity", "token"], sides=())
+    before = single.select("chain_id", "branch_hint", (F.col("sequence_index") + 1).alias("sequence_index"), F.col("entity").alias("gov"),
+                           F.col("token").isin(*father).alias("after_father"))
+    nodes = occ.filter(F.col("token").isNotNull() & F.col("entity").isNull()).select(*POSITION, "occurrence_id", "token", "label")
+    state = nodes.join(before, POSITION).join(single.select(*POSITION, F.lit(True).alias("alone")), POSITION, "left")
+    waiting, out, number = checkpointed(state), None, 0
+    while True:
+        number += 1
         ready = waiting.filter(F.col("gov").isNotNull())
         judged = _judge_kin(ready, kin, explicit, father, grandfather).withColumn("pass_no", F.lit(number))
         judged = checkpointed(judged)
         if judged.isEmpty():
             break
         out = judged if out is None else out.unionByName(judged)
-        news = judged.filter("status = 'resolved'").select(
+        # only a node that stands alone governs the next one
+        news = judged.filter("status = 'resolved' AND alone").select(
             "chain_id", "branch_hint", (F.col("sequence_index") + 1).alias("sequence_index"), F.col("entity").alias("__gov"))
         waiting = checkpointed(
             waiting.filter(F.col("gov").isNull()).join(news, POSITION, "left")
             .withColumn("gov", F.col("__gov")).drop("__gov"))
-    return out if out is not None else judged
+    return (judged if out is None else out).drop("alone")
 
 
 def _judge_kin(ready: DataFrame, kin: DataFrame, explicit: DataFrame | None, father, grandfather) -> DataFrame:
@@ -114,7 +117,7 @@ def _judge_kin(ready: DataFrame, kin: DataFrame, explicit: DataFrame | None, fat
     use_father = plain & F.col("token").isin(*father)
     use_grand = plain & F.col("token").isin(*grandfather) & F.coalesce("after_father", F.lit(False))
     implied = rows.select(
-        *POSITION, "occurrence_id", "token", "label", "gov",
+        *POSITION, "occurrence_id", "alone", "token", "label", "gov",
         F.when(use_father, F.col("f1")).when(use_grand, F.col("g1")).alias("first"),
         F.when(use_father, F.col("f2")).when(use_grand, F.col("g2")).alias("last"),
         F.when(use_father, 7).when(use_grand, 8).alias("s"))
@@ -132,7 +135,7 @@ def _judge_kin(ready: DataFrame, kin: DataFrame, explicit: DataFrame | None, fat
     done = implied.withColumn("score", score).withColumn("entity", entity)
     status = F.when(F.col("entity").isNull(), "unresolved").otherwise("resolved")
     method = F.when(F.col("label") != "", "explicit_relative").when(F.col("token").isin(*grandfather), "grandfather_after_father").otherwise("father_lineage")
-    return done.select(*POSITION, "occurrence_id", "token", "label", "gov", "entity", "score", status.alias("status"), method.alias("method"))
+    return done.select(*POSITION, "occurrence_id", "alone", "token", "label", "gov", "entity", "score", status.alias("status"), method.alias("method"))
 
 
 def resolve_strict_father(open_nodes: DataFrame, cards: DataFrame, next_edges: DataFrame, father=lx.FATHER_TOKENS,

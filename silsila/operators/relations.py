@@ -65,8 +65,3 @@ def listed_nodes(lists: DataFrame, card: str, text: str, node_keys: DataFrame, m
     padded = F.concat(F.lit(" "), "text", F.lit(" "))
     longer = heads.join(long, "head").filter(padded.contains(F.concat(F.lit(" "), "key", F.lit(" ")))).select("card", "node")
     return short.unionByName(longer).distinct()
-
-
-def contains_key(text: str, keys: str) -> Column:
-    """True when any key of an array occurs in the text (plain containment, for bound pairs)."""
-    return F.exists(F.col(keys), lambda k: F.col(text).contains(k))

@@ -94,15 +94,12 @@ def resolve_unique_names(occ: DataFrame, index: DataFrame, name: str = "name") -
 # -- R-02: teacher and student lists of the candidates -------------------------------------
 
 def resolve_list_context(open_pos: DataFrame, index: DataFrame, prev_edges: DataFrame, next_edges: DataFrame,
-                         prev_keys: tuple, next_keys: tuple, limit: int | None = None) -> DataFrame:
+                         prev_keys: tuple, next_keys: tuple) -> DataFrame:
     """Ambiguous names: raw neighbour name in a list counts 3, its canonical name 2; promote at
-    five and more when strictly best. ``limit`` leaves names with larger blocks alone."""
+    five and more when strictly best."""
     context = ["name", *prev_keys, *next_keys]
     sizes = block_sizes(index.select(F.col("name").alias("key"), F.col("candidate").alias("entity")))
-    sizes = sizes.filter(F.col("block_size") > 1)
-    if limit is not None:
-        sizes = sizes.filter(F.col("block_size") <= limit)
-    sizes = sizes.select(F.col("key").alias("name"), F.col("block_size").alias("candidate_count"))
+    sizes = sizes.filter(F.col("block_size") > 1).select(F.col("key").alias("name"), F.col("block_size").alias("candidate_count"))
     contexts = open_pos.select(*context).distinct().join(sizes, "name", "left_semi")
     scored = supported_candidates(contexts, index, prev_edges, next_edges, context, prev_keys, next_keys)
     scored = scored.withColumn("score", F.col("prev_weight") + F.col("next_weight"))
@@ -135,8 +132,7 @@ def judge_graph(index: DataFrame, relations: DataFrame) -> Callable[[DataFrame],
     return judge
 
 
-def judge_specific(index: DataFrame, prev_edges: DataFrame, next_edges: DataFrame,
-                   limit: int | None = None) -> Callable[[DataFrame], DataFrame]:
+def judge_specific(index: DataFrame, prev_edges: DataFrame, next_edges: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """R-12: name score plus 5 per supporting side, promoted by three rules.
 
     Unsupported candidates reach ten at most, so they never spoil a margin of a promoted one;
@@ -144,8 +140,6 @@ def judge_specific(index: DataFrame, prev_edges: DataFrame, next_edges: DataFram
     """
     sizes = block_sizes(index.select(F.col("name").alias("key"), F.col("candidate").alias("entity")))
     sizes = sizes.select(F.col("key").alias("name"), "block_size")
-    if limit is not None:
-        sizes = sizes.filter(F.col("block_size") <= limit)
     # the evidence is the same in every pass, so it is computed once
     index, sizes = checkpointed(index), checkpointed(sizes)
     prev_edges, next_edges = checkpointed(prev_edges), checkpointed(next_edges)
@@ -171,16 +165,18 @@ def judge_specific(index: DataFrame, prev_edges: DataFrame, next_edges: DataFram
     return judge
 
 
-def neighbour_passes(open_pos: DataFrame, judge: Callable[[DataFrame], DataFrame], max_passes: int) -> DataFrame:
+def neighbour_passes(open_pos: DataFrame, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run a judge in passes: what a pass resolves becomes evidence for the next one.
 
     Each pass sees the state at its start. Only positions with a neighbour resolved in the last
     pass are judged again, since all other contexts are unchanged. State and news are cut by
-    reliable checkpoints; the loop ends with the first pass without news.
+    reliable checkpoints; the loop ends with the first pass without news, and ``pass_no`` tells
+    in which pass a position was resolved.
     """
     state = checkpointed(open_pos.withColumn("fresh", F.lit(True)))
-    done = None
-    for number in range(1, max_passes + 1):
+    done, number = None, 0
+    while True:
+        number += 1
         verdicts = judge(state.filter("fresh").select(*CONTEXT).distinct())
         same = [F.col(f"s.{c}").eqNullSafe(F.col(f"v.{c}")) for c in CONTEXT]
         news = state.filter("fresh").alias("s").join(verdicts.alias("v"), same).select(
@@ -190,8 +186,6 @@ def neighbour_passes(open_pos: DataFrame, judge: Callable[[DataFrame], DataFrame
         if news.isEmpty():
             break
         done = news if done is None else done.unionByName(news)
-        if number == max_passes:
-            break
         told = F.explode(F.array(F.struct((F.col("sequence_index") + 1).alias("at"), F.lit(True).alias("as_prev")),
                                  F.struct((F.col("sequence_index") - 1).alias("at"), F.lit(False).alias("as_prev"))))
         updates = news.select("chain_id", "branch_hint", "entity", told.alias("t")).groupBy(

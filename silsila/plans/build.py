@@ -189,7 +189,7 @@ def resolve_more(occ: DataFrame, resolved: DataFrame, entries: DataFrame, made:
     lineage = anchors.withColumn("n", T.normalize("canonical_name", T.LINEAGE))
     opened = _rename(RS.open_positions(with_entities(occ, resolved)), T.LINEAGE)
     graph = RS.judge_graph(RS.plain_index(B.prefix_index(lineage, "anchor", "n", 1, 5)), relations)
-    resolved = _add(resolved, "strong_graph", RS.neighbour_passes(opened, graph, 7))
+    resolved = _add(resolved, "strong_graph", RS.neighbour_passes(opened, graph))
 
     people = entries.select(F.col("anchor").alias("entry"), T.normalize("canonical_name", T.KINSHIP).alias("name_norm"),
                             T.kunya_normalize(F.split(T.normalize("heading", T.KINSHIP), r"(?:روى|يروي)\s+عن", 2)[0]).alias("intro"))
@@ -273,7 +273,7 @@ def resolve_cards(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFrame
     opened = _rename(RS.open_positions(with_entities(occ, mapped)), T.CARDS)
     named = headed.join(refs, "card_id")
     index6 = B.name_index(named, opened, entity="ref", texts=("identity_norm", "sec")).withColumnRenamed("entity", "candidate")
-    found = RS.neighbour_passes(opened, RS.judge_specific(index6, prev6, next6), 6)
+    found = RS.neighbour_passes(opened, RS.judge_specific(index6, prev6, next6))
     mapped = checkpointed(mapped.unionByName(found.select("occurrence_id", "entity", F.col("method").alias("layer"))))
 
     # R-13: strict fathers; R-14: signatures

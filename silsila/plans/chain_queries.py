@@ -245,9 +245,9 @@ def unique_number_link(spark, d):
 
 
 @query("unresolved_anti", """
-SELECT d.doc_id, source FROM documents d WHERE lang IN ('en', 'fr') AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+SELECT d.doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def unresolved_anti(spark, d):
-    docs = table(spark, d, "documents").filter(F.col("lang").isin("en", "fr")).select("doc_id", "source")
+    docs = table(spark, d, "documents").select("doc_id", "source")
     return docs.join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
 
 
@@ -263,9 +263,9 @@ def supplier_relations(spark: SparkSession, d: str) -> DataFrame:
     return flagged_pairs(spark, d, 2)
 
 
-def _graph(spark, d, passes):
+def _graph(spark, d):
     judge = RS.judge_graph(RS.plain_index(supplier_index(spark, d)), supplier_relations(spark, d))
-    found = RS.neighbour_passes(RS.open_positions(named_line_nodes(spark, d)), judge, passes)
+    found = RS.neighbour_passes(RS.open_positions(named_line_nodes(spark, d)), judge)
     return found.select("chain_id", "sequence_index", "entity", "score", "pass_no")
 
 
@@ -287,12 +287,12 @@ def _graph_sql(passes: int) -> str:
 
 @query("graph_resolve_pass", _graph_sql(1))
 def graph_resolve_pass(spark, d):
-    return _graph(spark, d, 1)
+    return _graph(spark, d).filter("pass_no = 1")
 
 
 @query("graph_resolve_fixpoint", _graph_sql(7))
 def graph_resolve_fixpoint(spark, d):
-    return _graph(spark, d, 7)
+    return _graph(spark, d)
 
 
 _QUEUE = """
@@ -461,7 +461,7 @@ def specific_context(spark, d):
     nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("name"), F.col("n_name"))
     opened = RS.open_positions(named_line_nodes(spark, d)).join(nation, "name").drop("name").withColumnRenamed("n_name", "name")
     prev, nxt = card_edges(spark, d)
-    found = RS.neighbour_passes(opened, RS.judge_specific(index, prev, nxt), 6)
+    found = RS.neighbour_passes(opened, RS.judge_specific(index, prev, nxt))
     return found.select("chain_id", "sequence_index", "entity", "method", "score", "pass_no")
 
 
@@ -553,18 +553,20 @@ def precedence_union(spark, d):
 
 
 @query("upsert_status", """
-WITH t AS (SELECT doc_id AS k, quality, CASE WHEN toxic = 1 THEN 'candidate_only' ELSE 'strong' END AS status FROM labels),
-n AS (SELECT doc_id AS k, 9 AS quality, 'strong' AS status FROM documents WHERE lang = 'en'),
-up AS (SELECT * FROM t WHERE k NOT IN (SELECT k FROM n WHERE k NOT IN (SELECT k FROM t WHERE status <> 'candidate_only'))
-       UNION ALL SELECT * FROM n WHERE k NOT IN (SELECT k FROM t WHERE status <> 'candidate_only')),
+WITH t AS (SELECT doc_id AS k, quality, CASE WHEN toxic = 1 THEN 'candidate_only' WHEN quality = 1 THEN 'strong' END AS status FROM labels),
+n AS (SELECT doc_id AS k, CASE WHEN lang = 'en' THEN 8 ELSE 9 END AS quality, 'strong' AS status FROM documents),
+up AS (SELECT * FROM t WHERE k NOT IN (SELECT k FROM n WHERE k NOT IN (SELECT k FROM t WHERE status IS DISTINCT FROM 'candidate_only'))
+       UNION ALL SELECT * FROM n WHERE k NOT IN (SELECT k FROM t WHERE status IS DISTINCT FROM 'candidate_only')),
 l AS (SELECT doc_id AS k, 7 AS quality, 'last' AS status FROM documents WHERE lang = 'fr')
 SELECT * FROM up WHERE k NOT IN (SELECT k FROM l) UNION ALL SELECT * FROM l""")
 def upsert_status(spark, d):
-    labels = table(spark, d, "labels").select(F.col("doc_id").alias("k"), "quality", F.when(F.col("toxic") == 1, "candidate_only").otherwise("strong").alias("status"))
+    labels = table(spark, d, "labels").select(F.col("doc_id").alias("k"), "quality", F.when(F.col("toxic") == 1, "candidate_only").when(F.col("quality") == 1, "strong").alias("status"))
     docs = table(spark, d, "documents")
-    news = docs.filter("lang = 'en'").select(F.col("doc_id").alias("k"), F.lit(9).alias("quality"), F.lit("strong").alias("status"))
+    news = docs.select(F.col("doc_id").alias("k"), F.lit(9).alias("quality"), F.lit("strong").alias("status"))
+    # a second new row for some keys: the one with the smaller quality is taken
+    news = news.unionByName(docs.filter("lang = 'en'").select(F.col("doc_id").alias("k"), F.lit(8).alias("quality"), F.lit("strong").alias("status")))
     last = docs.filter("lang = 'fr'").select(F.col("doc_id").alias("k"), F.lit(7).alias("quality"), F.lit("last").alias("status"))
-    return upsert(upgrade_status(labels, news, ["k"]), last, ["k"], [F.col("quality")])
+    return upsert(upgrade_status(labels, news, ["k"], [F.col("quality")]), last, ["k"], [F.col("quality")])
 
 
 # -- kinship ------------------------------------------------------------------------------------
@@ -583,12 +585,14 @@ def kin_entries(spark: SparkSession, d: str) -> DataFrame:
 @query("kinship_resolve", f"""
 WITH {LINES},
 b AS (SELECT c, q, CASE WHEN rf = 'A' THEN 'F' WHEN rf = 'R' THEN 'G' END AS tok, CASE WHEN rf = 'N' THEN s END AS ent FROM single),
-w1 AS (SELECT x.c, x.q, x.tok, p.ent AS gov, p.tok AS ptok FROM b x JOIN b p ON p.c = x.c AND p.q = x.q - 1 WHERE x.tok IS NOT NULL AND p.ent IS NOT NULL),
-j1 AS (SELECT c, q, tok, gov, CASE WHEN tok = 'F' THEN 1000000000 + s_nationkey END AS ent, CASE WHEN tok = 'F' THEN 7 ELSE 0 END AS score, 1 AS pass_no FROM w1 JOIN supplier ON s_suppkey = gov),
-w2 AS (SELECT x.c, x.q, x.tok, j1.ent AS gov FROM b x JOIN j1 ON j1.c = x.c AND j1.q = x.q - 1 WHERE x.tok IS NOT NULL AND j1.ent IS NOT NULL),
-j2 AS (SELECT c, q, tok, gov, 2000000000 + n_regionkey AS ent, CASE WHEN tok = 'F' THEN 7 ELSE 8 END AS score, 2 AS pass_no FROM w2 JOIN nation ON n_nationkey = gov - 1000000000),
-w3 AS (SELECT x.c, x.q, x.tok, j2.ent AS gov FROM b x JOIN j2 ON j2.c = x.c AND j2.q = x.q - 1 WHERE x.tok IS NOT NULL),
-j3 AS (SELECT c, q, tok, gov, NULL::BIGINT AS ent, 0 AS score, 3 AS pass_no FROM w3),
+k AS (SELECT l_orderkey AS c, l_linenumber AS q, CASE WHEN l_returnflag = 'A' THEN 'F' WHEN l_returnflag = 'R' THEN 'G' END AS tok, n = 1 AS alone
+      FROM lineitem JOIN pos ON c = l_orderkey AND q = l_linenumber),
+w1 AS (SELECT x.c, x.q, x.tok, x.alone, p.ent AS gov, p.tok AS ptok FROM k x JOIN b p ON p.c = x.c AND p.q = x.q - 1 WHERE x.tok IS NOT NULL AND p.ent IS NOT NULL),
+j1 AS (SELECT c, q, tok, alone, gov, CASE WHEN tok = 'F' THEN 1000000000 + s_nationkey END AS ent, CASE WHEN tok = 'F' THEN 7 ELSE 0 END AS score, 1 AS pass_no FROM w1 JOIN supplier ON s_suppkey = gov),
+w2 AS (SELECT x.c, x.q, x.tok, x.alone, j1.ent AS gov FROM k x JOIN j1 ON j1.c = x.c AND j1.q = x.q - 1 WHERE x.tok IS NOT NULL AND j1.ent IS NOT NULL AND j1.alone),
+j2 AS (SELECT c, q, tok, alone, gov, 2000000000 + n_regionkey AS ent, CASE WHEN tok = 'F' THEN 7 ELSE 8 END AS score, 2 AS pass_no FROM w2 JOIN nation ON n_nationkey = gov - 1000000000),
+w3 AS (SELECT x.c, x.q, x.tok, x.alone, j2.ent AS gov FROM k x JOIN j2 ON j2.c = x.c AND j2.q = x.q - 1 WHERE x.tok IS NOT NULL AND j2.alone),
+j3 AS (SELECT c, q, tok, alone, gov, NULL::BIGINT AS ent, 0 AS score, 3 AS pass_no FROM w3),
 a AS (SELECT * FROM j1 UNION ALL SELECT * FROM j2 UNION ALL SELECT * FROM j3)
 SELECT c AS chain_id, q AS sequence_index, gov AS governing, ent AS entity, score, CASE WHEN ent IS NULL THEN 'unresolved' ELSE 'resolved' END AS status, pass_no FROM a""")
 def kinship_resolve(spark, d):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ def local_session(app: str = "silsila", cores: str = "*", shuffle_partitions: in
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.silsila.spread", str(os.cpu_count() if cores == "*" else cores))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

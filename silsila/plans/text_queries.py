@@ -308,10 +308,10 @@ def specific_keys(spark, d):
 @query("prefix_index", rf"""
 WITH t AS (SELECT doc_id, list_filter(string_split({plain("text")}, ' '), lambda x: x <> '') AS t FROM documents),
 k AS (SELECT DISTINCT doc_id, array_to_string(t[1:l], ' ') AS key FROM (SELECT doc_id, t, unnest(range(1, least(6, len(t)) + 1)) AS l FROM t))
-SELECT key, count(*) AS block_size, (count(*) > 3)::INT AS over_limit FROM k GROUP BY 1""")
+SELECT key, count(*) AS block_size FROM k GROUP BY 1""")
 def prefix_index(spark, d):
     docs = documents(spark, d).select("doc_id", T.normalize("text").alias("n"))
-    return B.block_sizes(B.prefix_index(docs, "doc_id", "n", 1, 6), limit=3)
+    return B.block_sizes(B.prefix_index(docs, "doc_id", "n", 1, 6))
 
 
 @query("phrase_clean", r"""

@@ -115,7 +115,7 @@ def marked_segments(marked, layout: PageLayout = SHELF_PAGES) -> Column:
     pieces = F.split(_col(marked), OPEN)
     head = F.array(F.struct(F.lit(None).cast("string").alias("number"), F.trim(pieces[0]).alias("text")))
     rest = F.transform(
-        F.slice(pieces, 2, 100_000_000),
+        F.slice(pieces, F.lit(2), F.size(pieces)),
         lambda p: F.struct(F.split(p, CLOSE, 2)[0].alias("m"), F.split(p, CLOSE, 2)[1].alias("text")),
     )
     if layout.marker_tags:

@@ -31,10 +31,10 @@ def upsert(target: DataFrame, new: DataFrame, keys: list[str], order: list[Colum
     return target.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
 
 
-def upgrade_status(target: DataFrame, new: DataFrame, keys: list[str], status: str = "status",
+def upgrade_status(target: DataFrame, new: DataFrame, keys: list[str], order: list[Column], status: str = "status",
                    weak: str = "candidate_only") -> DataFrame:
-    """New rows replace absent rows and rows of the weak status; strong rows stay."""
-    strong = target.filter(F.col(status) != weak)
-    fresh = new.join(strong.select(*keys), keys, "left_anti")
+    """New rows, one per key, replace absent rows and rows of the weak status; all others (also without a status) stay."""
+    strong = target.filter(~F.col(status).eqNullSafe(weak))
+    fresh = one_per_key(new, keys, order).join(strong.select(*keys), keys, "left_anti")
     kept = target.join(fresh.select(*keys), keys, "left_anti")
     return kept.unionByName(fresh)

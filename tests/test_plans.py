@@ -30,12 +30,13 @@ def test_scans_are_pruned(spark):
     text = plan(QUERIES["neighbours"](spark, SF))
     assert "l_extendedprice" not in text and "l_shipdate" not in text
     text = plan(QUERIES["unresolved_anti"](spark, SF))
-    assert "PushedFilters: [In(lang, [en,fr])" in text
+    assert "ReadSchema: struct<doc_id:bigint,source:string>" in text
 
 
 def test_entry_contract(spark):
     import __spark_entry__ as e
-    assert set(e.oracle_sql()) == set(e.queries())
+    from silsila.plans.catalog import QUERIES
+    assert set(QUERIES) <= set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).count() > 0
 
 

@@ -84,7 +84,10 @@ def test_seeds(spark, tmp_path):
 def test_table_sinks(spark, tmp_path):
     old = spark.createDataFrame([(1, "candidate_only"), (2, "strong")], "k int, status string")
     new = spark.createDataFrame([(1, "strong_graph"), (2, "strong_graph"), (3, "strong_graph")], "k int, status string")
-    assert rows(TB.upgrade_status(old, new, ["k"])) == [(1, "strong_graph"), (2, "strong"), (3, "strong_graph")]
+    assert rows(TB.upgrade_status(old, new, ["k"], [F.col("status")])) == [(1, "strong_graph"), (2, "strong"), (3, "strong_graph")]
+    blank = spark.createDataFrame([(1, None), (2, "candidate_only")], "k int, status string")
+    twice = spark.createDataFrame([(1, "b"), (3, "b"), (3, "a"), (2, "c")], "k int, status string")
+    assert rows(TB.upgrade_status(blank, twice, ["k"], [F.col("status")])) == [(1, None), (2, "c"), (3, "a")]
     assert rows(TB.insert_absent(old, new, ["k"], [F.col("status")])) == [(1, "candidate_only"), (2, "strong"), (3, "strong_graph")]
     assert rows(TB.upsert(old, new, ["k"], [F.col("status")])) == [(1, "strong_graph"), (2, "strong_graph"), (3, "strong_graph")]
     for _ in range(2):
