@@ -98,38 +98,39 @@ def name_index(cards: DataFrame, names: DataFrame, entity: str = "entity", texts
     """(name, entity, name_score) for the names that occur as a token run in an entity text.
 
     Score: 10 whole text, 9 prefix, 8 second place after a leading lineage word, 7 within the
-    first two places, 5 within the first four, 2 further in. A run inside the text counts when
-    the text opens with the same token, or the name is a single token, or it opens with the
-    lineage or kunya word. Built by an equi join of the runs with the wanted names, so no block
+    first two places, 5 within the first four, 2 further in. A run inside a text counts when any
+    text of the entity opens with the same token, or the name is a single token, or it opens with
+    the lineage or kunya word. Built by an equi join of the runs with the wanted names, so no block
     of a common first token is ever enumerated per name. Names longer than ``max_tokens`` meet by
     their first tokens and are then compared in full. ``aliases`` (name, entity) score 9.
     """
     wanted = names.select(F.col(name).alias("name")).distinct().withColumn("size", F.size(F.split("name", " ")))
     parts = []
+    heads = F.array_distinct(F.array_compact(F.array(*[F.get(K.tokens(text), F.lit(0)) for text in texts])))
     for text in texts:
         t = K.tokens(text)
-        parts.append(cards.select(F.col(entity).alias("entity"), F.col(text).alias("text"), t.alias("t")).filter(F.size("t") > 0))
+        parts.append(cards.select(F.col(entity).alias("entity"), heads.alias("heads"), t.alias("t")).filter(F.size("t") > 0))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    runs = rows.select("entity", F.size("t").alias("n"), F.get("t", F.lit(0)).alias("head"),
+    runs = rows.select("entity", F.size("t").alias("n"), "heads",
                        F.explode(K.ngrams("t", 1, max_tokens)).alias("g"))
-    runs = runs.select("entity", "n", "head", F.col("g.key").alias("name"), F.col("g.pos").alias("pos"), F.col("g.len").alias("len"))
+    runs = runs.select("entity", "n", "heads", F.col("g.key").alias("name"), F.col("g.pos").alias("pos"), F.col("g.len").alias("len"))
     hits = runs.join(wanted.filter(F.col("size") <= max_tokens).select("name"), "name")
-    starts = rows.select("entity", "t", F.explode(K.ngrams("t", max_tokens, max_tokens)).alias("g"))
-    starts = starts.select("entity", "t", F.col("g.key").alias("start"), F.col("g.pos").alias("pos"))
+    starts = rows.select("entity", "heads", "t", F.explode(K.ngrams("t", max_tokens, max_tokens)).alias("g"))
+    starts = starts.select("entity", "heads", "t", F.col("g.key").alias("start"), F.col("g.pos").alias("pos"))
     long = wanted.filter(F.col("size") > max_tokens).withColumn("start", F.substring_index("name", " ", max_tokens))
     longer = starts.join(long, "start").filter(F.array_join(F.slice("t", F.col("pos") + 1, F.col("size")), " ") == F.col("name"))
-    hits = hits.select("entity", "n", "head", "name", "pos", "len").unionByName(longer.select(
-        "entity", F.size("t").alias("n"), F.get("t", F.lit(0)).alias("head"), "name", "pos", F.col("size").alias("len")))
+    hits = hits.select("entity", "n", "heads", "name", "pos", "len").unionByName(longer.select(
+        "entity", F.size("t").alias("n"), "heads", "name", "pos", F.col("size").alias("len")))
     first = F.substring_index("name", " ", 1)
     second = F.get(F.split("name", " "), F.lit(1))
-    pooled = ((F.col("head") == first) | ((F.col("len") == 1) & (F.length("name") >= 3))
+    pooled = (F.array_contains("heads", first) | ((F.col("len") == 1) & (F.length("name") >= 3))
               | ((first == lineage) & (F.length(second) >= 3)) | ((first == kunya) & (F.length(second) >= 3)))
     score = (F.when((F.col("pos") == 0) & (F.col("len") == F.col("n")), 10).when(F.col("pos") == 0, 9)
              .when((first == lineage) & (F.col("pos") == 1), 8).when(F.col("pos") <= 1, 7).when(F.col("pos") <= 3, 5).otherwise(2))
     # the first place of the run decides, like a search from the left
-    hits = hits.filter(pooled).groupBy("name", "entity", "n", "head", "len").agg(F.min("pos").alias("pos"))
+    hits = hits.filter(pooled).groupBy("name", "entity", "n", "len").agg(F.min("pos").alias("pos"))
     scored = hits.withColumn("s", score).select("name", "entity", "s")
     if aliases is not None:
         scored = scored.unionByName(aliases.join(wanted.select("name"), "name", "left_semi").select("name", "entity", F.lit(9).alias("s")))

@@ -159,18 +159,29 @@ def mention_type(norm, g: ChainGrammar = ARABIC) -> Column:
 
 def extract_mentions(chains: DataFrame, chain_id: str = "chain_id", text: str = "chain_raw",
                      g: ChainGrammar = ARABIC, profile: Profile = PLAIN,
-                     route: str | None = r"\(\s*ح\s*\)|(?:^|\s)ح\s*$", flags: str = "") -> DataFrame:
+                     route: str | None = "", flags: str = "") -> DataFrame:
     """Ordered name mentions: the text between consecutive connectors, plus embedded mentions.
 
-    ``route`` is looked for in the text between two connectors; every hit opens a new branch,
-    also for the mention right after it. A connector needs a word edge before it (an attached
+    A route mark opens a new branch, also for the mention right after it: the mark of the grammar in brackets, or bare
+    before a connector that is one of its route verbs. ``route`` is a pattern to look for instead in the text between two
+    connectors (None: no routes). A connector needs a word edge before it (an attached
     conjunction is allowed), so it never fires inside a name.
     """
     connector = any_of(g.connectors)
     pattern = flags + lx.WORD_START + g.conj() + connector + r"\s+"
     df = staged(chains.select(chain_id, F.col(text).alias("__x")), __p=_marked_pieces(F.col("__x"), pattern))
     rest = F.slice("__p", F.lit(2), F.size("__p"))
-    routes = F.transform("__p", lambda p: F.regexp_count(p, F.lit(route)) if route else F.lit(0))
+    if route == "":
+        bracketed, bare = rf"\(\s*{g.route_mark}\s*\)", rf"(?:^|\s){g.route_mark}\s*$"
+        verb = flags + "^" + lx.WORD_START + g.conj() + any_of(g.route_verbs)
+
+        def marks(p, i):
+            ahead = F.coalesce(F.get("__p", i + 1).rlike(verb), F.lit(False))
+            return F.regexp_count(p, F.lit(bracketed)) + F.when(ahead, F.regexp_count(p, F.lit(bare))).otherwise(0)
+    else:
+        def marks(p, i):
+            return F.regexp_count(p, F.lit(route)) if route else F.lit(0)
+    routes = F.transform("__p", marks)
     df = staged(df, __s=_starts(F.col("__p")), __r=routes)
     said = r"\s+" + any_of(lx.SAID_BEFORE_COLON if g is ARABIC else g.said) + r"\s*:"
 

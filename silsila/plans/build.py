@@ -33,11 +33,25 @@ FILE = ["source", "file_name"]
 
 
 def read_library(spark: SparkSession, path: str) -> DataFrame:
-    """HTML files of ``path/<source>/<file>.htm``: source, file_name, html."""
-    files = spark.read.option("pathGlobFilter", "*.htm").option("recursiveFileLookup", True).text(path, wholetext=True)
-    name = F.expr("url_decode(input_file_name())")
-    return files.select(F.regexp_extract(name, r"([^/]+)/[^/]+$", 1).alias("source"), F.regexp_extract(name, r"([^/]+)\.[^./]+$", 1).alias("file_name"),
-                        F.col("value").alias("html"))
+    """HTML files of ``path/<source>/<file>.htm``: source, file_name, html, and the size and SHA-256 of the bytes.
+
+    A file is one value, so it must stay below 2 GB; broken bytes show as U+FFFD.
+    """
+    files = MF.read_files(spark, path)
+    return files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("source"), F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("file_name"),
+                        F.make_valid_utf8(F.col("content").cast("string")).alias("html"), "sha256", "size_bytes")
+
+
+def distinct_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(files without copies, one row per copy with ``duplicate_of``). Of equal contents a standalone file stays, else
+    the first by source and name. Files without a digest get that of their text."""
+    if "sha256" not in files.columns:
+        files = files.withColumn("sha256", F.sha2("html", 256)).withColumn("size_bytes", F.octet_length("html").cast("long"))
+    named = files.withColumn("__name", F.concat_ws("/", *FILE)).withColumn(
+        "__alone", (MF.parse_name("file_name")["kind"] == "standalone").cast("int"))
+    marked = MF.dedup_content(named.drop("html"), "sha256", "__name", "__name", "__alone")
+    copies = marked.filter("duplicate_of <> ''").select(*FILE, "sha256", "duplicate_of")
+    return files.join(copies.select(*FILE), FILE, "left_anti"), copies
 
 
 def file_ranks(files: DataFrame) -> DataFrame:
@@ -52,20 +66,25 @@ def file_ranks(files: DataFrame) -> DataFrame:
 
 
 def ordered_pages(files: DataFrame, layout: PG.PageLayout = PG.SHELF_PAGES) -> DataFrame:
-    """Pages with an integer order over all files of a source."""
+    """Pages with an integer order over all files of a source, by (file, page): as many numbers are set aside for each
+    file as the longest file has pages."""
     pages = PG.split_pages(files, "html", layout)
-    return pages.join(file_ranks(files), FILE).withColumn("page_order", F.col("rank") * 1_000_000 + F.col("page_no"))
+    longest = pages.agg(F.coalesce(F.max("page_no"), F.lit(0)).alias("__longest"))
+    room = int(longest.first()["__longest"]) + 1
+    return pages.join(file_ranks(files), FILE).withColumn("page_order", F.col("rank") * F.lit(room).cast("long") + F.col("page_no"))
 
 
 # -- corpus -------------------------------------------------------------------------------------
 
 
 def build_corpus(files: DataFrame, g: lx.ChainGrammar = lx.ARABIC) -> dict[str, DataFrame]:
-    """Source files, footnotes, records, chains, mentions, occurrences and observed edges."""
-    source_files = files.withColumn("sha256", F.sha2("html", 256)).withColumn("source_file_id", T.stable_id("SF_", "sha256"))
+    """Source files, their copies (left out of all that follows), footnotes, records, chains, mentions, occurrences and
+    observed edges."""
+    kept, copies = distinct_files(files)
+    source_files = kept.withColumn("source_file_id", T.stable_id("SF_", "sha256"))
     named = source_files.withColumn("n", MF.parse_name("file_name"))
     meta = named.select("source_file_id", F.col("n.book").alias("book"), F.col("n.volume").alias("volume"), F.col("n.kind").alias("kind"),
-                        "file_name", "sha256", F.octet_length("html").alias("size_bytes"))
+                        "file_name", "sha256", "size_bytes")
     pages = PG.split_pages(source_files.select("source_file_id", "html"), "html")
     keys = ["source_file_id", "page_no", "page_label"]
     footnotes = PG.side_layers(pages, keys).withColumn("footnote_id", T.stable_id("FN_", "source_file_id", "page_no", "layer_no", "text_sha256"))
@@ -77,13 +96,13 @@ def build_corpus(files: DataFrame, g: lx.ChainGrammar = lx.ARABIC) -> dict[str,
     carried = ["mention_id", "chain_id", "sequence_index", "branch_hint", "transmission_term"]
     occ = checkpointed(E.atomic_occurrences(mentions, carried, g=g))   # read by every later stage
     edges = C.observed_edges(C.position_edges(occ), chains)
-    return {"source_files": meta, "footnotes": footnotes, "records": records, "chains": chains, "mentions": mentions, "occurrences": occ,
+    return {"source_files": meta, "file_copies": copies, "footnotes": footnotes, "records": records, "chains": chains, "mentions": mentions, "occurrences": occ,
             "observed_edges": edges}
 
 
 def build_entries(files: DataFrame) -> DataFrame:
     """Numbered biographical entries over all pages and files, with anchor ids and lists."""
-    parts = PG.entry_parts(ordered_pages(files), "source", "page_order", layout=PG.ENTRY_PAGES)
+    parts = PG.entry_parts(ordered_pages(distinct_files(files)[0]), "source", "page_order", layout=PG.ENTRY_PAGES)
     bodies = PG.entry_bodies(parts, "source")
     rows = CD.entry_index(bodies, "body")
     rows = rows.withColumn("entry_id", T.stable_id("TK_", "source", "entry_order", "entry_segment", "heading"))
@@ -93,7 +112,7 @@ def build_entries(files: DataFrame) -> DataFrame:
 
 def build_summaries(files: DataFrame) -> DataFrame:
     """Numbered short entries: summary_no, summary_page, summary_text."""
-    bodies = PG.entry_bodies(PG.entry_parts(ordered_pages(files), "source", "page_order", layout=PG.ENTRY_PAGES), "source")
+    bodies = PG.entry_bodies(PG.entry_parts(ordered_pages(distinct_files(files)[0]), "source", "page_order", layout=PG.ENTRY_PAGES), "source")
     return checkpointed(bodies.select(F.col("number").try_cast("int").alias("summary_no"), F.col("entry_order").cast("string").alias("summary_page"),
                                       F.col("body").alias("summary_text")))
 
@@ -103,7 +122,7 @@ def build_secondary(files: DataFrame, grammars: dict[str, str | None]) -> DataFr
     out = None
     for source, grammar in grammars.items():
         layout = PG.TITLED_PAGES if grammar else PG.SHELF_PAGES
-        pages = ordered_pages(files.filter(F.col("source") == source), layout)
+        pages = ordered_pages(distinct_files(files.filter(F.col("source") == source))[0], layout)
         keep = {"bracketed": r"^\[\d+\]", "numbered": r"^\d+"}.get(grammar)
         bodies = PG.entry_bodies(PG.entry_parts(pages, "source", "page_order", layout=layout, keep=keep), "source")
         rows = PG.secondary_entries(bodies, "source", grammar)
@@ -182,6 +201,16 @@ def build_cards(resolved: DataFrame, entries: DataFrame, summaries: DataFrame) -
             "traits": EV.trait_rows(structured, "anchor", [f"has_{t}" for t, _ in lx.TRAITS], "summary_text")}
 
 
+def anchor_aliases(anchors: DataFrame, secondary: DataFrame | None) -> DataFrame:
+    """Alias table of the anchors, with the headings of their secondary entries."""
+    headings = None
+    if secondary is not None:
+        named = anchors.select("anchor", T.normalize("canonical_name", T.HEADINGS).alias("name_norm"))
+        match = EV.match_secondary(named, secondary)
+        headings = match.join(secondary.select("entry_id", "heading"), "entry_id").select("anchor", "source", "entry_id", "heading")
+    return CD.alias_table(anchors, headings)
+
+
 def resolve_more(occ: DataFrame, resolved: DataFrame, entries: DataFrame, made: dict[str, DataFrame],
                  secondary: DataFrame | None = None) -> DataFrame:
     """R-03, R-06, R-07, R-08 on top of the anchors resolved so far."""
@@ -201,12 +230,7 @@ def resolve_more(occ: DataFrame, resolved: DataFrame, entries: DataFrame, made:
     found = KIN.resolve_kinship(kin, people, KIN.label_matches(labels, people, kunyas))
     resolved = _add(resolved, "strong_relational", found.filter("status = 'resolved'"))
 
-    headings = None
-    if secondary is not None:
-        named = anchors.select("anchor", T.normalize("canonical_name", T.HEADINGS).alias("name_norm"))
-        match = EV.match_secondary(named, secondary)
-        headings = match.join(secondary.select("entry_id", "heading"), "entry_id").select("anchor", "source", "entry_id", "heading")
-    aliases = CD.alias_table(anchors, headings).filter(F.size(K.tokens("alias_norm")) >= 2).select(F.col("alias_norm").alias("name"), F.col("anchor").alias("entity")).distinct()
+    aliases = anchor_aliases(anchors, secondary).filter(F.size(K.tokens("alias_norm")) >= 2).select(F.col("alias_norm").alias("name"), F.col("anchor").alias("entity")).distinct()
     for label_, unique, profile, names in (
         ("strong_secondary_alias", B.unique_keys(aliases, "name"), T.HEADINGS, ("strong_alias_two_sided", "strong_alias_one_sided")),
         ("strong_unique_prefix", B.unique_keys(B.prefix_index(lineage, "anchor", "n", 3, 7)).select(F.col("key").alias("name"), "entity"),
@@ -244,9 +268,11 @@ def resolve_cards(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFrame
     ref = F.when(F.col("anchor").isNotNull(), F.concat(F.lit("A:"), "anchor")).otherwise(F.concat(F.lit("P:"), T.stable_id("P_", "card_id")))
     refs = checkpointed(cards.select("card_id").join(links, "card_id", "left").select("card_id", ref.alias("ref")))
 
-    # R-09, R-10: neighbours are anchors, their keys are name prefixes
+    # R-09, R-10: neighbours are anchors, their keys are name prefixes and aliases of three characters and more
     names = made["anchors"].select(F.col("anchor").alias("node"), T.normalize("canonical_name", T.CARDS).alias("n"))
     node_keys = names.select("node", F.explode(K.prefixes(K.tokens(F.substring_index("n", " ", 6)), 2, 6)).alias("p")).select("node", "p.key")
+    known = checkpointed(anchor_aliases(made["anchors"], secondary).select("anchor", T.normalize("alias_norm", T.CARDS).alias("name")).distinct())
+    node_keys = node_keys.unionByName(known.select(F.col("anchor").alias("node"), F.col("name").alias("key"))).filter(F.length("key") >= 3).distinct()
     prev, nxt = list_edges(texts, "card_id", "students_raw", "teachers_raw", node_keys, T.CARDS)
     opened = checkpointed(_rename(RS.open_positions(with_entities(occ, resolved)), T.CARDS))
     candidates = checkpointed(RS.source_card_candidates(opened, RS.plain_index(aliases), prev, nxt))
@@ -272,7 +298,10 @@ def resolve_cards(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFrame
     prev6, next6 = list_edges(texts.join(refs, "card_id"), "ref", "students_raw", "teachers_raw", keys, T.CARDS)
     opened = _rename(RS.open_positions(with_entities(occ, mapped)), T.CARDS)
     named = headed.join(refs, "card_id")
-    index6 = B.name_index(named, opened, entity="ref", texts=("identity_norm", "sec")).withColumnRenamed("entity", "candidate")
+    # aliases of two words and more stand for the card of their anchor
+    carded = known.withColumn("entity", F.concat(F.lit("A:"), "anchor")).join(refs.select(F.col("ref").alias("entity")).distinct(), "entity", "left_semi")
+    carded = carded.filter(F.size(K.tokens("name")) >= 2).select("name", "entity").distinct()
+    index6 = B.name_index(named, opened, entity="ref", texts=("identity_norm", "sec"), aliases=carded).withColumnRenamed("entity", "candidate")
     found = RS.neighbour_passes(opened, RS.judge_specific(index6, prev6, next6))
     mapped = checkpointed(mapped.unionByName(found.select("occurrence_id", "entity", F.col("method").alias("layer"))))
 

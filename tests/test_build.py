@@ -75,6 +75,31 @@ def test_corpus_layers(job):
     assert job["entries"].count() == 6
 
 
+def test_a_file_under_two_names_counts_once(spark, job):
+    html = f"<html><body>{BOOK}</body></html>"
+    twice = spark.createDataFrame([("books", "كتاب السنن - المجلد 01", html), ("books", "كتاب السنن", html), ("z", "كتاب السنن - المجلد 01", html)],
+                                  "source string, file_name string, html string")
+    c = BD.build_corpus(twice)
+    assert rows(c["source_files"], "book", "volume", "kind") == [("كتاب السنن", None, "standalone")]
+    assert rows(c["file_copies"], "source", "duplicate_of") == [("books", "books/كتاب السنن"), ("z", "books/كتاب السنن")]
+    for layer in ("occurrences", "observed_edges"):
+        ids = ["occurrence_id"] if layer == "occurrences" else ["from_name", "to_name", "evidence_count", "chain_count"]
+        ids = [i for i in ids if i in c[layer].columns]
+        assert rows(c[layer], *ids) == rows(job["corpus"][layer], *ids)
+    assert c["occurrences"].count() == c["occurrences"].select("occurrence_id").distinct().count()
+
+
+def test_library_bytes(spark, tmp_path):
+    import hashlib
+    folder = tmp_path / "books"
+    folder.mkdir()
+    raw = b"\xef\xbb\xbf<html>\xff</html>"
+    (folder / "a b.htm").write_bytes(raw)
+    got = BD.read_library(spark, str(tmp_path)).first()
+    assert (got.source, got.file_name, got.sha256, got.size_bytes) == ("books", "a b", hashlib.sha256(raw).hexdigest(), len(raw))
+    assert got.html.endswith("<html>\ufffd</html>")
+
+
 def test_identities(job):
     names = {r["anchor"]: r["canonical_norm"] for r in job["entries"].collect()}
     got = {(r["chain"], r["seq"]): (names[r["entity"]], r["layer"]) for r in job["occ"].join(job["resolved"], "occurrence_id").selectExpr(

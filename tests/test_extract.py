@@ -68,6 +68,13 @@ def test_embedded_mentions(spark):
     assert [g[0] for g in got] == list(range(1, len(got) + 1))
 
 
+def test_bare_route_mark_needs_a_route_verb(spark):
+    got = mentions(spark, "حدثنا قتيبة ح وحدثنا علي عن زيد")
+    assert [(g[2], g[3]) for g in got][1:] == [("علي", 1), ("زيد", 1)]
+    assert [g[3] for g in mentions(spark, "حدثنا قتيبة ح عن علي عن زيد")] == [0, 0, 0]
+    assert [g[3] for g in mentions(spark, "حدثنا قتيبة ( ح ) عن علي")] == [0, 1]
+
+
 def test_offsets_are_text_positions(spark):
     text = "حَدَّثَنَا قتيبة عن الليث  عن  نافع"
     df = E.extract_mentions(texts(spark, text).withColumnRenamed("id", "chain_id"), text="text")
