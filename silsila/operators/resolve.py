@@ -221,6 +221,23 @@ def queue_candidates(open_pos: DataFrame, index: DataFrame, relations: DataFrame
     return rows.withColumn("total_score", F.col("name_score") + F.col("prev_score") + F.col("next_score") + F.col("penalty"))
 
 
+def candidate_blocks(open_pos: DataFrame, index: DataFrame, status: str = "candidate") -> DataFrame:
+    """(name, candidate, status) for every open name: the candidates that the supported rows leave out are exactly these,
+    in every context of the name. One row per name and candidate, whatever the number of contexts."""
+    names = open_pos.select("name").distinct()
+    return plain_index(index).join(names, "name", "left_semi").select("name", "candidate", F.lit(status).alias("status"))
+
+
+def candidate_coverage(open_pos: DataFrame, blocks: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Per open name: contexts, block size, rows a full enumeration has, rows with a relation, rows told by the block alone."""
+    contexts = open_pos.select(*CONTEXT).distinct().groupBy("name").agg(F.count(F.lit(1)).alias("contexts"))
+    sizes = blocks.groupBy("name").agg(F.count(F.lit(1)).alias("block_size"))
+    held = candidates.groupBy("name").agg(F.count(F.lit(1)).alias("supported"))
+    rows = contexts.join(sizes, "name").join(held, "name", "left").withColumn("supported", F.coalesce("supported", F.lit(0)))
+    rows = rows.withColumn("enumerated", F.col("contexts") * F.col("block_size"))
+    return rows.withColumn("by_block", F.col("enumerated") - F.col("supported"))
+
+
 def _with_limits(rows: DataFrame, born: DataFrame) -> DataFrame:
     """Add the death year of the previous and the birth year of the next entity."""
     rows = rows.join(born.select(F.col("entity").alias("prev"), F.col("death_year").alias("prev_death")), "prev", "left")

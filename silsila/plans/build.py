@@ -140,9 +140,19 @@ def with_entities(occ: DataFrame, resolved: DataFrame) -> DataFrame:
                        (F.col("occurrence_type") == "named_candidate").cast("int").alias("is_named"))
 
 
-def _add(resolved: DataFrame, label: str, news: DataFrame) -> DataFrame:
-    """Resolved map with the news of one stage; what was resolved before stays."""
-    fresh = news.select("occurrence_id", "entity", F.col("score").cast("double").alias("score"), F.lit(label).alias("layer"))
+#: What a stage can tell about a resolution, as far as it has the column.
+EVIDENCE = ("name", "method", "score", "gov", "token", "label", "prev", "next", "prev_weight", "next_weight", "candidate_count", "runner_up", "pass_no")
+
+
+def _resolution(news: DataFrame, layer) -> DataFrame:
+    """Columns of the resolved map; the evidence of the stage as one JSON document."""
+    told = F.to_json(F.struct(*[c for c in EVIDENCE if c in news.columns]))
+    return news.select("occurrence_id", "entity", F.col("score").cast("double").alias("score"), layer.alias("layer"), told.alias("evidence"))
+
+
+def _add(resolved: DataFrame, label, news: DataFrame) -> DataFrame:
+    """Resolved map with the news of one stage; what was resolved before stays. ``label``: a text or a column."""
+    fresh = _resolution(news, F.lit(label) if isinstance(label, str) else label)
     return checkpointed(resolved.unionByName(fresh.join(resolved.select("occurrence_id"), "occurrence_id", "left_anti")))
 
 
@@ -167,7 +177,7 @@ def resolve_anchors(occ: DataFrame, entries: DataFrame) -> DataFrame:
     named = occ.filter("occurrence_type = 'named_candidate'").select("occurrence_id", F.col("normalized_name").alias("name"))
     index = B.prefix_index(strong, "anchor", "canonical_norm", 3, None).select("key", "entity")
     first = RS.resolve_unique_names(named.filter(K.lineage_eligible("name")), index)
-    resolved = checkpointed(first.select("occurrence_id", "entity", "score", F.lit("provisional_anchor").alias("layer")))
+    resolved = checkpointed(_resolution(first, F.lit("provisional_anchor")))
     met = C.guarded_neighbours(with_entities(occ, resolved), ["occurrence_id", "name", "entity", "is_named"])
     met = met.filter("entity IS NULL AND is_named = 1")
     opened = met.select(*C.POSITION, "occurrence_id", "name", F.col("prev_entity").alias("prev"), F.col("next_entity").alias("next"),
@@ -228,7 +238,8 @@ def resolve_more(occ: DataFrame, resolved: DataFrame, entries: DataFrame, made:
     kin = checkpointed(kin)
     labels = kin.filter("label <> ''").select("label").distinct()
     found = KIN.resolve_kinship(kin, people, KIN.label_matches(labels, people, kunyas))
-    resolved = _add(resolved, "strong_relational", found.filter("status = 'resolved'"))
+    named_kin = F.when(F.col("label") != "", "strong_relational_named").otherwise("strong_relational")
+    resolved = _add(resolved, named_kin, found.filter("status = 'resolved'"))
 
     aliases = anchor_aliases(anchors, secondary).filter(F.size(K.tokens("alias_norm")) >= 2).select(F.col("alias_norm").alias("name"), F.col("anchor").alias("entity")).distinct()
     for label_, unique, profile, names in (
@@ -249,7 +260,7 @@ def candidate_queue(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFra
     opened = checkpointed(_rename(RS.open_positions(with_entities(occ, resolved)), T.LINEAGE))
     years = made["structured"].select(F.col("anchor").alias("entity"), "birth_year", "death_year")
     rows = checkpointed(RS.queue_candidates(opened, index, made["relations"], years))
-    return {"candidates": rows, "summary": RS.queue_summary(opened, rows, index, years)}
+    return {"candidates": rows, "blocks": RS.candidate_blocks(opened, index), "summary": RS.queue_summary(opened, rows, index, years)}
 
 
 # -- cards first ---------------------------------------------------------------------------------
@@ -275,6 +286,7 @@ def resolve_cards(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFrame
     node_keys = node_keys.unionByName(known.select(F.col("anchor").alias("node"), F.col("name").alias("key"))).filter(F.length("key") >= 3).distinct()
     prev, nxt = list_edges(texts, "card_id", "students_raw", "teachers_raw", node_keys, T.CARDS)
     opened = checkpointed(_rename(RS.open_positions(with_entities(occ, resolved)), T.CARDS))
+    alias_open = opened
     candidates = checkpointed(RS.source_card_candidates(opened, RS.plain_index(aliases), prev, nxt))
     by_card = RS.resolve_source_cards(opened, candidates).select("occurrence_id", F.col("entity").alias("card_id"), F.lit("source_card_context").alias("layer"))
 
@@ -318,7 +330,8 @@ def resolve_cards(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFrame
 
     used = mapped.join(refs, mapped["entity"] == refs["ref"]).select("occurrence_id", "card_id")
     provisional = CD.provisional_cards(used, cards, links, texts, secondary.select("entry_id", "body"))
-    return {"source_cards": cards, "links": links, "texts": texts, "card_candidates": candidates, "card_map": mapped, "provisional": provisional,
+    return {"source_cards": cards, "links": links, "texts": texts, "card_candidates": candidates,
+            "alias_candidates": RS.candidate_blocks(alias_open, aliases, "alias_only"), "card_map": mapped, "provisional": provisional,
             "prev_edges": prev6, "next_edges": next6}
 
 

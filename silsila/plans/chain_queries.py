@@ -314,6 +314,25 @@ def candidate_queue(spark, d):
     return RS.queue_candidates(open_lines(spark, d), supplier_index(spark, d), supplier_relations(spark, d), supplier_years(spark, d))
 
 
+@query("candidate_blocks", f"""
+WITH {LINES} SELECT DISTINCT nm AS name, s_suppkey AS candidate, 'candidate' AS status FROM hidden JOIN supplier ON s_nationkey = nm""")
+def candidate_blocks(spark, d):
+    return RS.candidate_blocks(open_lines(spark, d), supplier_index(spark, d))
+
+
+@query("candidate_coverage", f"""
+WITH {LINES}, {_QUEUE},
+full_rows AS (SELECT DISTINCT h.nm AS name, h.prev, h.nxt, candidate, ps + xs > 0 AS told FROM tot JOIN hidden h ON h.c = tot.c AND h.q = tot.q),
+ctx AS (SELECT name, count(*) AS contexts FROM (SELECT DISTINCT name, prev, nxt FROM full_rows) GROUP BY 1)
+SELECT name, contexts, count(DISTINCT candidate) AS block_size, count(*) FILTER (told) AS supported, count(*) AS enumerated,
+       count(*) FILTER (NOT told) AS by_block FROM full_rows JOIN ctx USING (name) GROUP BY 1, 2""")
+def candidate_coverage(spark, d):
+    """Supported rows and blocks together stand for the full enumeration."""
+    opened, index = open_lines(spark, d), supplier_index(spark, d)
+    rows = RS.queue_candidates(opened, index, supplier_relations(spark, d), supplier_years(spark, d))
+    return RS.candidate_coverage(opened, RS.candidate_blocks(opened, index), rows)
+
+
 _SPAN = """
 yr AS (SELECT s_suppkey AS e, 100 + s_suppkey % 7 AS b, 104 + s_suppkey % 5 AS d FROM supplier)"""
 
