@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+from html.entities import name2codepoint
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,8 +125,9 @@ def _sql_strip(c: str, patterns) -> str:
 
 def _sql_plain(c: str) -> str:
     c = f"regexp_replace({c}, '(?s)<[^>]*>', ' ', 'g')"
-    for ref, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
-        c = f"replace({c}, '{ref}', '{char}')"
+    for name, point in sorted(name2codepoint.items(), key=lambda x: (x[0] == "amp", x)):      # the ampersand itself last
+        c = f"replace({c}, '&{name};', chr({32 if name == 'nbsp' else point}))"
+    c = f"replace({c}, '&#39;', chr(39))"
     return rf"trim(regexp_replace({c}, '\s+', ' ', 'g'))"
 
 

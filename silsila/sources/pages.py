@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,12 +59,34 @@ TITLED_PAGES = PageLayout(
 )
 
 
+def code_point(n) -> Column:
+    """The character of a code point; U+FFFD where there is none."""
+    ok = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    safe = F.when(ok, n).otherwise(F.lit(0xFFFD))
+    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+
+
+def resolve_references(c) -> Column:
+    """Character references become characters: numbers by code point, names by the standard HTML table. A non-breaking
+    space becomes a space; what is no reference stays as it is. One pass, so ``&amp;lt;`` gives ``&lt;``."""
+    names = F.create_map(*[F.lit(x) for name, point in sorted(name2codepoint.items()) for x in (name, chr(point))])
+
+    def resolved(p):
+        ref = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        rest = F.substring(p, F.length(ref) + 2, F.length(p))
+        point = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, F.lit(3), F.length(ref)), 16, 10)).when(
+            ref.startswith("#"), F.substring(ref, F.lit(2), F.length(ref))).cast("long")
+        char = F.when(ref == "apos", F.lit("'")).when(point.isNotNull(), code_point(point)).otherwise(F.try_element_at(names, ref))
+        return F.when((ref != "") & char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), p))
+
+    parts = F.split(_col(c), "&")
+    joined = F.array_join(F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, F.lit(2), F.size(parts)), resolved)), "")
+    return F.when(F.contains(_col(c), F.lit("&")), F.replace(joined, F.lit("\u00a0"), F.lit(" "))).otherwise(_col(c))
+
+
 def plain_text(c) -> Column:
-    """Tags become spaces, the common character references are resolved, space is collapsed."""
-    out = F.regexp_replace(_col(c), r"(?s)<[^>]*>", " ")
-    for ref, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(ref), F.lit(char))
-    return F.trim(collapse(out))
+    """Tags become spaces, character references are resolved, space is collapsed."""
+    return F.trim(collapse(resolve_references(F.regexp_replace(_col(c), r"(?s)<[^>]*>", " "))))
 
 
 def split_pages(files: DataFrame, html: str = "html", layout: PageLayout = SHELF_PAGES) -> DataFrame:

@@ -22,6 +22,16 @@ def files(spark, html=HTML, source="s", name="001"):
     return spark.createDataFrame([(source, name, html)], "source string, file_name string, html string")
 
 
+def test_references(spark):
+    texts = ["a &amp;lt; b", "&#8204;12 -", "x&#x41;&#X1F600;y", "caf&eacute; &hellip; &nosuch; & &;", "&apos;&quot;&#39;", "no reference", "&#xD800;&#0;", None, "&", "1&nbsp;2"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[1] for r in rows(df.withColumn("o", PG.resolve_references("t")), "i", "o")]
+    assert got == ["a &lt; b", "\u200c12 -", "xA\U0001f600y", "café … &nosuch; & &;", "'\"'", "no reference", "\ufffd\ufffd", None, "&", "1 2"]
+    page = '<div class="PageText"><span class="punct">&#8204;12 -</span> one &copy; two</div>'
+    pages = PG.split_pages(spark.createDataFrame([(page,)], "html string"))
+    assert rows(PG.page_records(pages, ["page_no"]), "marker", "text") == [("12", "one © two")]
+
+
 def test_page_records_and_footnotes(spark):
     pages = PG.split_pages(files(spark))
     assert rows(pages, "page_no", "page_label")[0] == (1, "12")
