@@ -111,13 +111,28 @@ def observed_edges(evidence: DataFrame, chains: DataFrame, chain: str = "chain_i
     return edges.withColumn("needs_review", review.cast("int"))
 
 
-def edge_facts(evidence: DataFrame) -> DataFrame:
-    """Evidence rows under a stable edge id, one per edge and position.
+def edge_facts(evidence: DataFrame, chains: DataFrame, chain: str = "chain_id", source: str = "source_file_id",
+               record: str = "record_id") -> DataFrame:
+    """Evidence rows under a stable edge id, one per edge and position, with the source file and record of the chain.
 
     The occurrence pairs behind a row are the from-atoms times the to-atoms of that position;
-    they stay factored (two counts) and are recovered by joining occurrences on the position.
+    they stay factored (two counts), and :func:`edge_pairs` expands them.
     """
-    return evidence.select(stable_id("E_", *EDGE).alias("edge_id"), *CHAIN, "from_sequence", "from_count", "to_count", "evidence_count")
+    meta = chains.select(F.col(chain).alias("chain_id"), F.col(source).alias("source_file_id"), F.col(record).alias("record_id"))
+    return evidence.join(meta, "chain_id").select(
+        stable_id("E_", *EDGE).alias("edge_id"), *CHAIN, "source_file_id", "record_id", "from_sequence", "from_count", "to_count", "evidence_count")
+
+
+def edge_pairs(evidence: DataFrame, occ: DataFrame, name: str = "normalized_name", kind: str = "occurrence_type",
+               term: str = "transmission_term") -> DataFrame:
+    """(edge_id, position, from_occurrence, to_occurrence): the pairs behind chosen evidence rows."""
+    at = [*CHAIN, "from_sequence"]
+    frm = occ.select(*CHAIN, F.col("sequence_index").alias("from_sequence"), F.col(name).alias("from_name"), F.col(kind).alias("from_type"),
+                     F.col("occurrence_id").alias("from_occurrence"))
+    to = occ.select(*CHAIN, (F.col("sequence_index") - 1).alias("from_sequence"), F.col(name).alias("to_name"), F.col(kind).alias("to_type"),
+                    F.col(term).alias("term"), F.col("occurrence_id").alias("to_occurrence"))
+    rows = evidence.join(frm, [*at, "from_name", "from_type"]).join(to, [*at, "to_name", "to_type", "term"])
+    return rows.select(stable_id("E_", *EDGE).alias("edge_id"), *at, "from_occurrence", "to_occurrence")
 
 
 def resolved_pairs(occ: DataFrame, entity: str = "entity") -> DataFrame:

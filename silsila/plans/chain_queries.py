@@ -91,12 +91,16 @@ def observed_edges(spark, d):
 
 @query("edge_evidence", f"""
 WITH {_EDGES}, u AS (SELECT *, count(*) OVER (PARTITION BY c, q, from_name, to_name, from_type, to_type, term) AS e FROM p)
-SELECT 'E_' || substr(sha256(concat_ws(chr(31), from_name::VARCHAR, to_name::VARCHAR, from_type, to_type, term)), 1, 20) AS edge_id,
-       c AS chain_id, q AS from_sequence, any_value(e) AS evidence_count
-FROM u GROUP BY c, q, from_name, to_name, from_type, to_type, term""")
+SELECT 'E_' || substr(sha256(concat_ws(chr(31), from_name::VARCHAR, to_name::VARCHAR, from_type, to_type, u.term)), 1, 20) AS edge_id,
+       u.c AS chain_id, 0 AS branch_hint, u.q AS from_sequence, any_value(e) AS evidence_count, any_value(o_custkey) AS source_file_id,
+       any_value(o_orderpriority) AS record_id, any_value(fc) AS from_count, any_value(tc) AS to_count
+FROM u JOIN (SELECT c, q, nm, ty, count(*) AS fc FROM n GROUP BY ALL) f ON f.c = u.c AND f.q = u.q AND f.nm = from_name AND f.ty = from_type
+JOIN (SELECT c, q, nm, ty, term, count(*) AS tc FROM n GROUP BY ALL) t ON t.c = u.c AND t.q = u.q + 1 AND t.nm = to_name AND t.ty = to_type AND t.term = u.term
+JOIN orders ON o_orderkey = u.c GROUP BY u.c, u.q, from_name, to_name, from_type, to_type, u.term""")
 def edge_evidence(spark, d):
-    facts = C.edge_facts(C.position_edges(line_names(spark, d)))
-    return facts.select("edge_id", "chain_id", "from_sequence", "evidence_count")
+    """Orders give each chain its source (customer) and record (priority)."""
+    chains = table(spark, d, "orders").select(F.col("o_orderkey").alias("chain_id"), F.col("o_custkey").alias("source_file_id"), F.col("o_orderpriority").alias("record_id"))
+    return C.edge_facts(C.position_edges(line_names(spark, d)), chains)
 
 
 @query("support_thresholds", f"""

@@ -74,6 +74,28 @@ def test_observed_edges_match_brute_force(spark):
     assert rows(got) == want
 
 
+def test_facts_expand_to_the_pairs(spark):
+    data, df = occurrences(spark)
+    df = df.withColumn("occurrence_id", F.monotonically_increasing_id())
+    occ = [r.asDict() for r in df.collect()]
+    want = []
+    for x in occ:
+        for y in occ:
+            if (x["chain_id"], x["branch_hint"], x["sequence_index"] + 1) != (y["chain_id"], y["branch_hint"], y["sequence_index"]):
+                continue
+            if x["normalized_name"] == y["normalized_name"] and x["occurrence_type"] == "named_candidate":
+                continue
+            want.append((x["occurrence_id"], y["occurrence_id"]))
+    fixed = spark.createDataFrame([tuple(o.values()) for o in occ], df.schema)
+    evidence = C.position_edges(fixed)
+    pairs = C.edge_pairs(evidence, fixed)
+    assert sorted(map(tuple, pairs.select("from_occurrence", "to_occurrence").collect())) == sorted(want)
+    chains = fixed.select("chain_id").distinct().withColumn("source_file_id", F.col("chain_id") % 5).withColumn("record_id", F.col("chain_id") * 7)
+    facts = C.edge_facts(evidence, chains)
+    assert facts.agg(F.sum("evidence_count")).first()[0] == len(want)
+    assert facts.filter("source_file_id <> chain_id % 5 or record_id <> chain_id * 7").count() == 0
+
+
 def test_hot_position_joins_as_one_row(spark):
     """Thousands of equal atoms in one position never form pairs."""
     n = 4000
