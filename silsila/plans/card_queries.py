@@ -193,16 +193,16 @@ def card_map(spark, d):
 @query("direct_seeds", f"""
 WITH {LINES}, px AS (SELECT s_suppkey, 'S ' || n_name || ' ' || left(s_suppkey::VARCHAR, 1) || ' ' || s_suppkey AS nm FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 un AS (SELECT array_to_string(string_split(nm, ' ')[1:3], ' ') AS k, min(s_suppkey) AS ent FROM px GROUP BY 1 HAVING count(*) = 1)
-SELECT h.c AS chain_id, h.q AS sequence_index, un.ent AS entity, CASE WHEN un.ent % 2 = 0 THEN 'existing_anchor' ELSE 'provisional_source_card' END AS card_type
-FROM hidden h JOIN px ON px.s_suppkey = h.s JOIN un ON k = array_to_string(string_split(px.nm, ' ')[1:3], ' ')""")
+SELECT l_orderkey AS chain_id, l_linenumber AS sequence_index, un.ent AS entity,
+       CASE WHEN un.ent % 2 = 0 THEN 'existing_anchor' ELSE 'provisional_source_card' END AS card_type
+FROM lineitem JOIN px ON px.s_suppkey = l_suppkey AND l_linestatus <> 'F' JOIN un ON k = array_to_string(string_split(px.nm, ' ')[1:3], ' ')""")
 def direct_seeds(spark, d):
-    """Unresolved names of three tokens that are a unique prefix over all cards need no neighbour."""
+    """Unresolved names of three tokens that are a unique prefix over all cards need no neighbour; those of groups count too."""
     sup = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     cards = sup.select(F.col("s_suppkey").alias("supplier"), F.concat_ws(" ", F.lit("S"), "n_name", F.substring(F.col("s_suppkey").cast("string"), 1, 1), "s_suppkey").alias("full"))
     index = B.prefix_index(cards, "supplier", "full", 3, 8).select("key", "entity")
-    opened = RS.open_positions(line_nodes(spark, d).join(cards.select("supplier", F.substring_index("full", " ", 3).alias("name")), "supplier"))
-    mapped = C.guarded_neighbours(line_nodes(spark, d), ["occurrence_id", "entity"], sides=()).filter("entity IS NOT NULL")
-    free = opened.join(mapped.select("occurrence_id"), "occurrence_id", "left_anti").filter(F.size(K.tokens("name")) >= 3)
+    names = cards.select("supplier", F.substring_index("full", " ", 3).alias("name"))
+    free = line_nodes(spark, d).filter("entity IS NULL").join(names, "supplier").drop("entity").filter(F.size(K.tokens("name")) >= 3)
     seeds = RS.resolve_unique_names(free, index).join(_sup_links(spark, d).select(F.col("card_id").alias("entity"), "anchor"), "entity", "left")
     kind = F.when(F.col("anchor").isNotNull(), "existing_anchor").otherwise("provisional_source_card")
     return seeds.select("chain_id", "sequence_index", "entity", kind.alias("card_type"))
@@ -305,18 +305,19 @@ def secondary_evidence(spark, d):
 @query("terminal_repair", r"""
 WITH s AS (SELECT doc_id, unnest(string_split(text, '.')) AS raw, generate_subscripts(string_split(text, '.'), 1) AS k FROM documents),
 n AS (SELECT doc_id, k, trim(regexp_replace(raw, '\s+', ' ', 'g'), ' ،؛;:.-') AS n FROM s),
-f AS (SELECT * FROM n WHERE contains(n, 'that')),
+f AS (SELECT * FROM n),
 p AS (SELECT *, CASE WHEN regexp_matches(n, '\s+(?:of|the)\s+that([^\p{L}\p{M}\p{N}_]|$)') THEN trim(regexp_extract(n, '^(.*?)\s+(?:of|the)\s+that(?:[^\p{L}\p{M}\p{N}_]|$)', 1), ' ،؛:.-') END AS pre FROM f),
-c AS (SELECT *, CASE WHEN starts_with(n, 'that') THEN 'pure_prophet' WHEN pre IS NOT NULL AND pre <> '' THEN 'narrator_plus_prophet' WHEN pre IS NOT NULL THEN 'pure_prophet' ELSE 'narrator_descriptor_only' END AS kind FROM p)
+c AS (SELECT *, CASE WHEN starts_with(n, 'that') THEN 'pure_prophet' WHEN pre IS NOT NULL AND pre <> '' THEN 'narrator_plus_prophet' WHEN pre IS NOT NULL THEN 'pure_prophet'
+      WHEN contains(n, 'that') THEN 'narrator_descriptor_only' ELSE 'other' END AS kind FROM p)
 SELECT doc_id, k::INT AS sentence_no, kind AS repair_kind, CASE kind WHEN 'pure_prophet' THEN '' WHEN 'narrator_plus_prophet' THEN pre ELSE n END AS hidden_name,
-       (kind <> 'narrator_descriptor_only')::INT AS needs_terminal FROM c""")
+       (kind IN ('pure_prophet', 'narrator_plus_prophet'))::INT AS needs_terminal FROM c""")
 def terminal_repair(spark, d):
     return prose_repairs(spark, d).select("doc_id", "sentence_no", "repair_kind", "hidden_name", "needs_terminal")
 
 
 def prose_repairs(spark: SparkSession, d: str) -> DataFrame:
     rows = documents(spark, d).select("doc_id", F.posexplode(F.split("text", r"\.")).alias("i", "raw"))
-    rows = rows.select("doc_id", (F.col("i") + 1).alias("sentence_no"), "raw").filter(F.col("raw").contains("that"))
+    rows = rows.select("doc_id", (F.col("i") + 1).alias("sentence_no"), "raw")
     return E.repair_terminals(rows, "raw", ("that",), (r"\s+(?:of|the)\s+SUBJECT",))
 
 
@@ -588,9 +589,10 @@ def mart_statements(spark, d):
 
 _REPAIRS = r"""
 s AS (SELECT doc_id, unnest(string_split(text, '.')) AS raw, generate_subscripts(string_split(text, '.'), 1) AS k FROM documents),
-n AS (SELECT doc_id, k, trim(regexp_replace(raw, '\s+', ' ', 'g'), ' ،؛;:.-') AS n FROM s WHERE contains(raw, 'that')),
+n AS (SELECT doc_id, k, trim(regexp_replace(raw, '\s+', ' ', 'g'), ' ،؛;:.-') AS n FROM s),
 p AS (SELECT *, CASE WHEN regexp_matches(n, '\s+(?:of|the)\s+that([^\p{L}\p{M}\p{N}_]|$)') THEN trim(regexp_extract(n, '^(.*?)\s+(?:of|the)\s+that(?:[^\p{L}\p{M}\p{N}_]|$)', 1), ' ،؛:.-') END AS pre FROM n),
-c AS (SELECT *, CASE WHEN starts_with(n, 'that') THEN 'pure_prophet' WHEN pre IS NOT NULL AND pre <> '' THEN 'narrator_plus_prophet' WHEN pre IS NOT NULL THEN 'pure_prophet' ELSE 'narrator_descriptor_only' END AS kind FROM p),
+c AS (SELECT *, CASE WHEN starts_with(n, 'that') THEN 'pure_prophet' WHEN pre IS NOT NULL AND pre <> '' THEN 'narrator_plus_prophet' WHEN pre IS NOT NULL THEN 'pure_prophet'
+      WHEN contains(n, 'that') THEN 'narrator_descriptor_only' ELSE 'other' END AS kind FROM p),
 rp AS (SELECT doc_id || '-' || k AS occurrence_id, kind AS repair_kind, CASE kind WHEN 'pure_prophet' THEN '' WHEN 'narrator_plus_prophet' THEN pre ELSE n END AS hidden FROM c),
 hn AS (SELECT hidden, min(occurrence_id) AS card FROM rp WHERE hidden <> '' GROUP BY 1 HAVING count(*) = 1)"""
 
