@@ -41,38 +41,41 @@ def steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES)
         low = high
 
 
-def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, column: str | None = "text") -> DataFrame:
+def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, column: str | None = "text",
+             step: int = STEP_BYTES) -> DataFrame:
     """``mapInArrow`` in steps of bounded size (whole batches where no text column is named); ``fn`` gives the output
     columns of one step."""
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
         for batch in batches:
-            for part in steps(batch, column) if column else [batch]:
+            for part in steps(batch, column, step) if column else [batch]:
                 yield pa.RecordBatch.from_pydict(fn(part), schema=arrow)
 
     return df.mapInArrow(run, schema)
 
 
-def edit_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], column: str = "text") -> DataFrame:
+def edit_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], column: str = "text", step: int = STEP_BYTES) -> DataFrame:
     """Filter or rewrite rows in place, all columns kept as they are, without a shuffle."""
     def run(batches):
         for batch in batches:
-            for part in steps(batch, column):
+            for part in steps(batch, column, step):
                 yield fn(part)
 
     return df.mapInArrow(run, df.schema)
 
 
-def bounded_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+def bounded_sample(df: DataFrame, key: str, limit: int, *others: DataFrame):
     """About ``limit`` rows chosen by a hash of the key; all rows where there are no more than that.
 
-    The share is the same in every partition, so nothing is gathered to choose the rows.
+    The share is the same in every partition, so nothing is gathered to choose the rows. ``others`` are tables with the
+    same key: they come back cut to the same keys, so a join with the sample moves no other rows.
     """
     n = df.count()
-    if n <= limit:
-        return df
-    return df.filter(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(GRAIN)) < int(GRAIN * limit / n))
+    part = int(GRAIN * min(1.0, limit / max(n, 1)))
+    chosen = [d if n <= limit else d.filter(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(GRAIN)) < part)
+              for d in (df, *others)]
+    return chosen if others else chosen[0]
 
 
 def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -105,7 +108,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not sc.master.startswith("local["):
+            if not (sc.master == "local" or sc.master.startswith("local[")):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="silsila-llm-")
         sc.setCheckpointDir(folder)

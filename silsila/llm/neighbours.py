@@ -122,7 +122,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 3000, dims: int = 40
     """``sample`` bounds the labelled vectors; None without any."""
     marks = labels.filter("quality is not null").select("doc_id").distinct().filter(
         F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    chosen = learnable(docs, labels.join(bounded_sample(marks, "doc_id", sample), "doc_id", "left_semi"))
+    _, some_docs, some_labels = bounded_sample(marks, "doc_id", sample, docs, labels)
+    chosen = learnable(some_docs, some_labels)
 
     def sparse(batch):
         out = {"doc_id": batch.column("doc_id"), "quality": batch.column("quality"), "term": [], "n": []}
