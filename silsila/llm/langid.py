@@ -20,6 +20,8 @@ from silsila.llm.common import bounded_sample, edit_rows, map_rows, segment_sums
 BITS = 14
 ORDERS = (1, 2, 3)
 UNKNOWN = "und"
+#: Text per step: n-gram arrays take some thirty times its size.
+STEP = 1_500_000
 _NOT_BLANK = re.compile(r"[^\W\d_]")
 
 
@@ -95,7 +97,7 @@ def document_frequencies(docs: DataFrame, bits: int = BITS) -> tuple[np.ndarray,
     def run(batches):
         df, n = np.zeros(1 << bits, dtype=np.int64), 0
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, limit=STEP):
                 texts = texts_of(part)
                 n += len(texts)
                 seen = np.zeros(1 << bits, dtype=bool)
@@ -119,12 +121,24 @@ def document_frequencies(docs: DataFrame, bits: int = BITS) -> tuple[np.ndarray,
     return out, total
 
 
-def _features(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """(doc_id, lang, gram, n): the grams of each whole text and how often they occur, at most ``2**BITS`` per row."""
+    def one(batch):
+        out = {"doc_id": batch.column("doc_id"), "lang": batch.column("lang"), "gram": [], "n": []}
+        for text in texts_of(batch):
+            parts = [ids[s[0]:e[0]] for ids, s, e in grams([text])]
+            ids, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int32), return_counts=True)
+            out["gram"].append(ids.astype(np.int32))
+            out["n"].append(n)
+        return out
+
+    return map_rows(docs.select("doc_id", "text", "lang"), one, "doc_id bigint, lang string, gram array<int>, n array<bigint>", step=STEP)
+
+
+def _features(grams_of, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sparse TF-IDF vector: gram ids and (relative frequency x idf)."""
-    parts = [ids[s[0]:e[0]] for ids, s, e in grams([text])]
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-    ids, n = np.unique(flat, return_counts=True)
-    return ids, n / max(len(flat), 1) * idf[ids]
+    ids, n = np.array(grams_of, dtype=np.int64), np.array(counts, dtype=float)
+    return ids, n / max(n.sum(), 1) * idf[ids]
 
 
 def fit_ftrl(rows, targets, k: int, width: int, epochs: int = 4, alpha: float = 8.0, beta: float = 1.0,
@@ -172,8 +186,8 @@ def fit_temperature(logits: np.ndarray, targets: np.ndarray) -> float:
 def train(docs: DataFrame, sample: int = 3000) -> LanguageModel:
     """Learn from ``learnable(docs)``. ``sample`` bounds the documents used for gradient steps and the temperature."""
     known = learnable(docs.select("doc_id", "text", "lang"))
-    rows = bounded_sample(known, "doc_id", sample).select("doc_id", "text", "lang").collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.lang, r.text))
+    rows = gram_counts(bounded_sample(known, "doc_id", sample)).collect()
+    rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.lang, r.gram, r.n))
     languages = sorted({r.lang for r in rows})
     width = 1 << BITS
     if not languages:
@@ -181,7 +195,7 @@ def train(docs: DataFrame, sample: int = 3000) -> LanguageModel:
     df, n = document_frequencies(known)
     idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
     at = {lang: i for i, lang in enumerate(languages)}
-    x = [_features(r.text, idf) for r in rows]
+    x = [_features(r.gram, r.n, idf) for r in rows]
     y = np.array([at[r.lang] for r in rows])
     tail = max(1, len(x) // 5)                       # the last fifth sets the temperature
     w, bias = fit_ftrl(x[tail:] or x, y[tail:] if len(x) > tail else y, len(languages), width)
@@ -196,7 +210,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         langs, scores = model.predict(texts_of(batch))
         return {"doc_id": batch.column("doc_id"), "lang_pred": langs, "score": scores}
 
-    return map_rows(docs.select("doc_id", "text"), one, "doc_id bigint, lang_pred string, score double")
+    return map_rows(docs.select("doc_id", "text"), one, "doc_id bigint, lang_pred string, score double", step=STEP)
 
 
 def accept(docs: DataFrame, model: LanguageModel, least: float = 0.35) -> DataFrame:
@@ -205,4 +219,4 @@ def accept(docs: DataFrame, model: LanguageModel, least: float = 0.35) -> DataFr
         langs, scores = model.predict(texts_of(batch))
         return batch.filter(pa.array([g != UNKNOWN and s >= least for g, s in zip(langs, scores)], pa.bool_()))
 
-    return edit_rows(docs, one)
+    return edit_rows(docs, one, step=STEP)
