@@ -22,7 +22,7 @@ SIMILARITY = 0.8
 #: Nine bands of three: a pair at the threshold collides in one of them with probability 0.998.
 BANDS, ROWS = 9, 3
 BANDED_WORDS, UNIT_WORDS, PASSAGE_WORDS, GAP_WORDS = 20, 8, 25, 8
-#: Buckets up to this many units are searched exactly, larger ones through leaders.
+#: Buckets up to this many units are searched in one go, larger ones through leaders first and then in parts.
 EXACT_BUCKET = 20_000
 _SIZE = 1 << 63
 
@@ -165,7 +165,7 @@ def spanning_links(ids: list[int], sets: list[np.ndarray]) -> list[tuple[int, in
 
 def _search_buckets(batches, exact: int):
     """Rows (key, unit, shingles) sorted by key to edges. A bucket over ``exact`` units keeps only leaders in memory: each
-    further unit is linked to every leader it is similar to, or becomes one."""
+    further unit is linked to every leader it is similar to, or becomes one. ``_split_links`` finds the rest."""
     def emit(edges):
         return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in edges], pa.int64()),
                                            "b": pa.array([b for _, b in edges], pa.int64())})
@@ -190,8 +190,9 @@ def _search_buckets(batches, exact: int):
             ids.append(u)
             sets.append(one)
             if not leading and len(ids) > exact:
-                edges += spanning_links(ids, sets)
-                led = {b for _, b in edges}
+                own = spanning_links(ids, sets)
+                edges += own
+                led = {b for _, b in own}
                 keep = [i for i, x in enumerate(ids) if x not in led]
                 ids, sets, leading = [ids[i] for i in keep], [sets[i] for i in keep], True
             if len(edges) > 50_000:
@@ -224,6 +225,44 @@ def _buckets(batches):
         last, open_ = (keys[-1], ids[-1]), bool(member[-1])
 
 
+def prefix(one: np.ndarray) -> np.ndarray:
+    """The smallest hashes of a sorted set, of which every set at the threshold or above has one among its own smallest."""
+    return one[:len(one) - int(np.ceil(SIMILARITY * len(one) - 1e-9)) + 1]
+
+
+def _split_links(full: DataFrame, marks: DataFrame, links: DataFrame, exact: int) -> DataFrame:
+    """The edges that leaders can not see in the buckets of more than ``exact`` units, between components of ``links``.
+
+    A bucket is cut by the prefixes of its sets, and only parts with units of two components or more are searched. A part
+    that is still too large is cut into blocks, and every two blocks meet in a bucket of their own.
+    """
+    roots = components(links).select(F.col("node").alias("unit"), "root")
+    wide = full.join(marks.filter(F.col("n") > exact).select("key"), "key", "left_semi").join(roots, "unit", "left").withColumn(
+        "root", F.coalesce("root", "unit"))
+    mixed = F.min("root") != F.max("root")
+    open_ = wide.groupBy("key").agg(mixed.alias("mixed")).filter("mixed").select("key")
+    wide = cut(wide.join(open_, "key", "left_semi"))
+
+    def parts(batches):
+        for batch in batches:
+            sets = [prefix(np.frombuffer(raw, dtype="<u8")).view(np.int64) for raw in batch.column("shingles").to_pylist()]
+            at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            yield pa.RecordBatch.from_pydict({
+                "key": batch.column("key").take(at), "part": pa.array(np.concatenate(sets) if sets else [], pa.int64()),
+                "unit": batch.column("unit").take(at), "root": batch.column("root").take(at)})
+
+    rows = wide.select("key", "unit", "root", "shingles").mapInArrow(parts, "key bigint, part bigint, unit bigint, root bigint")
+    found = rows.groupBy("key", "part").agg(mixed.alias("mixed"), F.count("*").alias("n")).filter("mixed").drop("mixed")
+    rows = rows.drop("root").join(found, ["key", "part"])
+    n = F.ceil(F.col("n") / exact)
+    rows = rows.withColumn("blocks", n).withColumn("one", F.pmod(F.xxhash64("unit"), F.col("blocks"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("key", "unit", F.xxhash64("key", "part", F.least("one", "other"), F.greatest("one", "other")).alias("meet"))
+    rows = rows.join(wide.select("key", "unit", "shingles"), ["key", "unit"]).select(F.col("meet").alias("key"), "unit", "shingles")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(
+        lambda b: _search_buckets(b, 1 << 62), "a bigint, b bigint")
+
+
 def near_links(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     """Verified edges (a, b) between banded units that differ."""
     rows = bands(docs).repartition("key").sortWithinPartitions("key", "unit")
@@ -235,8 +274,12 @@ def near_links(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     sets = shingle_sets(docs).join(members.select("unit").distinct(), "unit", "left_semi").groupBy("unit").agg(
         F.first("shingles").alias("shingles"))
     full = members.join(sets, "unit").select("key", "unit", "shingles")
-    return full.repartition("key").sortWithinPartitions("key").mapInArrow(
+    links = full.repartition("key").sortWithinPartitions("key").mapInArrow(
         lambda b: _search_buckets(b, exact), "a bigint, b bigint").distinct()
+    if marks.filter(F.col("n") > exact).isEmpty():
+        return links
+    links = cut(links)
+    return links.union(_split_links(full, marks, links, exact)).distinct()
 
 
 def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:

@@ -61,6 +61,36 @@ def test_links_against_brute_force(make):
             assert np.mean([find(a) == find(b) for a, b in true]) > 0.995
 
 
+def test_large_buckets_lose_no_link(make):
+    """Chains of lines: each is similar to the next one, the ends are not, so leaders alone can not hold them together."""
+    rng, rows = random.Random(5), []
+    for g in range(8):
+        one = words(150, rng)
+        for c in range(12):
+            rows.append((len(rows), " ".join(one)))
+            one = one[9:] + words(9, rng)
+    sets = sets_of(rows)
+    ids = list(sets)
+    true = [(a, b) for i, a in enumerate(ids) for b in ids[:i]
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9]
+    whole = joined([tuple(r) for r in paragraphs.near_links(make(rows)).collect()])
+    for exact in (2, 3, 5):
+        links = [tuple(r) for r in paragraphs.near_links(make(rows), exact).collect()]
+        find, real = joined(links), joined(true)
+        assert all(real(a) == real(b) for a, b in links)
+        assert all((find(a) == find(b)) == (whole(a) == whole(b)) for i, a in enumerate(ids) for b in ids[:i])
+
+
+def test_pending_edges_of_other_buckets_drop_no_leader():
+    import pyarrow as pa
+    rng = np.random.default_rng(8)
+    base, other = (np.unique(rng.integers(0, 2**63, 100, dtype=np.uint64)) for _ in range(2))
+    rows = [(1, 1, base), (1, 2, base)] + [(2, 2, base), (2, 3, other), (2, 4, base)]
+    batch = pa.RecordBatch.from_pydict({"key": [r[0] for r in rows], "unit": [r[1] for r in rows], "shingles": [r[2].tobytes() for r in rows]})
+    links = [p for b in paragraphs._search_buckets([batch], 1) for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist())]
+    assert (2, 4) in links
+
+
 def test_bands_reach_the_tuned_recall():
     rng = np.random.default_rng(0)
     hit = 0
