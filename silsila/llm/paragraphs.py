@@ -2,8 +2,13 @@
 
 Units are the lines of a text and the sentences inside them, as runs of lower-cased words. Long units are banded; in a
 unit of fewer than ``BANDED_WORDS`` words a changed word leaves less than the threshold, so it matches by equality
-alone. Equal units meet before any band is compared. Per document, matched units next to each other join to passages,
-and passages of at least ``PASSAGE_WORDS`` words are reported: the first one of a cluster is kept, the others go.
+alone. Equal units meet before any band is compared.
+
+What units can not see is found by runs of words over the whole text, whatever its lines: seeds are the runs of
+``SEED_WORDS`` words whose hash is the least of ``SEED_WINDOW`` in a row, so two texts that share 24 words share a seed.
+Around the ends of repeated seeds every run of ``UNIT_WORDS`` words is compared, which gives a match its real ends.
+Runs inside a unit that goes already are left out. Per document, matched units and runs next to each other join to
+passages, and passages of at least ``PASSAGE_WORDS`` words are reported: the first one of a cluster is kept, the others go.
 """
 
 from __future__ import annotations
@@ -24,6 +29,12 @@ BANDS, ROWS = 9, 3
 BANDED_WORDS, UNIT_WORDS, PASSAGE_WORDS, GAP_WORDS = 20, 8, 25, 8
 #: Buckets up to this many units are searched in one go, larger ones through leaders first and then in parts.
 EXACT_BUCKET = 20_000
+#: Two texts that share SEED_WORDS + SEED_WINDOW - 1 words share a seed. Single runs are compared up to REACH words away.
+SEED_WORDS, SEED_WINDOW, REACH = 12, 13, 32
+#: Bits of the filter of keys that are looked for. Its size never changes a result, only the rows that pass it in vain;
+#: where more than one bit in 64 is set, runs are compared all over the neighbourhood of a seed.
+FILTER_BITS, FILTER_FULL = 27, 1 / 64
+_CHUNK_BITS = 18
 _SIZE = 1 << 63
 
 
@@ -71,6 +82,141 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return map_rows(docs.select("doc_id", "text"), one, "unit bigint, doc_id bigint, first int, last int")
 
 
+def runs(flat: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words."""
+    many = max(len(flat) - n + 1, 0)
+    h = np.full(many, n, dtype=np.uint64)
+    for k in range(n):
+        h = (h ^ flat[k:k + many]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _words_of(batch, known: _WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of all texts of a step in a row, words per text, and per word how many the text has from there on."""
+    if len(known) > 300_000:
+        known.clear()
+    texts = [t.lower().split() for t in texts_of(batch)]
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    flat = np.fromiter((known[w] for t in texts for w in t), dtype=np.uint64, count=int(size.sum()))
+    return flat, size, np.repeat(np.cumsum(size), size) - np.arange(len(flat))
+
+
+def _slide(x: np.ndarray, n: int, pick) -> np.ndarray:
+    """``pick`` (minimum or maximum) over every ``n`` values in a row."""
+    many, wide = len(x) - n + 1, 1
+    while wide * 2 <= n:
+        x, wide = pick(x[:-wide], x[wide:]), wide * 2
+    return x[:many] if wide == n else pick(x[:many], x[n - wide:n - wide + many])
+
+
+def seeds(flat: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the seeds of a step; ties are all taken."""
+    h = runs(flat, SEED_WORDS)
+    if len(h) < SEED_WINDOW:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    least = _slide(h, SEED_WINDOW, np.minimum)
+    least[left[:len(least)] < SEED_WORDS + SEED_WINDOW - 1] = 0         # a window stays inside one text
+    edge = np.zeros(SEED_WINDOW - 1, dtype=np.uint64)
+    at = np.flatnonzero((_slide(np.concatenate([edge, least, edge]), SEED_WINDOW, np.maximum) == h) & (h > 0))
+    return at, h[at].view(np.int64)
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """Bit set over the first ``FILTER_BITS`` bits of the keys, packed; 16 MB at any number of keys."""
+    bit = F.shiftrightunsigned(F.col(column), 64 - FILTER_BITS)
+    rows = keys.select(bit.alias("bit")).withColumn("chunk", F.shiftrightunsigned("bit", _CHUNK_BITS)).repartition("chunk")
+
+    def pack(batches):
+        chunks = {}
+        for batch in batches:
+            bits, of = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("bit", "chunk"))
+            for c in np.unique(of):
+                chunks.setdefault(int(c), np.zeros(1 << _CHUNK_BITS, dtype=bool))[bits[of == c] & ((1 << _CHUNK_BITS) - 1)] = True
+        for c, flags in chunks.items():
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int64()), "bits": [np.packbits(flags, bitorder="little").tobytes()]})
+
+    out = np.zeros(1 << FILTER_BITS - 3, dtype=np.uint8)
+    for r in rows.mapInArrow(pack, "chunk bigint, bits binary").toLocalIterator():
+        low = r.chunk << _CHUNK_BITS - 3
+        out[low:low + len(r.bits)] = np.frombuffer(r.bits, dtype=np.uint8)
+    return out
+
+
+def passes(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which signed keys may be in the filter."""
+    at = (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _around(n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which of ``n`` places are in one of the ranges."""
+    step = np.zeros(n + 1, dtype=np.int32)
+    np.add.at(step, low, 1)
+    np.add.at(step, high, -1)
+    return np.cumsum(step[:n]) > 0
+
+
+def run_occurrences(docs: DataFrame) -> DataFrame:
+    """(unit, doc_id, first, last) of the repeated seeds and of the runs of ``UNIT_WORDS`` words near their ends."""
+    known, spark = _WordHash(), docs.sparkSession
+
+    def keys(batch):
+        flat, _, left = _words_of(batch, known)
+        return {"unit": seeds(flat, left)[1]}
+
+    repeated = map_rows(docs.select("text"), keys, "unit bigint").groupBy("unit").count().filter("count > 1")
+    bits = key_filter(repeated, "unit")
+    everywhere = np.bitwise_count(bits).sum(dtype=np.int64) > FILTER_FULL * (1 << FILTER_BITS)
+    shared = spark.sparkContext.broadcast(bits)
+
+    def one(batch):
+        flat, size, left = _words_of(batch, known)
+        at, h = seeds(flat, left)
+        hit = passes(h, shared.value)
+        n, stop = len(flat), np.cumsum(size)
+        start = stop - size
+
+        def near(places):
+            of = np.searchsorted(stop, places, "right")
+            return _around(n, np.maximum(places - REACH, start[of]), np.minimum(places + SEED_WORDS + REACH, stop[of]))
+
+        chosen = near(at[hit]) & (left >= UNIT_WORDS)
+        if not everywhere:
+            filled = size > 0
+            chosen &= near(at[~hit]) | near(start[filled]) | near(stop[filled] - 1)
+        single = np.flatnonzero(chosen)
+        places = np.concatenate([at[hit], single])
+        wide = np.repeat([SEED_WORDS, UNIT_WORDS], [int(hit.sum()), len(single)])
+        of = np.searchsorted(stop, places, "right")
+        first = places - start[of]
+        return {"unit": np.concatenate([h[hit], runs(flat, UNIT_WORDS)[single].view(np.int64)]),
+                "doc_id": batch.column("doc_id").take(pa.array(of)), "first": pa.array(first, pa.int32()),
+                "last": pa.array(first + wide, pa.int32())}
+
+    return map_rows(docs.select("doc_id", "text"), one, "unit bigint, doc_id bigint, first int, last int")
+
+
+def repeated_runs(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Repeated runs of words beside the verdicts ``rows`` on units, with the same columns.
+
+    A run inside a removed unit goes with it; a run that a matched unit repeats within its own document is left to it.
+    """
+    verdict = "doc_id", "first", "last", "cluster", "keep_doc_id", "removed"
+    both = rows.select(*verdict, F.lit(None).cast("long").alias("unit")).unionByName(
+        run_occurrences(docs).select("unit", "doc_id", "first", "last"), allowMissingColumns=True)
+    order = Window.partitionBy("doc_id").orderBy("first").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = both.withColumn("__gone", F.max(F.when(F.col("removed"), F.col("last"))).over(order)).withColumn(
+        "__matched", F.max(F.when(F.col("unit").isNull(), F.col("last"))).over(order))
+    found = cut(reach.filter(F.col("unit").isNotNull() & ~F.coalesce(F.col("__gone") >= F.col("last"), F.lit(False))).select(
+        "unit", "doc_id", "first", "last", F.coalesce(F.col("__matched") >= F.col("last"), F.lit(False)).alias("inside")))
+    classes = cut(found.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "first")).alias("owner")).filter("copies > 1"))
+    matched = join_classes(found, classes, "unit", "copies", "inner")
+    return matched.filter(~(F.col("inside") & F.col("doc_id").eqNullSafe(F.col("owner.doc_id")))).select(
+        "doc_id", "first", "last", F.col("unit").alias("cluster"), F.col("owner.doc_id").alias("keep_doc_id"),
+        (~(F.struct("doc_id", "first").eqNullSafe(F.col("owner")))).alias("removed"))
+
+
 def shingles(lines: list[list[str]], known: _WordHash) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the five-word shingles of lines (each at least five words), and how many each has, repeats included."""
     flat = np.array([known[w] for words in lines for w in words], dtype=np.uint64)
@@ -128,15 +274,16 @@ def bands(docs: DataFrame) -> DataFrame:
     return map_rows(docs.select("text"), one, "key bigint, unit bigint")
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(unit, shingles) of banded units: the sorted distinct shingle hashes as little-endian 64-bit numbers."""
-    known = _WordHash()
+def shingle_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(unit, shingles) of the banded units that may be among ``members``: the sorted distinct shingle hashes as
+    little-endian 64-bit numbers."""
+    known, shared = _WordHash(), docs.sparkSession.sparkContext.broadcast(key_filter(members, "unit"))
 
     def one(batch):
         ids, h, many = _lines_of(batch, known)
-        stop = np.cumsum(many)
-        sets = [np.unique(h[a:b]).tobytes() for a, b in zip(stop - many, stop)]
-        return {"unit": ids, "shingles": sets}
+        stop, wanted = np.cumsum(many), passes(ids, shared.value)
+        sets = [np.unique(h[a:b]).tobytes() for a, b in zip((stop - many)[wanted], stop[wanted])]
+        return {"unit": ids[wanted], "shingles": sets}
 
     return map_rows(docs.select("text"), one, "unit bigint, shingles binary")
 
@@ -271,7 +418,7 @@ def near_links(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     marks = shared.groupBy("key").agg(F.sum(F.xxhash64("unit").cast("decimal(38,0)")).alias("members"), F.count("*").alias("n"))
     chosen = marks.groupBy("members", "n").agg(F.min("key").alias("key")).select("key")
     members = cut(shared.join(chosen, "key"))
-    sets = shingle_sets(docs).join(members.select("unit").distinct(), "unit", "left_semi").groupBy("unit").agg(
+    sets = shingle_sets(docs, members).join(members.select("unit").distinct(), "unit", "left_semi").groupBy("unit").agg(
         F.first("shingles").alias("shingles"))
     full = members.join(sets, "unit").select("key", "unit", "shingles")
     links = full.repartition("key").sortWithinPartitions("key").mapInArrow(
@@ -300,6 +447,8 @@ def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     rows = join_classes(found, classes, "unit", "copies", "inner").select(
         "doc_id", "first", "last", F.col("root").alias("cluster"), F.col("owner.doc_id").alias("keep_doc_id"),
         (~(F.struct("doc_id", "first").eqNullSafe(F.col("owner")))).alias("removed"))
+    rows = cut(rows)
+    rows = rows.unionByName(repeated_runs(docs, rows))
     order = Window.partitionBy("doc_id", "removed").orderBy("first", F.desc("last"))
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("__new", F.when(before + GAP_WORDS >= F.col("first"), 0).otherwise(1))

@@ -128,6 +128,49 @@ def test_planted_passages(make):
         assert keep == [0] and at[doc] <= first and end <= at[doc] + n and end - first > n - 30
 
 
+def test_passages_of_any_layout(make):
+    """Passages cut in the middle of sentences, without punctuation, and of short lines, inside lines that differ."""
+    rng = random.Random(19)
+
+    def host():
+        return " ".join(" ".join(words(rng.randint(5, 14), rng)) + "." for _ in range(12))
+
+    plain = words(52, rng)
+    sentences = [w + ("." if i % 11 == 5 else "") for i, w in enumerate(words(51, rng))]
+    verse = [w + ("\n" if i % 5 == 4 else "") for i, w in enumerate(words(60, rng))]
+    short = words(25, rng)
+    rows, at = [], {}
+    for passage in (plain, sentences, verse, short):
+        for _ in range(2):
+            h, cut = host().split(), rng.randint(7, 30)
+            at[len(rows)] = cut, cut + len(passage)
+            rows.append((len(rows), " ".join(h[:cut]) + " " + " ".join(passage) + " " + " ".join(h[cut:])))
+    rows += [(100 + i, host()) for i in range(10)]
+    got = passages(paragraphs.repeated_passages(make(rows)))
+    assert got == [(i, *at[i], i % 2 == 1, [i - i % 2]) for i in range(8)]
+
+
+def test_every_shared_run_of_24_words_has_a_seed():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        run = rng.integers(0, 2**63, 24, dtype=np.uint64)
+        found = []
+        for _ in range(2):
+            size = np.array([rng.integers(0, 30), 0, 24 + rng.integers(0, 40), 5])
+            flat = rng.integers(0, 2**63, size.sum(), dtype=np.uint64)
+            at = size[0] + rng.integers(0, size[2] - 23)
+            flat[at:at + 24] = run
+            found.append(set(paragraphs.seeds(flat, np.repeat(np.cumsum(size), size) - np.arange(len(flat)))[1].tolist()))
+        assert found[0] & found[1]
+
+
+def test_full_filter_gives_the_same_passages(make, monkeypatch):
+    rows = near_rows(23)
+    want = passages(paragraphs.repeated_passages(make(rows)))
+    monkeypatch.setattr(paragraphs, "FILTER_FULL", -1)
+    assert passages(paragraphs.repeated_passages(make(rows))) == want
+
+
 def test_copies_and_edits(make):
     rng = random.Random(11)
     line = words(70, rng)
