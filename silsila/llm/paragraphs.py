@@ -1,11 +1,11 @@
 """Substring dedup: paragraphs are found by MinHash banding, verified by exact Jaccard and clustered by components.
 
-Units are the lines of a text and the sentences inside them, as runs of lower-cased words. Long units are banded; in a
-unit of fewer than ``BANDED_WORDS`` words a changed word leaves less than the threshold, so it matches by equality
-alone. Equal units meet before any band is compared.
+Units are the lines of a text and the sentences inside them, as runs of lower-cased words. Units of ``BANDED_WORDS``
+words are banded; the shingle sets of shorter ones meet by their smallest hashes, which misses no pair at the threshold.
+Equal units meet before any of these keys is compared.
 
 What units can not see is found by runs of words over the whole text, whatever its lines: seeds are the runs of
-``SEED_WORDS`` words whose hash is the least of ``SEED_WINDOW`` in a row, so two texts that share 24 words share a seed.
+``SEED_WORDS`` words whose hash is the least of ``SEED_WINDOW`` in a row, so two texts that share 20 words share a seed.
 Around the ends of repeated seeds every run of ``UNIT_WORDS`` words is compared, which gives a match its real ends.
 Runs inside a unit that goes already are left out. Per document, matched units and runs next to each other join to
 passages, and passages of at least ``PASSAGE_WORDS`` words are reported: the first one of a cluster is kept, the others go.
@@ -13,6 +13,8 @@ passages, and passages of at least ``PASSAGE_WORDS`` words are reported: the fir
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,7 +32,7 @@ BANDED_WORDS, UNIT_WORDS, PASSAGE_WORDS, GAP_WORDS = 20, 8, 25, 8
 #: Buckets up to this many units are searched in one go, larger ones through leaders first and then in parts.
 EXACT_BUCKET = 20_000
 #: Two texts that share SEED_WORDS + SEED_WINDOW - 1 words share a seed. Single runs are compared up to REACH words away.
-SEED_WORDS, SEED_WINDOW, REACH = 12, 13, 32
+SEED_WORDS, SEED_WINDOW, REACH = 12, 9, 28
 #: Bits of the filter of keys that are looked for. Its size never changes a result, only the rows that pass it in vain;
 #: where more than one bit in 64 is set, runs are compared all over the neighbourhood of a seed.
 FILTER_BITS, FILTER_FULL = 27, 1 / 64
@@ -45,7 +47,7 @@ class _WordHash(dict):
 
 
 def units(text: str):
-    """(first word, end word, is a line, words) of the units of a text, words numbered over the whole text."""
+    """(first word, end word, is searched for near copies, words) of the units of a text, words numbered over the whole text."""
     at = 0
     for line in text.lower().split("\n"):
         words = line.split()
@@ -57,10 +59,10 @@ def units(text: str):
                     if i + 1 - begin >= UNIT_WORDS:
                         parts.append((begin, i + 1))
                     begin = i + 1
-            if n >= BANDED_WORDS and parts != [(0, n)]:
+            if parts != [(0, n)]:
                 yield at, at + n, True, words
             for a, b in parts:
-                yield at + a, at + b, a == 0 and b == n and n >= BANDED_WORDS, words[a:b]
+                yield at + a, at + b, True, words[a:b]
         at += n
 
 
@@ -157,23 +159,31 @@ def _around(n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
-def run_occurrences(docs: DataFrame) -> DataFrame:
-    """(unit, doc_id, first, last) of the repeated seeds and of the runs of ``UNIT_WORDS`` words near their ends."""
-    known, spark = _WordHash(), docs.sparkSession
+def repeated_seeds(docs: DataFrame):
+    """Broadcast filter of the seeds that occur twice or more."""
+    known = _WordHash()
 
     def keys(batch):
         flat, _, left = _words_of(batch, known)
         return {"unit": seeds(flat, left)[1]}
 
-    repeated = map_rows(docs.select("text"), keys, "unit bigint").groupBy("unit").count().filter("count > 1")
-    bits = key_filter(repeated, "unit")
-    everywhere = np.bitwise_count(bits).sum(dtype=np.int64) > FILTER_FULL * (1 << FILTER_BITS)
-    shared = spark.sparkContext.broadcast(bits)
+    found = map_rows(docs.select("text"), keys, "unit bigint").groupBy("unit").count().filter("count > 1")
+    return docs.sparkSession.sparkContext.broadcast(key_filter(found, "unit"))
 
-    def one(batch):
+
+def run_occurrences(docs: DataFrame, repeated) -> DataFrame:
+    """(unit, doc_id, first, last) of the repeated seeds and of the runs of ``UNIT_WORDS`` words near their ends.
+
+    Runs are counted first, so only rows that may be repeated are handed on.
+    """
+    known = _WordHash()
+    everywhere = np.bitwise_count(repeated.value).sum(dtype=np.int64) > FILTER_FULL * (1 << FILTER_BITS)
+
+    def chosen(batch):
+        """(hashes, places, words) of seeds and runs, and the end of each text."""
         flat, size, left = _words_of(batch, known)
         at, h = seeds(flat, left)
-        hit = passes(h, shared.value)
+        hit = passes(h, repeated.value)
         n, stop = len(flat), np.cumsum(size)
         start = stop - size
 
@@ -181,30 +191,37 @@ def run_occurrences(docs: DataFrame) -> DataFrame:
             of = np.searchsorted(stop, places, "right")
             return _around(n, np.maximum(places - REACH, start[of]), np.minimum(places + SEED_WORDS + REACH, stop[of]))
 
-        chosen = near(at[hit]) & (left >= UNIT_WORDS)
+        some = near(at[hit]) & (left >= UNIT_WORDS)
         if not everywhere:
             filled = size > 0
-            chosen &= near(at[~hit]) | near(start[filled]) | near(stop[filled] - 1)
-        single = np.flatnonzero(chosen)
-        places = np.concatenate([at[hit], single])
-        wide = np.repeat([SEED_WORDS, UNIT_WORDS], [int(hit.sum()), len(single)])
+            some &= near(at[~hit]) | near(start[filled]) | near(stop[filled] - 1)
+        single = np.flatnonzero(some)
+        return (np.concatenate([h[hit], runs(flat, UNIT_WORDS)[single].view(np.int64)]), np.concatenate([at[hit], single]),
+                np.repeat([SEED_WORDS, UNIT_WORDS], [int(hit.sum()), len(single)]), stop, start)
+
+    twice = map_rows(docs.select("text"), lambda batch: {"unit": chosen(batch)[0]}, "unit bigint").groupBy("unit").count().filter("count > 1")
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(twice, "unit"))
+
+    def one(batch):
+        unit, places, wide, stop, start = chosen(batch)
+        keep = passes(unit, shared.value)
+        unit, places, wide = unit[keep], places[keep], wide[keep]
         of = np.searchsorted(stop, places, "right")
         first = places - start[of]
-        return {"unit": np.concatenate([h[hit], runs(flat, UNIT_WORDS)[single].view(np.int64)]),
-                "doc_id": batch.column("doc_id").take(pa.array(of)), "first": pa.array(first, pa.int32()),
+        return {"unit": unit, "doc_id": batch.column("doc_id").take(pa.array(of)), "first": pa.array(first, pa.int32()),
                 "last": pa.array(first + wide, pa.int32())}
 
     return map_rows(docs.select("doc_id", "text"), one, "unit bigint, doc_id bigint, first int, last int")
 
 
-def repeated_runs(docs: DataFrame, rows: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, rows: DataFrame, repeated) -> DataFrame:
     """Repeated runs of words beside the verdicts ``rows`` on units, with the same columns.
 
     A run inside a removed unit goes with it; a run that a matched unit repeats within its own document is left to it.
     """
     verdict = "doc_id", "first", "last", "cluster", "keep_doc_id", "removed"
     both = rows.select(*verdict, F.lit(None).cast("long").alias("unit")).unionByName(
-        run_occurrences(docs).select("unit", "doc_id", "first", "last"), allowMissingColumns=True)
+        run_occurrences(docs, repeated).select("unit", "doc_id", "first", "last"), allowMissingColumns=True)
     order = Window.partitionBy("doc_id").orderBy("first").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     reach = both.withColumn("__gone", F.max(F.when(F.col("removed"), F.col("last"))).over(order)).withColumn(
         "__matched", F.max(F.when(F.col("unit").isNull(), F.col("last"))).over(order))
@@ -233,17 +250,29 @@ def shingles(lines: list[list[str]], known: _WordHash) -> tuple[np.ndarray, np.n
     return h[at], many
 
 
-def _lines_of(batch, known):
-    """Banded units of a step, each distinct one once: ids, shingle hashes, shingles per unit."""
-    found = {}
-    for text in texts_of(batch):
-        for _, _, line, words in units(text):
+def _lines_of(batch, known, bits=None):
+    """Units of a step, each distinct one once: ids, shingle hashes, shingles per unit; with the filter of repeated seeds
+    also which units hold one."""
+    found, seeded, hits, at = {}, set(), [], 0
+    if bits is not None:
+        flat, size, left = _words_of(batch, known)
+        places, h = seeds(flat, left)
+        hits = places[passes(h, bits)].tolist()
+    for n, text in enumerate(texts_of(batch)):
+        for a, b, line, words in units(text):
             if line:
-                found.setdefault(unit_id(words), words)
+                u = unit_id(words)
+                found.setdefault(u, words)
+                if bits is not None:
+                    i = bisect_left(hits, at + a)
+                    if i < len(hits) and hits[i] + SEED_WORDS <= at + b:
+                        seeded.add(u)
+        at += int(size[n]) if bits is not None else 0
     if len(known) > 300_000:
         known.clear()
     h, many = shingles(list(found.values()), known)
-    return np.array(list(found), dtype=np.int64), h, many
+    ids = np.array(list(found), dtype=np.int64)
+    return (ids, h, many) if bits is None else (ids, h, many, np.array([u in seeded for u in found], dtype=bool))
 
 
 def band_keys(h: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -263,19 +292,45 @@ def band_keys(h: np.ndarray, many: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def bands(docs: DataFrame) -> DataFrame:
-    """(key, unit) per band of every banded unit."""
-    known = _WordHash()
+def prefix_keys(h: np.ndarray, many: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, their units, distinct shingles per unit): the smallest hashes of each unit of up to ``most`` distinct shingles.
+
+    Two sets at the threshold share all but a fifth of either, so one of these is common to both.
+    """
+    order = np.unique(np.repeat(np.arange(len(many), dtype=np.uint64), many) << np.uint64(40) | h >> np.uint64(24))
+    of = (order >> np.uint64(40)).astype(np.int64)
+    distinct = np.bincount(of, minlength=len(many))
+    rank = np.arange(len(order)) - (np.cumsum(distinct) - distinct)[of]
+    first = (distinct - np.ceil(SIMILARITY * distinct - 1e-9) + 1)[of]
+    chosen = (rank < first) & (distinct <= most)[of]
+    key = (order[chosen] & np.uint64((1 << 40) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    key ^= key >> np.uint64(31)
+    return key.view(np.int64), of[chosen], distinct
+
+
+def bands(docs: DataFrame, repeated) -> DataFrame:
+    """(key, unit) per key of every unit: bands of the long ones, smallest hashes of the short ones. The longest of the
+    short ones that reach the threshold with a long one have both.
+
+    A break (a changed, added or missing word, or a passage that moved) costs four shingles of either side or more, so
+    texts of m different shingles at the threshold have m / 36 breaks at most and share a run of 16 shingles, which is 20
+    words, from m = 18 on. A unit of that size without a repeated seed has no near copy and needs no bands.
+    """
+    known, least = _WordHash(), BANDED_WORDS - SHINGLE + 1
+    run = SEED_WORDS + SEED_WINDOW - SHINGLE
 
     def one(batch):
-        ids, h, many = _lines_of(batch, known)
-        return {"key": band_keys(h, many).ravel(), "unit": np.repeat(ids, BANDS)}
+        ids, h, many, seeded = _lines_of(batch, known, repeated.value)
+        keys, of, distinct = prefix_keys(h, many, int((least - 1) / SIMILARITY + 1e-9))
+        long = (distinct >= least) & (seeded | (distinct < many) | (distinct * 8 < run * 9))
+        banded = band_keys(h[np.repeat(long, many)], many[long])
+        return {"key": np.concatenate([banded.ravel(), keys]), "unit": np.concatenate([np.repeat(ids[long], BANDS), ids[of]])}
 
     return map_rows(docs.select("text"), one, "key bigint, unit bigint")
 
 
 def shingle_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(unit, shingles) of the banded units that may be among ``members``: the sorted distinct shingle hashes as
+    """(unit, shingles) of the units that may be among ``members``: the sorted distinct shingle hashes as
     little-endian 64-bit numbers."""
     known, shared = _WordHash(), docs.sparkSession.sparkContext.broadcast(key_filter(members, "unit"))
 
@@ -410,9 +465,9 @@ def _split_links(full: DataFrame, marks: DataFrame, links: DataFrame, exact: int
         lambda b: _search_buckets(b, 1 << 62), "a bigint, b bigint")
 
 
-def near_links(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
-    """Verified edges (a, b) between banded units that differ."""
-    rows = bands(docs).repartition("key").sortWithinPartitions("key", "unit")
+def near_links(docs: DataFrame, exact: int = EXACT_BUCKET, repeated=None) -> DataFrame:
+    """Verified edges (a, b) between units that differ; ``repeated`` as from ``repeated_seeds``."""
+    rows = bands(docs, repeated or repeated_seeds(docs)).repartition("key").sortWithinPartitions("key", "unit")
     shared = cut(rows.mapInArrow(_buckets, "key bigint, unit bigint"))
     # buckets with the same members are searched once
     marks = shared.groupBy("key").agg(F.sum(F.xxhash64("unit").cast("decimal(38,0)")).alias("members"), F.count("*").alias("n"))
@@ -437,9 +492,10 @@ def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     ``PASSAGE_WORDS`` words have no row. Null and empty texts have no units; null ids take part and rank before others;
     rows that repeat a doc_id repeat its passages; empty input gives no rows; other columns are not read.
     """
+    repeated = repeated_seeds(docs)
     found = occurrences(docs)
     same = found.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "first")).alias("place"))
-    near = components(near_links(docs, exact)).select(F.col("node").alias("unit"), "root")
+    near = components(near_links(docs, exact, repeated)).select(F.col("node").alias("unit"), "root")
     classes = cut(same.join(near, "unit", "left").filter(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn(
         "root", F.coalesce("root", "unit")))
     owner = classes.groupBy("root").agg(F.min("place").alias("owner"))
@@ -448,7 +504,7 @@ def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
         "doc_id", "first", "last", F.col("root").alias("cluster"), F.col("owner.doc_id").alias("keep_doc_id"),
         (~(F.struct("doc_id", "first").eqNullSafe(F.col("owner")))).alias("removed"))
     rows = cut(rows)
-    rows = rows.unionByName(repeated_runs(docs, rows))
+    rows = rows.unionByName(repeated_runs(docs, rows, repeated))
     order = Window.partitionBy("doc_id", "removed").orderBy("first", F.desc("last"))
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("__new", F.when(before + GAP_WORDS >= F.col("first"), 0).otherwise(1))

@@ -91,6 +91,30 @@ def test_pending_edges_of_other_buckets_drop_no_leader():
     assert (2, 4) in links
 
 
+def test_near_copies_of_short_units_and_inner_sentences(make):
+    """Sentences of 8 to 30 words inside lines that differ: brute force over all units finds no link that is missed."""
+    rng, rows = random.Random(29), []
+    for g in range(60):
+        base = words(rng.randint(8, 30), rng)
+        for c in range(4):
+            one = list(base)
+            if c == 1:
+                one = one + words(1, rng)
+            elif c == 2:
+                one[-1] = "changed"
+            elif c == 3:
+                one = one[1:] if len(one) > 8 else one
+            rows.append((len(rows), " ".join(words(9, rng)) + ". " + " ".join(one) + ". " + " ".join(words(9, rng))))
+    sets = {paragraphs.unit_id(w): set(zip(*[w[i:] for i in range(5)])) for _, t in rows for _, _, _, w in paragraphs.units(t)}
+    ids = list(sets)
+    true = {(a, b) for i, a in enumerate(ids) for b in ids[:i]
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9}
+    links = [tuple(r) for r in paragraphs.near_links(make(rows)).collect()]
+    find, real = joined(links), joined(true)
+    assert len(true) > 100 and all(real(a) == real(b) for a, b in links)
+    assert all(find(a) == find(b) for a, b in true)
+
+
 def test_bands_reach_the_tuned_recall():
     rng = np.random.default_rng(0)
     hit = 0
@@ -150,16 +174,16 @@ def test_passages_of_any_layout(make):
     assert got == [(i, *at[i], i % 2 == 1, [i - i % 2]) for i in range(8)]
 
 
-def test_every_shared_run_of_24_words_has_a_seed():
+def test_every_shared_run_of_20_words_has_a_seed():
     rng = np.random.default_rng(3)
     for _ in range(200):
-        run = rng.integers(0, 2**63, 24, dtype=np.uint64)
+        run = rng.integers(0, 2**63, 20, dtype=np.uint64)
         found = []
         for _ in range(2):
-            size = np.array([rng.integers(0, 30), 0, 24 + rng.integers(0, 40), 5])
+            size = np.array([rng.integers(0, 30), 0, 20 + rng.integers(0, 40), 5])
             flat = rng.integers(0, 2**63, size.sum(), dtype=np.uint64)
-            at = size[0] + rng.integers(0, size[2] - 23)
-            flat[at:at + 24] = run
+            at = size[0] + rng.integers(0, size[2] - 19)
+            flat[at:at + 20] = run
             found.append(set(paragraphs.seeds(flat, np.repeat(np.cumsum(size), size) - np.arange(len(flat)))[1].tolist()))
         assert found[0] & found[1]
 
@@ -171,6 +195,21 @@ def test_full_filter_gives_the_same_passages(make, monkeypatch):
     assert passages(paragraphs.repeated_passages(make(rows))) == want
 
 
+def test_near_copies_of_passages(make):
+    """Every passage whose copies reach the threshold is found: five sentences of 12 words in other lines, a word changed."""
+    rng, rows, near = random.Random(37), [], 0
+    for g in range(40):
+        base = [w + ("." if i % 12 == 11 else "") for i, w in enumerate(words(60, rng))]
+        other = list(base)
+        other[rng.randrange(60)] = "changed"
+        a, b = (set(zip(*[w[i:] for i in range(5)])) for w in (base, other))
+        near += len(a & b) >= 0.8 * len(a | b)
+        rows += [(2 * g + i, " ".join(words(15, rng)) + " " + " ".join(w) + " " + " ".join(words(15, rng))) for i, w in enumerate((base, other))]
+    got = {r.doc_id: r.n_words for r in paragraphs.repeated_passages(make(rows)).filter("removed").collect()}
+    assert near == 40 and set(got) == set(range(1, 80, 2))
+    assert min(got.values()) >= 50
+
+
 def test_copies_and_edits(make):
     rng = random.Random(11)
     line = words(70, rng)
