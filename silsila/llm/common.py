@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -78,10 +78,16 @@ def bounded_sample(df: DataFrame, key: str, limit: int, *others: DataFrame):
     return chosen if others else chosen[0]
 
 
-def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose key is not in ``ids`` (null is a key like any other); columns unchanged."""
-    gone = ids.select(F.col(key).alias("__gone_key"))
-    return docs.join(gone, docs[key].eqNullSafe(gone["__gone_key"]), "left_anti")
+def without(docs: DataFrame, gone: DataFrame, mark: Column) -> DataFrame:
+    """Rows of ``docs`` whose (doc_id, ``mark``) is not in ``gone`` (doc_id, mark); columns unchanged.
+
+    ``mark`` is computed from the row's own text, so a row goes for its text, not for an id it shares. Null is an id like
+    any other.
+    """
+    pairs = gone.select(F.col("doc_id").alias("__gone_id"), F.col("mark").alias("__gone_mark")).distinct()
+    marked = docs.withColumn("__mark", mark)
+    return marked.join(pairs, marked["doc_id"].eqNullSafe(pairs["__gone_id"]) & (marked["__mark"] == pairs["__gone_mark"]),
+                       "left_anti").drop("__mark")
 
 
 def join_classes(rows: DataFrame, classes: DataFrame, key: str, size: str, how: str = "left", share: int = 1000) -> DataFrame:

@@ -8,6 +8,7 @@ again. A trie over its budget hands out its largest subtree; such partial owners
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -200,6 +201,25 @@ def exact_groups(docs: DataFrame, largest: bool = True, limit: int = TRIE_BYTES)
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """Documents without the rows that ``exact_groups`` drops; columns unchanged."""
-    return without(docs, exact_groups(docs).filter(~F.col("kept")))
+def _content_mark():
+    """``text_sha256`` of a row as an expression."""
+    return F.sha2(F.translate(F.coalesce(F.col("text"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase).cast("binary"), 256)
+
+
+def drop_copies(docs: DataFrame, one_row: bool = False) -> DataFrame:
+    """Documents without the rows that ``exact_groups`` drops; columns unchanged.
+
+    Rows that repeat a doc_id and its text share the verdict and stay together; with ``one_row`` only the least of them
+    stays (by all columns in their order).
+    """
+    verdicts = cut(exact_groups(docs).filter("group_size > 1").select("doc_id", "kept", F.col("text_sha256").alias("mark")))
+    left = without(docs, verdicts.filter(~F.col("kept")), _content_mark())
+    repeated = verdicts.filter("kept").groupBy("doc_id", "mark").count().filter("count > 1")
+    if not one_row or repeated.isEmpty():
+        return left
+    repeated = repeated.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__m"))
+    marked = docs.withColumn("__mark", _content_mark())
+    several = marked.join(repeated, marked["doc_id"].eqNullSafe(repeated["__id"]) & (marked["__mark"] == repeated["__m"]), "left_semi")
+    least = several.groupBy("doc_id", "__mark").agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("__row"))
+    others = without(left, repeated.select(F.col("__id").alias("doc_id"), F.col("__m").alias("mark")), _content_mark())
+    return others.unionByName(least.select("__row.*"))

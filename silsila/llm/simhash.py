@@ -113,10 +113,16 @@ def simhash(text: str) -> int:
     return int(np.packbits(votes * 2 > len(begin), bitorder="little").view("<i8")[0])
 
 
+def _text_mark():
+    """SHA-256 of a row's text as an expression."""
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, print) per row; null and wordless texts have print 0."""
-    return map_rows(docs.select("doc_id", "text"), lambda batch: {
-        "doc_id": batch.column("doc_id"), "print": [simhash(t) for t in texts_of(batch)]}, "doc_id bigint, print bigint")
+    """(doc_id, mark, print) per row; null and wordless texts have print 0. The mark tells rows with one id apart."""
+    return map_rows(docs.select("doc_id", "text", _text_mark().alias("mark")), lambda batch: {
+        "doc_id": batch.column("doc_id"), "mark": batch.column("mark"), "print": [simhash(t) for t in texts_of(batch)]},
+        "doc_id bigint, mark string, print bigint")
 
 
 def _bits_apart(a: np.ndarray, b) -> np.ndarray:
@@ -232,6 +238,21 @@ def links(prints: DataFrame, direct: int = DIRECT) -> DataFrame:
         _balls(found.filter("wide").select(F.col("a").alias("print")).distinct()))
 
 
+def _members(docs: DataFrame, direct: int) -> DataFrame:
+    """(doc_id, mark, print, copies, owner) per row; owner is the (unknown, doc_id, mark) that comes first in the row's
+    component, ids before null, null for a row alone."""
+    rows = cut(fingerprints(docs))
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "mark")
+    classes = rows.groupBy("print").agg(F.min(first).alias("first"), F.count("*").alias("copies"))
+    roots = components(links(classes.select("print"), direct))
+    placed = classes.join(roots.select(F.col("node").alias("print"), "root"), "print", "left").filter(
+        F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn("root", F.coalesce("root", "print"))
+    placed = cut(placed)
+    named = placed.groupBy("root").agg(F.min("first").alias("owner"))
+    known = placed.join(named, "root").select("print", "owner", "copies")
+    return join_classes(rows, known, "print", "copies").select("doc_id", "mark", "print", "copies", "owner")
+
+
 def near_duplicates(docs: DataFrame, direct: int = DIRECT) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row; component_id is the smallest doc_id reachable.
 
@@ -239,20 +260,16 @@ def near_duplicates(docs: DataFrame, direct: int = DIRECT) -> DataFrame:
     fingerprint zero and link like others; fewer than four words make one shingle. Null ids take part but never name a
     component unless it has no other id. Repeated rows repeat; empty input gives no rows; other columns are not read.
     """
-    rows = cut(fingerprints(docs))
-    classes = rows.groupBy("print").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-    roots = components(links(classes.select("print"), direct))
-    placed = classes.join(roots.select(F.col("node").alias("print"), "root"), "print", "left").filter(
-        F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn("root", F.coalesce("root", "print"))
-    placed = cut(placed)
-    named = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    known = placed.join(named, "root").select("print", "component_id", "copies")
-    return join_classes(rows, known, "print", "copies").select(
+    return _members(docs, direct).select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"),
-        F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("owner.doc_id")).alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component stays, the one with the smallest id; columns unchanged."""
-    groups = near_duplicates(docs)
-    return without(docs, groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    """One document of each component stays, the one with the smallest id; columns unchanged.
+
+    Of different texts with that id the one with the smallest SHA-256 stays. Rows that repeat an id and its text are one
+    document.
+    """
+    stays = F.col("doc_id").eqNullSafe(F.col("owner.doc_id")) & (F.col("mark") == F.col("owner.mark"))
+    return without(docs, _members(docs, DIRECT).filter(F.col("copies").isNotNull() & ~stays), _text_mark())

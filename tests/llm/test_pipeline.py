@@ -76,3 +76,27 @@ def test_run_and_odd_rows(spark, sf, odd, nothing):
         for name, stage in corpus_pipeline.STAGES:
             docs = stage_table(stage(spark, docs, sf), name)
         assert (docs.count() > 0) == (start is odd)
+
+
+def test_dedup_stages_drop_rows_for_their_own_text(make):
+    """Null ids, one id with two texts, and fully repeated rows: what goes is the copy, nothing that shares its id."""
+    base = "the quick brown fox jumps over the lazy dog near the old stone bridge while seven grey geese watch from a low wall " * 6
+    near = [base.replace(" ", " " * n, 1) for n in (2, 3, 4)]                 # other texts, the same words
+    rows = [(1, "Copy A"), (None, "copy a"), (None, "alone one"), (2, "copy ÄÖ\U0001f600 B"), (3, "COPY ÄÖ\U0001f600 b"), (2, "alone two"),
+            (4, "same row"), (4, "same row"), (None, "no id twice"), (None, "no id twice"),
+            (5, base), (6, near[0]), (6, "alone six"), (None, near[1]), (5, near[2])]
+    exact = stage_table(corpus_pipeline.exact_copies(None, make(rows), ""), "exact")
+    want = list(rows)
+    for row in [(None, "copy a"), (2, "copy ÄÖ\U0001f600 B"), (4, "same row"), (None, "no id twice")]:
+        want.remove(row)
+    assert sorted(((r.doc_id, r.text) for r in exact.collect()), key=repr) == sorted(want, key=repr)
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.near_copies(None, exact, "").collect()]
+    kept = [row for row in want if row[1] not in (base, *near)]
+    assert sorted((row for row in left if row[1] not in (base, *near)), key=repr) == sorted(kept, key=repr)
+    assert [i for i, text in left if text in (base, *near)] == [5]
+
+
+def test_one_of_near_copies_with_one_id_stays(make):
+    base = "the quick brown fox jumps over the lazy dog near the old stone bridge while seven grey geese watch from a low wall " * 6
+    for i in (7, None):
+        assert simhash.drop_near_duplicates(make([(i, base), (i, base + " "), (8, "something else")])).count() == 2
