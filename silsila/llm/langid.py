@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silsila.llm.common import bounded_sample, edit_rows, map_rows, segment_sums, steps, texts_of
+from silsila.llm.common import GRAIN, edit_rows, map_rows, segment_sums, steps, texts_of
 
 BITS = 14
 ORDERS = (1, 2, 3)
@@ -183,10 +183,43 @@ def fit_temperature(logits: np.ndarray, targets: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
+def stratified_sample(known: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` rows by a hash of the id, all rows where there are no more than that.
+
+    Half of ``sample`` is promised to the languages in equal parts: a language with fewer rows in its share of the whole
+    is taken up to that part, so rare ones stay, and the rows are one and a half times ``sample`` at most. Of a language
+    that no hash chose the row with the least id and text is taken.
+    """
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    n = sum(counts.values())
+    if n <= sample:
+        return known
+    floor = max(1.0, sample / (2 * len(counts)))
+    part = {lang: int(GRAIN * min(1.0, max(sample / n, floor / c))) for lang, c in counts.items()}
+    parts = F.create_map(*[F.lit(x) for pair in part.items() for x in pair])
+    spot = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")), F.lit(GRAIN))
+    chosen = known.filter(spot < parts[F.col("lang")])
+    missing = sorted(set(counts) - {r.lang for r in chosen.select("lang").distinct().collect()})
+    if not missing:
+        return chosen
+    least = known.filter(F.col("lang").isin(missing)).groupBy("lang").agg(F.min(F.struct("doc_id", "text")).alias("row"))
+    return chosen.unionByName(least.select("row.doc_id", "row.text", "lang"))
+
+
+def temperature_share(targets: np.ndarray) -> np.ndarray:
+    """Which rows set the temperature: the first fifth of each language. A language of under five rows is only learned."""
+    chosen = np.zeros(len(targets), dtype=bool)
+    for c in np.unique(targets):
+        at = np.flatnonzero(targets == c)
+        chosen[at[:len(at) // 5]] = True
+    return chosen
+
+
 def train(docs: DataFrame, sample: int = 3000) -> LanguageModel:
-    """Learn from ``learnable(docs)``. ``sample`` bounds the documents used for gradient steps and the temperature."""
+    """Learn from ``learnable(docs)``, every language of it. ``sample`` bounds the documents used for gradient steps and the
+    temperature, see ``stratified_sample``."""
     known = learnable(docs.select("doc_id", "text", "lang"))
-    rows = gram_counts(bounded_sample(known, "doc_id", sample)).collect()
+    rows = gram_counts(stratified_sample(known, sample)).collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.lang, r.gram, r.n))
     languages = sorted({r.lang for r in rows})
     width = 1 << BITS
@@ -197,10 +230,11 @@ def train(docs: DataFrame, sample: int = 3000) -> LanguageModel:
     at = {lang: i for i, lang in enumerate(languages)}
     x = [_features(r.gram, r.n, idf) for r in rows]
     y = np.array([at[r.lang] for r in rows])
-    tail = max(1, len(x) // 5)                       # the last fifth sets the temperature
-    w, bias = fit_ftrl(x[tail:] or x, y[tail:] if len(x) > tail else y, len(languages), width)
-    logits = np.array([v @ w[ids] + bias for ids, v in x[:tail]])
-    t = fit_temperature(logits, y[:tail])
+    tail = temperature_share(y)
+    fit = np.flatnonzero(~tail)
+    w, bias = fit_ftrl([x[i] for i in fit], y[fit], len(languages), width)
+    logits = np.array([x[i][1] @ w[x[i][0]] + bias for i in np.flatnonzero(tail)])
+    t = fit_temperature(logits, y[tail])
     return LanguageModel(languages, np.ascontiguousarray((w * idf[:, None] / t).T.astype(np.float32)), bias / t)
 
 

@@ -52,3 +52,25 @@ def test_training_is_sparse_and_calibrated():
     p = np.exp(logits) / np.exp(logits).sum(1, keepdims=True)
     targets = (rng.random(4000) < p[:, 1]).astype(int)
     assert abs(langid.fit_temperature(logits * 3, targets) - 3) < 0.4
+
+
+def test_rare_languages_are_learned_at_every_size(make):
+    """Four languages of 2 to 20 rows beside two of 1,500: each is in the sample, in the model and told apart."""
+    rng = np.random.default_rng(6)
+    letters = {"aa": "abcdef", "bb": "ghijkl", "cc": "mnopqr", "dd": "stuvwx", "ee": "αβγδεζ", "ff": "абвгде"}
+    many = {"aa": 1500, "bb": 1500, "cc": 20, "dd": 8, "ee": 4, "ff": 2}
+    rows, i = [], 0
+    for lang, n in many.items():
+        while n:
+            i += 1
+            if zlib.crc32(str(i).encode()) % 4 == 2:
+                continue
+            rows.append((i, " ".join("".join(rng.choice(list(letters[lang]), 5)) for _ in range(20)), lang))
+            n -= 1
+    docs = make(rows)
+    sample = langid.stratified_sample(langid.learnable(docs.select("doc_id", "text", "lang")), 120)
+    assert {r.lang for r in sample.collect()} == set(many) and sample.count() <= 240
+    model = langid.train(docs, sample=120)
+    assert model.languages == sorted(many)
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows if lang not in ("aa", "bb"))
