@@ -37,6 +37,8 @@ SEED_WORDS, SEED_WINDOW, REACH = 12, 9, 28
 #: where more than one bit in 64 is set, runs are compared all over the neighbourhood of a seed.
 FILTER_BITS, FILTER_FULL = 27, 1 / 64
 _CHUNK_BITS = 18
+#: Text per step where whole texts are hashed: the arrays of a step take some forty times its size.
+STEP = 2_000_000
 _SIZE = 1 << 63
 
 
@@ -167,7 +169,7 @@ def repeated_seeds(docs: DataFrame):
         flat, _, left = _words_of(batch, known)
         return {"unit": seeds(flat, left)[1]}
 
-    found = map_rows(docs.select("text"), keys, "unit bigint").groupBy("unit").count().filter("count > 1")
+    found = map_rows(docs.select("text"), keys, "unit bigint", step=STEP).groupBy("unit").count().filter("count > 1")
     return docs.sparkSession.sparkContext.broadcast(key_filter(found, "unit"))
 
 
@@ -199,7 +201,7 @@ def run_occurrences(docs: DataFrame, repeated) -> DataFrame:
         return (np.concatenate([h[hit], runs(flat, UNIT_WORDS)[single].view(np.int64)]), np.concatenate([at[hit], single]),
                 np.repeat([SEED_WORDS, UNIT_WORDS], [int(hit.sum()), len(single)]), stop, start)
 
-    twice = map_rows(docs.select("text"), lambda batch: {"unit": chosen(batch)[0]}, "unit bigint").groupBy("unit").count().filter("count > 1")
+    twice = map_rows(docs.select("text"), lambda batch: {"unit": chosen(batch)[0]}, "unit bigint", step=STEP).groupBy("unit").count().filter("count > 1")
     shared = docs.sparkSession.sparkContext.broadcast(key_filter(twice, "unit"))
 
     def one(batch):
@@ -211,7 +213,7 @@ def run_occurrences(docs: DataFrame, repeated) -> DataFrame:
         return {"unit": unit, "doc_id": batch.column("doc_id").take(pa.array(of)), "first": pa.array(first, pa.int32()),
                 "last": pa.array(first + wide, pa.int32())}
 
-    return map_rows(docs.select("doc_id", "text"), one, "unit bigint, doc_id bigint, first int, last int")
+    return map_rows(docs.select("doc_id", "text"), one, "unit bigint, doc_id bigint, first int, last int", step=STEP)
 
 
 def repeated_runs(docs: DataFrame, rows: DataFrame, repeated) -> DataFrame:
@@ -326,7 +328,7 @@ def bands(docs: DataFrame, repeated) -> DataFrame:
         banded = band_keys(h[np.repeat(long, many)], many[long])
         return {"key": np.concatenate([banded.ravel(), keys]), "unit": np.concatenate([np.repeat(ids[long], BANDS), ids[of]])}
 
-    return map_rows(docs.select("text"), one, "key bigint, unit bigint")
+    return map_rows(docs.select("text"), one, "key bigint, unit bigint", step=STEP)
 
 
 def shingle_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
