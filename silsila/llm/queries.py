@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silsila.llm import exact_dedup, langid, licenses, neighbours, packing, paragraphs, pieces, pii, quality_rules, simhash
+from silsila.llm import (
+    alignment, exact_dedup, langid, licenses, neighbours, packing, paragraphs, pieces, pii, quality_rules, runs, simhash, tensored,
+)
 from silsila.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +89,19 @@ def op10_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir)
     found = langid.identify(docs, langid.train(docs))
     return found.select("doc_id", F.coalesce(fold() % 4 == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op11_minhash")
+def op11_minhash(spark, sf_dir):
+    return tensored.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark, sf_dir):
+    return runs.periodic_runs(documents(spark, sf_dir))
+
+
+@query("op13_alignment")
+def op13_alignment(spark, sf_dir):
+    return alignment.align_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
