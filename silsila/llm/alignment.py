@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,12 +60,23 @@ def _blocks(low_a, low_b, n_a, n_b):
     return low_a[at] + place // n_b[at], low_b[at] + place % n_b[at]
 
 
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches flat[start:start + size] one after another."""
+    stops = np.cumsum(size)
+    return flat[np.repeat(start - (stops - size), size) + np.arange(int(stops[-1]) if len(stops) else 0)]
+
+
+#: No token of either vocabulary goes on from a sign into the blank after it, and what follows the blank starts a token.
+_CHUNK = re.compile("(?<! )(?= [!-~À-ɏ])")
+
+
 class Aligner:
-    """Tokens, groups and links of texts under both tokenizers."""
+    """Tokens, groups and links of texts under both tokenizers; each distinct blank-separated chunk is encoded once while
+    it is remembered."""
 
-    def __init__(self, spec_a: str, model_b: bytes):
+    def __init__(self, spec_a: str, model_b: bytes, remember: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a = Tokenizer.from_str(spec_a)
+        self.a, self.remember = Tokenizer.from_str(spec_a), remember
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
         byte = {sign: value for value, sign in enumerate(byte_signs())}
@@ -75,25 +88,51 @@ class Aligner:
         self.raw_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                       for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.size_b))]
         self.width_a, self.width_b = (np.array([len(r) for r in raw], dtype=np.int64) for raw in (self.raw_a, self.raw_b))
-        self.name = [str(i) for i in range(max(self.size_a, self.size_b))]
+        self.span = max(self.size_a, self.size_b)
+        self.written = [f"{i}{mark}" for mark in ",|;" for i in range(self.span)]
+        self._forget()
+
+    def _forget(self) -> None:
+        none = np.zeros(0, dtype=np.int64)
+        self.code: dict[str, int] = {}
+        self.flat, self.start, self.size, self.spelled = [none, none], [none, none], [none, none], np.zeros(0, dtype=bool)
 
-    def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids per text; none where the tokens of a side do not spell a blank and the text."""
-        some = [i for i, t in enumerate(texts) if t]
-        ids_a, ids_b = [[] for _ in texts], [[] for _ in texts]
+    def _learn(self, chunks: list[str]) -> None:
         encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        for i, a, b in zip(some, encode([" " + texts[i] for i in some], add_special_tokens=False),
-                           self.b.encode([texts[i] for i in some], num_threads=1)):
-            whole = b" " + texts[i].encode("utf-8", "surrogatepass")
-            if b"".join(map(self.raw_b.__getitem__, b)) == whole and b"".join(map(self.raw_a.__getitem__, a.ids)) == whole:
-                ids_a[i], ids_b[i] = a.ids, b
-        return ids_a, ids_b
+        ids = ([e.ids for e in encode(chunks, add_special_tokens=False)], self.b.encode([c[1:] for c in chunks], num_threads=1))
+        raw = [c.encode("utf-8", "surrogatepass") for c in chunks]
+        fits = [b"".join(map(self.raw_b.__getitem__, b)) == r and b"".join(map(self.raw_a.__getitem__, a)) == r for a, b, r in zip(*ids, raw)]
+        self.spelled = np.concatenate([self.spelled, np.array(fits, dtype=bool)])
+        for side, lists in enumerate(ids):
+            size = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+            self.start[side] = np.concatenate([self.start[side], len(self.flat[side]) + np.cumsum(size) - size])
+            self.size[side] = np.concatenate([self.size[side], size])
+            self.flat[side] = np.concatenate([self.flat[side], np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(size.sum()))])
+        self.code.update(zip(chunks, range(len(self.code), len(self.code) + len(chunks))))
+
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of A, ids of B, number of A per text, number of B per text); no ids where the tokens of a side do not
+        spell a blank and the text."""
+        if len(self.flat[0]) > self.remember:
+            self._forget()
+        parts = [_CHUNK.split(" " + t) if t else [] for t in texts]
+        parts = [some if not some or some[0] else some[1:] for some in parts]
+        new = [c for c in dict.fromkeys(chain.from_iterable(parts)) if c not in self.code]
+        if new:
+            self._learn(new)
+        many = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        code = np.fromiter(map(self.code.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=int(many.sum()))
+        of = np.repeat(np.arange(len(texts)), many)
+        broken = np.zeros(len(texts), dtype=bool)
+        broken[of[~self.spelled[code]]] = True
+        of, code = of[~broken[of]], code[~broken[of]]
+        n_a, n_b = (np.bincount(of, weights=size[code], minlength=len(texts)).astype(np.int64) for size in self.size)
+        ids_a, ids_b = (_gather(flat, start[code], size[code]) for flat, start, size in zip(self.flat, self.start, self.size))
+        return ids_a, ids_b, n_a, n_b
 
     def align(self, texts: list[str]) -> dict:
         """Columns n_a, n_b, n_groups, n_links, groups_sha256, and per text its linked id pairs with how often."""
-        lists_a, lists_b = self.tokens(texts)
-        n_a, n_b = (np.array([len(x) for x in lists], dtype=np.int64) for lists in (lists_a, lists_b))
-        ids_a, ids_b = (np.fromiter((i for x in lists for i in x), dtype=np.int64, count=int(n.sum())) for lists, n in ((lists_a, n_a), (lists_b, n_b)))
+        ids_a, ids_b, n_a, n_b = self.tokens(texts)
         stops = np.cumsum(n_a)
         lanes = -(-n_a // LANE)                                    # long texts go in several lanes
         of = np.repeat(np.arange(len(texts)), lanes)
@@ -108,7 +147,7 @@ class Aligner:
         pairs, times, text = self._id_pairs(ids_a, ids_b, (link_a, link_b), (cut_a, cut_b), (size_a, size_b), text_of)
         bounds = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
         return {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links,
-                "groups_sha256": self._digests(lists_a, lists_b, size_a, size_b, n_groups),
+                "groups_sha256": self._digests(ids_a, ids_b, (cut_a, cut_b), (size_a, size_b), n_a + n_b),
                 "pairs": pa.ListArray.from_arrays(bounds, pairs), "times": pa.ListArray.from_arrays(bounds, times)}
 
     def _id_pairs(self, ids_a, ids_b, links, cuts, sizes, text_of):
@@ -138,20 +177,19 @@ class Aligner:
         keys, inverse = np.unique(keys, return_inverse=True)
         return keys % span, np.bincount(inverse, weights=weight, minlength=len(keys)).astype(np.int64), keys // span
 
-    def _digests(self, lists_a, lists_b, size_a, size_b, n_groups) -> list[str]:
-        out, name, low = [], self.name, 0
-        size_a, size_b = size_a.tolist(), size_b.tolist()
-        for one, two, n in zip(lists_a, lists_b, n_groups.tolist()):
-            if not n:
-                out.append("")
-                continue
-            names_a, names_b, i, j, said = [name[t] for t in one], [name[t] for t in two], 0, 0, []
-            for k in range(low, low + n):
-                u, v = i + size_a[k], j + size_b[k]
-                said.append(f"{names_a[i] if u == i + 1 else ','.join(names_a[i:u])}|{names_b[j] if v == j + 1 else ','.join(names_b[j:v])}")
-                i, j = u, v
+    def _digests(self, ids_a, ids_b, cuts, sizes, n_tokens) -> list[str]:
+        """Digests of the groups as text: ids of a group in order, commas between them, ``|`` after A, ``;`` after B."""
+        last_a, last_b = (np.zeros(len(ids), dtype=bool) for ids in (ids_a, ids_b))
+        last_a[cuts[0]] = last_b[cuts[1]] = True
+        code = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
+        # in the text stand, before a token of A, all tokens of earlier groups, and before one of B its whole group of A too
+        code[np.arange(len(ids_a)) + np.repeat(cuts[1] + 1 - sizes[1], sizes[0])] = ids_a + self.span * last_a
+        code[np.arange(len(ids_b)) + np.repeat(cuts[0] + 1, sizes[1])] = ids_b + 2 * self.span * last_b
+        out, low, written = [], 0, self.written
+        for n in n_tokens.tolist():
+            said = "".join(map(written.__getitem__, code[low:low + n].tolist()))
+            out.append(hashlib.sha256(said[:-1].encode()).hexdigest() if n else "")
             low += n
-            out.append(hashlib.sha256(";".join(said).encode()).hexdigest())
         return out
 
 
