@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silsila.llm.common import cut, join_classes, map_rows, stage_table, texts_of
-from silsila.llm.graph import components
+from silsila.llm.graph import components, look_up
 
 SHINGLE = 4
 LEAST, OF = 80, 100                     # links from 80 of 100 on
 COLLECTIONS, WIDTH = 14, 3
 #: A round of leaders follows while at least one in this many compared pairs was a link.
-NEWS = 20
+NEWS = 2
 #: Members that one task compares with a leader before the leader is told to a further one.
 STAR = 2000
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -119,10 +119,11 @@ def _table_keys(shared: DataFrame) -> DataFrame:
 def buckets(nodes: DataFrame) -> DataFrame:
     """(key, node) of all table keys that several nodes have."""
     single = nodes.select("node", F.explode("collections").alias("c"))
-    shared = join_classes(single, single.groupBy("c").agg(F.count("*").alias("many")).filter("many > 1"), "c", "many", "inner")
+    several = stage_table(single.groupBy("c").agg(F.count("*").alias("many")).filter("many > 1"), "tensored-collections")
+    shared = join_classes(single, several, "c", "many", "inner")
     shared = shared.groupBy("node").agg(F.array_sort(F.collect_list("c")).alias("cs")).filter(F.size("cs") > 1)
     keys = stage_table(_table_keys(shared), "tensored-keys")
-    several = keys.groupBy("key").agg(F.count("*").alias("many")).filter("many > 1")
+    several = stage_table(keys.groupBy("key").agg(F.count("*").alias("many")).filter("many > 1"), "tensored-shared")
     return stage_table(join_classes(keys, several, "key", "many", "inner").select("key", "node"), "tensored-buckets")
 
 
@@ -149,7 +150,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     Each node's text goes to its leader's task; a leader of more than ``STAR`` nodes is told to as many tasks as needed.
     """
-    spread = pairs.groupBy("lead").agg(F.ceil(F.count("*") / STAR).alias("tasks"))
+    spread = stage_table(pairs.groupBy("lead").agg(F.ceil(F.count("*") / STAR).alias("tasks")), "tensored-spread")
     sized = join_classes(pairs, spread.select("lead", "tasks"), "lead", "tasks", "inner")
     members = sized.withColumn("task", F.pmod(F.xxhash64("node"), F.col("tasks"))).join(texts, "node").select(
         "lead", "task", F.col("node").alias("b"), "n", "text")
@@ -172,31 +173,30 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _placed(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _unsettled(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """(key, node) still to be met after the leaders of this turn: all but the leaders, of buckets whose rest lies in
-    several components."""
-    lead = members.groupBy("key").agg(F.min(_order(turn)).alias("lead"), F.count("*").alias("many"))
-    rest = join_classes(_placed(members, roots), lead, "key", "many", "inner").filter("node <> lead.node").select("key", "node", "root")
-    mixed = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many")).filter("low <> high")
-    return stage_table(join_classes(rest, mixed.select("key", "many"), "key", "many", "inner").select("key", "node"), "tensored-rest")
+def meet_leaders(members: DataFrame, texts: DataFrame, turn: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round over the buckets (key, node, root): (members still to be met, links found, pairs compared).
 
-
-def _order(turn: int):
-    """Leaders come first in an order of their own in every turn."""
-    return F.struct(F.xxhash64("node", F.lit(turn)).alias("place"), F.col("node"))
-
-
-def _star_pairs(members: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
-    """(lead, node) of every bucket, without pairs of one component."""
-    placed = members.withColumn("root", F.col("node")) if roots is None else _placed(members, roots)
-    lead = placed.groupBy("key").agg(F.min(F.struct(*[_order(turn).getField(f).alias(f) for f in ("place", "node")], F.col("root").alias("of"))).alias("l"),
-                                     F.count("*").alias("many"))
-    met = join_classes(placed, lead, "key", "many", "inner").filter("root <> l.of and node <> l.node")
-    return met.select(F.col("l.node").alias("lead"), "node").distinct()
+    In every round the nodes have an order of their own; the first of a bucket leads it and meets the members of other
+    components. Still to be met are all but the leaders, in buckets where these lie in several components.
+    """
+    first = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("place"), "node", "root")).alias("l")
+    lead = stage_table(members.groupBy("key").agg(first, F.count("*").alias("many")).select(
+        "key", F.col("l.node").alias("lead"), F.col("l.root").alias("of"), "many"), "tensored-leaders")
+    met = stage_table(join_classes(members, lead, "key", "many", "inner").filter("node <> lead").drop("many"), "tensored-met")
+    pairs = stage_table(met.filter("root <> of").select("lead", "node", "of", "root").distinct(), "tensored-pairs")
+    found = stage_table(confirm(pairs.select("lead", "node"), texts), "tensored-links")
+    merged = components(found.join(pairs, (pairs["lead"] == found["a"]) & (pairs["node"] == found["b"])).select(
+        F.col("of").alias("a"), F.col("root").alias("b")))
+    step = merged.select(F.col("node").alias("root"), F.col("root").alias("to"))
+    rest = stage_table(look_up(met.select("key", "node", "root"), step, "root").select("key", "node", F.coalesce("to", "root").alias("root")),
+                       "tensored-rest")
+    mixed = stage_table(rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many")).filter(
+        "low <> high").select("key", "many"), "tensored-mixed")
+    return stage_table(join_classes(rest, mixed, "key", "many", "inner").select("key", "node", "root"), "tensored-open"), found, pairs
 
 
 def rare_first_pairs(texts: DataFrame, roots: DataFrame) -> DataFrame:
@@ -214,7 +214,7 @@ def rare_first_pairs(texts: DataFrame, roots: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"token": found, "node": np.full(len(found), batch.column("node")[i].as_py())})
 
     tokens = texts.select("node", "text").mapInArrow(shingles, "token bigint, node bigint")
-    often = tokens.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1")
+    often = stage_table(tokens.groupBy("token").agg(F.count("*").alias("often")).filter("often > 1"), "tensored-often")
     shared = join_classes(tokens, often, "token", "often", "inner")
     sets = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("ts")).join(texts.select("node", "n"), "node")
     sets = _placed(sets, roots)
@@ -226,7 +226,8 @@ def rare_first_pairs(texts: DataFrame, roots: DataFrame) -> DataFrame:
     places = stage_table(places, "tensored-places")
     of_root = places.groupBy("token", "root").agg(F.count("*").alias("many"))
     groups = of_root.groupBy("token").agg(F.max(F.struct("many", "root")).alias("most"), F.sum("many").alias("many"), F.count("*").alias("roots"))
-    mixed = join_classes(places, groups.filter("roots > 1"), "token", "many", "inner")
+    mixed = stage_table(groups.filter("roots > 1"), "tensored-groups")
+    mixed = stage_table(join_classes(places, mixed, "token", "many", "inner").drop("roots"), "tensored-mixed")
     outer = mixed.filter("root <> most.root").select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "root", "place")])
     met = outer.join(mixed.select("token", "node", "n", "root", "place"), "token").filter("root <> root_a")
     left = F.least(F.col("n") - F.col("place"), F.col("n_a") - F.col("place_a"))          # at most this many in common
@@ -239,23 +240,20 @@ def node_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, root) for the nodes that are linked to others."""
     members = buckets(nodes)
     texts = node_texts(docs, nodes, members)
-    edges, roots, turn = None, None, 0
+    members, links, turn = members.withColumn("root", F.col("node")), None, 0
     while not members.isEmpty():
-        pairs = cut(_star_pairs(members, roots, turn))
-        found = cut(confirm(pairs, texts))
-        edges = found if edges is None else edges.union(found)
-        roots = components(edges)
-        members = _unsettled(members, roots, turn)
+        members, found, pairs = meet_leaders(members, texts, turn)
+        links = found if links is None else links.union(found)
         turn += 1
         if found.count() * NEWS < pairs.count():
             break
-    if roots is None:
+    if links is None:
         return nodes.select("node", F.col("node").alias("root")).limit(0)
-    if members.isEmpty():
-        return roots
-    rest = texts.join(members.select("node").distinct(), "node", "left_semi")
-    found = cut(confirm(cut(rare_first_pairs(rest, roots)), texts))
-    return components(edges.union(found))
+    if not members.isEmpty():
+        rest = texts.join(members.select("node").distinct(), "node", "left_semi")
+        pairs = stage_table(rare_first_pairs(rest, members.select("node", "root").distinct()), "tensored-rare")
+        links = links.union(stage_table(confirm(pairs, texts), "tensored-links"))
+    return components(links)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -273,7 +271,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "tensored-nodes")
     roots = node_components(docs, nodes)
     placed = _placed(nodes.select("node", "digest", "owner", "copies"), roots)
-    named = placed.groupBy("root").agg(F.min("owner").alias("name"), F.count("*").alias("many"))
+    named = stage_table(placed.groupBy("root").agg(F.min("owner").alias("name"), F.count("*").alias("many")), "tensored-names")
     placed = cut(join_classes(placed, named, "root", "many", "inner").select("digest", "name", "copies"))
     alone = rows.filter("digest is null").select("doc_id", "n", F.col("doc_id").alias("name"))
     linked = join_classes(rows.filter("digest is not null").select("doc_id", "n", "digest"), placed, "digest", "copies", "inner")
