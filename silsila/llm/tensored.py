@@ -7,13 +7,15 @@ Two sets at similarity 0.8 share at least two of the 14 collections in 0.9993 of
 Equal sets are one node. A collection that only one node has can make no shared key, so keys are formed of shared
 collections alone. Within a bucket every node meets the bucket's leader, in rounds with another leader each while rounds
 find links; a bucket is through when what its leaders have not met lies in one component. The nodes of buckets that are
-not through then by leaders are met by their rarest shingles: two sets at the threshold share one among the first
-``n - ceil(0.8 n) + 1``, and a common shingle at places p and q leaves at most ``min(n - p, m - q)`` further ones. That
-finds every link between them, so no bucket is capped and no pairs of a bucket are listed.
+not through then are put into buckets by their rarest shingles instead: two sets at the threshold share one among the first
+``n - ceil(0.8 n) + 1``. Leaders meet these in rounds too; what is left is joined by shingle, where a common one at places
+p and q leaves at most ``min(n - p, m - q)`` further ones. That finds every link between them, so no bucket is capped and
+the members of a component are never paired among themselves.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -29,7 +31,7 @@ SHINGLE = 4
 LEAST, OF = 80, 100                     # links from 80 of 100 on
 COLLECTIONS, WIDTH = 14, 3
 #: A round of leaders follows while at least one in this many compared pairs was a link.
-NEWS = 2
+NEWS = 5
 #: Members that one task compares with a leader before the leader is told to a further one.
 STAR = 2000
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -199,12 +201,9 @@ def meet_leaders(members: DataFrame, texts: DataFrame, turn: int) -> tuple[DataF
     return stage_table(join_classes(rest, mixed, "key", "many", "inner").select("key", "node", "root"), "tensored-open"), found, pairs
 
 
-def rare_first_pairs(texts: DataFrame, roots: DataFrame) -> DataFrame:
-    """(lead, node): all pairs of different components that may be at the threshold, by their rarest shingles.
-
-    Of a shingle's group the rows outside the group's largest component meet the whole group, so the members of one
-    component are never paired among themselves.
-    """
+def rare_places(texts: DataFrame, roots: DataFrame) -> DataFrame:
+    """(token, node, n, root, place): the rarest shingles of each set that others have too, with their places in the order
+    of the set from rare to frequent, as far as two sets at the threshold must share one."""
     hashes = WordHashes()
 
     def shingles(batches):
@@ -221,39 +220,54 @@ def rare_first_pairs(texts: DataFrame, roots: DataFrame) -> DataFrame:
     alone = F.col("n") - F.size("ts")                                    # shingles that no other text has come first
     within = F.col("n") - F.ceil(F.col("n") * LEAST / OF) + 1 - alone
     first = sets.select("node", "n", "root", alone.alias("alone"), F.slice("ts", F.lit(1), F.greatest(within, F.lit(0)).cast("int")).alias("ts"))
-    places = first.select("node", "n", "root", "alone", F.posexplode("ts").alias("i", "t")).select(
-        "node", "n", "root", (F.col("alone") + F.col("i")).alias("place"), F.col("t.token").alias("token"))
-    places = stage_table(places, "tensored-places")
+    return stage_table(first.select("node", "n", "root", "alone", F.posexplode("ts").alias("i", "t")).select(
+        F.col("t.token").alias("token"), "node", "n", "root", (F.col("alone") + F.col("i")).alias("place")), "tensored-places")
+
+
+def rare_first_pairs(places: DataFrame) -> DataFrame:
+    """(lead, node): all pairs of different components that may be at the threshold, by their rarest shingles.
+
+    Of a shingle's group the rows outside the group's largest component meet the whole group, so the members of one
+    component are never paired among themselves.
+    """
     of_root = places.groupBy("token", "root").agg(F.count("*").alias("many"))
     groups = of_root.groupBy("token").agg(F.max(F.struct("many", "root")).alias("most"), F.sum("many").alias("many"), F.count("*").alias("roots"))
     mixed = stage_table(groups.filter("roots > 1"), "tensored-groups")
     mixed = stage_table(join_classes(places, mixed, "token", "many", "inner").drop("roots"), "tensored-mixed")
     outer = mixed.filter("root <> most.root").select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "root", "place")])
-    met = outer.join(mixed.select("token", "node", "n", "root", "place"), "token").filter("root <> root_a")
     left = F.least(F.col("n") - F.col("place"), F.col("n_a") - F.col("place_a"))          # at most this many in common
-    met = met.filter((OF * F.least("n", "n_a") >= LEAST * F.greatest("n", "n_a"))
-                     & ((OF + LEAST) * left >= LEAST * (F.col("n") + F.col("n_a"))))
+    met = outer.join(mixed.select("token", "node", "n", "root", "place"), "token").filter(
+        (F.col("root") != F.col("root_a")) & (OF * F.least("n", "n_a") >= LEAST * F.greatest("n", "n_a"))
+        & ((OF + LEAST) * left >= LEAST * (F.col("n") + F.col("n_a"))))
     return met.select(F.least("node", "node_a").alias("lead"), F.greatest("node", "node_a").alias("node")).distinct()
 
 
-def node_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, root) for the nodes that are linked to others."""
-    members = buckets(nodes)
-    texts = node_texts(docs, nodes, members)
-    members, links, turn = members.withColumn("root", F.col("node")), None, 0
+def _rounds(members: DataFrame, texts: DataFrame, links: list[DataFrame], turn: int) -> DataFrame:
+    """Rounds of leaders while they find links; adds to ``links`` and returns the members still to be met."""
     while not members.isEmpty():
-        members, found, pairs = meet_leaders(members, texts, turn)
-        links = found if links is None else links.union(found)
-        turn += 1
+        members, found, pairs = meet_leaders(members, texts, turn + len(links))
+        links.append(found)
         if found.count() * NEWS < pairs.count():
             break
-    if links is None:
+    return members
+
+
+def node_components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, root) for the nodes that are linked to others."""
+    members, links = buckets(nodes), []
+    texts = node_texts(docs, nodes, members)
+    members = _rounds(members.withColumn("root", F.col("node")), texts, links, 0)
+    if not links:
         return nodes.select("node", F.col("node").alias("root")).limit(0)
     if not members.isEmpty():
         rest = texts.join(members.select("node").distinct(), "node", "left_semi")
-        pairs = stage_table(rare_first_pairs(rest, members.select("node", "root").distinct()), "tensored-rare")
-        links = links.union(stage_table(confirm(pairs, texts), "tensored-links"))
-    return components(links)
+        places = rare_places(rest, members.select("node", "root").distinct())
+        members = _rounds(places.select(F.col("token").alias("key"), "node", "root"), texts, links, 1)
+        left = members.withColumnRenamed("key", "token").join(places.drop("root"), ["token", "node"])
+        if not members.isEmpty():
+            pairs = stage_table(rare_first_pairs(left), "tensored-rare")
+            links.append(stage_table(confirm(pairs, texts), "tensored-links"))
+    return components(reduce(DataFrame.union, links))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
