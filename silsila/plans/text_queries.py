@@ -151,6 +151,23 @@ def page_blocks_layer(spark, d):
     return PG.side_layers(pages, ["page_id"], layout=WEB_PAGES).drop("layer_no")
 
 
+_AROUND = ('<div class="ad"> a ', ' <div class="ad">b</div> rest end</div> after')
+
+
+@query("page_nested_blocks", f"""
+WITH b AS (SELECT page_id, {_sql_strip("html", _NOISE)} AS h FROM pages),
+l AS (SELECT page_id, 'ad' AS layer, concat(' a ', h, ' b rest end') AS raw FROM b
+      UNION ALL SELECT page_id, 'ad', 'b' FROM b
+      UNION ALL SELECT page_id, 'ad', unnest(regexp_extract_all(h, '(?is)<div\\b[^>]*class="ad"[^>]*>(.*?)</div\\s*>', 1)) FROM b
+      UNION ALL SELECT page_id, 'footer', unnest(regexp_extract_all(h, '(?is)<footer\\b(?:\\s[^>]*)?>(.*?)</footer\\s*>', 1)) FROM b),
+p AS (SELECT page_id, layer, {_sql_plain("raw")} AS text FROM l)
+SELECT page_id, layer, text, sha256(text) AS text_sha256 FROM p WHERE text <> ''""")
+def page_nested_blocks(spark, d):
+    """Every page inside a layer element, with one more layer element after it: layers nest two deep."""
+    pages = spread(table(spark, d, "pages"), "page_id").withColumn("html", F.concat(F.lit(_AROUND[0]), "html", F.lit(_AROUND[1])))
+    return PG.side_layers(PG.split_pages(pages, "html", WEB_PAGES), ["page_id"], layout=WEB_PAGES).drop("layer_no")
+
+
 @query("line_sessions", r"""
 WITH l AS (SELECT source, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
 m AS (SELECT *, CASE WHEN regexp_matches(line, '^[A-E]') THEN doc_id * 1000000 + i END AS mark FROM l),

@@ -12,31 +12,135 @@ from silsila import lexicon as lx
 from silsila.functions.text import HEADINGS, _col, collapse, normalize, stable_id, trim_chars
 from silsila.operators.scans import scan_before
 
+USUAL = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " "), ("amp", "&"))
+_UNUSUAL = r"&(?!(?:lt|gt|quot|apos|nbsp|amp);)[#A-Za-z]"
 OPEN, CLOSE = "\x01", "\x02"   # around the number or title of a marker in marked text
 
 
-def element(tag: str, cls: str | None = None, attr: str | None = None) -> str:
-    """Pattern for one element (no nested element of the same tag), content in group 1."""
+#: Elements that hold no element of their own tag: the first close tag ends them.
+FLAT = ("p", "script", "style", "title")
+
+
+@dataclass(frozen=True)
+class Element:
+    """Elements of a tag whose open tag matches ``inside``; elements of the same tag may stand inside, to any depth."""
+    tag: str
+    inside: str
+
+    @property
+    def opens(self) -> str:
+        return rf"(?is)<{self.tag}\b{self.inside}>"
+
+    @property
+    def flat(self) -> str:
+        """The element up to the first close tag, content in group 1."""
+        return rf"(?is)<{self.tag}\b{self.inside}>(.*?)</{self.tag}\s*>"
+
+
+def element(tag: str, cls: str | None = None, attr: str | None = None) -> Element:
+    """Elements of a tag, with a class or with an attribute."""
     if cls:
-        inside = rf'[^>]*\bclass\s*=\s*["\'][^"\']*(?<![\w-]){cls}(?![\w-])[^"\']*["\'][^>]*'
-    elif attr:
-        inside = rf"[^>]*{attr}[^>]*"
-    else:
-        inside = r"(?:\s[^>]*)?"
-    return rf"(?is)<{tag}\b{inside}>(.*?)</{tag}\s*>"
+        return Element(tag, rf'[^>]*\bclass\s*=\s*["\'][^"\']*(?<![\w-]){cls}(?![\w-])[^"\']*["\'][^>]*')
+    return Element(tag, rf"[^>]*{attr}[^>]*" if attr else r"(?:\s[^>]*)?")
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _tag_pieces(html, e: Element) -> Column:
+    """The text cut before every open and close tag of the element's tag name."""
+    return F.split(_col(html), rf"(?i)(?=</?{e.tag}\b)")
+
+
+def _spans(pieces: Column, e: Element) -> Column:
+    """Array of (start, end, outer) of the elements: the piece of the open tag and that of its close tag (the number of
+    pieces if it is never closed), and whether no other one is around it. One pass over the tags; the state holds the depth
+    and the elements that are open."""
+    spans, stack = "array<struct<start:int,end:int,outer:boolean>>", "array<struct<start:int,depth:int>>"
+    none = F.struct(F.lit(0).alias("i"), F.lit(0).alias("depth"), F.array().cast(stack).alias("open"), F.array().cast(spans).alias("done"))
+
+    def step(acc, p):
+        opened, closed = p.rlike(rf"(?i)^<{e.tag}\b"), p.rlike(rf"(?i)^</{e.tag}\b") & (acc["depth"] > 0)
+        hit = opened & p.rlike(e.opens.replace("(?is)", "(?is)^"))
+        depth = F.when(opened & (hit | (acc["depth"] > 0)), acc["depth"] + 1).when(closed, acc["depth"] - 1).otherwise(acc["depth"])
+        top = F.try_element_at(acc["open"], F.lit(-1))
+        ends = closed & (top["depth"] == acc["depth"])
+        left = F.slice(acc["open"], F.lit(1), F.greatest(F.size(acc["open"]) - 1, F.lit(0)))
+        span = F.struct(top["start"].alias("start"), acc["i"].alias("end"), (F.size(acc["open"]) == 1).alias("outer"))
+        return F.struct(
+            (acc["i"] + 1).alias("i"), depth.alias("depth"),
+            F.when(hit, F.array_append(acc["open"], F.struct(acc["i"].alias("start"), depth.alias("depth")))).when(ends, left).otherwise(acc["open"]).alias("open"),
+            F.when(ends, F.array_append(acc["done"], span)).otherwise(acc["done"]).alias("done"))
+
+    def finish(acc):
+        unclosed = F.transform(acc["open"], lambda o, k: F.struct(o["start"].alias("start"), acc["i"].alias("end"), (k == 0).alias("outer")))
+        return F.array_sort(F.concat(acc["done"], unclosed))
+
+    return F.aggregate(pieces, none, step, finish)
+
+
+def _content(pieces: Column, span: Column, e: Element) -> Column:
+    head = F.regexp_replace(F.get(pieces, span["start"]), e.opens.replace("(?is)", "(?is)^"), "")
+    return F.concat(head, F.array_join(F.slice(pieces, span["start"] + 2, span["end"] - span["start"] - 1), ""))
+
+
+def element_contents(html, e: Element) -> Column:
+    """Contents of all elements in the order of their open tags; one that stands inside another comes too."""
+    if e.tag in FLAT:
+        return F.regexp_extract_all(_col(html), F.lit(e.flat), F.lit(1))
+    def contents(ps):
+        return _let(_spans(ps, e), lambda spans: F.transform(spans, lambda s: _content(ps, s, e)))
+
+    return _let(_col(html), lambda h: F.when(h.rlike(e.opens), _let(_tag_pieces(h, e), contents)).otherwise(F.array().cast("array<string>")))
+
+
+def replace_elements(html, e: Element, before: str = " ", after: str | None = None) -> Column:
+    """The text with every outermost element replaced by ``before``, or by its content between ``before`` and ``after``."""
+    if e.tag in FLAT:
+        return F.regexp_replace(_col(html), e.flat, before if after is None else f"{before}$1{after}")
+
+    def after_span(ps, span):       # what follows an element up to the next tag of its name
+        return F.coalesce(F.regexp_replace(F.get(ps, span["end"]), rf"(?is)^</{e.tag}\b[^>]*>", ""), F.lit(""))
+
+    def rebuilt(ps, spans):
+        def one(s, k):
+            last = F.get(spans, k - 1)
+            since = F.when(k > 0, last["end"] + 1).otherwise(F.lit(0))
+            gap = F.array_join(F.slice(ps, since + 1, F.greatest(s["start"] - since, F.lit(0))), "")
+            lead = F.when(k > 0, after_span(ps, last)).otherwise(F.lit(""))
+            return F.concat(lead, gap, F.lit(before)) if after is None else F.concat(lead, gap, F.lit(before), _content(ps, s, e), F.lit(after))
+
+        last = F.try_element_at(spans, F.lit(-1))
+        rest = F.array_join(F.slice(ps, last["end"] + 2, F.greatest(F.size(ps) - last["end"] - 1, F.lit(0))), "")
+        return F.concat(F.array_join(F.transform(spans, one), ""), after_span(ps, last), rest)
+
+    def replaced(ps):
+        return _let(F.filter(_spans(ps, e), lambda s: s["outer"]), lambda spans: rebuilt(ps, spans))
+
+    return _let(_col(html), lambda h: F.when(h.rlike(e.opens), _let(_tag_pieces(h, e), replaced)).otherwise(h))
+
+
+def without_elements(html, patterns) -> Column:
+    """Patterns and elements become a space, one after another."""
+    out = _col(html)
+    for p in patterns:
+        out = replace_elements(out, p) if isinstance(p, Element) else F.regexp_replace(out, p, " ")
+    return out
 
 
 @dataclass(frozen=True)
 class PageLayout:
     """Which elements of a page are noise, side layers or markers.
 
-    ``markers`` are elements whose text, when it matches ``marker_text``, opens a record;
+    ``noise`` are patterns and elements, ``layers`` elements. ``markers`` are elements whose text, when it matches ``marker_text``, opens a record;
     ``marker_tags`` are bare opening tags that open a record with a running number. The text of
     a marker element that does not match is dropped unless ``keep_unmarked``.
     """
 
     page: str | None = r'(?i)(?=<div\b[^>]*class\s*=\s*["\'][^"\']*\bPageText\b)'
-    label: str = element("(?:span|div)", "PageNumber").replace("</(?:span|div)", "</(?:span|div)")
+    label: str = element("(?:span|div)", "PageNumber").flat
     noise: tuple = (
         r"(?s)<!--.*?-->", element("script"), element("style"), element("sup"), element("div", "PageHead"),
         element("span", "PageHead"),
@@ -60,8 +164,8 @@ TITLED_PAGES = PageLayout(
 
 
 def code_point(n) -> Column:
-    """The character of a code point; U+FFFD where there is none."""
-    ok = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    """The character of a code point; U+FFFD where there is none and for control characters other than white space."""
+    ok = (n.between(32, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)) | n.isin(9, 10, 12, 13)
     safe = F.when(ok, n).otherwise(F.lit(0xFFFD))
     return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
 
@@ -79,9 +183,16 @@ def resolve_references(c) -> Column:
         char = F.when(ref == "apos", F.lit("'")).when(point.isNotNull(), code_point(point)).otherwise(F.try_element_at(names, ref))
         return F.when((ref != "") & char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), p))
 
-    parts = F.split(_col(c), "&")
-    joined = F.array_join(F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, F.lit(2), F.size(parts)), resolved)), "")
-    return F.when(F.contains(_col(c), F.lit("&")), F.replace(joined, F.lit("\u00a0"), F.lit(" "))).otherwise(_col(c))
+    def written(t):
+        parts = F.split(t, "&")
+        joined = F.array_join(F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, F.lit(2), F.size(parts)), resolved)), "")
+        usual = t                                         # most texts have the usual names only; the ampersand itself comes last
+        for name, char in USUAL:
+            usual = F.replace(usual, F.lit(f"&{name};"), F.lit(char))
+        return F.when(~F.contains(t, F.lit("&")), t).otherwise(
+            F.replace(F.when(t.rlike(_UNUSUAL), joined).otherwise(usual), F.lit("\u00a0"), F.lit(" ")))
+
+    return _let(_col(c), written)
 
 
 def plain_text(c) -> Column:
@@ -102,29 +213,27 @@ def split_pages(files: DataFrame, html: str = "html", layout: PageLayout = SHELF
 
 def side_layers(pages: DataFrame, keys: list[str], html: str = "page_html",
                 layout: PageLayout = SHELF_PAGES) -> DataFrame:
-    """Side layers (footnotes, ads) as rows of their own, apart from the body text."""
-    base = F.col(html)
-    for pattern in layout.noise[:3]:
-        base = F.regexp_replace(base, pattern, " ")
+    """Side layers (footnotes, ads) as rows of their own, apart from the body text. A layer element inside another one is
+    part of its text and a row too."""
+    base = F.col("__base")
 
-    def layer(name, pattern):
-        return F.transform(F.regexp_extract_all(base, F.lit(pattern), F.lit(1)),
-                           lambda t: F.struct(F.lit(name).alias("layer"), plain_text(t).alias("text")))
+    def layer(name, e):
+        return F.transform(element_contents(base, e), lambda t: F.struct(F.lit(name).alias("layer"), plain_text(t).alias("text")))
 
-    found = F.concat(*[layer(name, pattern) for name, pattern in layout.layers])
-    rows = pages.select(*keys, F.posexplode(F.filter(found, lambda r: r["text"] != "")).alias("pos", "r"))
+    found = F.concat(*[layer(name, e) for name, e in layout.layers])
+    cleared = pages.select(*keys, F.explode(F.array(without_elements(html, layout.noise[:3]))).alias("__base"))
+    rows = cleared.select(*keys, F.posexplode(F.filter(found, lambda r: r["text"] != "")).alias("pos", "r"))
     return rows.select(*keys, (F.col("pos") + 1).alias("layer_no"), "r.layer", "r.text",
                        F.sha2("r.text", 256).alias("text_sha256"))
 
 
 def marked_text(html, layout: PageLayout = SHELF_PAGES) -> Column:
     """Body text with record markers written as OPEN number CLOSE; noise and layers removed."""
-    out = _col(html)
-    for pattern in (*layout.noise, *[p for _, p in layout.layers]):
-        out = F.regexp_replace(out, pattern, " ")
+    out = F.translate(_col(html), OPEN + CLOSE, "\ufffd\ufffd")
+    out = without_elements(out, (*layout.noise, *[e for _, e in layout.layers]))
     # marker elements keep their text between sentinels, tags inside them are dropped later
-    for pattern in layout.markers:
-        out = F.regexp_replace(out, pattern, OPEN + "$1" + CLOSE)
+    for e in layout.markers:
+        out = replace_elements(out, e, OPEN, CLOSE)
     if layout.marker_tags:
         out = F.regexp_replace(out, layout.marker_tags, OPEN + CLOSE)
     return plain_text(out)
@@ -139,7 +248,7 @@ def marked_segments(marked, layout: PageLayout = SHELF_PAGES) -> Column:
     head = F.array(F.struct(F.lit(None).cast("string").alias("number"), F.trim(pieces[0]).alias("text")))
     rest = F.transform(
         F.slice(pieces, F.lit(2), F.size(pieces)),
-        lambda p: F.struct(F.split(p, CLOSE, 2)[0].alias("m"), F.split(p, CLOSE, 2)[1].alias("text")),
+        lambda p: F.struct(F.get(F.split(p, CLOSE, 2), F.lit(0)).alias("m"), F.coalesce(F.get(F.split(p, CLOSE, 2), F.lit(1)), F.lit("")).alias("text")),
     )
     if layout.marker_tags:
         found = F.transform(rest, lambda r, i: F.struct((i + 1).cast("string").alias("number"), F.trim(r["text"]).alias("text")))

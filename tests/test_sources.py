@@ -40,6 +40,37 @@ def test_page_records_and_footnotes(spark):
     assert rows(PG.side_layers(pages, ["page_no"]), "page_no", "layer", "text") == [(1, "footnote", "5 - note")]
 
 
+def test_nested_elements(spark):
+    html = ('<div class="PageText"><div class="PageHead">head <div class="PageHead">inner</div><div>plain</div> more</div>lead '
+            '<span class="punct"><span>1</span> -</span> one <div class="footnote">note <DIV class="x footnote">deep <div>plain</div></DIV> '
+            'rest end</div> two<sup>a<sup>b</sup>c</sup> <span class="footnote">s<span>t</span></span>three</div></div> stray'
+            '<div class="PageText"><span class="punct">2 -</span> last <div class="footnote">never <div>closed</div> here</div>')
+    pages = PG.split_pages(files(spark, html))
+    assert rows(PG.page_records(pages, ["page_no"]), "page_no", "marker", "text") == [(1, "1", "one two three stray"), (2, "2", "last")]
+    assert rows(PG.side_layers(pages, ["page_no"]), "page_no", "layer_no", "text") == [
+        (1, 1, "note deep plain rest end"), (1, 2, "deep plain"), (1, 3, "s t"), (2, 1, "never closed here")]
+
+
+def test_unclosed_elements_run_to_the_end(spark):
+    html = '<div class="PageText"><span class="punct">1 -</span> one <div class="footnote">note <div>open'
+    pages = PG.split_pages(files(spark, html))
+    assert rows(PG.page_records(pages, ["page_no"]), "marker", "text") == [("1", "one")]
+    assert rows(PG.side_layers(pages, ["page_no"]), "text") == [("note open",)]
+
+
+def test_control_references_and_raw_sentinels(spark):
+    html = '<div class="PageText"><span class="punct">1 -</span> a&#1;7&#2;b &#x1; \x01 c \x02d &#9;e &lt;&amp;lt;&hellip;</div>'
+    pages = PG.split_pages(files(spark, html))
+    assert rows(PG.page_records(pages, ["page_no"]), "marker", "text") == [("1", "a\ufffd7\ufffdb \ufffd \ufffd c \ufffdd e <&lt;…")]
+
+
+def test_many_tags_are_scanned_in_linear_time(spark):
+    body = "<div>x</div>" * 20_000
+    html = f'<div class="PageText"><span class="punct">1 -</span> one <div class="footnote">{body}</div> end</div>'
+    pages = PG.split_pages(files(spark, html))
+    assert rows(PG.page_records(pages, ["page_no"]), "marker", "text") == [("1", "one end")]
+
+
 def test_entries_run_on_across_pages_and_files(spark):
     more = files(spark, '<div class="PageText">still last <span class="punct">4 -</span> end</div>', name="002")
     pages = BD.ordered_pages(files(spark).unionByName(more))
