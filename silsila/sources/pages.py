@@ -13,6 +13,7 @@ from silsila.functions.text import HEADINGS, _col, collapse, normalize, stable_i
 from silsila.operators.scans import scan_before
 
 USUAL = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " "), ("amp", "&"))
+_NAMES = "\x1e".join(f"{name}\x1f{chr(point)}" for name, point in sorted(name2codepoint.items()))
 _UNUSUAL = r"&(?!(?:lt|gt|quot|apos|nbsp|amp);)[#A-Za-z]"
 OPEN, CLOSE = "\x01", "\x02"   # around the number or title of a marker in marked text
 
@@ -173,7 +174,7 @@ def code_point(n) -> Column:
 def resolve_references(c) -> Column:
     """Character references become characters: numbers by code point, names by the standard HTML table. A non-breaking
     space becomes a space; what is no reference stays as it is. One pass, so ``&amp;lt;`` gives ``&lt;``."""
-    names = F.create_map(*[F.lit(x) for name, point in sorted(name2codepoint.items()) for x in (name, chr(point))])
+    names = F.str_to_map(F.lit(_NAMES), F.lit("\x1e"), F.lit("\x1f"))                  # one literal, folded to a map
 
     def resolved(p):
         ref = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
@@ -244,7 +245,10 @@ def marked_segments(marked, layout: PageLayout = SHELF_PAGES) -> Column:
 
     Element 0 has a NULL number and holds the text before the first marker.
     """
-    pieces = F.split(_col(marked), OPEN)
+    return _let(F.split(_col(marked), OPEN), lambda pieces: _segments_of(pieces, layout))
+
+
+def _segments_of(pieces: Column, layout: PageLayout) -> Column:
     head = F.array(F.struct(F.lit(None).cast("string").alias("number"), F.trim(pieces[0]).alias("text")))
     rest = F.transform(
         F.slice(pieces, F.lit(2), F.size(pieces)),
