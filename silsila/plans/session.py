@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,12 +36,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get(CHECKPOINT_KEY, None)
     if not folder:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder")
         folder = tempfile.mkdtemp(prefix="silsila-checkpoint-")
     sc.setCheckpointDir(folder)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write the rows to the reliable checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)

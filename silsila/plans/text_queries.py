@@ -18,8 +18,10 @@ from silsila.operators import extract as E
 from silsila.operators import kinship as KIN
 from silsila.plans.bindings import PROSE, documents, spread, table
 from silsila.plans.registry import query
+from silsila.plans.session import shared_path
 from silsila.sources import manifest as MF
 from silsila.sources import pages as PG
+from silsila.sources import tables as TB
 from silsila.sources.search import phrase_pages
 from silsila.sources.seeds import seed_entities
 
@@ -36,6 +38,38 @@ def manifest_inventory(spark: SparkSession, d: str) -> DataFrame:
     return MF.inventory(table(spark, d, "documents"), "doc_id", "text").drop("content")
 
 
+def _manifest(d_name: str) -> str:
+    return f"""SELECT doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) || ', "' || lang || '"' AS {d_name}, strlen(text)::BIGINT AS size_bytes,
+                      sha256(text) AS sha256, '' AS duplicate_of FROM documents"""
+
+
+@query("manifest_export", f"""
+WITH m AS ({_manifest("name")})
+SELECT k.kind, m.* FROM m, (VALUES ('csv'), ('json')) k(kind)""")
+def manifest_export(spark, d):
+    """The manifest written as CSV and JSON and read again, names with commas and quotes among them."""
+    rows = MF.inventory(table(spark, d, "documents"), "doc_id", "text").drop("content").withColumnRenamed("path", "doc_id")
+    named = rows.join(table(spark, d, "documents").select("doc_id", F.concat(
+        F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")), F.lit(', "'), "lang", F.lit('"')).alias("name")), "doc_id")
+    path = shared_path(spark, "manifest")
+    MF.write_manifest(named.select("doc_id", "name", "size_bytes", "sha256", F.lit("").alias("duplicate_of")), path)
+    schema = "doc_id bigint, name string, size_bytes bigint, sha256 string, duplicate_of string"
+    back = [MF.read_manifest(spark, path, schema, kind).select(F.lit(kind).alias("kind"), "*") for kind in ("csv", "json")]
+    return back[0].unionByName(back[1])
+
+
+@query("table_refresh", """
+SELECT lang, source, doc_id, n_chars, length(text)::INT AS length FROM documents WHERE lang IS NOT NULL""")
+def table_refresh(spark, d):
+    """A table rebuilt twice by language: the second build replaces the first one whole."""
+    docs = table(spark, d, "documents").filter("lang IS NOT NULL")
+    rows = docs.select("doc_id", "source", "n_chars", F.length("text").alias("length"), "lang")
+    path = shared_path(spark, "refreshed")
+    TB.refresh(rows.withColumn("length", F.lit(0)).withColumn("lang", F.concat("lang", F.lit("-old"))), path, ["lang"])
+    TB.refresh(rows, path, ["lang"])
+    return spark.read.schema("doc_id bigint, source string, n_chars bigint, length int, lang string").parquet(path)
+
+
 @query("content_dedup_canonical", """
 WITH f AS (SELECT doc_id, sha256(text) AS sha, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS pref, source || '/' || doc_id AS name FROM documents)
 SELECT doc_id, name, first_value(name) OVER w AS canonical_name, count(*) OVER (PARTITION BY sha) AS copies,

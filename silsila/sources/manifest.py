@@ -90,12 +90,25 @@ def suffix_collisions(files: DataFrame, name: str = "name", order: str = "ord",
     ).drop("__before")
 
 
+BYTE_ORDER_MARK = "\ufeff"
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """Manifest as CSV (with header) and JSON."""
-    manifest.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(f"{path}/csv")
+    """Manifest as CSV (UTF-8 with byte order mark and header in every file) and JSON, below ``path``."""
+    first, *rest = manifest.columns
+    marked = manifest.select(F.col(first).alias(BYTE_ORDER_MARK + first), *rest)
+    marked.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("escape", '"').option("emptyValue", "").csv(f"{path}/csv")
     manifest.write.mode("overwrite").json(f"{path}/json")
 
 
+def read_manifest(spark: SparkSession, path: str, schema: str, kind: str = "csv") -> DataFrame:
+    """A written manifest, columns by place (CSV) or by name (JSON). Line ends inside values are kept; CSV does not tell a
+    null text from an empty one, both come back empty."""
+    if kind == "json":
+        return spark.read.schema(schema).json(f"{path}/json")
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(f"{path}/csv").na.fill("")
+
+
 def run_audit(version: str, **layers: DataFrame) -> DataFrame:
     """One row per run: version and the row count of every layer."""
     counts = None

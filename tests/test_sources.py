@@ -146,3 +146,14 @@ def test_checkpoint_folder_comes_from_the_session(spark, tmp_path):
     from silsila.plans.session import checkpointed
     df = checkpointed(spark.range(3))
     assert df.count() == 3
+
+
+def test_manifest_is_marked_and_comes_back(spark, tmp_path):
+    rows_in = [(1, 'a, "b"\nc', ""), (2, "كتاب", "a"), (3, None, "")]
+    df = spark.createDataFrame(rows_in, "id int, name string, duplicate_of string")
+    MF.write_manifest(df, str(tmp_path))
+    written = [f.read_bytes() for f in (tmp_path / "csv").glob("*.csv")]
+    assert written and all(b.startswith("\ufeffid,name".encode()) for b in written)
+    schema = "id int, name string, duplicate_of string"
+    assert rows(MF.read_manifest(spark, str(tmp_path), schema, "json")) == sorted(rows_in, key=repr)
+    assert rows(MF.read_manifest(spark, str(tmp_path), schema)) == sorted([(i, n or "", c) for i, n, c in rows_in], key=repr)
