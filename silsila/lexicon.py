@@ -188,10 +188,14 @@ BIRTH_VERBS = ("ولد", "ولدت", "مولده")
 YEAR_WORDS = ("سنة", "عام")
 DATE_TAILS = ("وهو", "وله", "وكان", "ودفن", "عن", "قال")
 SOURCE_GRADE_TRIGGERS = {
-    "الكاشف": (("ثقة", "صدوق", "ضعيف", "متروك", "لا باس به", "حجة", "ثبت", "حافظ", "لين"), 800, "الذهبي", 0.86),
-    "التاريخ الكبير": (("فيه نظر", "منكر الحديث", "كثير الوهم", "لا يتابع", "سكتوا عنه"), 1000, "البخاري", 0.90),
+    "الكاشف": (("ثقة", "صدوق", "ضعيف", "متروك", "لا باس به", "حجة", "ثبت", "حافظ", "لين"), None, "الذهبي", 0.86),
+    "التاريخ الكبير": (("فيه نظر", "منكر الحديث", "كثير الوهم", "لا يتابع", "سكتوا عنه"), None, "البخاري", 0.90),
 }
 WEAK_GRADES = ("weak", "very_weak", "rejected", "unknown")
+#: Statuses of resolutions that count as evidence for unique prefixes.
+TRUSTED_STATUSES = (
+    "provisional_anchor", "strong_context", "strong_graph", "strong_relational", "strong_relational_named", "strong_secondary_alias",
+)
 #: One shared grade vocabulary: spellings of the same class in the four rule lists.
 GRADE_SYNONYMS = {"matruk_kadhdhab": "rejected"}
 #: Patterns of a narrator joined to a terminal; SUBJECT stands for the terminal words.

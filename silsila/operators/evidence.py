@@ -48,9 +48,14 @@ def critic_rows(cards: DataFrame, card: str, text: str, judge, keep: tuple[str,
     return rows.withColumn("judgment", judge("statement")).withColumn("statement_id", stable_id("CS_", card, *keep, "attribution", "statement"))
 
 
+def _kept(text: Column, most: int | None) -> Column:
+    return F.substring(text, 1, most) if most else text
+
+
 def word_dates(c, birth=lx.BIRTH_VERBS, death=lx.DEATH_VERBS_WORDS, year: str = "سنة", tails=lx.DATE_TAILS,
-               stops: str = "،؛.", number=R.number_words) -> Column:
-    """Array of (event, year, text, confidence) for dates written in words."""
+               stops: str = "،؛.", number=R.number_words, max_text: int | None = None) -> Column:
+    """Array of (event, year, text, confidence) for dates written in words. ``max_text`` cuts the stored text; by default it
+    stays whole."""
     cut = rf"\s+{lx.any_of(tails, vocal=False)}{lx.WORD_END}"
 
     def dated(event, verbs):
@@ -58,7 +63,7 @@ def word_dates(c, birth=lx.BIRTH_VERBS, death=lx.DEATH_VERBS_WORDS, year: str =
         whole = F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(1))
         phrase = F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(2))
         found = F.transform(F.arrays_zip(whole.alias("w"), phrase.alias("p")), lambda r: F.struct(
-            number(F.split(F.trim(r["p"]), cut, 2)[0]).alias("year"), F.substring(r["w"], 1, 240).alias("text")))
+            number(F.split(F.trim(r["p"]), cut, 2)[0]).alias("year"), _kept(r["w"], max_text).alias("text")))
         return F.transform(found, lambda r: F.struct(
             F.lit(event).alias("event"), r["year"].alias("year"), r["text"].alias("text"),
             F.when(r["year"].isNotNull(), 0.92).otherwise(0.55).alias("confidence")))
@@ -67,14 +72,14 @@ def word_dates(c, birth=lx.BIRTH_VERBS, death=lx.DEATH_VERBS_WORDS, year: str =
 
 
 def digit_dates(c, verbs=(("death", lx.DEATH_VERBS), ("birth", ("ولد", "مولده"))), year_words=lx.YEAR_WORDS,
-                stops: str = ".;؛") -> Column:
-    """Array of (event, year, text, confidence) for dates written in digits."""
+                stops: str = ".;؛", max_text: int | None = None) -> Column:
+    """Array of (event, year, text, confidence) for dates written in digits; ``max_text`` as in :func:`word_dates`."""
     def dated(event, words):
         pattern = rf"({lx.any_of(words, vocal=False)}[^{stops}]{{0,100}}?{lx.any_of(year_words, vocal=False)}\s*\(?\s*(\d{{2,4}}))"
         whole = F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(1))
         digits = F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(2))
         return F.transform(F.arrays_zip(whole.alias("w"), digits.alias("d")), lambda r: F.struct(
-            F.lit(event).alias("event"), r["d"].cast("int").alias("year"), F.substring(r["w"], 1, 220).alias("text"), F.lit(0.94).alias("confidence")))
+            F.lit(event).alias("event"), r["d"].cast("int").alias("year"), _kept(r["w"], max_text).alias("text"), F.lit(0.94).alias("confidence")))
 
     return F.concat(*[dated(event, words) for event, words in verbs])
 
@@ -132,17 +137,19 @@ def match_secondary(anchors: DataFrame, entries: DataFrame, anchor: str = "ancho
 
 
 def source_grades(matched: DataFrame, source: str, text: str, triggers=None) -> DataFrame:
-    """Grade evidence of the sources that speak for one critic."""
+    """Grade evidence of the sources that speak for one critic.
+
+    ``triggers``: start of the source title -> (words, characters kept of the text or None for all, critic, confidence).
+    """
     triggers = triggers or lx.SOURCE_GRADE_TRIGGERS
     norm = normalize(text, HEADINGS)
-    critic = length = conf = None
+    critic = kept = conf = None
     for start, (words, chars, who, confidence) in triggers.items():
         hit = F.col(source).startswith(start) & R.contains_any(norm, words)
         critic = F.when(hit, who) if critic is None else critic.when(hit, who)
-        length = F.when(hit, chars) if length is None else length.when(hit, chars)
+        kept = F.when(hit, _kept(F.col(text), chars)) if kept is None else kept.when(hit, _kept(F.col(text), chars))
         conf = F.when(hit, confidence) if conf is None else conf.when(hit, confidence)
-    rows = staged(matched, critic=critic, __n=length, confidence=conf).filter(F.col("critic").isNotNull())
-    rows = rows.withColumn("exact_text", F.expr(f"substring({text}, 1, __n)")).drop("__n")
+    rows = staged(matched, critic=critic, exact_text=kept, confidence=conf).filter(F.col("critic").isNotNull())
     return rows.withColumn("judgment", R.secondary_grade("exact_text"))
 
 

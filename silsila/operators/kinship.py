@@ -10,7 +10,7 @@ from silsila.functions import keys as K
 from silsila.functions.text import cut_at_words
 from silsila.operators.blocking import prefix_index
 from silsila.operators.chains import POSITION, guarded_neighbours
-from silsila.operators.resolve import best_two
+from silsila.operators.resolve import best_two, top_k
 from silsila.plans.session import checkpointed
 
 
@@ -53,7 +53,7 @@ def label_matches(labels: DataFrame, entries: DataFrame, kunya_index: DataFrame,
 
 def ancestor_matches(names: DataFrame, index: DataFrame, name: str, lineage: str = "بن",
                      skip=("ابي", "ابو"), lo: int = 3, hi: int = 7) -> DataFrame:
-    """(name, entry bounds): entries named by the longest prefix of what follows the first lineage word.
+    """(name, key, entry bounds): entries named by the longest prefix of what follows the first lineage word.
 
     Bounds suffice: two different entries under one key tie and resolve nothing.
     """
@@ -62,8 +62,8 @@ def ancestor_matches(names: DataFrame, index: DataFrame, name: str, lineage: str
         tail = tail.filter(~F.coalesce(F.get("__t", F.lit(0)), F.lit("")).isin(*skip))
     probes = tail.select(name, F.explode(K.prefixes("__t", lo, hi)).alias("p")).select(name, "p.key", "p.len")
     bounds = index.groupBy("key").agg(F.min("entity").alias("first"), F.max("entity").alias("last"))
-    hit = probes.join(bounds, "key").groupBy(name).agg(F.max(F.struct("len", "first", "last")).alias("b"))
-    return hit.select(name, F.col("b.first").alias("first"), F.col("b.last").alias("last"))
+    hit = probes.join(bounds, "key").groupBy(name).agg(F.max(F.struct("len", "key", "first", "last")).alias("b"))
+    return hit.select(name, F.col("b.key").alias("key"), F.col("b.first").alias("first"), F.col("b.last").alias("last"))
 
 
 def resolve_kinship(occ: DataFrame, entries: DataFrame, explicit: DataFrame | None = None, lineage: str = "بن",
@@ -77,15 +77,18 @@ def resolve_kinship(occ: DataFrame, entries: DataFrame, explicit: DataFrame | No
 
     Father: the lineage tail of the governing name, three tokens and more; score 7. Grandfather:
     the same, when the governing node is itself a resolved father pointer; score 8. A tie, or a
-    best score below 7 or less than 2 ahead, stays unresolved and is recorded. A node depends
+    best score below 7 or less than 2 ahead, stays unresolved and is recorded with the number of its
+    candidates and the five best of them (``candidate_count``, ``top``; both NULL for resolved nodes). A node depends
     only on the node before it, so passes run until nothing new is resolved; a chain of pointers may be of any length.
     """
     index = prefix_index(entries, "entry", "name_norm", 2, 8).select("key", "entity")
+    if explicit is not None:
+        explicit = checkpointed(explicit.withColumnRenamed("entry", "candidate").groupBy("label", "candidate").agg(F.sum("score").alias("score")))
     # a tail that opens with a kunya word is no lineage for the father rule
     fathers = ancestor_matches(entries, index, "name_norm", lineage).select(
-        F.col("name_norm").alias("gov_name"), F.col("first").alias("f1"), F.col("last").alias("f2"))
+        F.col("name_norm").alias("gov_name"), F.col("key").alias("fk"), F.col("first").alias("f1"), F.col("last").alias("f2"))
     grands = ancestor_matches(entries, index, "name_norm", lineage, skip=()).select(
-        F.col("name_norm").alias("gov_name"), F.col("first").alias("g1"), F.col("last").alias("g2"))
+        F.col("name_norm").alias("gov_name"), F.col("key").alias("gk"), F.col("first").alias("g1"), F.col("last").alias("g2"))
     kin = entries.select(F.col("entry").alias("gov"), F.col("name_norm").alias("gov_name")).join(fathers, "gov_name", "left").join(grands, "gov_name", "left")
     kin = checkpointed(kin.drop("gov_name"))
     single = guarded_neighbours(occ, ["entity", "token"], sides=())
@@ -108,7 +111,33 @@ def resolve_kinship(occ: DataFrame, entries: DataFrame, explicit: DataFrame | No
         waiting = checkpointed(
             waiting.filter(F.col("gov").isNull()).join(news, POSITION, "left")
             .withColumn("gov", F.col("__gov")).drop("__gov"))
-    return (judged if out is None else out).drop("alone")
+    return with_best_candidates((judged if out is None else out).drop("alone"), index, explicit)
+
+
+def with_best_candidates(judged: DataFrame, index: DataFrame, explicit: DataFrame | None, k: int = 5) -> DataFrame:
+    """Add ``candidate_count`` and ``top``, the ``k`` best (candidate, score), to the unresolved nodes.
+
+    Blocks and labels are ranked once each and in bounded form, so a node that shares its block with many is met by one row.
+    ``index``: key, entity; ``explicit``: label, candidate, score.
+    """
+    open_ = F.col("status") == "unresolved"
+    keys = judged.filter(open_ & F.col("key").isNotNull()).select("key").distinct()
+    blocks = index.join(keys, "key", "left_semi").select("key", F.col("entity").alias("candidate"), F.lit(0).alias("score"))
+    by_key = top_k(blocks, ["key"], "score", k).withColumnRenamed("top", "key_top").join(
+        blocks.groupBy("key").agg(F.count(F.lit(1)).alias("key_count")), "key")
+    rows = judged.join(by_key, "key", "left")
+    top = F.transform("key_top", lambda c: F.struct(c["candidate"].alias("candidate"), F.col("score").alias("score")))
+    count = F.col("key_count")
+    if explicit is not None:
+        labels = judged.filter(open_ & (F.col("label") != "")).select("label").distinct()
+        named = explicit.join(labels, "label", "left_semi")
+        by_label = top_k(named, ["label"], "score", k).withColumnRenamed("top", "label_top").join(
+            named.groupBy("label").agg(F.count(F.lit(1)).alias("label_count")), "label")
+        rows = rows.join(by_label, "label", "left")
+        top, count = F.coalesce("label_top", top), F.coalesce("label_count", count)
+    none = F.array().cast(f"array<struct<candidate:{index.schema['entity'].dataType.simpleString()},score:int>>")
+    return rows.select(*[c for c in judged.columns if c != "key"], F.when(open_, F.coalesce(count, F.lit(0))).alias("candidate_count"),
+                       F.when(open_, F.coalesce(top, none)).alias("top"))
 
 
 def _judge_kin(ready: DataFrame, kin: DataFrame, explicit: DataFrame | None, father, grandfather) -> DataFrame:
@@ -118,12 +147,12 @@ def _judge_kin(ready: DataFrame, kin: DataFrame, explicit: DataFrame | None, fat
     use_grand = plain & F.col("token").isin(*grandfather) & F.coalesce("after_father", F.lit(False))
     implied = rows.select(
         *POSITION, "occurrence_id", "alone", "token", "label", "gov",
+        F.when(use_father, F.col("fk")).when(use_grand, F.col("gk")).alias("key"),
         F.when(use_father, F.col("f1")).when(use_grand, F.col("g1")).alias("first"),
         F.when(use_father, F.col("f2")).when(use_grand, F.col("g2")).alias("last"),
         F.when(use_father, 7).when(use_grand, 8).alias("s"))
     if explicit is not None:
-        named = explicit.withColumnRenamed("entry", "candidate").groupBy("label", "candidate").agg(F.sum("score").alias("score"))
-        best = best_two(named, ["label"], "score", []).select(
+        best = best_two(explicit, ["label"], "score", []).select(
             "label", F.col("candidate").alias("ex"), F.col("score").alias("exs"), F.col("runner_up").alias("exr"))
         implied = implied.join(best, "label", "left")
     else:
@@ -135,7 +164,8 @@ def _judge_kin(ready: DataFrame, kin: DataFrame, explicit: DataFrame | None, fat
     done = implied.withColumn("score", score).withColumn("entity", entity)
     status = F.when(F.col("entity").isNull(), "unresolved").otherwise("resolved")
     method = F.when(F.col("label") != "", "explicit_relative").when(F.col("token").isin(*grandfather), "grandfather_after_father").otherwise("father_lineage")
-    return done.select(*POSITION, "occurrence_id", "alone", "token", "label", "gov", "entity", "score", status.alias("status"), method.alias("method"))
+    return done.select(*POSITION, "occurrence_id", "alone", "token", "label", "key", "gov", "entity", "score", F.col("exr").alias("runner_up"),
+                       status.alias("status"), method.alias("method"))
 
 
 def resolve_strict_father(open_nodes: DataFrame, cards: DataFrame, next_edges: DataFrame, father=lx.FATHER_TOKENS,

@@ -84,6 +84,22 @@ def best_two(scored: DataFrame, context: list[str], score: str, carry: list[str]
         F.max(F.when(~first, F.col(score))).alias("runner_up"))
 
 
+def top_k(scored: DataFrame, context: list[str], score: str, k: int = 5) -> DataFrame:
+    """(context, top): the ``k`` best candidates of each context as (candidate, score), best first, ties by candidate.
+
+    Like in :func:`best_two` the rank filter runs below the shuffle, so at most ``k`` rows per context and task are sent.
+    """
+    w = W.partitionBy(*context).orderBy(F.col(score).desc(), F.col("candidate"))
+    best = scored.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k)
+    ordered = F.array_sort(F.collect_list(F.struct("__rn", "candidate", F.col(score).cast("int").alias("score"))))
+    return best.groupBy(*context).agg(F.transform(ordered, lambda r: F.struct(r["candidate"].alias("candidate"), r["score"].alias("score"))).alias("top"))
+
+
+def trusted(resolved: DataFrame, statuses, status: str = "layer") -> DataFrame:
+    """Resolutions whose status is on the list; others are no evidence and count as open."""
+    return resolved.filter(F.col(status).isin(*statuses))
+
+
 # -- R-01 and R-11: unique names need no neighbour ----------------------------------------
 
 def resolve_unique_names(occ: DataFrame, index: DataFrame, name: str = "name") -> DataFrame:
@@ -165,39 +181,51 @@ def judge_specific(index: DataFrame, prev_edges: DataFrame, next_edges: DataFram
     return judge
 
 
+#: Positions told in one pass, up to which they are broadcast: the open positions are then scanned and not shuffled.
+FRONTIER = 100_000
+
+
+def one_pass(positions: DataFrame, judge: Callable[[DataFrame], DataFrame], number: int = 1) -> DataFrame:
+    """Positions that the judge resolves from what they know now."""
+    verdicts = judge(positions.select(*CONTEXT).distinct())
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"v.{c}")) for c in CONTEXT]
+    return positions.alias("s").join(verdicts.alias("v"), same).select(
+        *[F.col(f"s.{c}") for c in [*POSITION, "occurrence_id", *CONTEXT]], "v.entity", "v.method", "v.score", F.lit(number).alias("pass_no"))
+
+
+def _told(news: DataFrame) -> DataFrame:
+    """What resolved positions tell the ones beside them: position, new_prev, new_next."""
+    side = F.explode(F.array(F.struct((F.col("sequence_index") + 1).alias("at"), F.lit(True).alias("as_prev")),
+                             F.struct((F.col("sequence_index") - 1).alias("at"), F.lit(False).alias("as_prev"))))
+    return news.select("chain_id", "branch_hint", "entity", side.alias("t")).select(
+        "chain_id", "branch_hint", F.col("t.at").alias("sequence_index"),
+        F.when(F.col("t.as_prev"), F.col("entity")).alias("new_prev"), F.when(~F.col("t.as_prev"), F.col("entity")).alias("new_next"))
+
+
 def neighbour_passes(open_pos: DataFrame, judge: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run a judge in passes: what a pass resolves becomes evidence for the next one.
 
-    Each pass sees the state at its start. Only positions with a neighbour resolved in the last
-    pass are judged again, since all other contexts are unchanged. State and news are cut by
-    reliable checkpoints; the loop ends with the first pass without news, and ``pass_no`` tells
-    in which pass a position was resolved.
+    Each pass sees the state at its start. The open positions are written once; a pass judges only the frontier, which are
+    the positions beside the last news, with all that was told to them so far, and writes only its news and the next
+    frontier (reliable checkpoints). The loop ends with the first pass without news, and ``pass_no`` tells in which pass a
+    position was resolved.
     """
-    state = checkpointed(open_pos.withColumn("fresh", F.lit(True)))
-    done, number = None, 0
+    base = checkpointed(open_pos)
+    frontier, done, number = base, None, 0
     while True:
         number += 1
-        verdicts = judge(state.filter("fresh").select(*CONTEXT).distinct())
-        same = [F.col(f"s.{c}").eqNullSafe(F.col(f"v.{c}")) for c in CONTEXT]
-        news = state.filter("fresh").alias("s").join(verdicts.alias("v"), same).select(
-            *[F.col(f"s.{c}") for c in [*POSITION, "occurrence_id", *CONTEXT]], "v.entity", "v.method", "v.score",
-            F.lit(number).alias("pass_no"))
-        news = checkpointed(news)
-        if news.isEmpty():
-            break
+        news = checkpointed(one_pass(frontier, judge, number))
+        count = news.count()
+        if not count:
+            return news if done is None else done
         done = news if done is None else done.unionByName(news)
-        told = F.explode(F.array(F.struct((F.col("sequence_index") + 1).alias("at"), F.lit(True).alias("as_prev")),
-                                 F.struct((F.col("sequence_index") - 1).alias("at"), F.lit(False).alias("as_prev"))))
-        updates = news.select("chain_id", "branch_hint", "entity", told.alias("t")).groupBy(
-            "chain_id", "branch_hint", F.col("t.at").alias("sequence_index")).agg(
-            F.max(F.when(F.col("t.as_prev"), F.col("entity"))).alias("new_prev"),
-            F.max(F.when(~F.col("t.as_prev"), F.col("entity"))).alias("new_next"))
-        rest = state.drop("fresh").join(news.select(*POSITION), POSITION, "left_anti")
-        rest = rest.join(updates, POSITION, "left").select(
-            *POSITION, "occurrence_id", "name", F.coalesce("new_prev", "prev").alias("prev"), F.coalesce("new_next", "next").alias("next"),
-            (F.col("new_prev").isNotNull() | F.col("new_next").isNotNull()).alias("fresh"))
-        state = checkpointed(rest)
-    return done if done is not None else news
+        small = F.broadcast if 2 * count <= FRONTIER else (lambda df: df)
+        beside = small(_told(news).select(*POSITION).distinct())
+        known = _told(done).join(beside, POSITION, "left_semi").groupBy(*POSITION).agg(
+            F.max("new_prev").alias("new_prev"), F.max("new_next").alias("new_next"))
+        known = known.join(done.select(*POSITION).join(beside, POSITION, "left_semi"), POSITION, "left_anti")
+        frontier = checkpointed(base.join(small(known), POSITION).select(
+            *POSITION, "occurrence_id", "name", F.coalesce("new_prev", "prev").alias("prev"), F.coalesce("new_next", "next").alias("next")))
 
 
 # -- R-04, R-05: candidate queue ----------------------------------------------------------
@@ -252,24 +280,66 @@ def _penalty():
     return F.when(F.coalesce(late, F.lit(False)), -4.0).otherwise(0.0) + F.when(F.coalesce(early, F.lit(False)), -4.0).otherwise(0.0)
 
 
+def penalty_classes(limits: DataFrame, profile: DataFrame) -> DataFrame:
+    """Per (name, prev_death, next_birth): how many candidates of the name have no penalty, one, and both (n0, n4, n8), and
+    the smallest id of each class (first0, first4, first8). Names without candidates have no row.
+
+    ``profile``: name, cb, cd, n, first. A candidate is late if born after ``prev_death`` and early if dead before
+    ``next_birth``, so each class is a quadrant of its years. Birth years lie in the nodes of a binary tree, one per level,
+    and each side of a limit is at most one node per level. Within a node, running counts and running smallest ids along
+    the death years answer every ``next_birth``. So name and node are met by equality, and a window holds the distinct
+    years of a node, never candidates or pairs of years.
+    """
+    never = 2**31 - 1
+    high = max(profile.agg(F.max("cb")).first()[0] or 0, 0)
+    levels = f"sequence(0, {max(high.bit_length(), 1) - 1})"
+
+    def year(c, missing):
+        return F.when(F.col(c) > 0, F.col(c)).otherwise(missing).cast("long")
+
+    points = profile.select("name", year("cb", 0).alias("cb"), year("cd", never).alias("at"), "n", "first")
+    points = points.select("name", "at", "n", "first", F.explode(F.expr(
+        f"transform({levels}, i -> named_struct('level', i, 'place', shiftright(cb, i)))")).alias("k"))
+    points = points.groupBy("name", F.col("k.level").alias("level"), F.col("k.place").alias("place"), "at").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"))
+    asked = limits.select("name", "prev_death", "next_birth").distinct().withColumn(
+        "pd", F.least(year("prev_death", high), F.lit(high).cast("long"))).withColumn("at", year("next_birth", 0))
+    sides = F.expr(f"""concat(array(named_struct('level', 0, 'place', pd, 'late', false)), transform({levels}, i -> named_struct(
+        'level', i, 'place', shiftright(pd, i) + if(bit_get(pd, i) = 1, -1L, 1L), 'late', bit_get(pd, i) = 0)))""")
+    asked = asked.select("name", "prev_death", "next_birth", "at", F.explode(sides).alias("k")).select(
+        "name", "prev_death", "next_birth", "at", "k.level", "k.place", "k.late")
+    node = ["name", "level", "place"]
+    slots = asked.select(*node, "at").distinct()
+    rows = points.withColumn("known", F.lit(1)).unionByName(slots.withColumn("known", F.lit(0)), allowMissingColumns=True)
+    up = W.partitionBy(*node).orderBy("at", "known").rowsBetween(W.unboundedPreceding, W.currentRow)
+    down = W.partitionBy(*node).orderBy(F.desc("at"), F.desc("known")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    told = rows.select(*node, "at", "known", F.sum("n").over(up).alias("early"), F.min("first").over(up).alias("early_first"),
+                       F.sum("n").over(down).alias("rest"), F.min("first").over(down).alias("rest_first")).filter("known = 0")
+    met = asked.join(told.drop("known"), [*node, "at"])
+    late = F.col("late")
+    parts = {0: (F.when(~late, F.col("rest")), F.when(~late, F.col("rest_first"))),
+             4: (F.when(late, F.col("rest")).otherwise(F.col("early")), F.when(late, F.col("rest_first")).otherwise(F.col("early_first"))),
+             8: (F.when(late, F.col("early")), F.when(late, F.col("early_first")))}
+    out = met.groupBy("name", "prev_death", "next_birth").agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(f"n{k}") for k, (n, _) in parts.items()], *[F.min(f).alias(f"first{k}") for k, (_, f) in parts.items()])
+    return out.filter("n0 + n4 + n8 > 0")
+
+
 def queue_summary(open_pos: DataFrame, candidates: DataFrame, index: DataFrame, years: DataFrame) -> DataFrame:
     """Candidate count, best, runner-up and recommendation per open position, over whole blocks.
 
     A block enters as its profile: how many candidates share a (birth, death) year pair and the
-    smallest of their ids. Years are few, so a profile stays small however big the block; the
-    penalty classes of the unsupported candidates follow from it exactly. Classes never tie
-    with supported scores, so the smallest id of a class is the right one.
+    smallest of their ids. The penalty classes of the unsupported candidates follow from it exactly
+    (:func:`penalty_classes`). Classes never tie with supported scores, so the smallest id of a
+    class is the right one.
     """
     born = years.select("entity", "birth_year", "death_year")
     blocks = plain_index(index).join(born.select(F.col("entity").alias("candidate"), F.col("birth_year").alias("cb"), F.col("death_year").alias("cd")), "candidate", "left")
-    profile = blocks.groupBy("name", "cb", "cd").agg(F.count(F.lit(1)).alias("n"), F.min("candidate").alias("first"))
+    profile = checkpointed(blocks.groupBy("name", "cb", "cd").agg(F.count(F.lit(1)).alias("n"), F.min("candidate").alias("first")))
     contexts = open_pos.select(*CONTEXT).distinct()
-    limits = _with_limits(contexts, born)
-    kinds = limits.select("name", "prev_death", "next_birth").distinct().join(profile, "name").withColumn("penalty", _penalty())
+    limits = checkpointed(_with_limits(contexts, born))
+    kinds = penalty_classes(limits, profile)
     steps = (0, -4, -8)
-    kinds = kinds.groupBy("name", "prev_death", "next_birth").agg(
-        *[F.sum(F.when(F.col("penalty") == s, F.col("n")).otherwise(0)).alias(f"n{-s}") for s in steps],
-        *[F.min(F.when(F.col("penalty") == s, F.col("first"))).alias(f"first{-s}") for s in steps])
     null_safe = [F.col(f"l.{c}").eqNullSafe(F.col(f"k.{c}")) for c in ("name", "prev_death", "next_birth")]
     base = limits.alias("l").join(kinds.alias("k"), null_safe).select(
         *[f"l.{c}" for c in CONTEXT], *[f"k.n{-s}" for s in steps], *[f"k.first{-s}" for s in steps])

@@ -65,6 +65,30 @@ def test_passes_feed_each_other_and_stop(spark):
     assert found.select("method").distinct().count() == 1
 
 
+def test_passes_write_their_news_only(spark, monkeypatch):
+    """Many positions that nothing is told to are written once; a pass writes its news and the positions beside them."""
+    occ, rel = specific_state(spark)
+    idle = spark.range(500).select(F.col("id").cast("int").alias("chain_id") + 10, F.lit(0).alias("branch_hint"), F.lit(1).alias("sequence_index"),
+                                   F.concat(F.lit("idle"), "id").alias("occurrence_id"), F.lit("n5").alias("name"), F.lit(None).cast("string").alias("entity"), F.lit(1).alias("is_named"))
+    idle = idle.toDF(*occ.columns)
+    idx = spark.createDataFrame([(f"n{q}", f"e{q}", 10) for q in range(1, 10)], "name string, candidate string, name_score int")
+    prev, nxt = RS.relation_edges(relations(spark, *rel))
+    judge = RS.judge_specific(idx, prev, nxt)
+    opened, written, real = RS.open_positions(occ.unionByName(idle)), [], RS.checkpointed
+    monkeypatch.setattr(RS, "checkpointed", lambda df: written.append(real(df)) or written[-1])
+    for limit in (RS.FRONTIER, 0):                                                # broadcast and shuffled frontiers
+        monkeypatch.setattr(RS, "FRONTIER", limit)
+        written.clear()
+        assert RS.neighbour_passes(opened, judge).count() == 8
+        sizes = [w.count() for w in written]
+        assert sizes[0] == 508 and sum(sizes[1:]) <= 3 * 8
+
+
+def test_only_trusted_statuses_count(spark):
+    found = spark.createDataFrame([("a", "strong_graph"), ("b", "guess"), ("c", None)], "occurrence_id string, layer string")
+    assert rows(RS.trusted(found, lx.TRUSTED_STATUSES), "occurrence_id") == [("a",)]
+
+
 def test_specific_rules(spark):
     occ = chain(spark, (1, 1, "a", "A"), (1, 2, "x", None), (1, 3, "b", "B"), (2, 1, "a", "A"), (2, 2, "y", None), (3, 1, "a", "A"), (3, 2, "z", None), (4, 1, "a", "A"), (4, 2, "w", None))
     idx = spark.createDataFrame([("x", "x1", 7), ("x", "x2", 10), ("y", "y1", 8), ("y", "y2", 8), ("z", "z1", 7), ("w", "w1", 9), ("w", "w2", 9)], "name string, candidate string, name_score int")
@@ -121,6 +145,31 @@ def test_queue_summary_is_exact(spark):
         assert got[c] == (len(scored), scored[0][1], -scored[0][0], run, int(-scored[0][0] > run)), c
 
 
+def test_penalty_classes_count_quadrants(spark):
+    """One name with thousands of year pairs, against counting every candidate; unknown years and years of 0 never speak."""
+    rnd = random.Random(9)
+    year = lambda: rnd.choice([None, 0, *range(1, 400)])
+    people = [(f"{i:05d}", year(), year()) for i in range(3000)]
+    data = spark.createDataFrame([("x", b, d, e) for e, b, d in people], "name string, cb int, cd int, candidate string")
+    profile = data.groupBy("name", "cb", "cd").agg(F.count("*").alias("n"), F.min("candidate").alias("first"))
+    asked = [(year(), year()) for _ in range(40)] + [(None, None), (399, 1), (1, 399), (100_000, None), (None, 100_000)]
+    limits = spark.createDataFrame([(n, p, x) for n in ("x", "absent") for p, x in asked], "name string, prev_death int, next_birth int")
+    got = {(r.prev_death, r.next_birth): tuple(r[c] for c in ("n0", "n4", "n8", "first0", "first4", "first8")) for r in RS.penalty_classes(limits, profile).collect()}
+    assert len(got) == len(set(asked))
+    for p, x in asked:
+        group = {0: [], 4: [], 8: []}
+        for e, b, d in people:
+            group[4 * bool(b and p and b > p) + 4 * bool(x and d and x > d)].append(e)
+        assert got[p, x] == tuple(len(g) for g in group.values()) + tuple(min(g, default=None) for g in group.values()), (p, x)
+
+
+def test_penalty_classes_without_years(spark):
+    profile = spark.createDataFrame([("x", None, None, 3, "a")], "name string, cb int, cd int, n long, first string")
+    limits = spark.createDataFrame([("x", None, 7)], "name string, prev_death int, next_birth int")
+    assert rows(RS.penalty_classes(limits, profile), "n0", "n4", "n8", "first0") == [(3, 0, 0, "a")]
+    assert RS.penalty_classes(limits, profile.limit(0)).count() == 0
+
+
 def test_support_needs_a_relation(spark):
     occ = chain(spark, (1, 1, "a", "A"), (1, 2, "x", None), (1, 3, "b", "B"), (2, 1, "a", "A"), (2, 2, "x", None))
     unique = spark.createDataFrame([("x", "x1")], "name string, entity string")
@@ -212,6 +261,19 @@ def test_explicit_relative(spark):
     assert rows(KIN.resolve_kinship(occ, entries, found), "entity", "score", "status") == [("E1", 9, "resolved")]
 
 
+def test_unresolved_kin_nodes_keep_their_best_candidates(spark):
+    names = ["علي بن زيد بن عمر بن سعد"] + ["زيد بن عمر بن سعد"] * 7
+    entries, occ = kin(spark, names, [(1, "E0", None, ""), (2, None, "ابيه", "")])
+    got = KIN.resolve_kinship(occ, entries).first()
+    assert (got.status, got.candidate_count) == ("unresolved", 7) and [tuple(c) for c in got.top] == [(f"E{i}", 7) for i in range(1, 6)]
+    entries, occ = kin(spark, ["عباية بن رفاعة", "رافع بن خديج بن رافع", "رافع بن خديج بن رافع"], [(1, "E0", None, ""), (2, None, "جده", "رافع بن خديج"), (3, "E0", None, ""), (4, None, "جده", "x y")])
+    found = KIN.label_matches(occ.filter("label <> ''").select("label"), entries.withColumn("intro", F.lit("")), spark.createDataFrame([], "key string, entry string"))
+    got = sorted(KIN.resolve_kinship(occ, entries, found).collect(), key=lambda r: r.sequence_index)
+    assert [(r.status, r.candidate_count, [tuple(c) for c in r.top]) for r in got] == [("unresolved", 2, [("E1", 9), ("E2", 9)]), ("unresolved", 0, [])]
+    entries, occ = kin(spark, ["هشام بن عروة بن الزبير بن العوام", "عروة بن الزبير بن العوام"], [(1, "E0", None, ""), (2, None, "ابيه", "")])
+    assert rows(KIN.resolve_kinship(occ, entries), "entity", "candidate_count", "top") == [("E1", None, None)]
+
+
 def test_kin_tokens(spark):
     df = spark.createDataFrame([("ابيه", "relational_or_unknown"), ("جده رافع بن خديج قال", "named_candidate"), ("ابيه", "named_candidate"), ("علي", "named_candidate")], "n string, k string")
     token, label = KIN.kin_tokens("n", "k")
