@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silsila.lexicon import ChainGrammar
@@ -42,6 +42,17 @@ def line_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn("entity", F.when(F.col("resolved") == 1, F.col("supplier"))).withColumn("is_named", F.lit(1))
 
 
+#: Ids of further occurrences of a group position lie this far apart.
+ATOM = 10**12
+
+
+def line_atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line_nodes`` with an id for every occurrence: the occurrences of a group position are numbered by (supplier, status).
+    A single one keeps its id. Equal occurrences are interchangeable."""
+    place = Window.partitionBy("chain_id", "sequence_index").orderBy("supplier", "resolved")
+    return line_nodes(spark, sf_dir).withColumn("occurrence_id", F.col("occurrence_id") + (F.row_number().over(place) - 1) * F.lit(ATOM))
+
+
 def named_line_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("name"))
     return line_nodes(spark, sf_dir).join(names, "supplier")
@@ -82,5 +93,7 @@ rel_a AS (SELECT DISTINCT s1 AS st, s2 AS te FROM adj WHERE rf1 = 'A'),
 hood AS (SELECT x.c, x.q, x.s, x.nm, x.ent, x.rf, p.ent AS prev, f.ent AS nxt, p.rf AS prev_rf, p.s AS prev_s, f.s AS next_s
          FROM single x LEFT JOIN single p ON p.c = x.c AND p.q = x.q - 1
                        LEFT JOIN single f ON f.c = x.c AND f.q = x.q + 1),
-hidden AS (SELECT * FROM hood WHERE ent IS NULL)
+hidden AS (SELECT * FROM hood WHERE ent IS NULL),
+atoms AS (SELECT l_orderkey * 8 + l_linenumber + (row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_suppkey, l_linestatus = 'F') - 1) * 1000000000000 AS id,
+          l_orderkey AS c, l_linenumber AS q, CASE WHEN l_linestatus = 'F' THEN l_suppkey END AS ent FROM lineitem)
 """

@@ -140,19 +140,26 @@ def with_entities(occ: DataFrame, resolved: DataFrame) -> DataFrame:
                        (F.col("occurrence_type") == "named_candidate").cast("int").alias("is_named"))
 
 
-#: What a stage can tell about a resolution, as far as it has the column.
-EVIDENCE = ("name", "method", "score", "gov", "token", "label", "prev", "next", "prev_weight", "next_weight", "candidate_count", "runner_up", "pass_no")
+#: What a stage can tell about a resolution. All stages share this one type; it becomes text in the mart only.
+EVIDENCE = {
+    "name": "string", "method": "string", "status": "string", "score": "double", "runner_up": "double", "candidate_count": "long", "gov": "string",
+    "token": "string", "label": "string", "prev": "string", "next": "string", "prev_weight": "int", "next_weight": "int", "prev_relation": "int",
+    "next_relation": "int", "prev_in_students": "int", "next_in_teachers": "int", "support": "int", "pass_no": "int",
+}
 
 
 def _resolution(news: DataFrame, layer) -> DataFrame:
-    """Columns of the resolved map; the evidence of the stage as one JSON document."""
-    told = F.to_json(F.struct(*[c for c in EVIDENCE if c in news.columns]))
-    return news.select("occurrence_id", "entity", F.col("score").cast("double").alias("score"), layer.alias("layer"), told.alias("evidence"))
+    """Columns of the resolved map: occurrence, entity, score, layer, and the evidence of the stage (NULL what it does not tell)."""
+    def told(c, kind):
+        return (F.col(c) if c in news.columns else F.lit(None)).cast(kind).alias(c)
+
+    return news.select("occurrence_id", "entity", told("score", "double"), (F.lit(layer) if isinstance(layer, str) else layer).alias("layer"),
+                       F.struct(*[told(c, kind) for c, kind in EVIDENCE.items()]).alias("evidence"))
 
 
 def _add(resolved: DataFrame, label, news: DataFrame) -> DataFrame:
     """Resolved map with the news of one stage; what was resolved before stays. ``label``: a text or a column."""
-    fresh = _resolution(news, F.lit(label) if isinstance(label, str) else label)
+    fresh = _resolution(news, label)
     return checkpointed(resolved.unionByName(fresh.join(resolved.select("occurrence_id"), "occurrence_id", "left_anti")))
 
 
@@ -177,7 +184,7 @@ def resolve_anchors(occ: DataFrame, entries: DataFrame) -> DataFrame:
     named = occ.filter("occurrence_type = 'named_candidate'").select("occurrence_id", F.col("normalized_name").alias("name"))
     index = B.prefix_index(strong, "anchor", "canonical_norm", 3, None).select("key", "entity")
     first = RS.resolve_unique_names(named.filter(K.lineage_eligible("name")), index)
-    resolved = checkpointed(_resolution(first, F.lit("provisional_anchor")))
+    resolved = checkpointed(_resolution(first, "provisional_anchor"))
     met = C.guarded_neighbours(with_entities(occ, resolved), ["occurrence_id", "name", "entity", "is_named"])
     met = met.filter("entity IS NULL AND is_named = 1")
     opened = met.select(*C.POSITION, "occurrence_id", "name", F.col("prev_entity").alias("prev"), F.col("next_entity").alias("next"),
@@ -211,6 +218,25 @@ def build_cards(resolved: DataFrame, entries: DataFrame, summaries: DataFrame) -
             "traits": EV.trait_rows(structured, "anchor", [f"has_{t}" for t, _ in lx.TRAITS], "summary_text")}
 
 
+def build_second_evidence(anchors: DataFrame, secondary: DataFrame) -> dict[str, DataFrame]:
+    """C-07: the entry of each anchor in each secondary source (its longest unique heading prefix), and the attributed
+    statements, dates in digits and source grades of these entries."""
+    named = anchors.select("anchor", T.normalize("canonical_name", T.HEADINGS).alias("name_norm"))
+    matched = checkpointed(EV.match_secondary(named, secondary))
+    entries = matched.join(secondary.select("source", "entry_id", "body"), ["source", "entry_id"])
+    keys = ["anchor", "source", "entry_id"]
+    statements = EV.critic_rows(entries, "anchor", "body", R.secondary_grade, ("source", "entry_id"), words=lx.SECONDARY_STATEMENT_WORDS,
+                                excluded=lx.SECONDARY_EXCLUDED_ATTRIBUTIONS, max_critic=90)
+    dates = entries.select(*keys, F.explode(EV.digit_dates("body")).alias("d")).select(*keys, "d.event", "d.year", "d.text", "d.confidence").distinct()
+    grades = EV.source_grades(entries, "source", "body").select(*keys, "critic", "exact_text", "judgment", "confidence")
+    return {
+        "matches": matched.select(*keys, F.lit("unique_heading_prefix").alias("method"), F.lit(0.92).alias("score")),
+        "statements": statements.withColumn("confidence", F.lit(0.88)),
+        "dates": dates.withColumn("evidence_id", T.stable_id("S4D_", *keys, "event", "text")),
+        "grades": grades.withColumn("evidence_id", T.stable_id("S4G_", *keys, "exact_text")),
+    }
+
+
 def anchor_aliases(anchors: DataFrame, secondary: DataFrame | None) -> DataFrame:
     """Alias table of the anchors, with the headings of their secondary entries."""
     headings = None
@@ -222,8 +248,12 @@ def anchor_aliases(anchors: DataFrame, secondary: DataFrame | None) -> DataFrame
 
 
 def resolve_more(occ: DataFrame, resolved: DataFrame, entries: DataFrame, made: dict[str, DataFrame],
-                 secondary: DataFrame | None = None) -> DataFrame:
-    """R-03, R-06, R-07, R-08 on top of the anchors resolved so far."""
+                 secondary: DataFrame | None = None, kept: dict[str, DataFrame] | None = None) -> DataFrame:
+    """R-03, R-06, R-07, R-08 on top of the anchors resolved so far.
+
+    ``kept`` takes a further table of the stages: ``kinship``, every judged kin node, the unresolved ones with their best
+    candidates.
+    """
     anchors, relations = made["anchors"], made["relations"]
     lineage = anchors.withColumn("n", T.normalize("canonical_name", T.LINEAGE))
     opened = _rename(RS.open_positions(with_entities(occ, resolved)), T.LINEAGE)
@@ -237,17 +267,20 @@ def resolve_more(occ: DataFrame, resolved: DataFrame, entries: DataFrame, made:
     kin = with_entities(occ, resolved).withColumn("token", token).withColumn("label", F.when(token.isNotNull(), label).otherwise(""))
     kin = checkpointed(kin)
     labels = kin.filter("label <> ''").select("label").distinct()
-    found = KIN.resolve_kinship(kin, people, KIN.label_matches(labels, people, kunyas))
+    found = checkpointed(KIN.resolve_kinship(kin, people, KIN.label_matches(labels, people, kunyas)))
+    if kept is not None:
+        kept["kinship"] = found
     named_kin = F.when(F.col("label") != "", "strong_relational_named").otherwise("strong_relational")
     resolved = _add(resolved, named_kin, found.filter("status = 'resolved'"))
 
     aliases = anchor_aliases(anchors, secondary).filter(F.size(K.tokens("alias_norm")) >= 2).select(F.col("alias_norm").alias("name"), F.col("anchor").alias("entity")).distinct()
+    # both rules are held to the listed statuses; for aliases these are all there are so far
     for label_, unique, profile, names in (
         ("strong_secondary_alias", B.unique_keys(aliases, "name"), T.HEADINGS, ("strong_alias_two_sided", "strong_alias_one_sided")),
         ("strong_unique_prefix", B.unique_keys(B.prefix_index(lineage, "anchor", "n", 3, 7)).select(F.col("key").alias("name"), "entity"),
          T.LINEAGE, ("strong_prefix_two_sided", "strong_prefix_one_sided")),
     ):
-        opened = _rename(RS.open_positions(with_entities(occ, resolved)), profile)
+        opened = _rename(RS.open_positions(with_entities(occ, RS.trusted(resolved, lx.TRUSTED_STATUSES))), profile)
         news = RS.resolve_with_support(opened, unique, relations, *names)
         resolved = _add(resolved, label_, news)
     return resolved
@@ -263,6 +296,11 @@ def candidate_queue(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFra
     return {"candidates": rows, "blocks": RS.candidate_blocks(opened, index), "summary": RS.queue_summary(opened, rows, index, years)}
 
 
+def _referred(found: DataFrame, refs: DataFrame) -> DataFrame:
+    """Resolutions to cards as resolutions to the references of these cards."""
+    return found.withColumnRenamed("entity", "card_id").join(refs, "card_id").drop("card_id").withColumnRenamed("ref", "entity")
+
+
 # -- cards first ---------------------------------------------------------------------------------
 
 
@@ -288,18 +326,18 @@ def resolve_cards(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFrame
     opened = checkpointed(_rename(RS.open_positions(with_entities(occ, resolved)), T.CARDS))
     alias_open = opened
     candidates = checkpointed(RS.source_card_candidates(opened, RS.plain_index(aliases), prev, nxt))
-    by_card = RS.resolve_source_cards(opened, candidates).select("occurrence_id", F.col("entity").alias("card_id"), F.lit("source_card_context").alias("layer"))
+    by_card = _referred(RS.resolve_source_cards(opened, candidates), refs)
 
     # the card map speaks of references: A: anchors, P: provisional cards
-    base = resolved.select("occurrence_id", F.concat(F.lit("A:"), "entity").alias("entity"), F.lit("existing").alias("layer"))
-    mapped = checkpointed(base.unionByName(by_card.join(refs, "card_id").select("occurrence_id", F.col("ref").alias("entity"), "layer")))
+    base = resolved.select("occurrence_id", F.concat(F.lit("A:"), "entity").alias("entity"), "score", F.lit("existing").alias("layer"), "evidence")
+    mapped = checkpointed(base.unionByName(_resolution(by_card, "source_card_context")))
 
     # R-11: names of three tokens that open exactly one card
     index = B.prefix_index(cards, "card_id", "identity_norm", 3, 8).select("key", "entity")
     free = occ.filter("occurrence_type = 'named_candidate'").join(mapped.select("occurrence_id"), "occurrence_id", "left_anti")
     free = free.select("occurrence_id", T.normalize("normalized_name", T.CARDS).alias("name")).filter(F.size(K.tokens("name")) >= 3)
-    seeds = RS.resolve_unique_names(free, index).select("occurrence_id", F.col("entity").alias("card_id")).join(refs, "card_id")
-    mapped = checkpointed(mapped.unionByName(seeds.select("occurrence_id", F.col("ref").alias("entity"), F.lit("unique_source_card_prefix").alias("layer"))))
+    seeds = _referred(RS.resolve_unique_names(free, index), refs)
+    mapped = checkpointed(mapped.unionByName(_resolution(seeds, "unique_source_card_prefix")))
 
     # R-12: specific context in passes; nodes and results are references
     headed = cards.join(second.join(secondary.select("entry_id", "heading"), "entry_id").select("card_id", T.normalize("heading", T.CARDS).alias("sec")),
@@ -315,7 +353,7 @@ def resolve_cards(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFrame
     carded = carded.filter(F.size(K.tokens("name")) >= 2).select("name", "entity").distinct()
     index6 = B.name_index(named, opened, entity="ref", texts=("identity_norm", "sec"), aliases=carded).withColumnRenamed("entity", "candidate")
     found = RS.neighbour_passes(opened, RS.judge_specific(index6, prev6, next6))
-    mapped = checkpointed(mapped.unionByName(found.select("occurrence_id", "entity", F.col("method").alias("layer"))))
+    mapped = checkpointed(mapped.unionByName(_resolution(found, F.col("method"))))
 
     # R-13: strict fathers; R-14: signatures
     token, label = KIN.kin_tokens(T.normalize("name", T.KINSHIP), "occurrence_type")
@@ -323,10 +361,10 @@ def resolve_cards(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFrame
     met = checkpointed(met.withColumnRenamed("prev_entity", "prev").withColumnRenamed("next_entity", "next"))
     lines = cards.join(refs, "card_id").select(F.col("ref").alias("card"), "identity_norm")
     fathers = KIN.resolve_strict_father(met.filter("entity IS NULL AND token IS NOT NULL").drop("entity"), lines, next6)
-    mapped = mapped.unionByName(fathers.select("occurrence_id", "entity", F.lit("strict_father").alias("layer")))
+    mapped = mapped.unionByName(_resolution(fathers, "strict_father"))
     same = RS.propagate_signatures(met.select(*C.POSITION, "occurrence_id", "name", "entity", "prev", "next"))
     same = same.join(mapped.select("occurrence_id"), "occurrence_id", "left_anti")
-    mapped = checkpointed(mapped.unionByName(same.select("occurrence_id", "entity", F.lit("signature").alias("layer"))))
+    mapped = checkpointed(mapped.unionByName(_resolution(same, "signature")))
 
     used = mapped.join(refs, mapped["entity"] == refs["ref"]).select("occurrence_id", "card_id")
     provisional = CD.provisional_cards(used, cards, links, texts, secondary.select("entry_id", "body"))
@@ -347,8 +385,9 @@ def analyze(occ: DataFrame, resolved: DataFrame, made: dict[str, DataFrame]) ->
     return {"links": links, "branches": AN.branch_summary(rows, links)}
 
 
-def build_mart(corpus: dict[str, DataFrame], made: dict[str, DataFrame], first: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The seven reader tables."""
+def build_mart(corpus: dict[str, DataFrame], made: dict[str, DataFrame], first: dict[str, DataFrame],
+               second: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The seven reader tables. ``second``: evidence of the secondary sources, see :func:`build_second_evidence`."""
     occ, mapped = corpus["occurrences"], first["card_map"]
     anchored = made["cards"].join(made["structured"].drop("summary_text"), "anchor", "left").select(
         F.col("anchor").alias("card_id"), F.col("canonical_name").alias("display_name"), F.col("locator").alias("source_locator"), "grade",
@@ -357,7 +396,8 @@ def build_mart(corpus: dict[str, DataFrame], made: dict[str, DataFrame], first:
         F.col("provisional_id").alias("card_id"), F.col("identity_text").alias("display_name"), F.col("page").alias("source_locator"), "grade",
         F.col("full_text").alias("exact_grade_text"), "tabaqa", "biography", "teachers_raw", "students_raw")
     kind = F.when(F.col("entity").startswith("A:"), "existing_anchor").otherwise("provisional_source_card")
-    refs = mapped.select("occurrence_id", kind.alias("card_type"), F.expr("substring(entity, 3)").alias("card_id"), F.col("layer").alias("status"))
+    refs = mapped.select("occurrence_id", kind.alias("card_type"), F.expr("substring(entity, 3)").alias("card_id"), F.col("layer").alias("status"),
+                         F.to_json("evidence").alias("evidence"))
     nodes = M.mart_nodes(occ, refs)
     rows = occ.join(mapped.select("occurrence_id", F.col("entity").alias("card_ref")), "occurrence_id", "left").withColumn("term", F.col("transmission_term"))
     rows = rows.withColumn("resolved", F.col("card_ref").isNotNull().cast("int"))
@@ -371,7 +411,7 @@ def build_mart(corpus: dict[str, DataFrame], made: dict[str, DataFrame], first:
     hidden = hidden_terminals(rows, repairs, first)
     return {
         "cards": M.mart_cards(anchored, provisional),
-        "critic_statements": M.mart_statements(made["statements"]),
+        "critic_statements": M.mart_statements(made["statements"], second["statements"] if second else None),
         "sanads": M.mart_chains(corpus["chains"].select("chain_id", "record_id", "source_file_id", "chain_raw", "boundary_method", "confidence", "needs_review"),
                                 corpus["source_files"].select("source_file_id", "book", "volume"), corpus["records"].select("record_id", "marker", "page_label")),
         "sanad_nodes": nodes, "sanad_edges": edges, "branch_summary": branches,

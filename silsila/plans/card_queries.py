@@ -18,7 +18,9 @@ from silsila.operators import extract as E
 from silsila.operators import resolve as RS
 from silsila.operators.relations import reconcile
 from silsila.plans import mart as M
-from silsila.plans.bindings import LINES, PROSE, documents, flagged_pairs, line_nodes, named_line_nodes, supplier_index, table
+from silsila.plans.bindings import (
+    LINES, PROSE, documents, flagged_pairs, line_atoms, line_nodes, named_line_nodes, supplier_index, supplier_years, table,
+)
 from silsila.plans.chain_queries import (
     _BILATERAL, _CARD, _LAYERS, _SPAN, card_edges, layers, open_lines, pair_evidence, supplier_spans,
 )
@@ -231,7 +233,7 @@ WITH m AS (SELECT doc_id, 'birth' AS event, unnest(regexp_extract_all(text, '((?
                   unnest(regexp_extract_all(text, '((?:for)[^,.]{0,120}?\sthe\s+([^,.\]\[]+))', 2)) FROM documents),
 t AS (SELECT doc_id, event, w, list_filter(string_split_regex(trim(trim(regexp_replace(regexp_extract(trim(p), '(?s)^(.*?)(?:\s+(?:and)(?:[^\p{L}\p{M}\p{N}_]|$)|$)', 1), '\s+', ' ', 'g')), ' ،؛.'), '\s+'), lambda x: x <> '') AS t FROM m),
 v AS (SELECT *, list_filter(list_transform(t, lambda x: CASE x WHEN 'of' THEN 1 WHEN 'is' THEN 20 WHEN 'that' THEN 300 END), lambda x: x IS NOT NULL) AS v FROM t),
-y AS (SELECT doc_id, event, CASE WHEN len(v) > 0 AND len(v) >= greatest(1, len(t) - 1) THEN list_sum(v)::INT END AS year, substr(w, 1, 240) AS text FROM v)
+y AS (SELECT doc_id, event, CASE WHEN len(v) > 0 AND len(v) >= greatest(1, len(t) - 1) THEN list_sum(v)::INT END AS year, w AS text FROM v)
 SELECT doc_id, event, year, text, CASE WHEN year IS NULL THEN 0.55 ELSE 0.92 END::DOUBLE AS confidence, count(*) AS n FROM y GROUP BY 1, 2, 3, 4, 5""")
 def word_dates(spark, d):
     dates = EV.word_dates("text", ("with",), ("for",), "the", ("and",), ",.",
@@ -291,14 +293,65 @@ def _secondary(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return part.select(F.col("p_partkey").alias("anchor"), name.alias("name_norm")), entries
 
 
+#: Arabic summaries with the grade, the class and the two traits they tell, chosen by the supplier number.
+_SUMMARIES = (
+    ("ثِقَةٌ ثبت", "thiqa", 0, 0), ("صدوق مدلس", "saduq", 1, 0), ("ضعيف جداً", "very_weak", 0, 0), ("لين الحديث", "weak", 0, 0),
+    ("مجهول الحال", "unknown", 0, 0), ("متروك", "rejected", 0, 0), ("صدوق اختلط", "saduq", 0, 1), ("مقبول", "acceptable", 0, 0),
+)
+_CLASSES = ("الأولى", "الثانية", "الثالثة", "الرابعة", "الخامسة", "السادسة", "السابعة", "الثامنة", "التاسعة", "العاشرة", "الحادية عشرة", "الثانية عشرة")
+
+
+def _values(rows) -> str:
+    return "VALUES " + ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in rows)
+
+
+@query("structured_cards", f"""
+WITH g(i, grade, tadlis, ikhtilat) AS ({_values((i, *r[1:]) for i, r in enumerate(_SUMMARIES))}),
+s AS (SELECT s_suppkey AS card, s_suppkey % 9 AS i, s_suppkey % 13 AS k FROM supplier),
+y AS (SELECT l_suppkey, min(year(l_shipdate)) AS b, max(year(l_shipdate)) AS d FROM lineitem GROUP BY 1)
+SELECT card, grade, CASE WHEN s.i < 8 AND k < 12 THEN k + 1 END::INT AS tabaqa, coalesce(tadlis, 0)::INT AS has_tadlis, coalesce(ikhtilat, 0)::INT AS has_ikhtilat,
+       0 AS has_late_memory_change, 0 AS has_poor_memory, b::INT AS birth_year, d::INT AS death_year,
+       CASE WHEN s.i < 8 THEN 'structured_summary' ELSE 'no_summary' END AS structured_status
+FROM s LEFT JOIN g ON g.i = s.i LEFT JOIN y ON l_suppkey = card""")
+def structured_cards(spark, d):
+    """C-03 as a whole: grade, class, traits and years of summaries built from the supplier number; lines date the cards."""
+    k = F.col("s_suppkey")
+    grade = F.get(F.array(*[F.lit(r[0]) for r in _SUMMARIES]), (k % 9).cast("int"))
+    group = F.get(F.array(*[F.lit(w) for w in _CLASSES]), (k % 13).cast("int"))
+    summary = F.concat_ws(" ", grade, F.concat(F.lit("من "), group))
+    cards = table(spark, d, "supplier").select(k.alias("card"), F.when(grade.isNotNull(), summary).otherwise("").alias("summary"))
+    return EV.structured_cards(cards, "card", "summary", supplier_years(spark, d)).drop("summary")
+
+
+#: Verdicts and their class under the rules for statements, secondary sources and source cards.
+_VERDICTS = (
+    ("هو ثِقَة", "thiqa", "thiqa", "thiqa"), ("ليس بثقة", "weak", "thiqa", "thiqa"), ("كذَّاب", "rejected", "rejected", "rejected"),
+    ("فيه نظر", "other", "weak", "weak"), ("لا بأس به", "acceptable", "acceptable", None), ("صالح الحديث", "acceptable", "acceptable", None),
+    ("حافظ إمام", "praise", "other", None), ("له رواية", "other", "other", None), ("واهي الحديث", "weak", "very_weak", "very_weak"),
+    ("صحابي", "other", "other", "companion"), ("مقبول", "other", "other", "acceptable"), ("لا يحتج به", "weak", "weak", None),
+    ("مجهول ضعيف", "weak", "weak", "weak"),
+)
+
+
+@query("verdict_rules", f"""
+WITH v(i, statement, secondary, card) AS ({_values((i, *("" if x is None else x for x in r[1:])) for i, r in enumerate(_VERDICTS))})
+SELECT p_partkey, statement, secondary, nullif(card, '') AS card FROM part JOIN v ON i = p_partkey % {len(_VERDICTS)}""")
+def verdict_rules(spark, d):
+    """Vocalised and plain verdicts before the name of a part, under three rule lists."""
+    said = F.get(F.array(*[F.lit(r[0]) for r in _VERDICTS]), (F.col("p_partkey") % len(_VERDICTS)).cast("int"))
+    text = F.concat_ws(" ", said, "p_name")
+    return table(spark, d, "part").select(
+        "p_partkey", R.statement_judgment(text).alias("statement"), R.secondary_grade(text).alias("secondary"), R.source_card_grade(text).alias("card"))
+
+
 @query("secondary_evidence", r"""
 WITH n AS (SELECT doc_id, source, text, trim(regexp_replace(translate(text, '[]«»()', '      '), '\s+', ' ', 'g'), ' ،؛;:.-') AS nt FROM documents),
 g AS (SELECT doc_id, source, CASE WHEN starts_with(source, 'src1') AND (contains(nt, 'hed') OR contains(nt, 'eau')) THEN 'one' WHEN starts_with(source, 'src2') AND contains(nt, 'tion') THEN 'two' END AS critic,
-   CASE WHEN starts_with(source, 'src1') AND (contains(nt, 'hed') OR contains(nt, 'eau')) THEN substr(text, 1, 800) ELSE substr(text, 1, 1000) END AS exact FROM n)
+   text AS exact FROM n)
 SELECT doc_id, source, critic, CASE critic WHEN 'one' THEN 0.86 ELSE 0.90 END::DOUBLE AS confidence, sha256(exact) AS exact_sha, 'other' AS judgment FROM g WHERE critic IS NOT NULL""")
 def secondary_evidence(spark, d):
     docs = documents(spark, d).select("doc_id", "source", F.col("text").alias("body"))
-    rows = EV.source_grades(docs, "source", "body", {"src1": (("hed", "eau"), 800, "one", 0.86), "src2": (("tion",), 1000, "two", 0.90)})
+    rows = EV.source_grades(docs, "source", "body", {"src1": (("hed", "eau"), None, "one", 0.86), "src2": (("tion",), None, "two", 0.90)})
     return rows.select("doc_id", "source", "critic", "confidence", F.sha2("exact_text", 256).alias("exact_sha"), "judgment")
 
 
@@ -358,9 +411,6 @@ links AS (SELECT *, CASE WHEN chron LIKE 'conflict%' THEN 'chronology_conflict'
    coalesce(nullif(concat_ws(';', CASE WHEN sg <> 'thiqa' THEN 'student:' || sg END, CASE WHEN tg <> 'thiqa' THEN 'teacher:' || tg END), ''), 'none') AS weak FROM lk)"""
 
 
-_ALL_CARDS = "ac AS (SELECT * FROM cd)"
-
-
 @query("edge_analysis", f"""
 WITH {LINES}, {_LINKS} SELECT c AS chain_id, q1 AS from_sequence, student, teacher, rep AS reported_status, observed AS observed_count, chron AS chronology_status,
        tad AS tadlis_warning, weak AS weakness, status AS continuity_status FROM links""")
@@ -482,10 +532,10 @@ def grade_report(spark, d):
 
 
 @query("evidence_documents", f"""
-WITH {LINES}, {_LINKS}, {_ALL_CARDS} SELECT DISTINCT student, teacher, '{{' || CASE WHEN rep IS NOT NULL THEN '"reported_status":"' || rep || '",' ELSE '' END || '"observed_count":' || observed
+WITH {LINES}, {_LINKS} SELECT DISTINCT student, teacher, '{{' || CASE WHEN rep IS NOT NULL THEN '"reported_status":"' || rep || '",' ELSE '' END || '"observed_count":' || observed
   || ',"student_grade":"' || sg || '","teacher_grade":"' || tg || '","student_tabaqa":' || a.tab || ',"teacher_tabaqa":' || b.tab || ',"student_birth_year":' || a.b || ',"teacher_birth_year":' || b.b
   || ',"student_death_year":' || a.d || ',"teacher_death_year":' || b.d || '}}' AS evidence_json
-FROM links JOIN ac a ON a.e = student JOIN ac b ON b.e = teacher""")
+FROM links JOIN cd a ON a.e = student JOIN cd b ON b.e = teacher""")
 def evidence_documents(spark, d):
     return line_links(spark, d).select("student", "teacher", AN.evidence_json().alias("evidence_json")).distinct()
 
@@ -545,15 +595,15 @@ def integrity_audit(spark, d):
 
 
 @query("mart_nodes", f"""
-WITH {LINES}, {_LAYERS} SELECT c * 8 + q AS occurrence_id, c AS chain_id, q AS sequence_index,
+WITH {LINES}, {_LAYERS} SELECT id AS occurrence_id, c AS chain_id, q AS sequence_index,
   CASE WHEN entity IS NOT NULL THEN (CASE WHEN entity % 2 = 0 THEN 'A:' ELSE 'P:' END) || entity END AS card_ref, coalesce(layer, 'unresolved') AS resolution_status
-FROM single LEFT JOIN won ON occurrence_id = c * 8 + q""")
+FROM atoms LEFT JOIN won ON occurrence_id = id""")
 def mart_nodes(spark, d):
+    """Every occurrence, those of group positions too."""
     won = RS.precedence_union(layers(spark, d))
     cards = won.select("occurrence_id", F.when(F.col("entity") % 2 == 0, "existing_anchor").otherwise("provisional_source_card").alias("card_type"),
                        F.col("entity").cast("string").alias("card_id"), F.col("layer").alias("status"))
-    occ = C.guarded_neighbours(line_nodes(spark, d), ["occurrence_id"], sides=()).select("occurrence_id", "chain_id", "sequence_index")
-    return M.mart_nodes(occ, cards)
+    return M.mart_nodes(line_atoms(spark, d).select("occurrence_id", "chain_id", "sequence_index"), cards)
 
 
 @query("mart_cards", f"""

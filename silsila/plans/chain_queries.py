@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silsila import lexicon as lx
 from silsila.functions import keys as K
 from silsila.functions import text as T
 from silsila.operators import audit as AU
@@ -13,7 +14,7 @@ from silsila.operators import chains as C
 from silsila.operators import kinship as KIN
 from silsila.operators import relations as RL
 from silsila.operators import resolve as RS
-from silsila.plans.bindings import LINES, documents, flagged_pairs, line_nodes, named_line_nodes, supplier_index, supplier_years, table
+from silsila.plans.bindings import ATOM, LINES, documents, flagged_pairs, line_atoms, line_nodes, named_line_nodes, supplier_index, supplier_years, table
 from silsila.plans.registry import query
 from silsila.plans.session import checkpointed
 from silsila.sources.tables import upgrade_status, upsert
@@ -267,9 +268,9 @@ def supplier_relations(spark: SparkSession, d: str) -> DataFrame:
     return flagged_pairs(spark, d, 2)
 
 
-def _graph(spark, d):
+def _graph(spark, d, run):
     judge = RS.judge_graph(RS.plain_index(supplier_index(spark, d)), supplier_relations(spark, d))
-    found = RS.neighbour_passes(RS.open_positions(named_line_nodes(spark, d)), judge)
+    found = run(RS.open_positions(named_line_nodes(spark, d)), judge)
     return found.select("chain_id", "sequence_index", "entity", "score", "pass_no")
 
 
@@ -291,12 +292,12 @@ def _graph_sql(passes: int) -> str:
 
 @query("graph_resolve_pass", _graph_sql(1))
 def graph_resolve_pass(spark, d):
-    return _graph(spark, d).filter("pass_no = 1")
+    return _graph(spark, d, RS.one_pass)
 
 
 @query("graph_resolve_fixpoint", _graph_sql(7))
 def graph_resolve_fixpoint(spark, d):
-    return _graph(spark, d)
+    return _graph(spark, d, RS.neighbour_passes)
 
 
 _QUEUE = """
@@ -495,6 +496,36 @@ su AS (SELECT c, q, al.ent, (a.st IS NOT NULL)::INT AS p, (b.st IS NOT NULL)::IN
        LEFT JOIN rel a ON a.st = prev AND a.te = al.ent LEFT JOIN rel b ON b.st = al.ent AND b.te = nxt)"""
 
 
+_NAMED = """
+x AS (SELECT s_suppkey AS entity, s_name || ' of ' || n_name AS t1, n_name || ' ' || r_name || ' of ' || s_name AS t2, s_name, n_name, r_name
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+wanted AS (SELECT n_name AS name FROM x UNION SELECT 'of ' || n_name FROM x UNION SELECT s_name FROM x UNION SELECT r_name FROM x
+           UNION SELECT n_name || ' ' || r_name FROM x UNION SELECT r_name || ' of' FROM x UNION SELECT 'of ' || s_name FROM x UNION SELECT t1 FROM x),
+txt AS (SELECT entity, string_split(t, ' ') AS t, list_distinct([split_part(t1, ' ', 1), split_part(t2, ' ', 1)]) AS heads
+        FROM (SELECT entity, t1, t2, unnest([t1, t2]) AS t FROM x)),
+spots AS (SELECT entity, t, heads, len(t) AS n, unnest(range(len(t))) AS pos FROM txt),
+runs AS (SELECT entity, heads, n, pos, l, array_to_string(t[pos + 1:pos + l], ' ') AS name FROM (SELECT *, unnest(range(1, n - pos + 1)) AS l FROM spots)),
+hit AS (SELECT name, entity, n, l, min(pos) AS pos FROM runs JOIN wanted USING (name)
+        WHERE list_contains(heads, split_part(name, ' ', 1)) OR (l = 1 AND length(name) >= 3) OR (split_part(name, ' ', 1) = 'of' AND length(split_part(name, ' ', 2)) >= 3)
+        GROUP BY 1, 2, 3, 4),
+sc AS (SELECT name, entity, CASE WHEN pos = 0 AND l = n THEN 10 WHEN pos = 0 THEN 9 WHEN split_part(name, ' ', 1) = 'of' AND pos = 1 THEN 8
+              WHEN pos <= 1 THEN 7 WHEN pos <= 3 THEN 5 ELSE 2 END AS s FROM hit
+       UNION ALL SELECT r_name, entity, 9 FROM x WHERE entity % 5 = 0)"""
+
+
+@query("name_index_two_texts", f"WITH {_NAMED} SELECT name, entity, max(s)::INT AS name_score FROM sc GROUP BY 1, 2")
+def name_index_two_texts(spark, d):
+    """Cards with an identity and a second heading; every fifth supplier also has its region as an alias."""
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    sup = checkpointed(table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_name", "n_name", "r_name"))
+    first = F.concat_ws(" ", "s_name", F.lit("of"), "n_name")
+    cards = sup.select(F.col("s_suppkey").alias("entity"), first.alias("identity_norm"), F.concat_ws(" ", "n_name", "r_name", F.lit("of"), "s_name").alias("sec"))
+    names = sup.select(F.explode(F.array("n_name", F.concat_ws(" ", F.lit("of"), "n_name"), "s_name", "r_name", F.concat_ws(" ", "n_name", "r_name"),
+                                         F.concat_ws(" ", "r_name", F.lit("of")), F.concat_ws(" ", F.lit("of"), "s_name"), first)).alias("name"))
+    aliases = sup.filter("s_suppkey % 5 = 0").select(F.col("r_name").alias("name"), F.col("s_suppkey").alias("entity"))
+    return B.name_index(cards, names, texts=("identity_norm", "sec"), lineage="of", kunya="abu", aliases=aliases)
+
+
 @query("alias_resolve", f"""
 WITH {LINES}, {_ALIAS} SELECT c AS chain_id, q AS sequence_index, ent AS entity, p AS prev_relation, x AS next_relation, p + x AS support,
        CASE WHEN p + x = 2 THEN 'strong_alias_two_sided' ELSE 'strong_alias_one_sided' END AS status, CASE WHEN p + x = 2 THEN 6 ELSE 5 END AS score
@@ -509,6 +540,26 @@ def alias_resolve(spark, d):
     return found.select("chain_id", "sequence_index", "entity", "prev_relation", "next_relation", "support", "status", "score")
 
 
+@query("trusted_alias_resolve", f"""
+WITH {LINES}, al AS (SELECT s_nationkey * 10 + s_suppkey % 10 AS alias, count(*) AS n, min(s_suppkey) AS ent FROM supplier GROUP BY 1),
+tr AS (SELECT c, q, nm * 10 + s % 10 AS alias, CASE WHEN ls = 'F' AND rf IN ('A', 'R') THEN s END AS ent FROM single),
+su AS (SELECT x.c, x.q, al.ent, (a.st IS NOT NULL)::INT AS p, (b.st IS NOT NULL)::INT AS x FROM tr x JOIN al ON al.alias = x.alias AND n = 1
+       LEFT JOIN tr pv ON pv.c = x.c AND pv.q = x.q - 1 LEFT JOIN tr nx ON nx.c = x.c AND nx.q = x.q + 1
+       LEFT JOIN rel a ON a.st = pv.ent AND a.te = al.ent LEFT JOIN rel b ON b.st = al.ent AND b.te = nx.ent WHERE x.ent IS NULL)
+SELECT c AS chain_id, q AS sequence_index, ent AS entity, p + x AS support, CASE WHEN p + x = 2 THEN 6 ELSE 5 END AS score FROM su WHERE p + x >= 1""")
+def trusted_alias_resolve(spark, d):
+    """The alias rule where only resolutions of listed statuses count; N lines have a status that is not on the list."""
+    occ = line_nodes(spark, d)
+    status = F.when(F.col("flag") == 1, "provisional_anchor").when(F.col("flag") == 2, "strong_context").otherwise("review")
+    resolved = C.guarded_neighbours(occ, ["occurrence_id", "entity", "flag"], sides=()).filter("entity IS NOT NULL").withColumn("layer", status)
+    held = RS.trusted(resolved, lx.TRUSTED_STATUSES).select("occurrence_id", "entity")
+    alias = table(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier"), (F.col("s_nationkey") * 10 + F.col("s_suppkey") % 10).alias("name"))
+    opened = RS.open_positions(occ.drop("entity").join(held, "occurrence_id", "left").join(alias, "supplier"))
+    unique = B.unique_keys(alias.select("name", F.col("supplier").alias("entity")), "name")
+    found = RS.resolve_with_support(opened, unique, supplier_relations(spark, d), "two", "one")
+    return found.select("chain_id", "sequence_index", "entity", "support", "score")
+
+
 @query("prefix_resolve", f"""
 WITH {LINES}, px AS (SELECT s_suppkey, 'S ' || n_name || ' ' || left(s_suppkey::VARCHAR, 1) || ' ' || s_suppkey AS nm FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 un AS (SELECT array_to_string(string_split(nm, ' ')[1:3], ' ') AS k, min(s_suppkey) AS ent FROM px GROUP BY 1 HAVING count(*) = 1),
@@ -548,23 +599,24 @@ def signature_propagate(spark, d):
 
 
 def layers(spark: SparkSession, d: str) -> list[tuple[str, DataFrame]]:
-    """Map of resolved lines, then the alias rule, then the card rule."""
-    known = C.guarded_neighbours(line_nodes(spark, d), ["occurrence_id", "entity"], sides=()).filter("entity IS NOT NULL")
-    known = known.select("occurrence_id", "entity", F.lit(1).alias("score"))
-    opened = open_lines(spark, d)
+    """Map of resolved lines (those of group positions too), then the alias rule, then the card rule. The neighbours are
+    found once for both rules and for the relations they ask."""
+    known = line_atoms(spark, d).filter("entity IS NOT NULL").select("occurrence_id", "entity", F.lit(1).alias("score"))
+    met = checkpointed(C.guarded_neighbours(line_nodes(spark, d), ["occurrence_id", "supplier", "entity"]))
+    open_ = met.filter("entity IS NULL").select(*C.POSITION, "occurrence_id", "supplier", F.col("prev_entity").alias("prev"), F.col("next_entity").alias("next"))
+    sup = table(spark, d, "supplier")
     prev, nxt = card_edges(spark, d)
-    index = RS.plain_index(supplier_index(spark, d))
-    cards = RS.resolve_source_cards(opened, RS.source_card_candidates(opened, index, prev, nxt))
-    alias = (F.col("s_nationkey") * 10 + F.col("s_suppkey") % 10).alias("name")
-    sup = table(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier"), alias)
-    unique = B.unique_keys(sup.select("name", F.col("supplier").alias("entity")), "name")
-    named = RS.resolve_with_support(RS.open_positions(line_nodes(spark, d).join(sup, "supplier")), unique, supplier_relations(spark, d), "two", "one")
+    opened = open_.join(sup.select(F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("name")), "supplier")
+    cards = RS.resolve_source_cards(opened, RS.source_card_candidates(opened, RS.plain_index(supplier_index(spark, d)), prev, nxt))
+    alias = sup.select(F.col("s_suppkey").alias("supplier"), (F.col("s_nationkey") * 10 + F.col("s_suppkey") % 10).alias("name"))
+    unique = B.unique_keys(alias.select("name", F.col("supplier").alias("entity")), "name")
+    named = RS.resolve_with_support(open_.join(alias, "supplier"), unique, supplier_relations(spark, d), "two", "one")
     return [("known", known), ("alias", named), ("source_card", cards)]
 
 
 _LAYERS = f"""
 {_ALIAS}, {_CARD},
-ly AS (SELECT c * 8 + q AS occurrence_id, ent AS entity, 1 AS score, 'known' AS layer, 0 AS r FROM single WHERE ent IS NOT NULL
+ly AS (SELECT id AS occurrence_id, ent AS entity, 1 AS score, 'known' AS layer, 0 AS r FROM atoms WHERE ent IS NOT NULL
    UNION ALL SELECT c * 8 + q, ent, CASE WHEN p + x = 2 THEN 6 ELSE 5 END, 'alias', 1 FROM su WHERE p + x >= 1
    UNION ALL SELECT c * 8 + q, cand, score, 'source_card', 2 FROM rk WHERE rn = 1 AND ps + xs > 0 AND (run IS NULL OR score > run)),
 won AS (SELECT occurrence_id, entity, score, layer FROM ly QUALIFY row_number() OVER (PARTITION BY occurrence_id ORDER BY r) = 1)"""
@@ -626,6 +678,31 @@ def kinship_resolve(spark, d):
     return found.select("chain_id", "sequence_index", F.col("gov").alias("governing"), "entity", "score", "status", "pass_no")
 
 
+@query("kin_candidates", f"""
+WITH {LINES},
+k AS (SELECT l_orderkey AS c, l_linenumber AS q FROM lineitem WHERE l_returnflag = 'A'),
+w AS (SELECT k.c, k.q, p.s AS gov FROM k JOIN single p ON p.c = k.c AND p.q = k.q - 1 AND p.rf = 'N'),
+b AS (SELECT n_nationkey, count(c_custkey) AS n, min(c_custkey) AS one,
+             array_to_string(list_transform(list_sort(list(c_custkey))[1:5], lambda x: x || ':7'), ',') AS top
+      FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY 1)
+SELECT c AS chain_id, q AS sequence_index, gov AS governing, CASE WHEN n = 1 THEN one END AS entity, CASE WHEN n > 0 THEN 7 ELSE 0 END AS score,
+       CASE WHEN n IS DISTINCT FROM 1 THEN coalesce(n, 0) END AS candidate_count, CASE WHEN n IS DISTINCT FROM 1 THEN coalesce(top, '') END AS top
+FROM w JOIN supplier ON s_suppkey = gov LEFT JOIN b ON n_nationkey = s_nationkey""")
+def kin_candidates(spark, d):
+    """Customers bear the name of their nation, so the father of a supplier is one of many: the five best candidates stay."""
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    line = n.select("n_nationkey", F.concat_ws(" of ", "n_name", "r_name", F.lit("WORLD")).alias("line"))
+    sup = table(spark, d, "supplier").join(line, F.col("s_nationkey") == F.col("n_nationkey"))
+    cust = table(spark, d, "customer").join(line, F.col("c_nationkey") == F.col("n_nationkey"))
+    entries = sup.select((F.col("s_suppkey") + ATOM).alias("entry"), F.concat_ws(" of ", "s_name", "line").alias("name_norm")).unionByName(
+        cust.select(F.col("c_custkey").alias("entry"), F.col("line").alias("name_norm")))
+    occ = line_nodes(spark, d).withColumn("token", F.when(F.col("flag") == 1, "F")).withColumn("label", F.lit(""))
+    occ = occ.withColumn("entity", F.when(F.col("flag") == 0, F.col("supplier") + ATOM))
+    found = KIN.resolve_kinship(occ, entries, None, "of", ("F",), ("G",)).filter("pass_no = 1")
+    top = F.array_join(F.transform("top", lambda x: F.concat_ws(":", x["candidate"], x["score"])), ",")
+    return found.select("chain_id", "sequence_index", (F.col("gov") - ATOM).alias("governing"), "entity", "score", "candidate_count", top.alias("top"))
+
+
 @query("explicit_relatives", """
 WITH lab AS (SELECT DISTINCT n_name || ' of ' || r_name AS label FROM nation JOIN region ON n_regionkey = r_regionkey
              UNION SELECT 'abu ' || p_name || ' ' || p_type FROM part),

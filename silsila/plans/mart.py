@@ -34,8 +34,9 @@ def mart_chains(chains: DataFrame, files: DataFrame, records: DataFrame) -> Data
 
 
 def mart_nodes(occ: DataFrame, cards: DataFrame) -> DataFrame:
-    """Every occurrence with its card, or ``unresolved``."""
-    rows = occ.join(cards.select("occurrence_id", "card_type", "card_id", "status"), "occurrence_id", "left")
+    """Every occurrence with its card, or ``unresolved``; the evidence of the resolution too where ``cards`` has it."""
+    told = [c for c in ("evidence",) if c in cards.columns]
+    rows = occ.join(cards.select("occurrence_id", "card_type", "card_id", "status", *told), "occurrence_id", "left")
     known = F.col("card_id").isNotNull()
     return rows.withColumn("card_ref", F.when(known, card_ref("card_type", "card_id"))).withColumn(
         "resolution_status", F.coalesce("status", F.lit("unresolved"))).drop("card_type", "card_id", "status")

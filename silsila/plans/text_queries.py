@@ -9,6 +9,7 @@ from html.entities import name2codepoint
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silsila import lexicon as lx
 from silsila.functions import keys as K
 from silsila.functions import rules as R
 from silsila.functions import text as T
@@ -338,6 +339,78 @@ def normalize_profiles(spark, d):
     return documents(spark, d).select("doc_id", *[F.sha2(T.normalize("text", p), 256).alias(n) for n, p in T.PROFILES.items()])
 
 
+#: Words of the invented prose that become Arabic tokens, with vowel marks, hamza forms, invisible signs and brackets.
+ARABIC_TOKENS = ((" the ", " ابن "), (" of ", " أَبِي "), (" and ", " مُحَمَّدُ بْنُ إبراهيم "), (" is ", " (نزيل\u200f البصرة) "), (" for ", " يحيى ـ «زهير» "))
+
+
+def _arabic_sql(c: str) -> str:
+    for old, new in ARABIC_TOKENS:
+        c = f"replace({c}, '{old}', '{new}')"
+    return c
+
+
+def arabic(c):
+    """Text with some of its words replaced by Arabic tokens."""
+    for old, new in ARABIC_TOKENS:
+        c = F.replace(c, F.lit(old), F.lit(new))
+    return c
+
+
+def _norm_arabic_sql(profile: T.Profile) -> str:
+    """A profile in SQL with all its steps; lineage words are whole tokens of the trimmed text."""
+    c = f"regexp_replace(text, '[{lx.MARKS}]', '', 'g')"
+    c = f"translate({c}, '{lx.ALEF_FORMS}ى', '{'ا' * len(lx.ALEF_FORMS)}ي')"
+    if profile.parentheses_up_to:
+        c = rf"regexp_replace({c}, '\([^)]{{0,{profile.parentheses_up_to}}}\)', ' ', 'g')"
+    if profile.blank:
+        c = f"translate({c}, '{profile.blank}', '{' ' * len(profile.blank)}')"
+    if profile.drop_invisible:
+        c = f"translate({c}, '{lx.TATWEEL}{lx.ZERO_WIDTH}', '')"
+    c = rf"trim(regexp_replace({c}, '\s+', ' ', 'g'), '{profile.trim}')"
+    if profile.lineage:
+        swaps = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in profile.lineage)
+        c = f"array_to_string(list_transform(string_split({c}, ' '), lambda w: CASE w {swaps} ELSE w END), ' ')"
+    return c
+
+
+@query("normalize_arabic", "WITH d AS (SELECT doc_id, " + _arabic_sql("text") + " AS text FROM documents) SELECT doc_id, " + ", ".join(
+    f"sha256({_norm_arabic_sql(p)}) AS {name}" for name, p in T.PROFILES.items()) + " FROM d")
+def normalize_arabic(spark, d):
+    """All profiles on texts in which marks, letter forms, lineage tokens, brackets and invisible signs do occur."""
+    docs = documents(spark, d).select("doc_id", arabic(F.col("text")).alias("text"))
+    return docs.select("doc_id", *[F.sha2(T.normalize("text", p), 256).alias(n) for n, p in T.PROFILES.items()])
+
+
+@query("secondary_entries", r"""
+WITH p AS (SELECT p_partkey AS k, p_size % 4 AS g, p_name AS n, p_type AS t FROM part),
+e AS (SELECT 'bracketed' AS source, k, k AS no, n AS heading, n || ' ' || t AS body FROM p WHERE g = 0 AND k % 2 = 0
+  UNION ALL SELECT 'numbered', k, k, n, n || ' ' || t FROM p WHERE g = 1 AND k % 3 > 0
+  UNION ALL SELECT 'plain', k, NULL, 'مالك بْن ' || n, 'مالك بْن ' || n || ' ' || t FROM p WHERE g = 2 AND k % 3 = 0
+  UNION ALL SELECT 'numeric', k, k, 'أبو ' || n, 'أبو ' || n || ': ' || t FROM p WHERE g = 3 AND k % 4 = 1
+  UNION ALL SELECT 'numeric', k, k, 'مالك ابن ' || n, 'مالك ابن ' || n || '، ' || t FROM p WHERE g = 3 AND k % 4 = 0)
+SELECT 'SE_' || substr(sha256(concat_ws(chr(31), source, k::VARCHAR, coalesce(no::VARCHAR, ''), heading)), 1, 20) AS entry_id, source, k AS page_order, no::INT AS entry_no, heading,
+       replace(replace(replace(heading, 'أ', 'ا'), 'ْ', ''), ' ابن ', ' بن ') AS heading_norm, body FROM e""")
+def secondary_entries(spark, d):
+    """C-06: entries of three title grammars and of a numbered source; titles and first clauses that open no entry are left out."""
+    part = table(spark, d, "part")
+    k, n = F.col("p_partkey"), F.col("p_name")
+    plain_title = F.when(k % 3 == 0, F.concat(F.lit("مالك بْن "), n)).when(k % 3 == 1, F.concat(F.lit("باب مالك بن "), n)).otherwise(n)
+    titles = {
+        "bracketed": F.when(k % 2 == 0, F.concat(F.lit("["), k, F.lit("]  "), n)).otherwise(n),
+        "numbered": F.when(k % 3 == 0, n).when(k % 3 == 1, F.concat(k, F.lit(" ز - "), n)).otherwise(F.concat(k, F.lit(" "), n)),
+        "plain": F.concat(plain_title, F.lit("؛ ")),
+    }
+    text = F.when(k % 4 == 0, F.concat(F.lit("مالك ابن "), n, F.lit("، "), "p_type")).when(k % 4 == 1, F.concat(F.lit("أبو "), n, F.lit(": "), "p_type")).when(
+        k % 4 == 2, F.concat(F.lit("فصل بن "), n)).otherwise(F.concat(n, F.lit(". "), "p_type"))
+    out = None
+    for i, (source, title) in enumerate([*titles.items(), ("numeric", k.cast("string"))]):
+        bodies = part.filter(F.col("p_size") % 4 == i).select(
+            F.lit(source).alias("source"), k.alias("entry_order"), title.alias("number"), (text if source == "numeric" else F.col("p_type")).alias("body"))
+        rows = PG.secondary_entries(bodies, "source", None if source == "numeric" else source)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("stable_ids", """
 SELECT o_orderkey, 'OR_' || substr(sha256(concat_ws(chr(31), o_orderkey::VARCHAR, o_custkey::VARCHAR, o_orderstatus)), 1, 20) AS stable_id FROM orders""")
 def stable_ids(spark, d):

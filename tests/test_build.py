@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from silsila.plans import build as BD
 from tests.conftest import rows
@@ -59,10 +60,12 @@ def job(spark):
     occ = corpus["occurrences"]
     resolved = BD.resolve_anchors(occ, entries)
     made = BD.build_cards(resolved, entries, summaries)
-    final = BD.resolve_more(occ, resolved, entries, made, secondary)
+    kept = {}
+    final = BD.resolve_more(occ, resolved, entries, made, secondary, kept)
     made = BD.build_cards(final, entries, summaries)
     first = BD.resolve_cards(occ, final, made, summaries, secondary)
-    return {"corpus": corpus, "entries": entries, "resolved": final, "made": made, "first": first, "occ": occ, "secondary": secondary}
+    return {"corpus": corpus, "entries": entries, "resolved": final, "made": made, "first": first, "occ": occ, "secondary": secondary,
+            "kept": kept, "second": BD.build_second_evidence(made["anchors"], secondary)}
 
 
 def test_corpus_layers(job):
@@ -113,6 +116,31 @@ def test_identities(job):
     assert "نافع بن عمر بن جميل" not in by_name
 
 
+def test_stages_tell_their_evidence(job):
+    """One typed value through all stages, those of the cards included."""
+    assert job["resolved"].schema["evidence"].dataType == job["first"]["card_map"].schema["evidence"].dataType
+    told = {r["layer"]: r["evidence"] for r in job["first"]["card_map"].collect()}
+    seed = told["unique_source_card_prefix"]
+    assert (seed.name, seed.score, seed.prev) == ("سعد بن هلال بن رافع", 1.0, None)
+    kin = {r["layer"]: r["evidence"] for r in job["resolved"].collect()}["strong_relational"]
+    assert (kin.token, kin.score, kin.pass_no) == ("ابيه", 7.0, 1)
+    assert rows(job["kept"]["kinship"], "token", "status") == [("ابيه", "resolved")]
+
+
+def test_second_evidence(job):
+    """C-07: statements, dates and grades of the matched secondary entries; grades only from sources of one critic."""
+    second = job["second"]
+    name = {r["anchor"]: r["canonical_norm"] for r in job["entries"].collect()}
+    assert sorted(name[r.anchor].split("،")[0] for r in second["matches"].collect()) == ["مالك بن انس بن مالك الاصبحي", "نافع بن سالم بن زيد"]
+    assert rows(second["statements"], "source", "critic", "statement", "judgment", "confidence") == [("tt", "يحيي", "ثقة", "thiqa", 0.88)]
+    assert rows(second["dates"], "event", "year") == [("death", 179)]
+    assert second["grades"].count() == 0
+    named = job["secondary"].withColumn("source", F.lit("الكاشف"))
+    grades = BD.build_second_evidence(job["made"]["anchors"], named)["grades"]
+    assert rows(grades, "critic", "judgment") == [("الذهبي", "thiqa")]
+    assert "سنة 179" in grades.first()["exact_text"]
+
+
 def test_cards_first(job):
     layers = rows(job["first"]["card_map"].groupBy("layer").count())
     assert ("unique_source_card_prefix", 1) in layers                    # known to the summaries only
@@ -143,7 +171,10 @@ def test_links_and_mart(job, tmp_path, spark):
     assert total == 0
     queue = BD.candidate_queue(job["occ"], job["resolved"], job["made"])
     assert queue["summary"].filter("candidate_count < 1").count() == 0
-    mart = BD.build_mart(job["corpus"], job["made"], job["first"])
+    mart = BD.build_mart(job["corpus"], job["made"], job["first"], job["second"])
+    refs = [r["statement_ref"][:3] for r in mart["critic_statements"].collect()]
+    assert refs.count("S4:") == 1 and refs.count("S2:") == job["made"]["statements"].count()
+    assert '"token":"ابيه"' in mart["sanad_nodes"].filter("occurrence_type <> 'named_candidate' AND card_ref IS NOT NULL").first()["evidence"]
     assert set(mart) == {"cards", "critic_statements", "sanads", "sanad_nodes", "sanad_edges", "branch_summary", "terminal_repairs"}
     nodes = mart["sanad_nodes"]
     assert nodes.count() == job["occ"].count() and nodes.select("occurrence_id").distinct().count() == nodes.count()
