@@ -198,8 +198,8 @@ def reduce_by_dominance(count: dict[int, int], capacity: int) -> tuple[list[tupl
                         ok = False
                     if not ok:
                         break
-                    # one at a time unless each bin can have the same partner while the smallest stay as they are
-                    take((s, best), 1 if best == s or best == others[0] else min(left[s], left[best]))
+                    # fewer pieces make the smallest sums larger and the best pair smaller, so the test holds for all these bins
+                    take((s, best), left[s] // 2 if best == s else min(left[s], left[best]))
                 again = True
     return fixed, left
 

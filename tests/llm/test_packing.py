@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -107,6 +108,55 @@ def test_big_counts_stay_short():
     assert len(runs) < 2000 and sequences >= 10**12
 
 
+def test_equal_partners_are_fixed_at_once():
+    """Very many pieces of a length whose best partner has the same length, or is the smallest one, are planned in no time."""
+    for count in ({2000: 10**9}, {1500: 10**9, 1400: 10**9 + 1, 1390: 5}, {2040: 10**9, 1030: 10**9, 1027: 3}, {1366: 10**9 + 2}):
+        start = time.time()
+        runs, sequences = packing.plan_bins(count, 4096)
+        assert time.time() - start < 2 and len(runs) < 100
+        assert {s: sum(end - first for length, first, end, _, _ in runs if length == s) for s in count} == count
+        assert sequences >= -(-sum(s * c for s, c in count.items()) // 4096)
+
+
+def test_bulk_fixing_is_fixing_one_by_one():
+    """A bin at a time, with the test made anew before each, gives the same bins."""
+    def one_by_one(count, capacity):
+        left, fixed, again = {s: c for s, c in count.items() if c}, {}, True
+        while again:
+            again = False
+            for s in sorted(left, reverse=True):
+                while left.get(s):
+                    rest = sorted([t for t in left for _ in range(left[t] - (t == s))])
+                    fit = [t for t in rest if t <= capacity - s]
+                    pairs = [a + b for i, a in enumerate(fit) for b in fit[i + 1:] if a + b <= capacity - s]
+                    two, three = sum(rest[:2]) if len(rest) > 1 else None, sum(rest[:3]) if len(rest) > 2 else None
+                    if not fit:
+                        best = ()
+                    elif fit[-1] == capacity - s or two is None or two > capacity - s or (
+                            (three is None or three > capacity - s) and fit[-1] >= max(pairs, default=0)):
+                        best = (fit[-1],)
+                    else:
+                        break
+                    fixed[(s, *best)] = fixed.get((s, *best), 0) + 1
+                    for t in (s, *best):
+                        left[t] -= 1
+                        if not left[t]:
+                            del left[t]
+                    again = True
+        return fixed, left
+
+    random.seed(12)
+    for _ in range(600):
+        capacity = random.choice([10, 13, 20, 41])
+        sizes = [random.randint(max(1, capacity // random.choice([2, 3, 5])), capacity) for _ in range(random.randint(0, 25))]
+        count = {s: sizes.count(s) for s in set(sizes)}
+        fixed, left = packing.reduce_by_dominance(count, capacity)
+        total = {}
+        for lengths, bins in fixed:
+            total[lengths] = total.get(lengths, 0) + bins
+        assert (total, left) == one_by_one(count, capacity), (count, capacity)
+
+
 def check_rows(rows, want):
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(want)
     by = {}
