@@ -73,17 +73,26 @@ def unit_id(words: list[str]) -> int:
     return h - (1 << 64) if h >= _SIZE else h
 
 
+#: A text is told by its id and its digest: an id may have several texts, and many texts may have none.
+TEXT = ("doc_id", "digest")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, text)."""
+    return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(unit, doc_id, first, last) per unit of every text."""
+    """(unit, doc_id, digest, first, last) per unit of every text."""
     def one(batch):
-        out = {"unit": [], "doc_id": [], "first": [], "last": []}
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
+        out = {"unit": [], "doc_id": [], "digest": [], "first": [], "last": []}
+        for doc_id, digest, text in zip(batch.column("doc_id").to_pylist(), batch.column("digest").to_pylist(), texts_of(batch)):
             for a, b, _, words in units(text):
-                for name, value in zip(out, (unit_id(words), doc_id, a, b)):
+                for name, value in zip(out, (unit_id(words), doc_id, digest, a, b)):
                     out[name].append(value)
         return out
 
-    return map_rows(docs.select("doc_id", "text"), one, "unit bigint, doc_id bigint, first int, last int")
+    return map_rows(keyed(docs), one, "unit bigint, doc_id bigint, digest bigint, first int, last int")
 
 
 def runs(flat: np.ndarray, n: int) -> np.ndarray:
@@ -174,7 +183,7 @@ def repeated_seeds(docs: DataFrame):
 
 
 def run_occurrences(docs: DataFrame, repeated) -> DataFrame:
-    """(unit, doc_id, first, last) of the repeated seeds and of the runs of ``UNIT_WORDS`` words near their ends.
+    """(unit, doc_id, digest, first, last) of the repeated seeds and of the runs of ``UNIT_WORDS`` words near their ends.
 
     Runs are counted first, so only rows that may be repeated are handed on.
     """
@@ -210,30 +219,31 @@ def run_occurrences(docs: DataFrame, repeated) -> DataFrame:
         unit, places, wide = unit[keep], places[keep], wide[keep]
         of = np.searchsorted(stop, places, "right")
         first = places - start[of]
-        return {"unit": unit, "doc_id": batch.column("doc_id").take(pa.array(of)), "first": pa.array(first, pa.int32()),
+        return {"unit": unit, **{c: batch.column(c).take(pa.array(of)) for c in TEXT}, "first": pa.array(first, pa.int32()),
                 "last": pa.array(first + wide, pa.int32())}
 
-    return map_rows(docs.select("doc_id", "text"), one, "unit bigint, doc_id bigint, first int, last int", step=STEP)
+    return map_rows(keyed(docs), one, "unit bigint, doc_id bigint, digest bigint, first int, last int", step=STEP)
 
 
 def repeated_runs(docs: DataFrame, rows: DataFrame, repeated) -> DataFrame:
     """Repeated runs of words beside the verdicts ``rows`` on units, with the same columns.
 
-    A run inside a removed unit goes with it; a run that a matched unit repeats within its own document is left to it.
+    A run inside a removed unit goes with it; a run that a matched unit repeats within its own text is left to it.
     """
-    verdict = "doc_id", "first", "last", "cluster", "keep_doc_id", "removed"
+    verdict = *TEXT, "first", "last", "cluster", "keep", "removed"
     both = rows.select(*verdict, F.lit(None).cast("long").alias("unit")).unionByName(
-        run_occurrences(docs, repeated).select("unit", "doc_id", "first", "last"), allowMissingColumns=True)
-    order = Window.partitionBy("doc_id").orderBy("first").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        run_occurrences(docs, repeated).select("unit", *TEXT, "first", "last"), allowMissingColumns=True)
+    order = Window.partitionBy(*TEXT).orderBy("first").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     reach = both.withColumn("__gone", F.max(F.when(F.col("removed"), F.col("last"))).over(order)).withColumn(
         "__matched", F.max(F.when(F.col("unit").isNull(), F.col("last"))).over(order))
     found = cut(reach.filter(F.col("unit").isNotNull() & ~F.coalesce(F.col("__gone") >= F.col("last"), F.lit(False))).select(
-        "unit", "doc_id", "first", "last", F.coalesce(F.col("__matched") >= F.col("last"), F.lit(False)).alias("inside")))
-    classes = cut(found.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "first")).alias("owner")).filter("copies > 1"))
+        "unit", *TEXT, "first", "last", F.coalesce(F.col("__matched") >= F.col("last"), F.lit(False)).alias("inside")))
+    classes = cut(found.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first")).alias("owner")).filter("copies > 1"))
     matched = join_classes(found, classes, "unit", "copies", "inner")
-    return matched.filter(~(F.col("inside") & F.col("doc_id").eqNullSafe(F.col("owner.doc_id")))).select(
-        "doc_id", "first", "last", F.col("unit").alias("cluster"), F.col("owner.doc_id").alias("keep_doc_id"),
-        (~(F.struct("doc_id", "first").eqNullSafe(F.col("owner")))).alias("removed"))
+    owner = F.struct("owner.doc_id", "owner.digest")
+    return matched.filter(~(F.col("inside") & F.struct(*TEXT).eqNullSafe(owner))).select(
+        *TEXT, "first", "last", F.col("unit").alias("cluster"), owner.alias("keep"),
+        (~(F.struct(*TEXT, "first").eqNullSafe(F.col("owner")))).alias("removed"))
 
 
 def shingles(lines: list[list[str]], known: _WordHash) -> tuple[np.ndarray, np.ndarray]:
@@ -487,31 +497,34 @@ def near_links(docs: DataFrame, exact: int = EXACT_BUCKET, repeated=None) -> Dat
 
 
 def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
-    """One row per repeated passage: doc_id, first_word, end_word, n_words, cluster, keep_doc_ids, removed.
+    """One row per repeated passage: doc_id, first_word, end_word, n_words, cluster, keep_doc_ids, removed, digest.
 
     Words are numbered from 0 over the white-space-separated words of the text, ends are exclusive. Rows with ``removed``
     go, their text stays in the documents ``keep_doc_ids``; rows without are the kept passages. Documents without a repeated passage of
-    ``PASSAGE_WORDS`` words have no row. Null and empty texts have no units; null ids take part and rank before others;
-    rows that repeat a doc_id repeat its passages; empty input gives no rows; other columns are not read.
+    ``PASSAGE_WORDS`` words have no row. Null and empty texts have no units; null ids take part and rank before others, and
+    an owner without an id is a null in ``keep_doc_ids``. Different texts of one id, or of none, are texts of their own, told
+    apart by ``digest``; rows equal in id and text count as one. Of equal places the smallest (doc_id, digest, first word)
+    owns a cluster. Empty input gives no rows; very long texts are a step of their own; other columns are not read.
     """
     repeated = repeated_seeds(docs)
     found = occurrences(docs)
-    same = found.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "first")).alias("place"))
+    same = found.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first")).alias("place"))
     near = components(near_links(docs, exact, repeated)).select(F.col("node").alias("unit"), "root")
     classes = cut(same.join(near, "unit", "left").filter(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn(
         "root", F.coalesce("root", "unit")))
     owner = classes.groupBy("root").agg(F.min("place").alias("owner"))
     classes = cut(classes.join(owner, "root").select("unit", "copies", "root", "owner"))
     rows = join_classes(found, classes, "unit", "copies", "inner").select(
-        "doc_id", "first", "last", F.col("root").alias("cluster"), F.col("owner.doc_id").alias("keep_doc_id"),
-        (~(F.struct("doc_id", "first").eqNullSafe(F.col("owner")))).alias("removed"))
+        *TEXT, "first", "last", F.col("root").alias("cluster"), F.struct("owner.doc_id", "owner.digest").alias("keep"),
+        (~(F.struct(*TEXT, "first").eqNullSafe(F.col("owner")))).alias("removed"))
     rows = cut(rows)
     rows = rows.unionByName(repeated_runs(docs, rows, repeated))
-    order = Window.partitionBy("doc_id", "removed").orderBy("first", F.desc("last"))
+    order = Window.partitionBy(*TEXT, "removed").orderBy("first", F.desc("last"))
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("__new", F.when(before + GAP_WORDS >= F.col("first"), 0).otherwise(1))
     rows = rows.withColumn("__run", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy("doc_id", "removed", "__run").agg(
+    owners = F.transform(F.array_sort(F.collect_set("keep")), lambda o: o["doc_id"])
+    return rows.groupBy(*TEXT, "removed", "__run").agg(
         F.min("first").alias("first_word"), F.max("last").alias("end_word"), F.min("cluster").alias("cluster"),
-        F.array_sort(F.collect_set("keep_doc_id")).alias("keep_doc_ids")).withColumn("n_words", F.col("end_word") - F.col("first_word")).filter(
-        F.col("n_words") >= PASSAGE_WORDS).select("doc_id", "first_word", "end_word", "n_words", "cluster", "keep_doc_ids", "removed")
+        F.array_distinct(owners).alias("keep_doc_ids")).withColumn("n_words", F.col("end_word") - F.col("first_word")).filter(
+        F.col("n_words") >= PASSAGE_WORDS).select("doc_id", "first_word", "end_word", "n_words", "cluster", "keep_doc_ids", "removed", "digest")

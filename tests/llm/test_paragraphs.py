@@ -219,6 +219,30 @@ def test_copies_and_edits(make):
     assert passages(paragraphs.repeated_passages(make(rows))) == [(3, 0, 70, False, [3]), (5, 0, 70, True, [3]), (8, 0, 70, True, [3])]
 
 
+def test_texts_of_one_id_are_texts_of_their_own(make):
+    """Two texts of one id, or of none, each share a line of 14 words with others: no passage, whatever the ids."""
+    rng = random.Random(41)
+    one, two = words(14, rng), words(14, rng)
+
+    def text(line):
+        return " ".join(words(20, rng)) + ".\n" + " ".join(line) + ".\n" + " ".join(words(20, rng)) + "."
+
+    first, second, others = text(one), text(two), [(50, text(one)), (51, text(two))]
+    for a, b in ((1, 2), (1, 1), (None, None)):
+        assert passages(paragraphs.repeated_passages(make([(a, first), (b, second), *others]))) == []
+
+
+def test_owners_without_an_id(make):
+    rng = random.Random(43)
+    line, other = " ".join(words(60, rng)), " ".join(words(60, rng))
+    rows = [(None, line), (4, line), (None, other), (7, other + " " + line), (7, other)]
+    got = {(r.doc_id, r.first_word, r.end_word, r.removed): r.keep_doc_ids for r in paragraphs.repeated_passages(make(rows)).collect()}
+    assert got[(4, 0, 60, True)] == [None] and got[(7, 0, 120, True)] == [None] and got[(7, 0, 60, True)] == [None]
+    assert got[(None, 0, 60, False)] == [None] and len(got) == 4
+    twice = paragraphs.repeated_passages(make([(3, line), (3, line), (9, line)]))
+    assert passages(twice) == [(3, 0, 60, False, [3]), (9, 0, 60, True, [3])]
+
+
 def test_leaders_of_a_large_bucket():
     rng = np.random.default_rng(4)
     base = np.unique(rng.integers(0, 2**63, 100, dtype=np.uint64))
