@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -54,6 +55,71 @@ def test_training_is_sparse_and_calibrated():
     assert abs(langid.fit_temperature(logits * 3, targets) - 3) < 0.4
 
 
+def naive_grams(text, bits=langid.BITS):
+    """Ids of all n-grams of a text, one character at a time."""
+    codes, out = [ord(c) for c in " ".join(text.lower().split())], []
+    for n in langid.ORDERS:
+        for i in range(len(codes) - n + 1):
+            h = 0
+            for c in codes[i:i + n]:
+                h = (h * 0x01000193 & 0xFFFFFFFF) ^ (c * 0x9E3779B1 & 0xFFFFFFFF)
+            out.append((h * 0x85EBCA6B & 0xFFFFFFFF) >> (32 - bits))
+    return out
+
+
+def test_probabilities_against_brute_force(make):
+    """The trained model, read as w.x + b over naive TF-IDF vectors and a softmax, gives the probabilities of whole texts."""
+    rows = [(i, text, lang) for i, (lang, text) in enumerate([("en", "the cat and the dog"), ("fr", "le chat et le chien"), ("de", "der Hund und die Katze")] * 12)]
+    docs = make([(i, f"{t} {i}", lang) for i, t, lang in rows])
+    model = langid.train(docs)
+    texts = ["the cat", "", "Le  CHIEN\n7", "Katze " * 900, "ü中😀 x", "12 34"]
+    got = model.probabilities(texts)
+    for text, p in zip(texts, got):
+        ids = naive_grams(text)
+        z = [sum(float(model.table[c][g]) for g in ids) / max(len(ids), 1) + model.bias[c] for c in range(3)]
+        e = [math.exp(v - max(z)) for v in z]
+        assert np.allclose(p, [v / sum(e) for v in e], atol=1e-6)
+    # document frequencies, one document at a time
+    known = langid.learnable(docs)
+    df, n = langid.document_frequencies(known.select("text"))
+    want = np.zeros(1 << langid.BITS, dtype=int)
+    learned = [r.text for r in known.collect()]
+    for text in learned:
+        want[list(set(naive_grams(text)))] += 1
+    assert n == len(learned) and (df == want).all()
+
+
+def test_training_against_one_step_at_a_time():
+    """FTRL-proximal with scalars: every coordinate of every class by itself."""
+    rng, k, width = np.random.default_rng(3), 3, 12
+    rows = [(np.sort(rng.choice(width, 4, replace=False)), rng.random(4)) for _ in range(30)]
+    y = rng.integers(0, k, 30)
+    alpha, beta, l1, l2, epochs = 0.7, 1.0, 0.01, 0.1, 2
+    w, bias = langid.fit_ftrl(rows, y, k, width, epochs, alpha, beta, l1, l2)
+    z, n = [[[0.0] * k for _ in range(width + 1)] for _ in range(2)]
+
+    def weight(i, c):
+        if abs(z[i][c]) <= l1:
+            return 0.0
+        return -(z[i][c] - math.copysign(l1, z[i][c])) / ((beta * 1e-3 + math.sqrt(n[i][c])) / alpha + l2)
+
+    held, order = [[0.0] * k for _ in range(width + 1)], np.random.default_rng(7)
+    for _ in range(epochs):
+        for i in order.permutation(len(rows)):
+            x = [*zip(rows[i][0].tolist(), rows[i][1].tolist()), (width, 0.05)]
+            for j, _ in x:
+                held[j] = [weight(j, c) for c in range(k)]
+            s = [sum(v * held[j][c] for j, v in x) for c in range(k)]
+            e = [math.exp(v - max(s)) for v in s]
+            for j, v in x:
+                for c in range(k):
+                    g = v * (e[c] / sum(e) - (c == y[i]))
+                    sigma = (math.sqrt(n[j][c] + g * g) - math.sqrt(n[j][c])) / alpha
+                    z[j][c] += g - sigma * held[j][c]
+                    n[j][c] += g * g
+    assert np.allclose(w, held[:width]) and np.allclose(bias, np.array(held[width]) * 0.05)
+
+
 def test_rare_languages_are_learned_at_every_size(make):
     """Four languages of 2 to 20 rows beside two of 1,500: each is in the sample, in the model and told apart."""
     rng = np.random.default_rng(6)
