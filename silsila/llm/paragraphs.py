@@ -5,23 +5,26 @@ words are banded; the shingle sets of shorter ones meet by their smallest hashes
 Equal units meet before any of these keys is compared.
 
 What units can not see is found by runs of words over the whole text, whatever its lines: seeds are the runs of
-``SEED_WORDS`` words whose hash is the least of ``SEED_WINDOW`` in a row, so two texts that share 20 words share a seed.
-Around the ends of repeated seeds every run of ``UNIT_WORDS`` words is compared, which gives a match its real ends.
-Runs inside a unit that goes already are left out. Per document, matched units and runs next to each other join to
-passages, and passages of at least ``PASSAGE_WORDS`` words are reported: the first one of a cluster is kept, the others go.
+``SEED_WORDS`` words whose hash is the least of ``SEED_WINDOW`` in a row, so two texts that share 20 words share a seed,
+and what they share ends at most eight words beyond the last one. Where the repeated seeds of a text end, the last one is
+extended by what the text shares there with the owner of the seed, over gaps of ``GAP_WORDS`` words and in runs of
+``UNIT_WORDS`` words or more. Seeds inside a unit that goes already are left out. Per document, matched units and extended seeds next to each other join to passages, and passages
+of at least ``PASSAGE_WORDS`` words are reported: the first one of a cluster is kept, the others go.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from silsila.llm.common import cut, join_classes, map_rows, texts_of
+from silsila.llm.common import cut, join_classes, map_rows, stage_table, texts_of
 from silsila.llm.graph import components
 
 SHINGLE = 5
@@ -31,68 +34,99 @@ BANDS, ROWS = 9, 3
 BANDED_WORDS, UNIT_WORDS, PASSAGE_WORDS, GAP_WORDS = 20, 8, 25, 8
 #: Buckets up to this many units are searched in one go, larger ones through leaders first and then in parts.
 EXACT_BUCKET = 20_000
-#: Two texts that share SEED_WORDS + SEED_WINDOW - 1 words share a seed. Single runs are compared up to REACH words away.
-SEED_WORDS, SEED_WINDOW, REACH = 12, 9, 28
-#: Bits of the filter of keys that are looked for. Its size never changes a result, only the rows that pass it in vain;
-#: where more than one bit in 64 is set, runs are compared all over the neighbourhood of a seed.
-FILTER_BITS, FILTER_FULL = 27, 1 / 64
+#: Two texts that share SEED_WORDS + SEED_WINDOW - 1 words share a seed. What else a match holds beyond its last seed is
+#: up to SIDE words away: the rest of its run, a gap, and a run that is too short to have a seed. These words are told by
+#: 16 bits each, so one end in 2 ** 16 is a word too far.
+SEED_WORDS, SEED_WINDOW, SIDE = 12, 9, 36
+#: Bits of the filter of keys that are looked for. It spares rows; an exact join follows, so it changes no result.
+FILTER_BITS = 27
 _CHUNK_BITS = 18
 #: Text per step where whole texts are hashed: the arrays of a step take some forty times its size.
 STEP = 2_000_000
-_SIZE = 1 << 63
 
 
 class _WordHash(dict):
+    """Hash per word; its lowest bit tells whether the word ends a sentence."""
+
     def __missing__(self, word):
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) & ~1 | (word[-1] in ".!?")
+        self[word] = h
         return h
 
 
-def units(text: str):
-    """(first word, end word, is searched for near copies, words) of the units of a text, words numbered over the whole text."""
-    at = 0
-    for line in text.lower().split("\n"):
-        words = line.split()
-        n = len(words)
-        if n >= UNIT_WORDS:
-            begin, parts = 0, []
-            for i, w in enumerate(words):
-                if w[-1] in ".!?" or i + 1 == n:
-                    if i + 1 - begin >= UNIT_WORDS:
-                        parts.append((begin, i + 1))
-                    begin = i + 1
-            if parts != [(0, n)]:
-                yield at, at + n, True, words
-            for a, b in parts:
-                yield at + a, at + b, True, words[a:b]
-        at += n
+class Words(NamedTuple):
+    """Word hashes of all texts of a step in a row, words per text, words per line."""
+    flat: np.ndarray
+    size: np.ndarray
+    lines: np.ndarray
 
+    def left(self) -> np.ndarray:
+        """Per word how many the text has from there on."""
+        return np.repeat(np.cumsum(self.size), self.size) - np.arange(len(self.flat))
 
-def unit_id(words: list[str]) -> int:
-    h = xxhash.xxh3_64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"))
-    return h - (1 << 64) if h >= _SIZE else h
+    def bounds(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, its first word, its end) of every place."""
+        stop = np.cumsum(self.size)
+        of = np.searchsorted(stop, places, "right")
+        return of, (stop - self.size)[of], stop[of]
 
 
-#: A text is told by its id and its digest: an id may have several texts, and many texts may have none.
-TEXT = ("doc_id", "digest")
+def scan(texts: list[str], known: _WordHash) -> Words:
+    if len(known) > 300_000:
+        known.clear()
+    texts = [[line.split() for line in t.lower().split("\n")] for t in texts]
+    lines = np.array([len(line) for t in texts for line in t], dtype=np.int64)
+    size = np.array([sum(map(len, t)) for t in texts], dtype=np.int64)
+    words = chain.from_iterable(chain.from_iterable(texts))
+    return Words(np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=int(lines.sum())), size, lines)
+
+
+def unit_places(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, end word) of the units of a step: lines, and the sentences inside them, of ``UNIT_WORDS`` words or more."""
+    stop = np.cumsum(words.lines)
+    start = stop - words.lines
+    ends = (words.flat & np.uint64(1)).astype(bool)
+    ends[stop[words.lines > 0] - 1] = True
+    high = np.flatnonzero(ends) + 1
+    low = np.concatenate([np.zeros(1, dtype=np.int64), high])[:len(high)]
+    wide = high - low >= UNIT_WORDS
+    low, high = low[wide], high[wide]
+    line = words.lines >= UNIT_WORDS
+    of = np.searchsorted(stop, low, "right")
+    line[of[(start[of] == low) & (stop[of] == high)]] = False              # a line of one sentence is one unit
+    return np.concatenate([start[line], low]), np.concatenate([stop[line], high])
+
+
+_BASE = 0x9E3779B97F4A7C15
+
+
+def span_ids(flat: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Ids of runs of words by their ends: differences of running sums over powers of an odd base."""
+    n = len(flat)
+    up = np.cumprod(np.full(n, _BASE, dtype=np.uint64))
+    back = np.cumprod(np.concatenate([np.ones(1, dtype=np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)]))
+    total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(flat * up, dtype=np.uint64)])
+    h = ((total[last] - total[first]) * back[first]) ^ (last - first).astype(np.uint64)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return (h * np.uint64(0x94D049BB133111EB)).view(np.int64)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, text)."""
-    return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
+def units(text: str):
+    """(first word, end word, words) of the units of a text, words numbered over the whole text."""
+    split = text.lower().split()
+    for a, b in zip(*(x.tolist() for x in unit_places(scan([text], _WordHash())))):
+        yield a, b, split[a:b]
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """(unit, doc_id, digest, first, last) per unit of every text."""
-    def one(batch):
-        out = {"unit": [], "doc_id": [], "digest": [], "first": [], "last": []}
-        for doc_id, digest, text in zip(batch.column("doc_id").to_pylist(), batch.column("digest").to_pylist(), texts_of(batch)):
-            for a, b, _, words in units(text):
-                for name, value in zip(out, (unit_id(words), doc_id, digest, a, b)):
-                    out[name].append(value)
-        return out
+def unit_id(words: list[str]) -> int:
+    flat = scan([" ".join(words)], _WordHash()).flat
+    return int(span_ids(flat, np.zeros(1, dtype=np.int64), np.array([len(flat)]))[0])
 
-    return map_rows(keyed(docs), one, "unit bigint, doc_id bigint, digest bigint, first int, last int")
+
+#: A text is told by its id and its digest: an id may have several texts, and many texts may have none.
+TEXT = ("doc_id", "digest")
 
 
 def runs(flat: np.ndarray, n: int) -> np.ndarray:
@@ -105,16 +139,6 @@ def runs(flat: np.ndarray, n: int) -> np.ndarray:
     return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _words_of(batch, known: _WordHash) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of all texts of a step in a row, words per text, and per word how many the text has from there on."""
-    if len(known) > 300_000:
-        known.clear()
-    texts = [t.lower().split() for t in texts_of(batch)]
-    size = np.array([len(t) for t in texts], dtype=np.int64)
-    flat = np.fromiter((known[w] for t in texts for w in t), dtype=np.uint64, count=int(size.sum()))
-    return flat, size, np.repeat(np.cumsum(size), size) - np.arange(len(flat))
-
-
 def _slide(x: np.ndarray, n: int, pick) -> np.ndarray:
     """``pick`` (minimum or maximum) over every ``n`` values in a row."""
     many, wide = len(x) - n + 1, 1
@@ -137,154 +161,191 @@ def seeds(flat: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def key_filter(keys: DataFrame, column: str) -> np.ndarray:
     """Bit set over the first ``FILTER_BITS`` bits of the keys, packed; 16 MB at any number of keys."""
-    bit = F.shiftrightunsigned(F.col(column), 64 - FILTER_BITS)
-    rows = keys.select(bit.alias("bit")).withColumn("chunk", F.shiftrightunsigned("bit", _CHUNK_BITS)).repartition("chunk")
+    bit, chunk_bits, size = F.shiftrightunsigned(F.col(column), 64 - FILTER_BITS), min(_CHUNK_BITS, FILTER_BITS), 1 << FILTER_BITS - 3
+    rows = keys.select(bit.alias("bit")).withColumn("chunk", F.shiftrightunsigned("bit", chunk_bits)).repartition("chunk")
 
     def pack(batches):
         chunks = {}
         for batch in batches:
             bits, of = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("bit", "chunk"))
             for c in np.unique(of):
-                chunks.setdefault(int(c), np.zeros(1 << _CHUNK_BITS, dtype=bool))[bits[of == c] & ((1 << _CHUNK_BITS) - 1)] = True
+                chunks.setdefault(int(c), np.zeros(1 << chunk_bits, dtype=bool))[bits[of == c] & ((1 << chunk_bits) - 1)] = True
         for c, flags in chunks.items():
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int64()), "bits": [np.packbits(flags, bitorder="little").tobytes()]})
 
-    out = np.zeros(1 << FILTER_BITS - 3, dtype=np.uint8)
+    out = np.zeros(size, dtype=np.uint8)
     for r in rows.mapInArrow(pack, "chunk bigint, bits binary").toLocalIterator():
-        low = r.chunk << _CHUNK_BITS - 3
+        low = r.chunk << chunk_bits - 3
         out[low:low + len(r.bits)] = np.frombuffer(r.bits, dtype=np.uint8)
     return out
 
 
 def passes(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Which signed keys may be in the filter."""
-    at = (keys.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    at = (keys.view(np.uint64) >> np.uint64(64 - (len(bits).bit_length() + 2))).astype(np.int64)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _around(n: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Which of ``n`` places are in one of the ranges."""
-    step = np.zeros(n + 1, dtype=np.int32)
-    np.add.at(step, low, 1)
-    np.add.at(step, high, -1)
-    return np.cumsum(step[:n]) > 0
-
-
-def repeated_seeds(docs: DataFrame):
-    """Broadcast filter of the seeds that occur twice or more."""
+def repeated_keys(docs: DataFrame):
+    """Broadcast filter of the ids of units and the seeds that occur twice or more."""
     known = _WordHash()
 
     def keys(batch):
-        flat, _, left = _words_of(batch, known)
-        return {"unit": seeds(flat, left)[1]}
+        words = scan(texts_of(batch), known)
+        return {"unit": np.concatenate([span_ids(words.flat, *unit_places(words)), seeds(words.flat, words.left())[1]])}
 
     found = map_rows(docs.select("text"), keys, "unit bigint", step=STEP).groupBy("unit").count().filter("count > 1")
     return docs.sparkSession.sparkContext.broadcast(key_filter(found, "unit"))
 
 
-def run_occurrences(docs: DataFrame, repeated) -> DataFrame:
-    """(unit, doc_id, digest, first, last) of the repeated seeds and of the runs of ``UNIT_WORDS`` words near their ends.
+PLACES = "unit bigint, doc_id bigint, digest bigint, first int, last int, seed boolean"
 
-    Runs are counted first, so only rows that may be repeated are handed on.
-    """
+
+def places(docs: DataFrame, wanted) -> DataFrame:
+    """Rows ``PLACES`` of the units and seeds that pass the filter ``wanted``."""
     known = _WordHash()
-    everywhere = np.bitwise_count(repeated.value).sum(dtype=np.int64) > FILTER_FULL * (1 << FILTER_BITS)
-
-    def chosen(batch):
-        """(hashes, places, words) of seeds and runs, and the end of each text."""
-        flat, size, left = _words_of(batch, known)
-        at, h = seeds(flat, left)
-        hit = passes(h, repeated.value)
-        n, stop = len(flat), np.cumsum(size)
-        start = stop - size
-
-        def near(places):
-            of = np.searchsorted(stop, places, "right")
-            return _around(n, np.maximum(places - REACH, start[of]), np.minimum(places + SEED_WORDS + REACH, stop[of]))
-
-        some = near(at[hit]) & (left >= UNIT_WORDS)
-        if not everywhere:
-            filled = size > 0
-            some &= near(at[~hit]) | near(start[filled]) | near(stop[filled] - 1)
-        single = np.flatnonzero(some)
-        return (np.concatenate([h[hit], runs(flat, UNIT_WORDS)[single].view(np.int64)]), np.concatenate([at[hit], single]),
-                np.repeat([SEED_WORDS, UNIT_WORDS], [int(hit.sum()), len(single)]), stop, start)
-
-    twice = map_rows(docs.select("text"), lambda batch: {"unit": chosen(batch)[0]}, "unit bigint", step=STEP).groupBy("unit").count().filter("count > 1")
-    shared = docs.sparkSession.sparkContext.broadcast(key_filter(twice, "unit"))
 
     def one(batch):
-        unit, places, wide, stop, start = chosen(batch)
-        keep = passes(unit, shared.value)
-        unit, places, wide = unit[keep], places[keep], wide[keep]
-        of = np.searchsorted(stop, places, "right")
-        first = places - start[of]
-        return {"unit": unit, **{c: batch.column(c).take(pa.array(of)) for c in TEXT}, "first": pa.array(first, pa.int32()),
-                "last": pa.array(first + wide, pa.int32())}
+        words = scan(texts_of(batch), known)
+        a, b = unit_places(words)
+        ids = span_ids(words.flat, a, b)
+        at, h = seeds(words.flat, words.left())
+        keep, hit = passes(ids, wanted.value), passes(h, wanted.value)
+        low, high = np.concatenate([a[keep], at[hit]]), np.concatenate([b[keep], at[hit] + SEED_WORDS])
+        of, begin, _ = words.bounds(low)
+        return {"unit": np.concatenate([ids[keep], h[hit]]), **{c: batch.column(c).take(pa.array(of)) for c in TEXT},
+                "first": pa.array(low - begin, pa.int32()), "last": pa.array(high - begin, pa.int32()),
+                "seed": np.arange(len(low)) >= keep.sum()}
+
+    return map_rows(docs.select("doc_id", F.xxhash64("text").alias("digest"), "text"), one, PLACES, step=STEP)
+
+
+def _beside(words: Words, first: np.ndarray, step: int) -> np.ndarray:
+    """The ``SIDE`` words from places on, forwards or backwards, by 16 bits each; 0 beyond the text."""
+    out = np.zeros((len(first), SIDE), dtype="<u2")
+    _, begin, end = words.bounds(first if step < 0 else first - 1)
+    for k in range(SIDE):
+        at = first - 1 - k if step < 0 else first + k
+        inside = (at >= begin) & (at < end)
+        out[inside, k] = (words.flat[at[inside]] >> np.uint64(48)) | np.uint64(1)
+    return out
+
+
+def sides(docs: DataFrame, wanted) -> DataFrame:
+    """(unit, doc_id, digest, first, before, after) of the seeds that pass the filter ``wanted``."""
+    known = _WordHash()
+
+    def one(batch):
+        words = scan(texts_of(batch), known)
+        at, h = seeds(words.flat, words.left())
+        hit = passes(h, wanted.value)
+        at = at[hit]
+        of, begin, _ = words.bounds(at)
+        return {"unit": h[hit], **{c: batch.column(c).take(pa.array(of)) for c in TEXT}, "first": pa.array(at - begin, pa.int32()),
+                "before": [x.tobytes() for x in _beside(words, at, -1)], "after": [x.tobytes() for x in _beside(words, at + SEED_WORDS, 1)]}
+
+    return map_rows(docs.select("doc_id", F.xxhash64("text").alias("digest"), "text"), one,
+                    "unit bigint, doc_id bigint, digest bigint, first int, before binary, after binary", step=STEP)
+
 
-    return map_rows(keyed(docs), one, "unit bigint, doc_id bigint, digest bigint, first int, last int", step=STEP)
+def extension(mine: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How far two texts go on alike, in words of either, from the words ``_beside`` of both [rows, SIDE].
 
+    Alike are the words up to the first difference, and runs of ``UNIT_WORDS`` words or more that begin at most
+    ``GAP_WORDS`` words of either text further on.
+    """
+    there = mine > 0
+    here = np.cumprod((mine == other) & there, axis=1).sum(axis=1).astype(np.int64)
+    far, shifts = here.copy(), range(-GAP_WORDS, GAP_WORDS + 1)
+    run = {d: np.zeros(len(mine), dtype=np.int64) for d in shifts}
+    for i in range(SIDE):
+        for d in shifts:
+            if not 0 <= i + d < SIDE:
+                run[d][:] = 0
+                continue
+            run[d] = (run[d] + 1) * ((mine[:, i] == other[:, i + d]) & there[:, i])
+            begin = i + 1 - run[d]
+            on = (run[d] >= UNIT_WORDS) & (begin <= here + GAP_WORDS) & (begin + d <= far + GAP_WORDS)
+            here[on] = np.maximum(here[on], i + 1)
+            far[on] = np.maximum(far[on], i + 1 + d)
+    return here, far
+
+
+def _extended(batches):
+    """Rows with the words beside a seed and beside its owner to rows with the four lengths instead."""
+    for batch in batches:
+        def words(c):
+            return np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u2").reshape(-1, SIDE)
+
+        (back, o_back), (on, o_on) = (extension(words(c), words(f"o_{c}")) for c in ("before", "after"))
+        yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in (*TEXT, "first", "unit", "keep", "at", "known")}
+                                         | {"back": back, "on": on, "o_back": o_back, "o_on": o_on})
 
-def repeated_runs(docs: DataFrame, rows: DataFrame, repeated) -> DataFrame:
-    """Repeated runs of words beside the verdicts ``rows`` on units, with the same columns.
+
+def repeated_runs(docs: DataFrame, found: DataFrame, rows: DataFrame) -> DataFrame:
+    """Repeated runs of words beside the verdicts ``rows`` on units, with the same columns, from the seeds ``found``.
 
     A run inside a removed unit goes with it; a run that a matched unit repeats within its own text is left to it.
     """
-    verdict = *TEXT, "first", "last", "cluster", "keep", "removed"
-    both = rows.select(*verdict, F.lit(None).cast("long").alias("unit")).unionByName(
-        run_occurrences(docs, repeated).select("unit", *TEXT, "first", "last"), allowMissingColumns=True)
+    both = rows.select(*TEXT, "first", "last", "removed").unionByName(
+        found.select("unit", *TEXT, "first", "last"), allowMissingColumns=True)
     order = Window.partitionBy(*TEXT).orderBy("first").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     reach = both.withColumn("__gone", F.max(F.when(F.col("removed"), F.col("last"))).over(order)).withColumn(
         "__matched", F.max(F.when(F.col("unit").isNull(), F.col("last"))).over(order))
-    found = cut(reach.filter(F.col("unit").isNotNull() & ~F.coalesce(F.col("__gone") >= F.col("last"), F.lit(False))).select(
-        "unit", *TEXT, "first", "last", F.coalesce(F.col("__matched") >= F.col("last"), F.lit(False)).alias("inside")))
-    classes = cut(found.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first")).alias("owner")).filter("copies > 1"))
-    matched = join_classes(found, classes, "unit", "copies", "inner")
-    owner = F.struct("owner.doc_id", "owner.digest")
-    return matched.filter(~(F.col("inside") & F.struct(*TEXT).eqNullSafe(owner))).select(
-        *TEXT, "first", "last", F.col("unit").alias("cluster"), owner.alias("keep"),
-        (~(F.struct(*TEXT, "first").eqNullSafe(F.col("owner")))).alias("removed"))
-
-
-def shingles(lines: list[list[str]], known: _WordHash) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the five-word shingles of lines (each at least five words), and how many each has, repeats included."""
-    flat = np.array([known[w] for words in lines for w in words], dtype=np.uint64)
-    size = np.array([len(w) for w in lines], dtype=np.int64)
-    n = len(flat) - SHINGLE + 1
-    h = np.zeros(max(n, 0), dtype=np.uint64)
-    for k in range(SHINGLE):
-        h = (h ^ flat[k:k + max(n, 0)]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    many = size - SHINGLE + 1
-    start = np.cumsum(size) - size
-    stop = np.cumsum(many)
-    at = np.repeat(start - (stop - many), many) + np.arange(int(stop[-1]) if len(stop) else 0)
-    return h[at], many
-
-
-def _lines_of(batch, known, bits=None):
-    """Units of a step, each distinct one once: ids, shingle hashes, shingles per unit; with the filter of repeated seeds
-    also which units hold one."""
-    found, seeded, hits, at = {}, set(), [], 0
-    if bits is not None:
-        flat, size, left = _words_of(batch, known)
-        places, h = seeds(flat, left)
-        hits = places[passes(h, bits)].tolist()
-    for n, text in enumerate(texts_of(batch)):
-        for a, b, line, words in units(text):
-            if line:
-                u = unit_id(words)
-                found.setdefault(u, words)
-                if bits is not None:
-                    i = bisect_left(hits, at + a)
-                    if i < len(hits) and hits[i] + SEED_WORDS <= at + b:
-                        seeded.add(u)
-        at += int(size[n]) if bits is not None else 0
-    if len(known) > 300_000:
-        known.clear()
-    h, many = shingles(list(found.values()), known)
-    ids = np.array(list(found), dtype=np.int64)
-    return (ids, h, many) if bits is None else (ids, h, many, np.array([u in seeded for u in found], dtype=bool))
+    found = stage_table(reach.filter(F.col("unit").isNotNull() & ~F.coalesce(F.col("__gone") >= F.col("last"), F.lit(False))).select(
+        "unit", *TEXT, "first", F.coalesce(F.col("__matched") >= F.col("last"), F.lit(False)).alias("known")), "seeds")
+    classes = stage_table(found.groupBy("unit").agg(
+        F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first", "known")).alias("owner")).filter("copies > 1"), "seed_owners")
+    text, place = F.struct("owner.doc_id", "owner.digest"), F.struct("owner.doc_id", "owner.digest", "owner.first")
+    owns = F.struct(*TEXT, "first").eqNullSafe(place)
+    matched = stage_table(join_classes(found, classes, "unit", "copies", "inner").filter(
+        owns | ~(F.col("known") & F.struct(*TEXT).eqNullSafe(text))).select(
+        *TEXT, "first", "unit", text.alias("keep"), F.col("owner.first").alias("at"), F.col("owner.known").alias("known"), owns.alias("owns")), "matched")
+    ends = Window.partitionBy(*TEXT).orderBy("first")
+    inner = (F.lag("first").over(ends) >= F.col("first") - SEED_WINDOW) & (F.lead("first").over(ends) <= F.col("first") + SEED_WINDOW)
+    open_ = matched.withColumn("inner", F.coalesce(inner, F.lit(False))).filter(~F.col("inner")).select("unit").distinct()
+    open_ = stage_table(open_, "open_seeds")
+    wanted = docs.sparkSession.sparkContext.broadcast(key_filter(open_, "unit"))
+    here, there = matched.alias("m"), sides(docs, wanted).join(open_, "unit", "left_semi").distinct().alias("s")
+    same = (F.col("m.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("m.unit") == F.col("s.unit"))
+            & (F.col("m.digest") == F.col("s.digest")) & (F.col("m.first") == F.col("s.first")))
+    beside = stage_table(here.join(there, same).select("m.*", "before", "after"), "sides")
+    owners = stage_table(beside.filter("owns").select("unit", F.col("before").alias("o_before"), F.col("after").alias("o_after")).join(
+        classes.select("unit", "copies"), "unit"), "owner_sides")
+    longer = join_classes(beside.filter("not owns"), owners, "unit", "copies", "inner").drop("copies", "owns")
+    order = [longer.schema[c] for c in (*TEXT, "first", "unit", "keep", "at", "known")]
+    longer = stage_table(longer.mapInArrow(_extended, StructType(order).add("back", "long").add("on", "long").add(
+        "o_back", "long").add("o_on", "long")), "longer")
+
+    def rows_of(df, removed, back=F.lit(0), on=F.lit(0)):
+        first = F.greatest(F.col("first") - back, F.lit(0))
+        return df.select(*TEXT, first.cast("int").alias("first"), (F.col("first") + SEED_WORDS + on).cast("int").alias("last"),
+                         F.col("unit").alias("cluster"), "keep", F.lit(removed).alias("removed"))
+
+    wide = longer.filter(~F.col("known")).groupBy("unit", "keep", F.col("at").alias("first")).agg(
+        F.max("o_back").alias("back"), F.max("o_on").alias("on")).select("unit", "keep", "keep.*", "first", "back", "on")
+    return rows_of(matched.filter("not owns"), True).unionByName(rows_of(matched.filter("owns and not known"), False)).unionByName(
+        rows_of(longer, True, F.col("back"), F.col("on"))).unionByName(rows_of(wide, False, F.col("back"), F.col("on")))
+
+
+def _spread(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of runs of ``many`` places, one run after the other."""
+    return np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+
+
+def _distinct(grams: np.ndarray, first: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(unit << 40 | top 40 bits of the hash, sorted and distinct; how many per unit)."""
+    order = np.sort(np.repeat(np.arange(len(many), dtype=np.uint64), many) << np.uint64(40) | grams[_spread(first, many)] >> np.uint64(24))
+    order = order[np.concatenate([np.ones(min(len(order), 1), dtype=bool), order[1:] != order[:-1]])]
+    return order, np.bincount((order >> np.uint64(40)).astype(np.int64), minlength=len(many))
+
+
+def _units_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(id, first, end) of the distinct units of a step, and per unit of the step which of them it is, in the order of
+    ``unit_places``."""
+    a, b = unit_places(words)
+    ids, at, which = np.unique(span_ids(words.flat, a, b), return_index=True, return_inverse=True)
+    return ids, a[at], b[at], which
 
 
 def band_keys(h: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -304,38 +365,49 @@ def band_keys(h: np.ndarray, many: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def prefix_keys(h: np.ndarray, many: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, their units, distinct shingles per unit): the smallest hashes of each unit of up to ``most`` distinct shingles.
+def prefix_keys(order: np.ndarray, distinct: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, their units): the smallest hashes of each unit of up to ``most`` distinct shingles, from ``_distinct``.
 
     Two sets at the threshold share all but a fifth of either, so one of these is common to both.
     """
-    order = np.unique(np.repeat(np.arange(len(many), dtype=np.uint64), many) << np.uint64(40) | h >> np.uint64(24))
     of = (order >> np.uint64(40)).astype(np.int64)
-    distinct = np.bincount(of, minlength=len(many))
     rank = np.arange(len(order)) - (np.cumsum(distinct) - distinct)[of]
     first = (distinct - np.ceil(SIMILARITY * distinct - 1e-9) + 1)[of]
     chosen = (rank < first) & (distinct <= most)[of]
     key = (order[chosen] & np.uint64((1 << 40) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
     key ^= key >> np.uint64(31)
-    return key.view(np.int64), of[chosen], distinct
+    return key.view(np.int64), of[chosen]
 
 
-def bands(docs: DataFrame, repeated) -> DataFrame:
+def bands(docs: DataFrame, repeated, gate: bool = True) -> DataFrame:
     """(key, unit) per key of every unit: bands of the long ones, smallest hashes of the short ones. The longest of the
     short ones that reach the threshold with a long one have both.
 
     A break (a changed, added or missing word, or a passage that moved) costs four shingles of either side or more, so
     texts of m different shingles at the threshold have m / 36 breaks at most and share a run of 16 shingles, which is 20
-    words, from m = 18 on. A unit of that size without a repeated seed has no near copy and needs no bands.
+    words, from m = 18 on. A unit of that size without a repeated seed has no near copy and needs no bands. Units that
+    repeat four words in a row are banded always, as the count of breaks does not hold for them; ``gate=False`` bands all.
     """
     known, least = _WordHash(), BANDED_WORDS - SHINGLE + 1
     run = SEED_WORDS + SEED_WINDOW - SHINGLE
 
     def one(batch):
-        ids, h, many, seeded = _lines_of(batch, known, repeated.value)
-        keys, of, distinct = prefix_keys(h, many, int((least - 1) / SIMILARITY + 1e-9))
-        long = (distinct >= least) & (seeded | (distinct < many) | (distinct * 8 < run * 9))
-        banded = band_keys(h[np.repeat(long, many)], many[long])
+        words = scan(texts_of(batch), known)
+        ids, a, b, which = _units_of(words)
+        grams, many = runs(words.flat, SHINGLE), b - a - SHINGLE + 1
+        order, distinct = _distinct(grams, a, many)
+        keys, of = prefix_keys(order, distinct, int((least - 1) / SIMILARITY + 1e-9))
+        long = distinct >= least
+        if gate:
+            places, h = seeds(words.flat, words.left())
+            hits = np.append(places[passes(h, repeated.value)], 1 << 60)
+            low, high = unit_places(words)
+            seeded = np.zeros(len(ids), dtype=bool)
+            seeded[which[hits[np.searchsorted(hits, low)] + SEED_WORDS <= high]] = True
+            open_ = np.flatnonzero(long & ~seeded & (distinct * 8 >= run * 9))
+            four = _distinct(runs(words.flat, SHINGLE - 1), a[open_], many[open_] + 1)[1]
+            long[open_[four == many[open_] + 1]] = False
+        banded = band_keys(grams[_spread(a[long], many[long])], many[long])
         return {"key": np.concatenate([banded.ravel(), keys]), "unit": np.concatenate([np.repeat(ids[long], BANDS), ids[of]])}
 
     return map_rows(docs.select("text"), one, "key bigint, unit bigint", step=STEP)
@@ -347,12 +419,13 @@ def shingle_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     known, shared = _WordHash(), docs.sparkSession.sparkContext.broadcast(key_filter(members, "unit"))
 
     def one(batch):
-        ids, h, many = _lines_of(batch, known)
-        stop, wanted = np.cumsum(many), passes(ids, shared.value)
-        sets = [np.unique(h[a:b]).tobytes() for a, b in zip((stop - many)[wanted], stop[wanted])]
-        return {"unit": ids[wanted], "shingles": sets}
+        words = scan(texts_of(batch), known)
+        ids, a, b, _ = _units_of(words)
+        wanted = passes(ids, shared.value)
+        grams, stop = runs(words.flat, SHINGLE), b - SHINGLE + 1
+        return {"unit": ids[wanted], "shingles": [np.unique(grams[x:y]).tobytes() for x, y in zip(a[wanted], stop[wanted])]}
 
-    return map_rows(docs.select("text"), one, "unit bigint, shingles binary")
+    return map_rows(docs.select("text"), one, "unit bigint, shingles binary", step=STEP)
 
 
 def _similar(one: np.ndarray, flat: np.ndarray, size: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -477,9 +550,9 @@ def _split_links(full: DataFrame, marks: DataFrame, links: DataFrame, exact: int
         lambda b: _search_buckets(b, 1 << 62), "a bigint, b bigint")
 
 
-def near_links(docs: DataFrame, exact: int = EXACT_BUCKET, repeated=None) -> DataFrame:
-    """Verified edges (a, b) between units that differ; ``repeated`` as from ``repeated_seeds``."""
-    rows = bands(docs, repeated or repeated_seeds(docs)).repartition("key").sortWithinPartitions("key", "unit")
+def near_links(docs: DataFrame, exact: int = EXACT_BUCKET, repeated=None, gate: bool = True) -> DataFrame:
+    """Verified edges (a, b) between units that differ; ``repeated`` as from ``repeated_keys``."""
+    rows = bands(docs, repeated or (repeated_keys(docs) if gate else None), gate).repartition("key").sortWithinPartitions("key", "unit")
     shared = cut(rows.mapInArrow(_buckets, "key bigint, unit bigint"))
     # buckets with the same members are searched once
     marks = shared.groupBy("key").agg(F.sum(F.xxhash64("unit").cast("decimal(38,0)")).alias("members"), F.count("*").alias("n"))
@@ -506,19 +579,21 @@ def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     apart by ``digest``; rows equal in id and text count as one. Of equal places the smallest (doc_id, digest, first word)
     owns a cluster. Empty input gives no rows; very long texts are a step of their own; other columns are not read.
     """
-    repeated = repeated_seeds(docs)
-    found = occurrences(docs)
-    same = found.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first")).alias("place"))
-    near = components(near_links(docs, exact, repeated)).select(F.col("node").alias("unit"), "root")
+    repeated = repeated_keys(docs)
+    near = stage_table(components(near_links(docs, exact, repeated)).select(F.col("node").alias("unit"), "root"), "near")
+    wanted = docs.sparkSession.sparkContext.broadcast(repeated.value | key_filter(near, "unit"))
+    found = stage_table(places(docs, wanted), "places")
+    lines = found.filter(~F.col("seed"))
+    same = lines.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first")).alias("place"))
     classes = cut(same.join(near, "unit", "left").filter(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn(
         "root", F.coalesce("root", "unit")))
     owner = classes.groupBy("root").agg(F.min("place").alias("owner"))
     classes = cut(classes.join(owner, "root").select("unit", "copies", "root", "owner"))
-    rows = join_classes(found, classes, "unit", "copies", "inner").select(
+    rows = join_classes(lines, classes, "unit", "copies", "inner").select(
         *TEXT, "first", "last", F.col("root").alias("cluster"), F.struct("owner.doc_id", "owner.digest").alias("keep"),
         (~(F.struct(*TEXT, "first").eqNullSafe(F.col("owner")))).alias("removed"))
-    rows = cut(rows)
-    rows = rows.unionByName(repeated_runs(docs, rows, repeated))
+    rows = stage_table(rows, "verdicts")
+    rows = rows.unionByName(repeated_runs(docs, found.filter("seed"), rows))
     order = Window.partitionBy(*TEXT, "removed").orderBy("first", F.desc("last"))
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("__new", F.when(before + GAP_WORDS >= F.col("first"), 0).otherwise(1))
