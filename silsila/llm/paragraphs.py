@@ -222,13 +222,11 @@ def places(docs: DataFrame, wanted) -> DataFrame:
 
 def _beside(words: Words, first: np.ndarray, step: int) -> np.ndarray:
     """The ``SIDE`` words from places on, forwards or backwards, by 16 bits each; 0 beyond the text."""
-    out = np.zeros((len(first), SIDE), dtype="<u2")
     _, begin, end = words.bounds(first if step < 0 else first - 1)
-    for k in range(SIDE):
-        at = first - 1 - k if step < 0 else first + k
-        inside = (at >= begin) & (at < end)
-        out[inside, k] = (words.flat[at[inside]] >> np.uint64(48)) | np.uint64(1)
-    return out
+    at = (first - 1 if step < 0 else first)[:, None] + step * np.arange(SIDE)
+    inside = (at >= begin[:, None]) & (at < end[:, None])
+    short = (words.flat >> np.uint64(48)).astype("<u2") | np.uint16(1)
+    return np.where(inside, short[np.where(inside, at, 0)], np.uint16(0)) if len(first) else np.zeros((0, SIDE), dtype="<u2")
 
 
 def sides(docs: DataFrame, wanted) -> DataFrame:
@@ -242,7 +240,7 @@ def sides(docs: DataFrame, wanted) -> DataFrame:
         at = at[hit]
         of, begin, _ = words.bounds(at)
         return {"unit": h[hit], **{c: batch.column(c).take(pa.array(of)) for c in TEXT}, "first": pa.array(at - begin, pa.int32()),
-                "before": [x.tobytes() for x in _beside(words, at, -1)], "after": [x.tobytes() for x in _beside(words, at + SEED_WORDS, 1)]}
+                "before": _binary(_beside(words, at, -1)), "after": _binary(_beside(words, at + SEED_WORDS, 1))}
 
     return map_rows(docs.select("doc_id", F.xxhash64("text").alias("digest"), "text"), one,
                     "unit bigint, doc_id bigint, digest bigint, first int, before binary, after binary", step=STEP)
@@ -254,30 +252,41 @@ def extension(mine: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarr
     Alike are the words up to the first difference, and runs of ``UNIT_WORDS`` words or more that begin at most
     ``GAP_WORDS`` words of either text further on.
     """
+    mine, other = np.ascontiguousarray(mine.T), np.ascontiguousarray(other.T)      # one row per distance
     there = mine > 0
-    here = np.cumprod((mine == other) & there, axis=1).sum(axis=1).astype(np.int64)
+    here = np.cumprod((mine == other) & there, axis=0, dtype=np.int8).sum(axis=0, dtype=np.int64)
     far, shifts = here.copy(), range(-GAP_WORDS, GAP_WORDS + 1)
-    run = {d: np.zeros(len(mine), dtype=np.int64) for d in shifts}
+    run = {d: np.zeros(mine.shape[1], dtype=np.int8) for d in shifts}
     for i in range(SIDE):
         for d in shifts:
             if not 0 <= i + d < SIDE:
-                run[d][:] = 0
-                continue
-            run[d] = (run[d] + 1) * ((mine[:, i] == other[:, i + d]) & there[:, i])
-            begin = i + 1 - run[d]
-            on = (run[d] >= UNIT_WORDS) & (begin <= here + GAP_WORDS) & (begin + d <= far + GAP_WORDS)
+                continue                                                   # a run of this shift ends here for good
+            run[d] += 1
+            run[d] *= (mine[i] == other[i + d]) & there[i]
+            on = np.flatnonzero(run[d] >= UNIT_WORDS)
+            begin = i + 1 - run[d][on]
+            on = on[(begin <= here[on] + GAP_WORDS) & (begin + d <= far[on] + GAP_WORDS)]
             here[on] = np.maximum(here[on], i + 1)
             far[on] = np.maximum(far[on], i + 1 + d)
     return here, far
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """One binary value per row of a matrix, without Python objects."""
+    rows = np.ascontiguousarray(rows)
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1] * rows.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The rows of ``_binary``."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u2").reshape(-1, SIDE)
+
+
 def _extended(batches):
     """Rows with the words beside a seed and beside its owner to rows with the four lengths instead."""
     for batch in batches:
-        def words(c):
-            return np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u2").reshape(-1, SIDE)
-
-        (back, o_back), (on, o_on) = (extension(words(c), words(f"o_{c}")) for c in ("before", "after"))
+        (back, o_back), (on, o_on) = (extension(_matrix(batch.column(c)), _matrix(batch.column(f"o_{c}"))) for c in ("before", "after"))
         yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in (*TEXT, "first", "unit", "keep", "at", "known")}
                                          | {"back": back, "on": on, "o_back": o_back, "o_on": o_on})
 

@@ -194,6 +194,52 @@ def test_full_filter_gives_the_same_passages(make, monkeypatch):
     assert passages(paragraphs.repeated_passages(make(rows))) == want
 
 
+def test_extension_against_one_row_at_a_time():
+    """Runs of eight words or more behind gaps of up to eight, words put in, left out or changed on either side."""
+    side, gap, least = paragraphs.SIDE, paragraphs.GAP_WORDS, paragraphs.UNIT_WORDS
+
+    def plain(a, b):
+        here = 0
+        while here < side and a[here] and a[here] == b[here]:
+            here += 1
+        far = here
+        for i in range(side):                                               # runs by their ends, nearest first
+            for d in range(-gap, gap + 1):
+                n = 0
+                while i - n >= 0 and 0 <= i + d < side and i + d - n >= 0 and a[i - n] and a[i - n] == b[i + d - n]:
+                    n += 1
+                if n >= least and i + 1 - n <= here + gap and i + 1 - n + d <= far + gap:
+                    here, far = max(here, i + 1), max(far, i + 1 + d)
+        return here, far
+
+    rng, mine, other = random.Random(47), [], []
+    for _ in range(400):
+        a = [rng.randrange(1, 65536) for _ in range(2 * side)]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(side)
+            b[at:at + rng.randint(0, 3)] = [rng.randrange(1, 65536) for _ in range(rng.randint(0, 3))]
+        known = rng.randint(0, side)
+        mine.append((a[:known] + [0] * side)[:side] if rng.random() < 0.3 else a[:side])
+        other.append(b[:side])
+    here, far = paragraphs.extension(np.array(mine, dtype="<u2"), np.array(other, dtype="<u2"))
+    assert list(zip(here.tolist(), far.tolist())) == [plain(a, b) for a, b in zip(mine, other)]
+    assert len(set(here.tolist())) > 20
+    one = paragraphs._binary(np.array(mine, dtype="<u2"))
+    assert paragraphs._matrix(one).tolist() == mine and paragraphs._matrix(one[:0]).shape == (0, side)
+
+
+def test_ids_of_spans_are_those_of_their_words():
+    """The ids of units do not depend on what stands around them."""
+    rng = random.Random(53)
+    lines = [" ".join(words(rng.randint(1, 30), rng)) + rng.choice(["", ".", "!"]) for _ in range(200)]
+    scanned = paragraphs.scan(["\n".join(lines[:90]), "", "\n".join(lines[90:])], paragraphs._WordHash())
+    every = " ".join(lines).split()
+    a, b = paragraphs.unit_places(scanned)
+    assert paragraphs.span_ids(scanned.flat, a, b).tolist() == [paragraphs.unit_id(every[x:y]) for x, y in zip(a, b)]
+    assert sorted(every[x:y] for x, y in zip(a, b)) == sorted(line.split() for line in lines if len(line.split()) >= paragraphs.UNIT_WORDS)
+
+
 def test_near_copies_of_passages(make):
     """Every passage whose copies reach the threshold is found: five sentences of 12 words in other lines, a word changed."""
     rng, rows, near = random.Random(37), [], 0
