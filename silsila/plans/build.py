@@ -196,7 +196,7 @@ def resolve_anchors(occ: DataFrame, entries: DataFrame) -> DataFrame:
     p3, x3 = list_edges(strong, "anchor", "students_raw", "teachers_raw", raw, T.PLAIN, 3, ("prev_raw", "next_raw"))
     p2, x2 = list_edges(strong, "anchor", "students_raw", "teachers_raw", canon, T.PLAIN, 2)
     blocks = RS.plain_index(B.prefix_index(strong, "anchor", "canonical_norm", 1, 5))
-    second = RS.resolve_list_context(opened, blocks, p3.unionByName(p2), x3.unionByName(x2), ("prev", "prev_raw"), ("next", "next_raw"))
+    second = RS.resolve_list_context(opened, blocks, p3.unionByName(p2), x3.unionByName(x2), ("prev", "prev_raw"), ("next", "next_raw"), ("prev", "next"))
     return _add(resolved, "strong_context", second)
 
 

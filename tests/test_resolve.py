@@ -298,3 +298,38 @@ def test_chronology_and_status(spark):
     assert got[("v", "t")]["chronology_status"] == "unknown" and got[("v", "t")]["weakness"] == "teacher:weak"
     assert '"observed_count":2' in got[("u", "t")]["doc"]
 
+
+
+def test_list_context_against_brute_force(spark, monkeypatch):
+    draw = random.Random(5)
+    cards, raws, canons = [f"k{i:02d}" for i in range(40)], [f"r{i}" for i in range(12)], ["c0", "c1", "c2"]
+    canon_of = {r: draw.choice(canons) for r in raws}
+    idx = [(draw.choice(["x", "x", "y"]), c) for c in cards] + [("alone", "k00")]
+    lists = {(side, c): set(draw.sample(raws, draw.choice([0, 1, 2]))) for side in ("prev", "next") for c in cards}
+    spelled = {(side, c): {canon_of[r] for r in names} | ({draw.choice(canons)} if draw.random() < 0.3 else set()) for (side, c), names in lists.items()}
+    opened = []
+    for i in range(400):
+        p, n = (draw.choice([*raws, None]) for _ in range(2))
+        opened.append((i, 0, 1, f"o{i}", draw.choice(["x", "y", "alone"]), p, canon_of.get(p), n, canon_of.get(n) if draw.random() < 0.9 else None))
+
+    def weight(side, card, r, c):
+        return 3 if r in lists[side, card] else 2 if c in spelled[side, card] else 0
+
+    want = []
+    for i, _, _, _, name, p, pc, n, nc in opened:
+        block = {c for key, c in idx if key == name}
+        scores = sorted(((weight("prev", c, p, pc) + weight("next", c, n, nc), c) for c in block), key=lambda x: (-x[0], x[1]))
+        if len(block) > 1 and scores[0][0] >= 5 and scores[0][0] > scores[1][0]:
+            want.append((i, scores[0][1], scores[0][0], scores[1][0], len(block)))
+    edges = [spark.createDataFrame([(f"{side}_raw", r, c, 3) for (s, c), names in lists.items() if s == side for r in names]
+                                   + [(f"{side}_canon", k, c, 2) for (s, c), names in spelled.items() if s == side for k in names],
+                                   "node_kind string, node string, candidate string, weight int") for side in ("prev", "next")]
+    occ = spark.createDataFrame(opened, "chain_id int, branch_hint int, sequence_index int, occurrence_id string, name string, "
+                                        "prev_raw string, prev_canon string, next_raw string, next_canon string")
+    kinds, listed = set(), RS.supported_candidates
+    monkeypatch.setattr(RS, "supported_candidates", lambda contexts, index, prev, nxt, *rest: [
+        kinds.update(r[0] for r in e.select("node_kind").distinct().collect()) for e in (prev, nxt)] and listed(contexts, index, prev, nxt, *rest))
+    found = RS.resolve_list_context(occ, RS.plain_index(index(spark, *idx)), *edges, ("prev_raw", "prev_canon"), ("next_raw", "next_canon"),
+                                    ("prev_canon", "next_canon"))
+    assert rows(found, "chain_id", "entity", "score", "runner_up", "candidate_count") == sorted(want, key=repr) and len(want) > 20
+    assert {w[3] for w in want} >= {2, 3, 4} and kinds == {"prev_raw", "next_raw"}        # a common canonical name lists no candidates
