@@ -30,7 +30,8 @@ def label_matches(labels: DataFrame, entries: DataFrame, kunya_index: DataFrame,
 
     A plain name takes the longest entry prefix it starts with (9 from three tokens on, else 6).
     A kunya looks up its first two tokens among the entries' own kunyas; further tokens must
-    all occur in the entry's introduction (9 with, 6 without such tokens).
+    all occur in the entry's introduction (9 with, 6 without such tokens). Labels with further tokens
+    meet the distinct introductions by trigrams, never the whole block of a common kunya.
 
     ``entries``: entry, name_norm, intro. ``kunya_index``: key, entry.
     """
@@ -45,10 +46,34 @@ def label_matches(labels: DataFrame, entries: DataFrame, kunya_index: DataFrame,
         "label", F.col("entity").alias("entry"), F.when(F.col("len") >= 3, 9).otherwise(6).alias("score"))
     head = F.concat(F.lit(kunya[1] + " "), F.get("t", F.lit(1)))
     wanted = rows.filter(is_kunya).select("label", head.alias("key"), F.filter(F.slice("t", F.lit(3), F.size("t")), lambda x: F.length(x) > 2).alias("extras"))
-    called = wanted.join(kunya_index, "key").join(entries.select("entry", "intro"), "entry")
-    called = called.filter(F.forall("extras", lambda x: F.col("intro").contains(x)))
-    called = called.select("label", "entry", F.when(F.size("extras") > 0, 9).otherwise(6).alias("score"))
-    return named.unionByName(called)
+    # a text is judged once per key, however many entries share it
+    called = kunya_index.join(wanted.select("key").distinct(), "key", "left_semi").join(entries.select("entry", "intro"), "entry")
+    called = called.withColumn("text_id", F.sha2("intro", 256))
+    every = wanted.filter(F.size("extras") == 0).join(called, "key").select("label", "entry", F.lit(6).alias("score"))
+    held = _texts_with_all(wanted.filter(F.size("extras") > 0), called.select("key", "text_id", "intro").distinct())
+    some = held.join(called.select("key", "text_id", "entry"), ["key", "text_id"]).select("label", "entry", F.lit(9).alias("score"))
+    return named.unionByName(every).unionByName(some)
+
+
+def _trigrams(c):
+    return F.array_distinct(F.regexp_extract_all(c, F.lit("(?s)(?=(.{3}))"), F.lit(1)))
+
+
+def _texts_with_all(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    """(label, key, text_id): texts of the key that contain all ``extras`` of the label, each of three characters or more.
+
+    A text that contains a word contains its trigrams, so a label meets only the texts of its key that hold its rarest one.
+    ``wanted``: label, key, extras. ``texts``: key, text_id, intro.
+    """
+    asked = wanted.select("label", "key", F.explode(F.array_distinct(F.flatten(F.transform("extras", _trigrams)))).alias("gram"))
+    grams = texts.select("key", "text_id", F.explode(_trigrams(F.col("intro"))).alias("gram")).join(
+        asked.select("key", "gram").distinct(), ["key", "gram"], "left_semi")
+    counts = grams.groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = asked.join(counts, ["key", "gram"], "left").groupBy("label", "key").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("r")).select("label", "key", "r.gram")
+    met = rarest.join(grams, ["key", "gram"]).select("label", "key", "text_id")
+    met = met.join(texts, ["key", "text_id"]).join(wanted, ["label", "key"])
+    return met.filter(F.forall("extras", lambda x: F.col("intro").contains(x))).select("label", "key", "text_id")
 
 
 def ancestor_matches(names: DataFrame, index: DataFrame, name: str, lineage: str = "بن",

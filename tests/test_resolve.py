@@ -333,3 +333,23 @@ def test_list_context_against_brute_force(spark, monkeypatch):
                                     ("prev_canon", "next_canon"))
     assert rows(found, "chain_id", "entity", "score", "runner_up", "candidate_count") == sorted(want, key=repr) and len(want) > 20
     assert {w[3] for w in want} >= {2, 3, 4} and kinds == {"prev_raw", "next_raw"}        # a common canonical name lists no candidates
+
+
+def test_kunya_labels_meet_distinct_texts_by_trigrams(spark):
+    draw = random.Random(7)
+    words = ["الكوفي", "كوفي", "البصري", "بصر", "\U0001d400\U0001d401\U0001d402", "x\U0001d400yz", "aab", "aaab", "ab", "م"]
+    people = [(f"p{i}", draw.choice(["ابو زيد", "ابو علي"]), draw.choice(["", " "]).join(draw.choices(words, k=draw.choice([0, 2, 4])))) for i in range(200)]
+    labels = {" ".join([draw.choice(["ابي", "ابو"]), draw.choice(["زيد", "علي", "بكر"]), *draw.choices(words, k=draw.choice([0, 1, 2]))]) for _ in range(150)}
+    want = []
+    for label in labels:
+        t = label.split(" ")
+        extras = [x for x in t[2:] if len(x) > 2]
+        want += [(label, p, 9 if extras else 6) for p, key, text in people if key == "ابو " + t[1] and all(x in text for x in extras)]
+    entries = spark.createDataFrame([(p, "", text) for p, _, text in people], "entry string, name_norm string, intro string")
+    keys = spark.createDataFrame([(key, p) for p, key, _ in people], "key string, entry string")
+    texts = spark.createDataFrame([(x,) for x in labels], "label string")
+    assert rows(KIN.label_matches(texts, entries, keys)) == sorted(want, key=repr) and {w[2] for w in want} == {6, 9}
+    # a text shared by many entries is judged once, and a label meets only texts with its rarest trigram
+    judged = KIN._texts_with_all(spark.createDataFrame([("l", "k", ["abcd"])], "label string, key string, extras array<string>"),
+                                 spark.createDataFrame([("k", "1", "x abcde"), ("k", "2", "abc"), ("j", "3", "abcd")], "key string, text_id string, intro string"))
+    assert rows(judged) == [("l", "k", "1")]
