@@ -607,7 +607,7 @@ SELECT doc_id, k::INT AS sentence_no, h AS heading FROM n WHERE length(h) BETWEE
   AND (contains(' ' || h || ' ', ' of ') OR starts_with(h, 'In ') OR starts_with(h, 'On '))""")
 def heading_filter(spark, d):
     rows = T.staged(sentences(spark, d), heading=T.normalize("raw", T.HEADINGS))
-    return rows.filter(PG.heading_allowed("heading", 5, 60, ("The", "La"), "of", ("In ", "On "))).select("doc_id", "sentence_no", "heading")
+    return rows.filter(PG.heading_allowed("heading", 5, 60, ("The", "La"), "of", ("In ", "On "), ready=True)).select("doc_id", "sentence_no", "heading")
 
 
 @query("note_strip", rf"""

@@ -361,17 +361,23 @@ def title_entry(title, grammar: str) -> tuple[Column, Column]:
 
 
 def heading_allowed(heading, lo: int, hi: int, exclusions=lx.HEADING_EXCLUSIONS, lineage: str = "بن",
-                    kunya=("ابو ", "ابي ", "ام ")) -> Column:
-    """A heading opens an entry when it carries a lineage or kunya and no section word."""
-    h = normalize(heading, HEADINGS)
+                    kunya=("ابو ", "ابي ", "ام "), ready: bool = False) -> Column:
+    """A heading opens an entry when it carries a lineage or kunya and no section word. ``ready``: it is normalised already."""
     plain = [e.translate({ord(c): "ا" for c in lx.ALEF_FORMS} | {ord("ى"): "ي"}) for e in exclusions]
-    excluded = F.lit(False)
-    for word in plain:
-        excluded = excluded | h.startswith(word)
-    named = F.concat(F.lit(" "), h, F.lit(" ")).contains(f" {lineage} ")
-    for word in kunya:
-        named = named | h.startswith(word)
-    return F.length(h).between(lo, hi) & ~excluded & named
+
+    def allowed(h):
+        excluded = F.lit(False)
+        for word in plain:
+            excluded = excluded | h.startswith(word)
+        named = F.concat(F.lit(" "), h, F.lit(" ")).contains(f" {lineage} ")
+        for word in kunya:
+            named = named | h.startswith(word)
+        return F.length(h).between(lo, hi) & ~excluded & named
+
+    if ready:
+        return allowed(F.col(heading) if isinstance(heading, str) else heading)
+    # bound to a lambda variable the heading is normalised once, not for every test
+    return F.exists(F.array(normalize(heading, HEADINGS)), allowed)
 
 
 def secondary_entries(bodies: DataFrame, source: str, grammar: str | None = None) -> DataFrame:

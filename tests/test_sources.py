@@ -4,6 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
+from silsila import lexicon as lx
+from silsila.functions import text as T
 from silsila.plans import build as BD
 from silsila.sources import manifest as MF
 from silsila.sources import pages as PG
@@ -157,3 +159,16 @@ def test_manifest_is_marked_and_comes_back(spark, tmp_path):
     schema = "id int, name string, duplicate_of string"
     assert rows(MF.read_manifest(spark, str(tmp_path), schema, "json")) == sorted(rows_in, key=repr)
     assert rows(MF.read_manifest(spark, str(tmp_path), schema)) == sorted([(i, n or "", c) for i, n, c in rows_in], key=repr)
+
+
+def test_a_heading_is_normalised_once(spark, tmp_path):
+    from silsila.plans.catalog import QUERIES
+    texts = ["محمد بن علي", "  أبو بكر.", "ذكر من اسمه محمد بن", "x", "اِبن زيد بن عمر"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id int, h string")
+    marks = f"[{lx.MARKS}]"
+    found = df.filter(PG.heading_allowed("h", 4, 220))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count(marks) == 1
+    once = df.select("id", T.normalize("h", T.HEADINGS).alias("n"))
+    assert rows(found, "id") == rows(once.filter(PG.heading_allowed("n", 4, 220, ready=True)), "id") == rows(once.filter(PG.heading_allowed("n", 4, 220)), "id")
+    spark.createDataFrame([(1, "On the of. In x")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert QUERIES["heading_filter"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString().count(marks) == 1
