@@ -14,17 +14,18 @@ of at least ``PASSAGE_WORDS`` words are reported: the first one of a cluster is
 
 from __future__ import annotations
 
-from itertools import chain
+import re
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from silsila.llm.common import cut, join_classes, map_rows, stage_table, texts_of
+from silsila.llm.common import cut, join_classes, map_rows, stage_table, steps, texts_of
 from silsila.llm.graph import components
 
 SHINGLE = 5
@@ -43,14 +44,25 @@ FILTER_BITS = 27
 _CHUNK_BITS = 18
 #: Text per step where whole texts are hashed: the arrays of a step take some forty times its size.
 STEP = 2_000_000
+#: Numbers that a task gathers before it deals them out, and that one dealt piece holds at most.
+PACK_ROWS, PIECE_ROWS = 1_000_000, 256
+
+
+#: Words of up to this many bytes are hashed as arrays of eight bytes at a time, longer ones one by one.
+ARRAY_BYTES = 64
+#: White space below 128, as ``str.split`` has it, and the bytes that end a sentence.
+_BLANK, _END = (np.isin(np.arange(256), np.frombuffer(of, dtype=np.uint8)) for of in (b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f ", b".!?"))
+#: The other white space of ``str.split``.
+_FAR_BLANK = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class _WordHash(dict):
-    """Hash per word; its lowest bit tells whether the word ends a sentence."""
+    """Hash per long word."""
 
     def __missing__(self, word):
-        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) & ~1 | (word[-1] in ".!?")
-        self[word] = h
+        if len(self) > 10_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
@@ -71,14 +83,49 @@ class Words(NamedTuple):
         return of, (stop - self.size)[of], stop[of]
 
 
+def _bytes(text: str) -> bytes:
+    """A lower-cased text in UTF-8, its white space in ASCII."""
+    text = text.lower()
+    return text.encode() if text.isascii() else _FAR_BLANK.sub(" ", text).encode("utf-8", "surrogatepass")
+
+
+def word_hashes(data: bytes, first: np.ndarray, end: np.ndarray, known: _WordHash) -> np.ndarray:
+    """A hash for the bytes of each word; its lowest bit tells whether the word ends a sentence. ``data`` has eight bytes
+    more than the words."""
+    eight = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))       # from every byte on
+    size = end - first
+    masks = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+    h, at, rest, of = size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), first, size, slice(None)
+    for _ in range(0, ARRAY_BYTES, 8):
+        part = (h[of] ^ eight[at] & masks[np.minimum(rest, 8)]) * np.uint64(0x9E3779B97F4A7C15)
+        part ^= part >> np.uint64(32)
+        part *= np.uint64(0xBF58476D1CE4E5B9)
+        part ^= part >> np.uint64(29)
+        h[of] = part
+        more = np.flatnonzero(rest > 8)
+        if not len(more):
+            break
+        of = more if isinstance(of, slice) else of[more]
+        at, rest = at[more] + 8, rest[more] - 8
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    for i in np.flatnonzero(size > ARRAY_BYTES).tolist():
+        h[i] = known[data[first[i]:end[i]]]
+    return h & ~np.uint64(1) | _END[np.frombuffer(data, dtype=np.uint8)[end - 1]]
+
+
 def scan(texts: list[str], known: _WordHash) -> Words:
-    if len(known) > 300_000:
-        known.clear()
-    texts = [[line.split() for line in t.lower().split("\n")] for t in texts]
-    lines = np.array([len(line) for t in texts for line in t], dtype=np.int64)
-    size = np.array([sum(map(len, t)) for t in texts], dtype=np.int64)
-    words = chain.from_iterable(chain.from_iterable(texts))
-    return Words(np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=int(lines.sum())), size, lines)
+    rows = [_bytes(t) for t in texts]
+    data = b"".join(x for row in rows for x in (row, b"\n")) + bytes(8)
+    letters = np.frombuffer(data, dtype=np.uint8)
+    blank = np.flatnonzero(_BLANK[letters])                                # words end here, the last one of a text too
+    first = np.concatenate([np.zeros(1, dtype=np.int64), blank + 1])[:len(blank)]
+    full = blank > first
+    many = np.cumsum(full)
+    lines = np.diff(many[letters[blank] == 10], prepend=0)
+    stop = np.cumsum([len(row) + 1 for row in rows], dtype=np.int64) - 1
+    size = np.diff(many[np.searchsorted(blank, stop)], prepend=0)
+    return Words(word_hashes(data, first[full], blank[full], known), size, lines)
 
 
 def unit_places(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -130,12 +177,18 @@ TEXT = ("doc_id", "digest")
 
 
 def runs(flat: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all runs of ``n`` words."""
+    """Hashes of all runs of ``n`` words, put together from runs of 1, 2, 4, ... words."""
     many = max(len(flat) - n + 1, 0)
-    h = np.full(many, n, dtype=np.uint64)
-    for k in range(n):
-        h = (h ^ flat[k:k + many]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
+    h, done, wide, part = np.full(many, n, dtype=np.uint64), 0, 1, flat
+    while wide <= n:
+        if n & wide:
+            h = (h ^ part[done:done + many]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+            done += wide
+        if wide * 2 <= n:
+            part = (part[:-wide] * np.uint64(0xD6E8FEB86659FD93) ^ part[wide:]) * np.uint64(0x9E3779B97F4A7C15)
+            part ^= part >> np.uint64(32)
+        wide *= 2
     return h * np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -186,23 +239,85 @@ def passes(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def _twice(rows: np.ndarray) -> np.ndarray:
+    """Sorted numbers, each at most twice."""
+    rows = np.sort(rows, axis=0)
+    return rows[np.concatenate([np.ones(2, dtype=bool), rows[2:, 0] != rows[:-2, 0]])[:len(rows)]]
+
+
+def _once(rows: np.ndarray) -> np.ndarray:
+    """Sorted pairs, each once."""
+    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+    return rows[np.concatenate([np.ones(1, dtype=bool), (rows[1:] != rows[:-1]).any(axis=1)])[:len(rows)]]
+
+
+def dealt(docs: DataFrame, of_step, width: int, sort, found, schema: str) -> DataFrame:
+    """Rows of ``width`` 64-bit numbers met by the first of them: ``of_step`` gives those of a step of texts, ``sort``
+    orders them and leaves out what is not needed twice, ``found`` makes the output from all that share leading bits.
+
+    A task gathers ``PACK_ROWS`` rows, sorts them and gives them out as packed pieces of ``PIECE_ROWS`` rows or fewer, so
+    Spark shuffles pieces, not numbers.
+    """
+    bits = (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4).bit_length()
+
+    def pieces(gathered):
+        rows = sort(np.concatenate(gathered))
+        bucket = (rows[:, 0] >> np.uint64(64 - bits)).astype(np.int64)
+        start = np.flatnonzero(np.diff(bucket, prepend=-1))
+        parts = -(-np.diff(start, append=len(rows)) // PIECE_ROWS)
+        first = np.repeat(start, parts) + PIECE_ROWS * _spread(np.zeros(len(parts), dtype=np.int64), parts)
+        ends = (np.append(first, len(rows)) * 8 * width).astype(np.int32)
+        return pa.RecordBatch.from_pydict({"bucket": pa.array(bucket[first], pa.int64()), "piece": pa.Array.from_buffers(
+            pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])})
+
+    def give(batches):
+        gathered, n = [], 0
+        for batch in batches:
+            for part in steps(batch, limit=STEP):
+                gathered.append(of_step(part).reshape(-1, width))
+                n += len(gathered[-1])
+                if n >= PACK_ROWS:
+                    yield pieces(gathered)
+                    gathered, n = [], 0
+        if n:
+            yield pieces(gathered)
+
+    def meet(batches):
+        last, held = None, []
+        for batch in batches:
+            for bucket, piece in zip(batch.column("bucket").to_pylist(), batch.column("piece").to_pylist()):
+                if bucket != last and held:
+                    yield found(sort(np.frombuffer(b"".join(held), dtype=np.uint64).reshape(-1, width)))
+                    held = []
+                last = bucket
+                held.append(piece)
+        if held:
+            yield found(sort(np.frombuffer(b"".join(held), dtype=np.uint64).reshape(-1, width)))
+
+    return docs.select("text").mapInArrow(give, "bucket bigint, piece binary").repartition("bucket").sortWithinPartitions(
+        "bucket").mapInArrow(meet, schema)
+
+
 def repeated_keys(docs: DataFrame):
     """Broadcast filter of the ids of units and the seeds that occur twice or more."""
     known = _WordHash()
 
     def keys(batch):
         words = scan(texts_of(batch), known)
-        return {"unit": np.concatenate([span_ids(words.flat, *unit_places(words)), seeds(words.flat, words.left())[1]])}
+        return np.concatenate([span_ids(words.flat, *unit_places(words)), seeds(words.flat, words.left())[1]]).view(np.uint64)
+
+    def found(rows):
+        return pa.RecordBatch.from_pydict({"unit": np.unique(rows[1:][rows[1:] == rows[:-1]]).view(np.int64)})
 
-    found = map_rows(docs.select("text"), keys, "unit bigint", step=STEP).groupBy("unit").count().filter("count > 1")
-    return docs.sparkSession.sparkContext.broadcast(key_filter(found, "unit"))
+    return docs.sparkSession.sparkContext.broadcast(key_filter(dealt(docs, keys, 1, _twice, found, "unit bigint"), "unit"))
 
 
-PLACES = "unit bigint, doc_id bigint, digest bigint, first int, last int, seed boolean"
+PLACES = "unit bigint, doc_id bigint, digest bigint, first int, last int, seeds binary"
 
 
 def places(docs: DataFrame, wanted) -> DataFrame:
-    """Rows ``PLACES`` of the units and seeds that pass the filter ``wanted``."""
+    """Rows ``PLACES`` of the units and seeds that pass the filter ``wanted``: one per unit, and one per text with all its
+    seeds as pairs (hash, first word) of 64-bit numbers."""
     known = _WordHash()
 
     def one(batch):
@@ -211,11 +326,20 @@ def places(docs: DataFrame, wanted) -> DataFrame:
         ids = span_ids(words.flat, a, b)
         at, h = seeds(words.flat, words.left())
         keep, hit = passes(ids, wanted.value), passes(h, wanted.value)
-        low, high = np.concatenate([a[keep], at[hit]]), np.concatenate([b[keep], at[hit] + SEED_WORDS])
-        of, begin, _ = words.bounds(low)
-        return {"unit": np.concatenate([ids[keep], h[hit]]), **{c: batch.column(c).take(pa.array(of)) for c in TEXT},
-                "first": pa.array(low - begin, pa.int32()), "last": pa.array(high - begin, pa.int32()),
-                "seed": np.arange(len(low)) >= keep.sum()}
+        at, h = at[hit], h[hit]
+        of, begin, _ = words.bounds(a[keep])
+        text, start, _ = words.bounds(at)
+        having, many = np.unique(text, return_counts=True)
+        ends = (np.append(0, np.cumsum(many)) * 16).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(having), [None, pa.py_buffer(ends), pa.py_buffer(np.column_stack([h, at - start]))])
+        of = pa.array(np.concatenate([of, having]), pa.int64())
+
+        def column(values, kind):
+            return pa.concat_arrays([pa.array(values, kind), pa.nulls(len(having), kind)])
+
+        return {"unit": column(ids[keep], pa.int64()), **{c: batch.column(c).take(of) for c in TEXT},
+                "first": column(a[keep] - begin, pa.int32()), "last": column(b[keep] - begin, pa.int32()),
+                "seeds": pa.concat_arrays([pa.nulls(int(keep.sum()), pa.binary()), packed])}
 
     return map_rows(docs.select("doc_id", F.xxhash64("text").alias("digest"), "text"), one, PLACES, step=STEP)
 
@@ -280,7 +404,8 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """The rows of ``_binary``."""
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u2").reshape(-1, SIDE)
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset:column.offset + len(column) + 1] if len(column) else [0, 0]
+    return np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[ends[0]:ends[-1]].view("<u2").reshape(-1, SIDE)
 
 
 def _extended(batches):
@@ -291,23 +416,45 @@ def _extended(batches):
                                          | {"back": back, "on": on, "o_back": o_back, "o_on": o_on})
 
 
+def _open_seeds(batches):
+    """Texts with their ``seeds`` and the ``spans`` of their units to the seeds outside removed units; ``known`` are those
+    inside a unit. Places of all texts of a batch are on one line, text after text."""
+    def reach(text, first, last, at):
+        order = np.argsort(text << 32 | first, kind="stable")
+        far = np.append(np.maximum.accumulate((text << 32 | last)[order]), -1)         # a text begins above the one before
+        return far[np.searchsorted((text << 32 | first)[order], at, "right") - 1]
+
+    for batch in batches:
+        seeds_, spans = batch.column("seeds"), batch.column("spans")
+        ends = np.frombuffer(seeds_.buffers()[1], dtype=np.int32)[seeds_.offset:seeds_.offset + len(seeds_) + 1].astype(np.int64)
+        pairs = np.frombuffer(seeds_.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]].view(np.int64).reshape(-1, 2)
+        of = np.repeat(np.arange(len(seeds_)), np.diff(ends) // 16)
+        flat, many = spans.flatten(), pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+        text = np.repeat(np.arange(len(many)), many)
+        first, last, removed = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("first", "last", "removed"))
+        first, last, removed = first.astype(np.int64), last.astype(np.int64), removed.astype(bool)
+        at, end = of << 32 | pairs[:, 1], of << 32 | pairs[:, 1] + SEED_WORDS
+        keep = reach(text[removed], first[removed], last[removed], at) < end
+        known = reach(text, first, last, at) >= end
+        yield pa.RecordBatch.from_pydict({"unit": pairs[keep, 0], **{c: batch.column(c).take(pa.array(of[keep])) for c in TEXT},
+                                          "first": pairs[keep, 1].astype(np.int32), "known": known[keep]})
+
+
 def repeated_runs(docs: DataFrame, found: DataFrame, rows: DataFrame) -> DataFrame:
-    """Repeated runs of words beside the verdicts ``rows`` on units, with the same columns, from the seeds ``found``.
+    """Repeated runs of words beside the verdicts ``rows`` on units, with the same columns, from the texts ``found`` with
+    their seeds.
 
     A run inside a removed unit goes with it; a run that a matched unit repeats within its own text is left to it.
     """
-    both = rows.select(*TEXT, "first", "last", "removed").unionByName(
-        found.select("unit", *TEXT, "first", "last"), allowMissingColumns=True)
-    order = Window.partitionBy(*TEXT).orderBy("first").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    reach = both.withColumn("__gone", F.max(F.when(F.col("removed"), F.col("last"))).over(order)).withColumn(
-        "__matched", F.max(F.when(F.col("unit").isNull(), F.col("last"))).over(order))
-    found = stage_table(reach.filter(F.col("unit").isNotNull() & ~F.coalesce(F.col("__gone") >= F.col("last"), F.lit(False))).select(
-        "unit", *TEXT, "first", F.coalesce(F.col("__matched") >= F.col("last"), F.lit(False)).alias("known")), "seeds")
+    spans = rows.groupBy(*TEXT).agg(F.collect_set(F.struct("first", "last", "removed")).alias("spans")).alias("r")
+    reach = found.alias("f").join(spans, F.col("f.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("f.digest") == F.col("r.digest")), "left")
+    found = stage_table(reach.select("f.doc_id", "f.digest", "seeds", "spans").mapInArrow(
+        _open_seeds, "unit bigint, doc_id bigint, digest bigint, first int, known boolean"), "seeds")
     classes = stage_table(found.groupBy("unit").agg(
         F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first", "known")).alias("owner")).filter("copies > 1"), "seed_owners")
     text, place = F.struct("owner.doc_id", "owner.digest"), F.struct("owner.doc_id", "owner.digest", "owner.first")
     owns = F.struct(*TEXT, "first").eqNullSafe(place)
-    matched = stage_table(join_classes(found, classes, "unit", "copies", "inner").filter(
+    matched = stage_table(join_classes(found, classes.hint("shuffle_hash"), "unit", "copies", "inner").filter(
         owns | ~(F.col("known") & F.struct(*TEXT).eqNullSafe(text))).select(
         *TEXT, "first", "unit", text.alias("keep"), F.col("owner.first").alias("at"), F.col("owner.known").alias("known"), owns.alias("owns")), "matched")
     ends = Window.partitionBy(*TEXT).orderBy("first")
@@ -315,13 +462,13 @@ def repeated_runs(docs: DataFrame, found: DataFrame, rows: DataFrame) -> DataFra
     open_ = matched.withColumn("inner", F.coalesce(inner, F.lit(False))).filter(~F.col("inner")).select("unit").distinct()
     open_ = stage_table(open_, "open_seeds")
     wanted = docs.sparkSession.sparkContext.broadcast(key_filter(open_, "unit"))
-    here, there = matched.alias("m"), sides(docs, wanted).join(open_, "unit", "left_semi").distinct().alias("s")
+    here, there = matched.join(open_.hint("shuffle_hash"), "unit", "left_semi").hint("shuffle_hash").alias("m"), sides(docs, wanted).distinct().alias("s")
     same = (F.col("m.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("m.unit") == F.col("s.unit"))
             & (F.col("m.digest") == F.col("s.digest")) & (F.col("m.first") == F.col("s.first")))
     beside = stage_table(here.join(there, same).select("m.*", "before", "after"), "sides")
     owners = stage_table(beside.filter("owns").select("unit", F.col("before").alias("o_before"), F.col("after").alias("o_after")).join(
         classes.select("unit", "copies"), "unit"), "owner_sides")
-    longer = join_classes(beside.filter("not owns"), owners, "unit", "copies", "inner").drop("copies", "owns")
+    longer = join_classes(beside.filter("not owns"), owners.hint("shuffle_hash"), "unit", "copies", "inner").drop("copies", "owns")
     order = [longer.schema[c] for c in (*TEXT, "first", "unit", "keep", "at", "known")]
     longer = stage_table(longer.mapInArrow(_extended, StructType(order).add("back", "long").add("on", "long").add(
         "o_back", "long").add("o_on", "long")), "longer")
@@ -349,6 +496,15 @@ def _distinct(grams: np.ndarray, first: np.ndarray, many: np.ndarray) -> tuple[n
     return order, np.bincount((order >> np.uint64(40)).astype(np.int64), minlength=len(many))
 
 
+def _sets(grams: np.ndarray, first: np.ndarray, many: np.ndarray) -> pa.Array:
+    """The sorted distinct hashes of every unit as bytes."""
+    of, h = np.repeat(np.arange(len(many)), many), grams[_spread(first, many)]
+    h = h[np.lexsort((h, of))]
+    fresh = np.concatenate([np.ones(1, dtype=bool), (h[1:] != h[:-1]) | (of[1:] != of[:-1])])[:len(h)]
+    ends = np.append(0, np.cumsum(np.bincount(of[fresh], minlength=len(many)))) * 8
+    return pa.Array.from_buffers(pa.binary(), len(many), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(h[fresh])])
+
+
 def _units_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(id, first, end) of the distinct units of a step, and per unit of the step which of them it is, in the order of
     ``unit_places``."""
@@ -389,8 +545,8 @@ def prefix_keys(order: np.ndarray, distinct: np.ndarray, most: int) -> tuple[np.
 
 
 def bands(docs: DataFrame, repeated, gate: bool = True) -> DataFrame:
-    """(key, unit) per key of every unit: bands of the long ones, smallest hashes of the short ones. The longest of the
-    short ones that reach the threshold with a long one have both.
+    """(key, unit) per key that two units or more share: bands of the long ones, smallest hashes of the short ones. The
+    longest of the short ones that reach the threshold with a long one have both.
 
     A break (a changed, added or missing word, or a passage that moved) costs four shingles of either side or more, so
     texts of m different shingles at the threshold have m / 36 breaks at most and share a run of 16 shingles, which is 20
@@ -417,9 +573,15 @@ def bands(docs: DataFrame, repeated, gate: bool = True) -> DataFrame:
             four = _distinct(runs(words.flat, SHINGLE - 1), a[open_], many[open_] + 1)[1]
             long[open_[four == many[open_] + 1]] = False
         banded = band_keys(grams[_spread(a[long], many[long])], many[long])
-        return {"key": np.concatenate([banded.ravel(), keys]), "unit": np.concatenate([np.repeat(ids[long], BANDS), ids[of]])}
+        return np.column_stack([np.concatenate([banded.ravel(), keys]),
+                                np.concatenate([np.repeat(ids[long], BANDS), ids[of]])]).view(np.uint64)
+
+    def shared(rows):
+        same = rows[1:, 0] == rows[:-1, 0]
+        rows = rows[np.append(False, same) | np.append(same, False)].view(np.int64)
+        return pa.RecordBatch.from_pydict({"key": rows[:, 0], "unit": rows[:, 1]})
 
-    return map_rows(docs.select("text"), one, "key bigint, unit bigint", step=STEP)
+    return dealt(docs, one, 2, _once, shared, "key bigint, unit bigint")
 
 
 def shingle_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -431,8 +593,7 @@ def shingle_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
         words = scan(texts_of(batch), known)
         ids, a, b, _ = _units_of(words)
         wanted = passes(ids, shared.value)
-        grams, stop = runs(words.flat, SHINGLE), b - SHINGLE + 1
-        return {"unit": ids[wanted], "shingles": [np.unique(grams[x:y]).tobytes() for x, y in zip(a[wanted], stop[wanted])]}
+        return {"unit": ids[wanted], "shingles": _sets(runs(words.flat, SHINGLE), a[wanted], (b - a - SHINGLE + 1)[wanted])}
 
     return map_rows(docs.select("text"), one, "unit bigint, shingles binary", step=STEP)
 
@@ -499,28 +660,6 @@ def _search_buckets(batches, exact: int):
         yield emit(edges)
 
 
-def _buckets(batches):
-    """Rows (key, unit) sorted by both to the distinct rows of buckets with two units or more."""
-    last, open_ = None, False                    # the last row, and whether it has been given out
-    for batch in batches:
-        keys = batch.column("key").to_numpy(zero_copy_only=False)
-        ids = batch.column("unit").to_numpy(zero_copy_only=False)
-        fresh = np.ones(len(keys), dtype=bool)
-        fresh[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
-        if last is not None and len(keys):
-            fresh[0] = (keys[0], ids[0]) != last
-        keys, ids = keys[fresh], ids[fresh]
-        if not len(keys):
-            continue
-        same = keys[1:] == keys[:-1]
-        goes_on = last is not None and keys[0] == last[0]
-        member = np.concatenate([[goes_on], same]) | np.concatenate([same, [False]])
-        if goes_on and not open_:
-            yield pa.RecordBatch.from_pydict({"key": pa.array([last[0]], pa.int64()), "unit": pa.array([last[1]], pa.int64())})
-        yield pa.RecordBatch.from_pydict({"key": pa.array(keys[member], pa.int64()), "unit": pa.array(ids[member], pa.int64())})
-        last, open_ = (keys[-1], ids[-1]), bool(member[-1])
-
-
 def prefix(one: np.ndarray) -> np.ndarray:
     """The smallest hashes of a sorted set, of which every set at the threshold or above has one among its own smallest."""
     return one[:len(one) - int(np.ceil(SIMILARITY * len(one) - 1e-9)) + 1]
@@ -561,8 +700,7 @@ def _split_links(full: DataFrame, marks: DataFrame, links: DataFrame, exact: int
 
 def near_links(docs: DataFrame, exact: int = EXACT_BUCKET, repeated=None, gate: bool = True) -> DataFrame:
     """Verified edges (a, b) between units that differ; ``repeated`` as from ``repeated_keys``."""
-    rows = bands(docs, repeated or (repeated_keys(docs) if gate else None), gate).repartition("key").sortWithinPartitions("key", "unit")
-    shared = cut(rows.mapInArrow(_buckets, "key bigint, unit bigint"))
+    shared = cut(bands(docs, repeated or (repeated_keys(docs) if gate else None), gate))
     # buckets with the same members are searched once
     marks = shared.groupBy("key").agg(F.sum(F.xxhash64("unit").cast("decimal(38,0)")).alias("members"), F.count("*").alias("n"))
     chosen = marks.groupBy("members", "n").agg(F.min("key").alias("key")).select("key")
@@ -592,17 +730,17 @@ def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     near = stage_table(components(near_links(docs, exact, repeated)).select(F.col("node").alias("unit"), "root"), "near")
     wanted = docs.sparkSession.sparkContext.broadcast(repeated.value | key_filter(near, "unit"))
     found = stage_table(places(docs, wanted), "places")
-    lines = found.filter(~F.col("seed"))
+    lines = found.filter("unit is not null").drop("seeds")
     same = lines.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first")).alias("place"))
     classes = cut(same.join(near, "unit", "left").filter(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn(
         "root", F.coalesce("root", "unit")))
     owner = classes.groupBy("root").agg(F.min("place").alias("owner"))
     classes = cut(classes.join(owner, "root").select("unit", "copies", "root", "owner"))
-    rows = join_classes(lines, classes, "unit", "copies", "inner").select(
+    rows = join_classes(lines, classes.hint("shuffle_hash"), "unit", "copies", "inner").select(
         *TEXT, "first", "last", F.col("root").alias("cluster"), F.struct("owner.doc_id", "owner.digest").alias("keep"),
         (~(F.struct(*TEXT, "first").eqNullSafe(F.col("owner")))).alias("removed"))
     rows = stage_table(rows, "verdicts")
-    rows = rows.unionByName(repeated_runs(docs, found.filter("seed"), rows))
+    rows = rows.unionByName(repeated_runs(docs, found.filter("seeds is not null"), rows))
     order = Window.partitionBy(*TEXT, "removed").orderBy("first", F.desc("last"))
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("__new", F.when(before + GAP_WORDS >= F.col("first"), 0).otherwise(1))

@@ -309,3 +309,56 @@ def test_odd_rows(odd, nothing):
     n = len("and the long text goes on ".split()) * 20_000
     assert got == [(7, 0, n, False, [7]), (8, 0, n, True, [7])]
     assert paragraphs.repeated_passages(nothing).count() == 0
+
+
+def test_scan_keeps_no_words_and_splits_like_str():
+    """Ordinary words leave nothing in memory behind them; white space, case and line ends are those of Python's strings."""
+    rng, known = random.Random(59), paragraphs._WordHash()
+    paragraphs.scan([" ".join(f"w{i}" for i in range(50_000))], known)
+    assert len(known) == 0
+    letters, of_word, of_hash = "ab.!?Z \t\n\x0b\r\x1c\x85\xa0　İßé中\ud800\x00", {}, {}
+    for _ in range(200):
+        texts = ["".join(rng.choice(letters) if rng.random() < 0.9 else "q" * rng.choice([1, 7, 8, 9, 63, 64, 65, 200])
+                         for _ in range(rng.randint(0, 80))) for _ in range(rng.randint(0, 6))]
+        got, lines = paragraphs.scan(texts, known), [[line.split() for line in t.lower().split("\n")] for t in texts]
+        assert got.lines.tolist() == [len(line) for t in lines for line in t]
+        assert got.size.tolist() == [sum(map(len, t)) for t in lines]
+        for w, h in zip((w for t in lines for line in t for w in line), got.flat.tolist(), strict=True):
+            assert h & 1 == (w[-1] in ".!?") and of_word.setdefault(w, h) == h and of_hash.setdefault(h, w) == w
+
+
+def test_dealt_numbers_against_counts(make, monkeypatch):
+    monkeypatch.setattr(paragraphs, "PIECE_ROWS", 3)
+    rng = random.Random(61)
+    lines = [" ".join(words(9, rng)) for _ in range(60)]
+    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(0, 3)))) for i in range(60)] + [(60, None)]
+    many = {}
+    for _, t in rows:
+        for _, _, w in paragraphs.units(t or ""):
+            many[paragraphs.unit_id(w)] = many.get(paragraphs.unit_id(w), 0) + 1
+    bits = paragraphs.repeated_keys(make(rows)).value
+    for unit, n in many.items():
+        assert paragraphs.passes(np.array([unit]), bits)[0] == (n > 1)
+    assert {1, 2} < set(many.values())
+
+
+def test_open_seeds_against_one_seed_at_a_time():
+    import pyarrow as pa
+    rng, spans, seeds = random.Random(67), [], []
+    for i in range(50):
+        low = [rng.randrange(300) for _ in range(rng.randint(0, 8))]
+        spans.append([{"first": a, "last": a + rng.randint(8, 60), "removed": rng.random() < 0.5} for a in low] if i % 7 else None)
+        seeds.append(sorted(rng.sample(range(300), rng.randint(1, 30))))
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array([None, *range(1, 50)], pa.int64()), "digest": pa.array(range(50), pa.int64()),
+        "seeds": [np.array([(1000 + a, a) for a in s], dtype=np.int64).tobytes() for s in seeds],
+        "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("removed", pa.bool_())])))})
+    want = []
+    for i, (mine, places) in enumerate(zip(spans, seeds)):
+        for a in places:
+            over = [s for s in mine or [] if s["first"] <= a and s["last"] >= a + paragraphs.SEED_WORDS]
+            if not any(s["removed"] for s in over):
+                want.append((1000 + a, i or None, i, a, bool(over)))
+    for part in (batch, batch.slice(3, 20), batch.slice(0, 0)):
+        got = [tuple(r.values()) for b in paragraphs._open_seeds([part]) for r in b.to_pylist()]
+        assert got == [w for w in want if w[2] in part.column("digest").to_pylist()]
