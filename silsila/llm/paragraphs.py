@@ -440,6 +440,14 @@ def _open_seeds(batches):
                                           "first": pairs[keep, 1].astype(np.int32), "known": known[keep]})
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``stage_table``, after which the driver collects its garbage: the shuffle files of a finished step stay on the
+    executors' disks until it does."""
+    table = stage_table(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return table
+
+
 def repeated_runs(docs: DataFrame, found: DataFrame, rows: DataFrame) -> DataFrame:
     """Repeated runs of words beside the verdicts ``rows`` on units, with the same columns, from the texts ``found`` with
     their seeds.
@@ -454,7 +462,7 @@ def repeated_runs(docs: DataFrame, found: DataFrame, rows: DataFrame) -> DataFra
         F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first", "known")).alias("owner")).filter("copies > 1"), "seed_owners")
     text, place = F.struct("owner.doc_id", "owner.digest"), F.struct("owner.doc_id", "owner.digest", "owner.first")
     owns = F.struct(*TEXT, "first").eqNullSafe(place)
-    matched = stage_table(join_classes(found, classes.hint("shuffle_hash"), "unit", "copies", "inner").filter(
+    matched = staged(join_classes(found, classes.hint("shuffle_hash"), "unit", "copies", "inner").filter(
         owns | ~(F.col("known") & F.struct(*TEXT).eqNullSafe(text))).select(
         *TEXT, "first", "unit", text.alias("keep"), F.col("owner.first").alias("at"), F.col("owner.known").alias("known"), owns.alias("owns")), "matched")
     ends = Window.partitionBy(*TEXT).orderBy("first")
@@ -462,15 +470,19 @@ def repeated_runs(docs: DataFrame, found: DataFrame, rows: DataFrame) -> DataFra
     open_ = matched.withColumn("inner", F.coalesce(inner, F.lit(False))).filter(~F.col("inner")).select("unit").distinct()
     open_ = stage_table(open_, "open_seeds")
     wanted = docs.sparkSession.sparkContext.broadcast(key_filter(open_, "unit"))
-    here, there = matched.join(open_.hint("shuffle_hash"), "unit", "left_semi").hint("shuffle_hash").alias("m"), sides(docs, wanted).distinct().alias("s")
-    same = (F.col("m.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("m.unit") == F.col("s.unit"))
+    here = matched.join(open_.hint("shuffle_hash"), "unit", "left_semi").hint("shuffle_hash").alias("m")
+    # dealt once by the keys of the join, which serves the distinct rows as well
+    there = sides(docs, wanted).withColumn("no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0).cast("long")))
+    there = there.repartition("unit", "doc_id", "no_id", "digest", "first").distinct().alias("s")
+    same = ((F.col("m.unit") == F.col("s.unit")) & (F.coalesce("m.doc_id", F.lit(0).cast("long")) == F.col("s.doc_id"))
+            & (F.col("m.doc_id").isNull() == F.col("s.no_id"))
             & (F.col("m.digest") == F.col("s.digest")) & (F.col("m.first") == F.col("s.first")))
-    beside = stage_table(here.join(there, same).select("m.*", "before", "after"), "sides")
+    beside = staged(here.join(there, same).select("m.*", "before", "after"), "sides")
     owners = stage_table(beside.filter("owns").select("unit", F.col("before").alias("o_before"), F.col("after").alias("o_after")).join(
         classes.select("unit", "copies"), "unit"), "owner_sides")
     longer = join_classes(beside.filter("not owns"), owners.hint("shuffle_hash"), "unit", "copies", "inner").drop("copies", "owns")
     order = [longer.schema[c] for c in (*TEXT, "first", "unit", "keep", "at", "known")]
-    longer = stage_table(longer.mapInArrow(_extended, StructType(order).add("back", "long").add("on", "long").add(
+    longer = staged(longer.mapInArrow(_extended, StructType(order).add("back", "long").add("on", "long").add(
         "o_back", "long").add("o_on", "long")), "longer")
 
     def rows_of(df, removed, back=F.lit(0), on=F.lit(0)):
@@ -727,9 +739,9 @@ def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     owns a cluster. Empty input gives no rows; very long texts are a step of their own; other columns are not read.
     """
     repeated = repeated_keys(docs)
-    near = stage_table(components(near_links(docs, exact, repeated)).select(F.col("node").alias("unit"), "root"), "near")
+    near = staged(components(near_links(docs, exact, repeated)).select(F.col("node").alias("unit"), "root"), "near")
     wanted = docs.sparkSession.sparkContext.broadcast(repeated.value | key_filter(near, "unit"))
-    found = stage_table(places(docs, wanted), "places")
+    found = staged(places(docs, wanted), "places")
     lines = found.filter("unit is not null").drop("seeds")
     same = lines.groupBy("unit").agg(F.count("*").alias("copies"), F.min(F.struct(*TEXT, "first")).alias("place"))
     classes = cut(same.join(near, "unit", "left").filter(F.col("root").isNotNull() | (F.col("copies") > 1)).withColumn(
@@ -739,7 +751,7 @@ def repeated_passages(docs: DataFrame, exact: int = EXACT_BUCKET) -> DataFrame:
     rows = join_classes(lines, classes.hint("shuffle_hash"), "unit", "copies", "inner").select(
         *TEXT, "first", "last", F.col("root").alias("cluster"), F.struct("owner.doc_id", "owner.digest").alias("keep"),
         (~(F.struct(*TEXT, "first").eqNullSafe(F.col("owner")))).alias("removed"))
-    rows = stage_table(rows, "verdicts")
+    rows = staged(rows, "verdicts")
     rows = rows.unionByName(repeated_runs(docs, found.filter("seeds is not null"), rows))
     order = Window.partitionBy(*TEXT, "removed").orderBy("first", F.desc("last"))
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
